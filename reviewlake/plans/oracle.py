@@ -88,9 +88,14 @@ def stopwords_sql(words):
     return _values([(w,) for w in words], ["word"])
 
 
-WORD_COUNT = f"CAST(len(regexp_extract_all(content, '{text.WORD_RUN}')) AS INTEGER)"
+def sq(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+WORD_COUNT = f"CAST(len(regexp_extract_all(content, {sq(text.WORD_RUN)})) AS INTEGER)"
 CLEAN = ("trim(regexp_replace(regexp_replace(regexp_replace(lower(content), "
-         f"'{text.URL_RUN}', '', 'g'), '{text.NON_ALPHA}', '', 'g'), '{text.BLANK_RUN}', ' ', 'g'))")
+         f"{sq(text.URL_RUN)}, '', 'g'), {sq(text.NON_ALPHA)}, '', 'g'), {sq(text.BLANK_RUN)}, ' ', 'g'))")
 
 TF_SQL = f"""
 SELECT *, {WORD_COUNT} AS word_count, CAST(length(content) AS INTEGER) AS char_length,
@@ -104,7 +109,7 @@ SELECT r.review_id,
        ELSE round(coalesce(h.s, 0) / sqrt(coalesce(h.s, 0) * coalesce(h.s, 0) + 15), 4) END AS sentiment
 FROM reviews r LEFT JOIN (
   SELECT t.review_id, CAST(sum(CAST(l.valence AS DECIMAL(12,4))) AS DOUBLE) AS s
-  FROM (SELECT review_id, unnest(regexp_extract_all(lower(content), '{text.LEXICON_TOKEN}')) AS token FROM reviews) t
+  FROM (SELECT review_id, unnest(regexp_extract_all(lower(content), {sq(text.LEXICON_TOKEN)})) AS token FROM reviews) t
   JOIN lexicon l ON l.word = t.token GROUP BY t.review_id) h ON h.review_id = r.review_id
 """
 
