@@ -1,3 +1,128 @@
-"""Registered queries."""
+"""Registered queries: word frequencies, lexicon, sentiment, n-grams."""
 
-from reviewlake.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from reviewlake.functions import text
+from reviewlake.operators import sentiment as SE, words as WD
+from reviewlake.plans import oracle as O
+from reviewlake.plans.registry import register
+from reviewlake.sources import reference_data as ref
+
+W = O.with_ctes
+BAND = "CASE WHEN score >= 4 THEN 'high' WHEN score <= 2 THEN 'low' END"
+
+BAND_WORDS = f"""
+, bw AS (SELECT band, unnest(list_filter(string_split(clean_content, ' '), lambda w: length(w) >= 3)) AS word
+  FROM (SELECT {BAND} AS band, clean_content FROM tf) WHERE band IS NOT NULL AND clean_content IS NOT NULL)
+"""
+FILTERED = BAND_WORDS + """
+, ff AS (SELECT band, word, count(*) AS count FROM bw
+  WHERE NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = bw.word) GROUP BY band, word)
+, tw AS (SELECT band, word, count, CAST(row_number() OVER (PARTITION BY band ORDER BY count DESC, word) AS INTEGER) AS rank
+  FROM ff)
+"""
+VOCAB = FILTERED + """
+, vocab AS (SELECT word FROM tw WHERE band = 'high' AND rank <= 200
+            UNION SELECT word FROM tw WHERE band = 'low' AND rank <= 200)
+, wv AS (SELECT v.word, coalesce(round(l.valence / sqrt(l.valence * l.valence + 15), 4), 0.0) AS sentiment
+         FROM vocab v LEFT JOIN lexicon l ON l.word = v.word)
+"""
+
+
+@register("word_freq_raw", W(["tf"], BAND_WORDS + "SELECT band, word, count(*) AS count FROM bw GROUP BY band, word"))
+def _word_freq_raw(I):
+    return WD.word_freq_raw(I.text_features)
+
+
+@register("word_freq_filtered", W(["tf", "stopwords"], FILTERED + "SELECT band, word, count FROM ff"))
+def _word_freq_filtered(I):
+    return WD.word_freq_filtered(I.text_features, I.stopwords)
+
+
+@register("stopword_anti", W(["tf", "stopwords"], BAND_WORDS + """
+SELECT band, word FROM bw WHERE NOT EXISTS (SELECT 1 FROM stopwords s WHERE s.word = bw.word)"""))
+def _stopword_anti(I):
+    return WD.stopword_anti(WD._band_words(I.text_features, 3, 4, 2), I.stopwords)
+
+
+@register("top_words", W(["tf", "stopwords"], FILTERED + "SELECT band, word, count, rank FROM tw WHERE rank <= 200"))
+def _top_words(I):
+    return WD.top_words(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+
+
+@register("word_freq_comparison", W(["tf", "stopwords"], FILTERED + """
+SELECT coalesce(p.rank, n.rank) AS rank, p.word AS pos_word, p.count AS pos_count,
+  n.word AS neg_word, n.count AS neg_count
+FROM (SELECT * FROM tw WHERE band = 'high' AND rank <= 20) p
+FULL OUTER JOIN (SELECT * FROM tw WHERE band = 'low' AND rank <= 20) n ON p.rank = n.rank"""))
+def _word_freq_comparison(I):
+    return WD.word_freq_comparison(WD.word_freq_filtered(I.text_features, I.stopwords), 20)
+
+
+@register("vocabulary_union", W(["tf", "stopwords", "lexicon"], VOCAB + "SELECT word FROM vocab"))
+def _vocabulary_union(I):
+    return WD.vocabulary_union(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+
+
+@register("word_valence_lookup", W(["tf", "stopwords", "lexicon"], VOCAB + "SELECT word, sentiment FROM wv"))
+def _word_valence_lookup(I):
+    vocab = WD.vocabulary_union(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+    return WD.word_valence_lookup(vocab, I.lexicon)
+
+
+@register("word_sentiment_weight", W(["tf", "stopwords", "lexicon"], VOCAB + """
+SELECT word, sentiment, round(sign(sentiment) * pow(abs(sentiment), 0.7), 6) AS weight,
+  abs(sign(sentiment) * pow(abs(sentiment), 0.7)) < 0.15 AS is_neutral FROM wv"""))
+def _word_sentiment_weight(I):
+    vocab = WD.vocabulary_union(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+    return WD.word_sentiment_weight(vocab, I.lexicon)
+
+
+@register("lexicon_join", W(["reviews", "lexicon"], f"""
+SELECT t.review_id, CAST(t.pos AS INTEGER) AS pos, t.token, l.valence FROM (
+  SELECT review_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS token
+  FROM (SELECT review_id, regexp_extract_all(lower(content), {O.sq(text.LEXICON_TOKEN)}) AS toks FROM reviews)) t
+JOIN lexicon l ON l.word = t.token"""))
+def _lexicon_join(I):
+    return SE.lexicon_hits(I.reviews, I.lexicon)
+
+
+@register("sentiment_score", W(["sent"], "SELECT review_id, sentiment FROM sent"))
+def _sentiment_score(I):
+    return SE.sentiment_score(I.reviews, I.lexicon)
+
+
+@register("enrich_reviews", W(["E"], "SELECT * FROM E"))
+def _enrich_reviews(I):
+    return I.enriched
+
+
+def _stoplist_sql():
+    return "[" + ", ".join(O.sq(w) for w in ref.base_stopwords()) + "]"
+
+
+def _ngrams_sql(n):
+    return (f"list_transform(range(1, len(toks) - {n} + 2), "
+            f"lambda i: array_to_string(toks[i:i + {n - 1}], ' '))")
+
+
+NGRAMS = f"""
+, nb AS (SELECT {BAND} AS band,
+    list_filter(regexp_extract_all(lower(content), {O.sq(text.NGRAM_TOKEN)}), lambda t: NOT list_contains({{stop}}, t)) AS toks
+  FROM reviews WHERE content IS NOT NULL)
+, ng AS (SELECT band, list_concat({_ngrams_sql(2)}, {_ngrams_sql(3)}) AS grams FROM nb WHERE band IS NOT NULL)
+, cnt AS (SELECT band, ngram, CAST(sum(o) AS BIGINT) AS count, CAST(sum(d) AS BIGINT) AS doc_freq FROM (
+    SELECT band, unnest(grams) AS ngram, 1 AS o, 0 AS d FROM ng
+    UNION ALL SELECT band, unnest(list_distinct(grams)) AS ngram, 0 AS o, 1 AS d FROM ng) GROUP BY band, ngram)
+, sz AS (SELECT band, count(*) AS n FROM (SELECT {BAND} AS band FROM reviews WHERE content IS NOT NULL)
+         WHERE band IS NOT NULL GROUP BY band)
+, kept AS (SELECT c.* FROM cnt c JOIN sz ON sz.band = c.band
+           WHERE c.doc_freq >= CASE WHEN sz.n >= 200 THEN 10 ELSE 2 END)
+SELECT band, CAST(rank AS INTEGER) AS rank, ngram, count FROM (
+  SELECT *, row_number() OVER (PARTITION BY band ORDER BY count DESC, ngram) AS rank FROM kept) WHERE rank <= 25
+"""
+
+
+@register("top_ngrams", W(["reviews"], NGRAMS.replace("{stop}", _stoplist_sql())))
+def _top_ngrams(I):
+    return WD.top_ngrams(I.reviews, ref.base_stopwords())
