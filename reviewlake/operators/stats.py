@@ -46,39 +46,51 @@ def corr(df: DataFrame, x: str, y: str, by=None, digits: int = 6, name: str = "c
     return df.groupBy(*keys).agg(e) if keys else df.agg(e)
 
 
-def histogram(df: DataFrame, col: str, bins: int = 60, digits: int = 9) -> DataFrame:
-    """Equal-width histogram over [min, max] like numpy: last bin closed,
-    every bin present (zero-filled), constant input widened by +-0.5.
-
-    Bounds come from one scalar aggregate; the per-row bin index is a
-    narrow expression, then one partial+final aggregation on the bin.
+def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: int = 9) -> DataFrame:
+    """Equal-width histogram of ``value`` per ``key`` like numpy: bounds
+    [min, max] of the group, last bin closed, every bin present (0-filled),
+    constant input widened by +-0.5.
+
+    One aggregation gives the bounds (one row per key - a handful of
+    metrics, broadcast), the bin index is a narrow expression with numpy's
+    edge corrections, then one partial+final aggregation on (key, bin).
     """
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    b = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    b = b.select(F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+    vals = df.select(F.col(key), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    b = vals.groupBy(key).agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
+    b = b.select(key,
+                 F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                  F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    lo = b.select("lo").scalar()
-    hi = b.select("hi").scalar()
+    lo, hi = F.col("lo"), F.col("hi")
     norm = F.lit(float(bins)) / (hi - lo)
     step = (hi - lo) / F.lit(float(bins))
-    raw = F.floor((F.col("x") - lo) * norm).cast("int")
-    idx = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))
-    # numpy's edge corrections against the linspace edges.
-    idx = F.when(F.col("x") < lo + idx.cast("double") * step, idx - 1).otherwise(idx)
-    idx = F.when((F.col("x") >= lo + (idx + 1).cast("double") * step) & (idx != bins - 1), idx + 1).otherwise(idx)
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = b.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi")
-    out = grid.join(counts, "bin", "left")
-    st = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    x = F.col("x")
+    idx = F.least(F.greatest(F.floor((x - lo) * norm).cast("int"), F.lit(0)), F.lit(bins - 1))
+    idx1 = F.when(x < lo + idx.cast("double") * step, idx - 1).otherwise(idx)
+    idx2 = F.when((x >= lo + (idx1 + 1).cast("double") * step) & (idx1 != bins - 1), idx1 + 1).otherwise(idx1)
+    binned = vals.join(F.broadcast(b), key).select(key, idx2.alias("bin"))
+    counts = binned.groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
+    grid = b.select(key, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    out = grid.join(counts, [key, "bin"], "left")
     return out.select(
-        "bin",
-        F.round(F.col("lo") + F.col("bin").cast("double") * st, digits).alias("bin_lo"),
-        F.round(F.when(F.col("bin") == bins - 1, F.col("hi"))
-                 .otherwise(F.col("lo") + (F.col("bin") + 1).cast("double") * st), digits).alias("bin_hi"),
+        key, "bin",
+        F.round(lo + F.col("bin").cast("double") * step, digits).alias("bin_lo"),
+        F.round(F.when(F.col("bin") == bins - 1, hi)
+                 .otherwise(lo + (F.col("bin") + 1).cast("double") * step), digits).alias("bin_hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count"))
 
 
+def histogram(df: DataFrame, col: str, bins: int = 60, digits: int = 9) -> DataFrame:
+    """Histogram of one column (see ``histogram_by``)."""
+    h = histogram_by(df.select(F.lit(col).alias("_metric"), F.col(col)), "_metric", col, bins, digits)
+    return h.drop("_metric")
+
+
+def to_long(df: DataFrame, cols, key: str = "metric", value: str = "x") -> DataFrame:
+    """Stack columns into (key, value) rows with one narrow ``inline``."""
+    structs = [F.struct(F.lit(c).alias(key), F.col(c).cast("double").alias(value)) for c in cols]
+    return df.select(F.inline(F.array(*structs)))
+
+
 def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits: int = 6) -> DataFrame:
     """Per group n, mean, Q1, median, Q3 and whiskers at the furthest data
     points within ``whisker`` * IQR of the box (outliers not shown).
@@ -107,36 +119,58 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
                       r(F.coalesce(F.col("whi"), F.col("q3"))).alias("whisker_high"))
 
 
-def kde_density(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0,
-                digits: int = 9) -> DataFrame:
-    """Gaussian kernel density on a regular grid (Scott bandwidth
-    sd * n^(-1/5), grid from min - cut*h to max + cut*h).
+def kde_by(df: DataFrame, key: str, value: str, grid: int = 200, cut: float = 3.0,
+           digits: int = 9) -> DataFrame:
+    """Gaussian kernel density of ``value`` per ``key`` on a regular grid
+    (Scott bandwidth h = sd * n^(-1/5), grid from min - cut*h to max + cut*h).
 
-    Values are first collapsed to (value, multiplicity) - a bounded domain
-    for the deltas this is used on - then each distinct value contributes
-    to the ``grid`` points through a fixed-size ``sequence`` explode and a
-    sum per grid point.  No join; work is distinct values x grid.
+    Values are collapsed to (value, multiplicity) first - a bounded domain
+    for the deltas this serves - and each distinct value contributes to the
+    ``grid`` points through a fixed-size ``sequence`` explode and a sum per
+    grid point.  The per-key statistics (one row per metric) are broadcast.
     """
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    st = vals.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
-                  F.min("x").alias("mn"), F.max("x").alias("mx"))
+    vals = df.select(F.col(key), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    st = vals.groupBy(key).agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
+                               F.min("x").alias("mn"), F.max("x").alias("mx"))
     h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    st = st.select("n", h.alias("h"), (F.col("mn") - cut * h).alias("g0"),
+    st = st.select(key, "n", h.alias("h"), (F.col("mn") - cut * h).alias("g0"),
                    (F.col("mx") + cut * h).alias("g1"))
-    n_s, h_s, g0_s, g1_s = (st.select(c).scalar() for c in ("n", "h", "g0", "g1"))
-    distinct = vals.groupBy("x").agg(F.count(F.lit(1)).alias("m"))
-    step = (g1_s - g0_s) / F.lit(float(grid - 1))
-    pts = distinct.select("x", "m", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    gx = g0_s + F.col("i").cast("double") * step
-    z = (gx - F.col("x")) / h_s
+    distinct = vals.groupBy(key, "x").agg(F.count(F.lit(1)).alias("m"))
+    step = (F.col("g1") - F.col("g0")) / F.lit(float(grid - 1))
+    pts = distinct.join(F.broadcast(st), key).select(
+        key, "x", "m", "n", "h", "g0", "g1", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    gx = F.col("g0") + F.col("i").cast("double") * step
+    z = F.try_divide(gx - F.col("x"), F.col("h"))
     contrib = F.col("m") * F.exp(F.lit(-0.5) * z * z)
-    dens = pts.groupBy("i").agg(F.sum(contrib).alias("s"))
-    norm = n_s.cast("double") * h_s * F.lit(math.sqrt(2 * math.pi))
-    return dens.select(F.col("i").alias("grid_index"), F.round(gx, digits).alias("x"),
+    dens = pts.groupBy(key, "i", "n", "h", "g0", "g1").agg(F.sum(contrib).alias("s"))
+    norm = F.col("n").cast("double") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    return dens.select(key, F.col("i").alias("grid_index"), F.round(gx, digits).alias("x"),
                        F.round(F.try_divide(F.col("s"), norm), digits).alias("density"))
 
 
+def kde_density(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, digits: int = 9) -> DataFrame:
+    k = kde_by(df.select(F.lit(col).alias("_metric"), F.col(col)), "_metric", col, grid, cut, digits)
+    return k.drop("_metric")
+
+
+def describe_many(df: DataFrame, cols, digits: int | None = 3, key: str = "metric") -> DataFrame:
+    """``describe`` of several columns in one aggregation, one row per column."""
+    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(*[F.lit(q) for q in QUARTILES])).alias(f"q{i}"),
+                 F.max(x).alias(f"hi{i}")]
+    one = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias(key), F.col(f"c{i}").alias("count"), r(F.col(f"m{i}")).alias("mean"),
+                     r(F.col(f"s{i}")).alias("std"), r(F.col(f"lo{i}")).alias("min"),
+                     r(F.col(f"q{i}")[0]).alias("p25"), r(F.col(f"q{i}")[1]).alias("p50"),
+                     r(F.col(f"q{i}")[2]).alias("p75"), r(F.col(f"hi{i}")).alias("max"))
+            for i, c in enumerate(cols)]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def fixed_sample(df: DataFrame, key: str, n: int = 3000, seed: int = 1) -> DataFrame:
     """At most ``n`` rows, chosen by a seeded hash of the key: repeatable
     and engine independent (top-n by md5 -> TakeOrdered, no full sort)."""
