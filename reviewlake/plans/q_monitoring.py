@@ -1,3 +1,159 @@
-"""Registered queries."""
+"""Registered queries: run log, anomaly flags, alerts, dashboard view."""
 
-from reviewlake.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from reviewlake.operators import monitoring as M
+from reviewlake.plans import oracle as O
+from reviewlake.plans.registry import register
+
+W = O.with_ctes
+
+PREV = """
+, rp AS (SELECT *, coalesce(sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) OVER (
+           ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev_succ FROM runs)
+, sp AS (SELECT rows_loaded AS prev_rows, row_number() OVER (ORDER BY "timestamp", event_id) AS succ_no
+         FROM runs WHERE status = 'SUCCESS')
+, rprev AS (SELECT rp.* EXCLUDE (prev_succ), sp.prev_rows FROM rp LEFT JOIN sp ON sp.succ_no = rp.prev_succ - 1)
+, flagged AS (SELECT *, CASE WHEN status <> 'SUCCESS' THEN NULL
+    WHEN prev_rows IS NULL OR prev_rows <= 0 THEN 'FIRST_RUN'
+    WHEN CAST(rows_loaded AS DOUBLE) / CAST(prev_rows AS DOUBLE) < 0.2
+      THEN 'WARNING: Only ' || CAST(rows_loaded AS VARCHAR) || ' rows vs ' || CAST(prev_rows AS VARCHAR) || ' last month'
+    ELSE 'OK' END AS anomaly_flag FROM rprev)
+"""
+
+VIEW = """
+, fc AS (SELECT 'review_update' AS task_name,
+  count(*) FILTER (WHERE review_id IS NULL) AS missing_review_id,
+  count(*) FILTER (WHERE content IS NULL OR trim(content) = '') AS missing_content,
+  count(*) FILTER (WHERE score IS NULL) AS missing_score,
+  round(100.0 * count(*) FILTER (WHERE content IS NULL OR trim(content) = '') / nullif(CAST(count(*) AS DOUBLE), 0), 2)
+    AS missing_content_pct
+  FROM reviews)
+, base AS (SELECT "date" AS run_date, task_name, status, rows_loaded, duration_sec, error_message,
+    CASE WHEN rows_loaded = 0 THEN 'NO_DATA' WHEN error_message IS NOT NULL THEN 'PIPELINE_ERROR' END AS pipeline_flag
+  FROM runs)
+, vw AS (SELECT b.run_date, b.task_name, b.status, b.rows_loaded, b.duration_sec, b.error_message,
+    coalesce(b.pipeline_flag, CASE WHEN f.missing_content_pct > 10 THEN 'MISSING_FIELDS' END) AS final_anomaly_flag,
+    f.missing_review_id, f.missing_content, f.missing_score, f.missing_content_pct
+  FROM base b LEFT JOIN fc f ON b.task_name = f.task_name)
+"""
+
+
+def _flagged(I):
+    return M.run_anomaly_flag(M.previous_success_rows(I.runs))
+
+
+def _view(I):
+    return M.pipeline_monitoring_with_anomaly(I.runs, I.reviews)
+
+
+@register("previous_success_rows", W(["runs"], PREV + """
+SELECT event_id, "timestamp", status, rows_loaded, prev_rows FROM rprev"""))
+def _previous_success_rows(I):
+    return M.previous_success_rows(I.runs).select("event_id", "timestamp", "status", "rows_loaded", "prev_rows")
+
+
+@register("run_anomaly_flag", W(["runs"], PREV + """
+SELECT event_id, status, rows_loaded, prev_rows, anomaly_flag FROM flagged"""))
+def _run_anomaly_flag(I):
+    return _flagged(I).select("event_id", "status", "rows_loaded", "prev_rows", "anomaly_flag")
+
+
+@register("run_log_row", W(["runs"], PREV + """
+SELECT "date", task_name, status, rows_loaded,
+  CASE WHEN length(error_message) > 800 THEN substr(error_message, 1, 800) || ' ...' ELSE error_message END
+    AS error_message,
+  round(duration_sec, 2) AS duration_sec, anomaly_flag, "timestamp" FROM flagged"""))
+def _run_log_row(I):
+    return M.format_run_log(_flagged(I)).select(
+        "date", "task_name", "status", "rows_loaded", "error_message", "duration_sec", "anomaly_flag",
+        "timestamp")
+
+
+@register("alert_rows", W(["runs"], PREV + """
+, logged AS (SELECT event_id, task_name, status, rows_loaded, anomaly_flag, round(duration_sec, 2) AS duration_sec,
+    CASE WHEN length(error_message) > 800 THEN substr(error_message, 1, 800) || ' ...' ELSE error_message END
+      AS error_message FROM flagged)
+SELECT event_id, '[Pipeline Alert] ' || task_name || ' ' || status AS subject,
+  'Status: ' || status || chr(10) || 'Rows Loaded: ' || CAST(rows_loaded AS VARCHAR) || chr(10) ||
+  'Duration: ' || CAST(duration_sec AS VARCHAR) || 's' || chr(10) || chr(10) || coalesce(anomaly_flag, '') ||
+  chr(10) || chr(10) || coalesce(error_message, '') AS body
+FROM logged WHERE status = 'FAILURE' OR coalesce(starts_with(anomaly_flag, 'WARNING'), false)"""))
+def _alert_rows(I):
+    return M.alert_rows(M.format_run_log(_flagged(I))).select("event_id", "subject", "body")
+
+
+@register("pipeline_flag", W(["runs"], """
+SELECT event_id, CASE WHEN rows_loaded = 0 THEN 'NO_DATA' WHEN error_message IS NOT NULL THEN 'PIPELINE_ERROR' END
+  AS pipeline_flag FROM runs"""))
+def _pipeline_flag(I):
+    return M.pipeline_flag(I.runs).select("event_id", "pipeline_flag")
+
+
+@register("pipeline_monitoring_with_anomaly", W(["runs", "reviews"], VIEW + "SELECT * FROM vw ORDER BY run_date DESC"))
+def _pmwa(I):
+    return _view(I)
+
+
+@register("create_anomaly_view", W(["runs", "reviews"], VIEW + "SELECT * FROM vw"))
+def _create_anomaly_view(I):
+    return M.create_anomaly_view(I.spark, I.runs, I.reviews)
+
+
+@register("anomaly_join", W(["runs", "reviews"], VIEW + """
+SELECT run_date, task_name, missing_review_id, missing_content, missing_score, missing_content_pct FROM vw"""))
+def _anomaly_join(I):
+    return _view(I).select("run_date", "task_name", "missing_review_id", "missing_content", "missing_score",
+                           "missing_content_pct")
+
+
+@register("latest_runs_sort", W(["runs", "reviews"], VIEW + """
+SELECT run_date, task_name, status, rows_loaded FROM vw ORDER BY run_date DESC NULLS FIRST"""))
+def _latest_runs_sort(I):
+    return _view(I).select("run_date", "task_name", "status", "rows_loaded")
+
+
+@register("run_history", W(["runs"], """
+SELECT * FROM runs WHERE task_name = 'review_update' ORDER BY "timestamp" DESC"""))
+def _run_history(I):
+    return M.run_history(I.runs)
+
+
+@register("duration_trend", W(["runs", "reviews"], VIEW + """
+SELECT run_date, round(avg(duration_sec), 6) AS avg_duration_sec FROM vw GROUP BY run_date"""))
+def _duration_trend(I):
+    return M.duration_trend(_view(I))
+
+
+@register("rows_loaded_trend", W(["runs", "reviews"], VIEW + """
+SELECT run_date, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded FROM vw GROUP BY run_date"""))
+def _rows_loaded_trend(I):
+    return M.rows_loaded_trend(_view(I))
+
+
+@register("missing_content_trend", W(["runs", "reviews"], VIEW + """
+SELECT run_date, max(missing_content_pct) AS missing_content_pct FROM vw GROUP BY run_date"""))
+def _missing_content_trend(I):
+    return M.missing_content_trend(_view(I))
+
+
+@register("review_completeness", W(["reviews"], """
+SELECT round(100.0 * (1.0 - CAST(count(*) FILTER (WHERE review_id IS NULL)
+    + count(*) FILTER (WHERE content IS NULL OR trim(content) = '')
+    + count(*) FILTER (WHERE score IS NULL) AS DOUBLE) / nullif(CAST(3 * count(*) AS DOUBLE), 0)), 6)
+  AS completeness_pct FROM reviews"""))
+def _review_completeness(I):
+    return M.review_completeness(I.reviews)
+
+
+@register("anomaly_count_trend", W(["runs", "reviews"], VIEW + """
+SELECT run_date, count(final_anomaly_flag) AS anomaly_count FROM vw GROUP BY run_date"""))
+def _anomaly_count_trend(I):
+    return M.anomaly_count_trend(_view(I))
+
+
+@register("anomaly_type_distribution", W(["runs", "reviews"], VIEW + """
+SELECT final_anomaly_flag, count(*) AS run_count FROM vw WHERE final_anomaly_flag IS NOT NULL
+GROUP BY final_anomaly_flag"""))
+def _anomaly_type_distribution(I):
+    return M.anomaly_type_distribution(_view(I))
