@@ -1,3 +1,109 @@
-"""Registered queries."""
+"""Registered queries: landed pages, typing, staging, high-water mark, merge."""
 
-from reviewlake.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from reviewlake.operators import ingest as G
+from reviewlake.plans import oracle as O
+from reviewlake.plans.registry import register
+from reviewlake.sources import fixtures
+
+W = O.with_ctes
+
+RAW = """
+, raw AS (SELECT review_id, user_name, content,
+    CASE WHEN CAST(substr(review_id, 2) AS INT) % 127 = 0 THEN 'n/a' ELSE CAST(score AS VARCHAR) END AS score,
+    CASE WHEN CAST(substr(review_id, 2) AS INT) % 113 = 0 THEN 'not-a-date'
+         WHEN CAST(substr(review_id, 2) AS INT) % 7 = 0 THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') || '.5'
+         ELSE strftime(created_at, '%Y-%m-%d %H:%M:%S') END AS created_at,
+    app_version FROM reviews)
+"""
+COERCE = """SELECT review_id, user_name, content, CAST(trunc(TRY_CAST(score AS DOUBLE)) AS INTEGER) AS score,
+  date_trunc('second', TRY_CAST(created_at AS TIMESTAMP)) AS created_at, app_version FROM raw"""
+
+DEFAULTS = dict(default_developer="unknown developer", default_genre="Productivity",
+                default_url="https://store.example/app")
+
+
+def _pages(I):
+    return G.parse_pages(G.reviews_to_pages(I.reviews))
+
+
+@register("normalize_raw_reviews", W(["reviews"], """
+SELECT review_id, user_name, content, CAST(score AS VARCHAR) AS score,
+  strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, app_version FROM reviews"""))
+def _normalize_raw_reviews(I):
+    return G.normalize_raw_reviews(G.explode_pages(_pages(I)))
+
+
+@register("scan_review_pages", W(["reviews"], "SELECT * FROM reviews"))
+def _scan_review_pages(I):
+    return G.coerce_types(G.normalize_raw_reviews(G.explode_pages(_pages(I))))
+
+
+@register("coerce_types", W(["reviews"], RAW + COERCE))
+def _coerce_types(I):
+    return G.coerce_types(fixtures.raw_reviews(I.spark, I.sf_dir))
+
+
+@register("stage_reviews", W(["merge_batch"], "SELECT * FROM merge_batch"))
+def _stage_reviews(I):
+    return G.stage_reviews(I.merge_batch)
+
+
+@register("new_reviews_since", W(["merge_batch", "merge_target"], """
+SELECT * FROM merge_batch WHERE created_at > (
+  SELECT coalesce(max(created_at), CAST(current_timestamp AS TIMESTAMP) - INTERVAL 30 DAY) FROM merge_target)"""))
+def _new_reviews_since(I):
+    return G.new_reviews_since(I.merge_batch, I.merge_target)
+
+
+MERGE = """
+, src AS (SELECT * FROM merge_batch WHERE review_id IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY created_at DESC NULLS LAST,
+            content ASC NULLS LAST, user_name ASC NULLS LAST, app_version ASC NULLS LAST, score ASC NULLS LAST) = 1)
+"""
+
+
+@register("merge_reviews", W(["merge_batch", "merge_target"], MERGE + """
+SELECT t.review_id, t.user_name,
+  CASE WHEN s.review_id IS NOT NULL THEN s.content ELSE t.content END AS content,
+  CASE WHEN s.review_id IS NOT NULL THEN s.score ELSE t.score END AS score,
+  CASE WHEN s.review_id IS NOT NULL THEN s.created_at ELSE t.created_at END AS created_at,
+  CASE WHEN s.review_id IS NOT NULL THEN s.app_version ELSE t.app_version END AS app_version
+FROM merge_target t LEFT JOIN src s ON s.review_id = t.review_id
+UNION ALL
+SELECT * FROM src WHERE review_id NOT IN (SELECT review_id FROM merge_target WHERE review_id IS NOT NULL)"""))
+def _merge_reviews(I):
+    return G.merge_reviews(I.merge_target, I.merge_batch)
+
+
+@register("merge_report", W(["merge_batch", "merge_target"], MERGE + """
+SELECT (SELECT count(*) FROM merge_batch) AS batch_rows,
+  (SELECT count(*) FROM merge_batch WHERE review_id IS NULL) AS null_ids,
+  (SELECT count(*) FROM merge_batch) - (SELECT count(*) FROM merge_batch WHERE review_id IS NULL)
+    - (SELECT count(*) FROM src) AS duplicates_dropped,
+  (SELECT count(*) FROM src WHERE review_id IN (SELECT review_id FROM merge_target)) AS updated,
+  (SELECT count(*) FROM src) - (SELECT count(*) FROM src WHERE review_id IN (SELECT review_id FROM merge_target))
+    AS inserted"""))
+def _merge_report(I):
+    return G.merge_report(I.merge_target, I.merge_batch)
+
+
+@register("map_app_metadata", W(["app_meta"], f"""
+SELECT app_version, title, coalesce(developer, '{DEFAULTS['default_developer']}') AS developer,
+  coalesce(genre, '{DEFAULTS['default_genre']}') AS genre, score, ratings_count, reviews_count, installs,
+  real_installs, is_free, price, currency, coalesce(sale, false) AS sale, offers_iap, iap_price_range,
+  coalesce(url, '{DEFAULTS['default_url']}') AS url
+FROM app_meta"""))
+def _map_app_metadata(I):
+    return G.map_app_metadata(G.metadata_to_json(I.app_metadata), **DEFAULTS).drop("fetched_at")
+
+
+@register("empty_batch_guard", W(["merge_batch", "merge_target"], """
+SELECT count(*) AS rows_loaded, count(*) = 0 AS is_empty FROM merge_batch WHERE created_at > (
+  SELECT max(created_at) FROM merge_target)"""))
+def _empty_batch_guard(I):
+    new = G.new_reviews_since(I.merge_batch, I.merge_target)
+    return new.agg(F.count(F.lit(1)).alias("rows_loaded"), (F.count(F.lit(1)) == 0).alias("is_empty"))

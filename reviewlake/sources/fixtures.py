@@ -146,3 +146,17 @@ def merge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("content"), F.lit(" (edited)")).alias("content"),
         F.when(F.col("score").isNull(), None).otherwise(6 - F.col("score")).cast("int").alias("score"),
         "created_at", "app_version")
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String-typed store rows with some unparsable values and fractional
+    seconds, for the lenient typing step."""
+    r = reviews(spark, sf_dir)
+    k = _review_no(r)
+    fmt = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
+    return r.select(
+        "review_id", "user_name", "content",
+        F.when(k % 127 == 0, F.lit("n/a")).otherwise(F.col("score").cast("string")).alias("score"),
+        F.when(k % 113 == 0, F.lit("not-a-date"))
+         .when(k % 7 == 0, F.concat(fmt, F.lit(".5"))).otherwise(fmt).alias("created_at"),
+        "app_version")
