@@ -188,3 +188,16 @@ def stratified_sample(df: DataFrame, by: str, key: str, n: int, seed: int = 1) -
     h = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
     w = Window.partitionBy(by).orderBy(h, F.col(key))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def length_weights(features: DataFrame, by: str = "score", value: str = "word_count",
+                   min_value: int | None = None, digits: int = 6) -> DataFrame:
+    """weight = value / mean(value) of the row's group (optionally only rows
+    with ``value >= min_value``).  Group means come from one partial
+    aggregation and are joined back - the group domain (scores) is tiny,
+    so the mean table is broadcast; no window over the skewed groups."""
+    f = features if min_value is None else features.filter(F.col(value) >= min_value)
+    means = f.filter(F.col(by).isNotNull()).groupBy(by).agg(F.avg(value).alias("_mean"))
+    j = f.join(F.broadcast(means), by, "left")
+    return j.withColumn("weight", F.round(F.try_divide(F.col(value).cast("double"), F.col("_mean")), digits)) \
+            .drop("_mean")

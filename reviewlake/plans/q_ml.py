@@ -1,3 +1,80 @@
-"""Registered queries."""
+"""Registered queries: user features, clustering, samples and weights."""
 
-from reviewlake.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from reviewlake.operators import clusters as C, stats as S
+from reviewlake.plans import oracle as O
+from reviewlake.plans.registry import register
+
+W = O.with_ctes
+
+UF = """
+, uf0 AS (SELECT user_name, count(review_id) AS review_count, avg(score) AS avg_score,
+    avg(sentiment) AS avg_sentiment, avg(word_count) AS avg_length FROM E WHERE user_name IS NOT NULL GROUP BY user_name)
+, uf1 AS (SELECT * FROM uf0 WHERE avg_score IS NOT NULL AND avg_sentiment IS NOT NULL AND avg_length IS NOT NULL)
+, uf AS (SELECT * FROM uf1 WHERE review_count <= (SELECT quantile_cont(review_count, 0.99) FROM uf1))
+"""
+UF_OUT = ("user_name, review_count, round(avg_score, 6) AS avg_score, round(avg_sentiment, 6) AS avg_sentiment, "
+          "round(avg_length, 6) AS avg_length")
+
+
+def _rounded(df):
+    return df.select("user_name", "review_count", *[F.round(c, 6).alias(c) for c in C.FEATURES[1:]])
+
+
+@register("user_features", W(["E"], UF + f"SELECT {UF_OUT} FROM uf1"))
+def _user_features(I):
+    return _rounded(C.user_features(I.enriched))
+
+
+@register("outlier_filter", W(["E"], UF + f"SELECT {UF_OUT} FROM uf"))
+def _outlier_filter(I):
+    return _rounded(C.clustering_features(I.enriched))
+
+
+@register("fixed_sample", W(["E"], UF + f"""
+SELECT {UF_OUT} FROM uf ORDER BY md5('1' || user_name), user_name LIMIT 3000"""))
+def _fixed_sample(I):
+    return _rounded(S.fixed_sample(C.clustering_features(I.enriched), "user_name", 3000, seed=1))
+
+
+def _clusters(I):
+    return C.user_clusters(C.clustering_features(I.enriched))
+
+
+@register("user_clusters")
+def _user_clusters(I):
+    return _clusters(I)
+
+
+@register("cluster_summary")
+def _cluster_summary(I):
+    return C.cluster_summary(_clusters(I))
+
+
+@register("attach_clusters")
+def _attach_clusters(I):
+    return C.attach_clusters(I.reviews, _clusters(I)).select("review_id", "user_name", "cluster")
+
+
+@register("cluster_mix_by_version")
+def _cluster_mix_by_version(I):
+    return C.cluster_mix_by_version(I.reviews, _clusters(I))
+
+
+@register("stratified_sample", W(["reviews"], """
+SELECT review_id, score FROM (SELECT review_id, score,
+  row_number() OVER (PARTITION BY score ORDER BY md5('7' || review_id), review_id) AS rn FROM reviews) WHERE rn <= 500"""))
+def _stratified_sample(I):
+    return S.stratified_sample(I.reviews, "score", "review_id", 500, seed=7).select("review_id", "score")
+
+
+@register("length_weights", W(["tf"], """
+SELECT review_id, score, word_count,
+  round(CAST(word_count AS DOUBLE) / m.mean, 6) AS weight
+FROM tf LEFT JOIN (SELECT score AS s, avg(word_count) AS mean FROM tf WHERE score IS NOT NULL GROUP BY score) m
+  ON m.s = tf.score"""))
+def _length_weights(I):
+    return S.length_weights(I.text_features).select("review_id", "score", "word_count", "weight")
