@@ -11,18 +11,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reviewlake.functions.stats import exact_mean
 from reviewlake.functions.versions import version_key
 from reviewlake.session import checkpoint_dir
 
 FEATURES = ["review_count", "avg_score", "avg_sentiment", "avg_length"]
 
 
-def user_features(enriched: DataFrame) -> DataFrame:
+def user_features(enriched: DataFrame, digits: int | None = None) -> DataFrame:
     """Per user: review count, mean score, mean sentiment, mean word count;
-    users with any null mean are dropped."""
+    users with any null mean are dropped.  ``digits`` rounds the means
+    exactly (for reports); clustering uses the full-precision means."""
+    if digits is None:
+        means = [F.avg("score"), F.avg("sentiment"), F.avg("word_count")]
+    else:
+        means = [exact_mean("score", 0, digits), exact_mean("sentiment", 4, digits),
+                 exact_mean("word_count", 0, digits)]
     g = (enriched.filter(F.col("user_name").isNotNull()).groupBy("user_name")
-                 .agg(F.count("review_id").alias("review_count"), F.avg("score").alias("avg_score"),
-                      F.avg("sentiment").alias("avg_sentiment"), F.avg("word_count").alias("avg_length")))
+                 .agg(F.count("review_id").alias("review_count"), means[0].alias("avg_score"),
+                      means[1].alias("avg_sentiment"), means[2].alias("avg_length")))
     return g.dropna(subset=["avg_score", "avg_sentiment", "avg_length"])
 
 

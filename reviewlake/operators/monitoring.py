@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reviewlake import schemas
+from reviewlake.functions.stats import exact_mean, round_div
 from reviewlake.functions.text import truncate_with_suffix
 from reviewlake.operators.quality import field_check
 
@@ -131,7 +132,8 @@ def run_history(runs: DataFrame, task_name: str = "review_update") -> DataFrame:
 
 # ---------------------------------------------------------------- dashboard series
 def duration_trend(view: DataFrame, digits: int = 6) -> DataFrame:
-    return view.groupBy("run_date").agg(F.round(F.avg("duration_sec"), digits).alias("avg_duration_sec"))
+    # durations are logged with 2 decimals, so the mean is taken exactly
+    return view.groupBy("run_date").agg(exact_mean("duration_sec", 2, digits).alias("avg_duration_sec"))
 
 
 def rows_loaded_trend(view: DataFrame) -> DataFrame:
@@ -145,9 +147,8 @@ def missing_content_trend(view: DataFrame) -> DataFrame:
 def review_completeness(reviews: DataFrame, digits: int = 6) -> DataFrame:
     fc = field_check(reviews)
     missing = F.col("missing_review_id") + F.col("missing_content") + F.col("missing_score")
-    return fc.select(F.round(100.0 * (1.0 - F.try_divide(missing.cast("double"),
-                                                          (3 * F.col("total_rows")).cast("double"))),
-                             digits).alias("completeness_pct"))
+    total = 3 * F.col("total_rows")
+    return fc.select(round_div(100 * (total - missing), total, digits).alias("completeness_pct"))
 
 
 def anomaly_count_trend(view: DataFrame) -> DataFrame:

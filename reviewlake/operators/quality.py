@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reviewlake.functions.stats import exact_mean, round_div
 from reviewlake.functions.text import is_blank
 from reviewlake.operators import stats
 
@@ -42,7 +43,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def missing_pct(df: DataFrame, digits: int = 6) -> DataFrame:
     """(column_name, missing_pct) in percent, largest first."""
-    wide = df.agg(*[F.round(100.0 * F.avg(F.col(c).isNull().cast("double")), digits).alias(c)
+    wide = df.agg(*[round_div(100 * F.count_if(F.col(c).isNull()), F.count(F.lit(1)), digits).alias(c)
                     for c in df.columns])
     return wide.unpivot([], df.columns, "column_name", "missing_pct") \
                .orderBy(F.desc("missing_pct"), "column_name")
@@ -86,7 +87,7 @@ def length_by_rating(features: DataFrame, digits: int = 6) -> DataFrame:
     wc = F.col("word_count").cast("double")
     return (features.filter(F.col("score").isNotNull())
                     .groupBy("score")
-                    .agg(F.round(F.avg(wc), digits).alias("mean"),
+                    .agg(exact_mean("word_count", 0, digits).alias("mean"),
                          F.round(F.median(wc), digits).alias("median"),
                          F.round(F.stddev_samp(wc), digits).alias("std"))
                     .orderBy("score"))
@@ -102,8 +103,7 @@ def field_check(reviews: DataFrame, task_name: str = "review_update") -> DataFra
         F.count_if(blank).alias("missing_content"),
         F.count_if(F.col("score").isNull()).alias("missing_score"),
         n.alias("total_rows"),
-        F.round(F.try_divide(100.0 * F.count_if(blank), F.when(n != 0, n).cast("double")), 2)
-         .alias("missing_content_pct"))
+        round_div(100 * F.count_if(blank), n, 2).alias("missing_content_pct"))
 
 
 def max_created_at(reviews: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlake.functions.stats import safe_corr
+from reviewlake.functions.stats import exact_mean, round_decimal, round_div, safe_corr
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -26,12 +26,17 @@ def _pct(c: Column, qs, approx: bool = False) -> Column:
 
 
 def describe(df: DataFrame, col: str, by: str | list | None = None, digits: int | None = 6,
-             approx: bool = False) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 %, max of ``col`` [per ``by``]."""
+             approx: bool = False, scale: int = 0) -> DataFrame:
+    """count, mean, std (sample), min, 25/50/75 %, max of ``col`` [per ``by``].
+
+    ``scale`` = decimals the values carry (0 for counts, 4 for sentiment):
+    the mean is then exact and quartiles are rounded in DECIMAL."""
     c = F.col(col).cast("double")
-    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
-    aggs = [F.count(c).alias("count"), r(F.avg(c)).alias("mean"),
-            r(F.stddev_samp(c)).alias("std"), F.min(c).alias("min"),
+    r = (lambda x: round_decimal(x, digits, scale + 2)) if digits is not None else (lambda x: x)
+    mean = exact_mean(c, scale, digits) if digits is not None else F.avg(c)
+    aggs = [F.count(c).alias("count"), mean.alias("mean"),
+            F.round(F.stddev_samp(c), digits).alias("std") if digits is not None else F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"),
             _pct(c, QUARTILES, approx).alias("_q"), F.max(c).alias("max")]
     keys = [by] if isinstance(by, str) else list(by or [])
     g = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
@@ -91,7 +96,8 @@ def to_long(df: DataFrame, cols, key: str = "metric", value: str = "x") -> DataF
     return df.select(F.inline(F.array(*structs)))
 
 
-def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits: int = 6) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits: int = 6,
+              scale: int = 4) -> DataFrame:
     """Per group n, mean, Q1, median, Q3 and whiskers at the furthest data
     points within ``whisker`` * IQR of the box (outliers not shown).
 
@@ -101,7 +107,7 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
     """
     data = df.select(F.col(by), F.col(value).cast("double").alias("v")) \
              .filter(F.col(by).isNotNull() & F.col("v").isNotNull())
-    q = data.groupBy(by).agg(F.count("v").alias("n"), F.avg("v").alias("mean"),
+    q = data.groupBy(by).agg(F.count("v").alias("n"), exact_mean("v", scale, digits).alias("mean"),
                              F.percentile("v", F.array(*[F.lit(x) for x in QUARTILES])).alias("_q"))
     q = q.select(by, "n", "mean", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
@@ -113,7 +119,7 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
                               F.max(F.when(F.col("v") <= F.col("hi_f"), F.col("v"))).alias("whi")))
     out = q.join(w, by)
     r = lambda c: F.round(c, digits)
-    return out.select(by, "n", r(F.col("mean")).alias("mean"), r(F.col("q1")).alias("q1"),
+    return out.select(by, "n", "mean", r(F.col("q1")).alias("q1"),
                       r(F.col("median")).alias("median"), r(F.col("q3")).alias("q3"),
                       r(F.coalesce(F.col("wlo"), F.col("q1"))).alias("whisker_low"),
                       r(F.coalesce(F.col("whi"), F.col("q3"))).alias("whisker_high"))
@@ -153,20 +159,27 @@ def kde_density(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, digi
     return k.drop("_metric")
 
 
-def describe_many(df: DataFrame, cols, digits: int | None = 3, key: str = "metric") -> DataFrame:
-    """``describe`` of several columns in one aggregation, one row per column."""
-    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+def describe_many(df: DataFrame, cols, digits: int = 3, key: str = "metric", scales=None) -> DataFrame:
+    """``describe`` of several columns in one aggregation, one row per column.
+    ``scales`` maps a column to the decimals its values carry (default 0)."""
+    scales = scales or {}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+        sc = scales.get(c, 0)
+        aggs += [F.count(x).alias(f"c{i}"), exact_mean(x, sc, digits).alias(f"m{i}"),
+                 F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(*[F.lit(q) for q in QUARTILES])).alias(f"q{i}"),
                  F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias(key), F.col(f"c{i}").alias("count"), r(F.col(f"m{i}")).alias("mean"),
-                     r(F.col(f"s{i}")).alias("std"), r(F.col(f"lo{i}")).alias("min"),
-                     r(F.col(f"q{i}")[0]).alias("p25"), r(F.col(f"q{i}")[1]).alias("p50"),
-                     r(F.col(f"q{i}")[2]).alias("p75"), r(F.col(f"hi{i}")).alias("max"))
+
+    def r(x, c):
+        return round_decimal(x, digits, scales.get(c, 0) + 2)
+
+    rows = [F.struct(F.lit(c).alias(key), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+                     F.round(F.col(f"s{i}"), digits).alias("std"), r(F.col(f"lo{i}"), c).alias("min"),
+                     r(F.col(f"q{i}")[0], c).alias("p25"), r(F.col(f"q{i}")[1], c).alias("p50"),
+                     r(F.col(f"q{i}")[2], c).alias("p75"), r(F.col(f"hi{i}"), c).alias("max"))
             for i, c in enumerate(cols)]
     return one.select(F.inline(F.array(*rows)))
 
@@ -197,7 +210,9 @@ def length_weights(features: DataFrame, by: str = "score", value: str = "word_co
     aggregation and are joined back - the group domain (scores) is tiny,
     so the mean table is broadcast; no window over the skewed groups."""
     f = features if min_value is None else features.filter(F.col(value) >= min_value)
-    means = f.filter(F.col(by).isNotNull()).groupBy(by).agg(F.avg(value).alias("_mean"))
-    j = f.join(F.broadcast(means), by, "left")
-    return j.withColumn("weight", F.round(F.try_divide(F.col(value).cast("double"), F.col("_mean")), digits)) \
-            .drop("_mean")
+    sums = f.filter(F.col(by).isNotNull()).groupBy(by).agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    j = f.join(F.broadcast(sums), by, "left")
+    # value / (sum / n) = value * n / sum, rounded exactly.
+    return j.withColumn("weight", round_div(F.col(value) * F.col("_n"), F.col("_sum"), digits)) \
+            .drop("_sum", "_n")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reviewlake.functions.stats import safe_corr
+from reviewlake.functions.stats import exact_mean, safe_corr
 from reviewlake.plans.enrich import year_month
 
 
@@ -39,8 +39,8 @@ def calendar_join(monthly: DataFrame, bounds_from: DataFrame, month_col: str = "
 def monthly_score_sentiment(enriched: DataFrame, digits: int = 6) -> DataFrame:
     e = _with_month(enriched)
     m = (e.filter(F.col("year_month").isNotNull()).groupBy("year_month")
-          .agg(F.round(F.avg("score"), digits).alias("mean_score"),
-               F.round(F.avg("sentiment"), digits).alias("mean_sent")))
+          .agg(exact_mean("score", 0, digits).alias("mean_score"),
+               exact_mean("sentiment", 4, digits).alias("mean_sent")))
     return calendar_join(m, e).orderBy("year_month")
 
 
@@ -74,7 +74,7 @@ def rolling_trend(monthly: DataFrame, value: str, month_col: str = "year_month",
 def monthly_avg_length(features: DataFrame, digits: int = 6) -> DataFrame:
     f = _with_month(features)
     return (f.filter(F.col("year_month").isNotNull()).groupBy("year_month")
-             .agg(F.round(F.avg("word_count"), digits).alias("avg_word_count"))
+             .agg(exact_mean("word_count", 0, digits).alias("avg_word_count"))
              .orderBy("year_month"))
 
 
@@ -82,5 +82,5 @@ def monthly_volume_rating(reviews: DataFrame, digits: int = 6) -> DataFrame:
     r = _with_month(reviews)
     return (r.filter(F.col("year_month").isNotNull()).groupBy("year_month")
              .agg(F.count("review_id").alias("review_count"),
-                  F.round(F.avg("score"), digits).alias("avg_score"))
+                  exact_mean("score", 0, digits).alias("avg_score"))
              .orderBy("year_month"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reviewlake.functions.stats import round_div
 from reviewlake.operators import stats
 from reviewlake.plans.enrich import active_users, with_activity
 
@@ -31,9 +32,7 @@ def user_activity_summary(reviews: DataFrame, digits: int = 6) -> DataFrame:
                        .agg(F.count(F.lit(1)).alias("n")))
     return per_user.agg(F.count(F.lit(1)).alias("unique_users"),
                         F.count_if(F.col("n") > 1).alias("active_users")) \
-                   .withColumn("active_share",
-                               F.round(F.try_divide(F.col("active_users").cast("double"),
-                                                    F.col("unique_users").cast("double")), digits))
+                   .withColumn("active_share", round_div(F.col("active_users"), F.col("unique_users"), digits))
 
 
 def score_by_activity(enriched: DataFrame) -> DataFrame:
@@ -53,8 +52,7 @@ def score_by_activity(enriched: DataFrame) -> DataFrame:
 def score_share_by_activity(counts: DataFrame, digits: int = 6) -> DataFrame:
     """Row-normalised shares of ``score_by_activity`` (a tiny frame)."""
     w = Window.partitionBy("is_active_user")
-    return counts.withColumn("share", F.round(F.try_divide(
-        F.col("review_count").cast("double"), F.sum("review_count").over(w).cast("double")), digits)) \
+    return counts.withColumn("share", round_div(F.col("review_count"), F.sum("review_count").over(w), digits)) \
         .drop("review_count")
 
 
@@ -89,7 +87,7 @@ def delta_direction(changes: DataFrame, digits: int = 6) -> DataFrame:
     """Share of active users whose score went up, down or stayed (null delta
     counts in the denominator, like a NaN comparison)."""
     d = F.col("score_delta")
-    share = lambda cond: F.round(F.avg(F.when(cond, 1.0).otherwise(0.0)), digits)
+    share = lambda cond: round_div(F.count_if(F.coalesce(cond, F.lit(False))), F.count(F.lit(1)), digits)
     return changes.agg(share(d > 0).alias("up_share"), share(d < 0).alias("down_share"),
                        share(d == 0).alias("same_share"))
 
@@ -98,7 +96,7 @@ DELTAS = ["sent_delta", "score_delta", "len_delta", "days_gap"]
 
 
 def delta_describe(changes: DataFrame, digits: int = 3) -> DataFrame:
-    return stats.describe_many(changes, DELTAS, digits)
+    return stats.describe_many(changes, DELTAS, digits, scales={"sent_delta": 4})
 
 
 def user_change_histograms(changes: DataFrame, bins: int = 30, max_gap: int = 365) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reviewlake.functions.stats import exact_mean
 from reviewlake.functions.versions import version_key
 
 
@@ -28,15 +29,15 @@ def version_volume_rating(reviews: DataFrame) -> DataFrame:
     agg = (reviews.filter(F.col("app_version").isNotNull())
                   .groupBy("app_version")
                   .agg(F.count("review_id").alias("review_count"),
-                       F.round(F.avg("score"), 6).alias("avg_score")))
+                       exact_mean("score").alias("avg_score")))
     return version_natural_sort(agg)
 
 
 def version_score_sentiment(enriched: DataFrame) -> DataFrame:
     agg = (enriched.filter(F.col("app_version").isNotNull())
                    .groupBy("app_version")
-                   .agg(F.round(F.avg("score"), 6).alias("mean_score"),
-                        F.round(F.avg("sentiment"), 6).alias("mean_sent"),
+                   .agg(exact_mean("score").alias("mean_score"),
+                        exact_mean("sentiment", 4).alias("mean_sent"),
                         F.count("review_id").alias("review_count")))
     return version_natural_sort(agg)
 

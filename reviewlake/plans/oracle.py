@@ -173,3 +173,24 @@ def with_ctes(names, body: str, extra: dict | None = None) -> str:
             sql = stopwords_sql(ref.stopword_list())
         parts.append(f"{n} AS ({sql})")
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# ---- exact rounding (same arithmetic as functions.stats) ---------------
+def round_div(num: str, den: str, digits: int = 6) -> str:
+    scale = 10 ** digits
+    n = f"(CAST({num} AS HUGEINT) * {scale})"
+    d = f"CAST({den} AS HUGEINT)"
+    return (f"(CASE WHEN {d} <> 0 THEN CAST(sign({n}) * sign({d}) * ((abs({n}) * 2 + abs({d})) // (abs({d}) * 2))"
+            f" AS DOUBLE) / CAST({scale} AS DOUBLE) END)")
+
+
+def units(x: str, scale: int = 0) -> str:
+    return f"CAST(round({x} * {10 ** scale}) AS BIGINT)" if scale else f"CAST({x} AS BIGINT)"
+
+
+def exact_mean(x: str, scale: int = 0, digits: int = 6) -> str:
+    return round_div(f"sum({units(x, scale)})", f"(count({x}) * {10 ** scale})", digits)
+
+
+def round_decimal(x: str, digits: int, exact_scale: int = 6) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,{exact_scale})), {digits}) AS DOUBLE)"

@@ -10,34 +10,34 @@ from reviewlake.plans.registry import register
 
 W = O.with_ctes
 
-UF = """
-, uf0 AS (SELECT user_name, count(review_id) AS review_count, avg(score) AS avg_score,
-    avg(sentiment) AS avg_sentiment, avg(word_count) AS avg_length FROM E WHERE user_name IS NOT NULL GROUP BY user_name)
+UF = f"""
+, uf0 AS (SELECT user_name, count(review_id) AS review_count, {O.exact_mean("score")} AS avg_score,
+    {O.exact_mean("sentiment", 4)} AS avg_sentiment, {O.exact_mean("word_count")} AS avg_length
+  FROM E WHERE user_name IS NOT NULL GROUP BY user_name)
 , uf1 AS (SELECT * FROM uf0 WHERE avg_score IS NOT NULL AND avg_sentiment IS NOT NULL AND avg_length IS NOT NULL)
 , uf AS (SELECT * FROM uf1 WHERE review_count <= (SELECT quantile_cont(review_count, 0.99) FROM uf1))
 """
-UF_OUT = ("user_name, review_count, round(avg_score, 6) AS avg_score, round(avg_sentiment, 6) AS avg_sentiment, "
-          "round(avg_length, 6) AS avg_length")
+UF_OUT = "user_name, review_count, avg_score, avg_sentiment, avg_length"
 
 
-def _rounded(df):
-    return df.select("user_name", "review_count", *[F.round(c, 6).alias(c) for c in C.FEATURES[1:]])
+def _features(I):
+    return C.user_features(I.enriched, digits=6)
 
 
 @register("user_features", W(["E"], UF + f"SELECT {UF_OUT} FROM uf1"))
 def _user_features(I):
-    return _rounded(C.user_features(I.enriched))
+    return _features(I)
 
 
 @register("outlier_filter", W(["E"], UF + f"SELECT {UF_OUT} FROM uf"))
 def _outlier_filter(I):
-    return _rounded(C.clustering_features(I.enriched))
+    return C.outlier_filter(_features(I))
 
 
 @register("fixed_sample", W(["E"], UF + f"""
 SELECT {UF_OUT} FROM uf ORDER BY md5('1' || user_name), user_name LIMIT 3000"""))
 def _fixed_sample(I):
-    return _rounded(S.fixed_sample(C.clustering_features(I.enriched), "user_name", 3000, seed=1))
+    return S.fixed_sample(C.outlier_filter(_features(I)), "user_name", 3000, seed=1)
 
 
 def _clusters(I):
@@ -71,10 +71,10 @@ def _stratified_sample(I):
     return S.stratified_sample(I.reviews, "score", "review_id", 500, seed=7).select("review_id", "score")
 
 
-@register("length_weights", W(["tf"], """
-SELECT review_id, score, word_count,
-  round(CAST(word_count AS DOUBLE) / m.mean, 6) AS weight
-FROM tf LEFT JOIN (SELECT score AS s, avg(word_count) AS mean FROM tf WHERE score IS NOT NULL GROUP BY score) m
+@register("length_weights", W(["tf"], f"""
+SELECT review_id, score, word_count, {O.round_div("word_count * m.n", "m.total")} AS weight
+FROM tf LEFT JOIN (SELECT score AS s, sum(word_count) AS total, count(word_count) AS n
+                   FROM tf WHERE score IS NOT NULL GROUP BY score) m
   ON m.s = tf.score"""))
 def _length_weights(I):
     return S.length_weights(I.text_features).select("review_id", "score", "word_count", "weight")

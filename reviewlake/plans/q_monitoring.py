@@ -21,12 +21,12 @@ PREV = """
     ELSE 'OK' END AS anomaly_flag FROM rprev)
 """
 
-VIEW = """
+VIEW = f"""
 , fc AS (SELECT 'review_update' AS task_name,
   count(*) FILTER (WHERE review_id IS NULL) AS missing_review_id,
   count(*) FILTER (WHERE content IS NULL OR trim(content) = '') AS missing_content,
   count(*) FILTER (WHERE score IS NULL) AS missing_score,
-  round(100.0 * count(*) FILTER (WHERE content IS NULL OR trim(content) = '') / nullif(CAST(count(*) AS DOUBLE), 0), 2)
+  {O.round_div("100 * count(*) FILTER (WHERE content IS NULL OR trim(content) = '')", "count(*)", 2)}
     AS missing_content_pct
   FROM reviews)
 , base AS (SELECT "date" AS run_date, task_name, status, rows_loaded, duration_sec, error_message,
@@ -119,8 +119,8 @@ def _run_history(I):
     return M.run_history(I.runs)
 
 
-@register("duration_trend", W(["runs", "reviews"], VIEW + """
-SELECT run_date, round(avg(duration_sec), 6) AS avg_duration_sec FROM vw GROUP BY run_date"""))
+@register("duration_trend", W(["runs", "reviews"], VIEW + f"""
+SELECT run_date, {O.exact_mean("duration_sec", 2)} AS avg_duration_sec FROM vw GROUP BY run_date"""))
 def _duration_trend(I):
     return M.duration_trend(_view(I))
 
@@ -137,11 +137,12 @@ def _missing_content_trend(I):
     return M.missing_content_trend(_view(I))
 
 
-@register("review_completeness", W(["reviews"], """
-SELECT round(100.0 * (1.0 - CAST(count(*) FILTER (WHERE review_id IS NULL)
-    + count(*) FILTER (WHERE content IS NULL OR trim(content) = '')
-    + count(*) FILTER (WHERE score IS NULL) AS DOUBLE) / nullif(CAST(3 * count(*) AS DOUBLE), 0)), 6)
-  AS completeness_pct FROM reviews"""))
+_MISSING = ("(count(*) FILTER (WHERE review_id IS NULL) + count(*) FILTER (WHERE content IS NULL OR "
+            "trim(content) = '') + count(*) FILTER (WHERE score IS NULL))")
+
+
+@register("review_completeness", W(["reviews"], f"""
+SELECT {O.round_div(f"100 * (3 * count(*) - {_MISSING})", "3 * count(*)")} AS completeness_pct FROM reviews"""))
 def _review_completeness(I):
     return M.review_completeness(I.reviews)
 

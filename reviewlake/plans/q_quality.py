@@ -44,7 +44,8 @@ def _missing_counts(I):
 
 
 @register("missing_pct", W(["reviews"], "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, round(100.0 * avg(CAST({c} IS NULL AS DOUBLE)), 6) AS missing_pct FROM reviews"
+    f"SELECT '{c}' AS column_name, {O.round_div(f'100 * count(*) FILTER (WHERE {c} IS NULL)', 'count(*)')} AS missing_pct "
+    "FROM reviews"
     for c in REVIEW_COLUMNS)))
 def _missing_pct(I):
     return Q.missing_pct(I.reviews)
@@ -71,13 +72,14 @@ def _score_bands(I):
     return Q.score_bands(I.reviews)
 
 
-def describe_sql(src, col, by=None):
+def describe_sql(src, col, by=None, scale=0, digits=6):
     keys = f"{by}, " if by else ""
     group = f" GROUP BY {by}" if by else ""
     x = f"CAST({col} AS DOUBLE)"
-    return f"""SELECT {keys}count({x}) AS count, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std,
-  min({x}) AS min, round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50,
-  round(quantile_cont({x}, 0.75), 6) AS p75, max({x}) AS max FROM {src}{group}"""
+    r = lambda e: O.round_decimal(e, digits, scale + 2)
+    return f"""SELECT {keys}count({x}) AS count, {O.exact_mean(x, scale, digits)} AS mean,
+  round(stddev_samp({x}), {digits}) AS std, min({x}) AS min, {r(f"quantile_cont({x}, 0.25)")} AS p25,
+  {r(f"quantile_cont({x}, 0.5)")} AS p50, {r(f"quantile_cont({x}, 0.75)")} AS p75, max({x}) AS max FROM {src}{group}"""
 
 
 @register("word_count_describe", W(["tf"], describe_sql("tf", "word_count")))
@@ -85,8 +87,8 @@ def _word_count_describe(I):
     return Q.word_count_describe(I.text_features)
 
 
-@register("length_by_rating", W(["tf"], """
-SELECT score, round(avg(CAST(word_count AS DOUBLE)), 6) AS mean,
+@register("length_by_rating", W(["tf"], f"""
+SELECT score, {O.exact_mean("word_count")} AS mean,
   round(median(CAST(word_count AS DOUBLE)), 6) AS median,
   round(stddev_samp(CAST(word_count AS DOUBLE)), 6) AS std
 FROM tf WHERE score IS NOT NULL GROUP BY score"""))
@@ -126,13 +128,13 @@ def _histogram(I):
     return S.histogram(I.text_features, "word_count", 60)
 
 
-@register("field_check", W(["reviews"], """
+@register("field_check", W(["reviews"], f"""
 SELECT 'review_update' AS task_name,
   count(*) FILTER (WHERE review_id IS NULL) AS missing_review_id,
   count(*) FILTER (WHERE content IS NULL OR trim(content) = '') AS missing_content,
   count(*) FILTER (WHERE score IS NULL) AS missing_score,
   count(*) AS total_rows,
-  round(100.0 * count(*) FILTER (WHERE content IS NULL OR trim(content) = '') / nullif(CAST(count(*) AS DOUBLE), 0), 2)
+  {O.round_div("100 * count(*) FILTER (WHERE content IS NULL OR trim(content) = '')", "count(*)", 2)}
     AS missing_content_pct
 FROM reviews"""))
 def _field_check(I):
@@ -151,15 +153,15 @@ def _complete_rows(I):
     return Q.complete_rows(I.enriched).select("review_id", "sentiment", "score")
 
 
-@register("sentiment_box_stats", W(["E"], """
+@register("sentiment_box_stats", W(["E"], f"""
 , d AS (SELECT score, sentiment AS v FROM E
          WHERE sentiment IS NOT NULL AND score IS NOT NULL AND score IN (1, 2, 3, 4, 5)),
-q AS (SELECT score, count(v) AS n, avg(v) AS mean, quantile_cont(v, 0.25) AS q1,
+q AS (SELECT score, count(v) AS n, {O.exact_mean("v", 4)} AS mean, quantile_cont(v, 0.25) AS q1,
              quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM d GROUP BY score),
 w AS (SELECT d.score, min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)) AS wlo,
              max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)) AS whi
       FROM d JOIN q ON q.score = d.score GROUP BY d.score)
-SELECT q.score, n, round(mean, 6) AS mean, round(q1, 6) AS q1, round(median, 6) AS median,
+SELECT q.score, n, mean, round(q1, 6) AS q1, round(median, 6) AS median,
   round(q3, 6) AS q3, round(coalesce(wlo, q1), 6) AS whisker_low, round(coalesce(whi, q3), 6) AS whisker_high
 FROM q JOIN w ON w.score = q.score"""))
 def _sentiment_box_stats(I):

@@ -9,8 +9,8 @@ from reviewlake.plans.registry import register
 VK = O.version_key()
 
 
-@register("version_volume_rating", O.with_ctes(["reviews"], """
-SELECT app_version, count(review_id) AS review_count, round(avg(score), 6) AS avg_score
+@register("version_volume_rating", O.with_ctes(["reviews"], f"""
+SELECT app_version, count(review_id) AS review_count, {O.exact_mean("score")} AS avg_score
 FROM reviews WHERE app_version IS NOT NULL GROUP BY app_version"""))
 def _version_volume_rating(I):
     return V.version_volume_rating(I.reviews)
@@ -31,16 +31,16 @@ CAL = (", cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH))
        "  FROM (SELECT min(year_month) AS lo, max(year_month) AS hi FROM {src}))\n")
 
 
-@register("version_score_sentiment", O.with_ctes(["E"], """
-SELECT app_version, round(avg(score), 6) AS mean_score, round(avg(sentiment), 6) AS mean_sent,
+@register("version_score_sentiment", O.with_ctes(["E"], f"""
+SELECT app_version, {O.exact_mean("score")} AS mean_score, {O.exact_mean("sentiment", 4)} AS mean_sent,
   count(review_id) AS review_count
 FROM E WHERE app_version IS NOT NULL GROUP BY app_version"""))
 def _version_score_sentiment(I):
     return V.version_score_sentiment(I.enriched)
 
 
-@register("version_score_sentiment_min50", O.with_ctes(["E"], """
-SELECT app_version, round(avg(score), 6) AS mean_score, round(avg(sentiment), 6) AS mean_sent,
+@register("version_score_sentiment_min50", O.with_ctes(["E"], f"""
+SELECT app_version, {O.exact_mean("score")} AS mean_score, {O.exact_mean("sentiment", 4)} AS mean_sent,
   count(review_id) AS review_count
 FROM E WHERE app_version IS NOT NULL GROUP BY app_version HAVING count(review_id) >= 50"""))
 def _version_score_sentiment_min50(I):
@@ -116,9 +116,9 @@ def _calendar_join(I):
     return TS.calendar_join(m, tf, fill={"review_count": 0})
 
 
-@register("monthly_score_sentiment", O.with_ctes(["E"], CAL.format(src="E") + """
+@register("monthly_score_sentiment", O.with_ctes(["E"], CAL.format(src="E") + f"""
 SELECT cal.year_month, m.mean_score, m.mean_sent FROM cal LEFT JOIN (
-  SELECT year_month, round(avg(score), 6) AS mean_score, round(avg(sentiment), 6) AS mean_sent
+  SELECT year_month, {O.exact_mean("score")} AS mean_score, {O.exact_mean("sentiment", 4)} AS mean_sent
   FROM E WHERE year_month IS NOT NULL GROUP BY year_month) m ON m.year_month = cal.year_month"""))
 def _monthly_score_sentiment(I):
     return TS.monthly_score_sentiment(I.enriched)
@@ -137,15 +137,15 @@ def _monthly_corr(I):
     return TS.monthly_corr(I.enriched)
 
 
-@register("monthly_avg_length", O.with_ctes(["tf"], """
-SELECT year_month, round(avg(word_count), 6) AS avg_word_count
+@register("monthly_avg_length", O.with_ctes(["tf"], f"""
+SELECT year_month, {O.exact_mean("word_count")} AS avg_word_count
 FROM tf WHERE year_month IS NOT NULL GROUP BY year_month"""))
 def _monthly_avg_length(I):
     return TS.monthly_avg_length(I.text_features)
 
 
-@register("monthly_volume_rating", O.with_ctes(["tf"], """
-SELECT year_month, count(review_id) AS review_count, round(avg(score), 6) AS avg_score
+@register("monthly_volume_rating", O.with_ctes(["tf"], f"""
+SELECT year_month, count(review_id) AS review_count, {O.exact_mean("score")} AS avg_score
 FROM tf WHERE year_month IS NOT NULL GROUP BY year_month"""))
 def _monthly_volume_rating(I):
     return TS.monthly_volume_rating(I.text_features)

@@ -21,9 +21,9 @@ def _user_review_counts(I):
     return U.user_review_counts(I.reviews)
 
 
-@register("user_activity_summary", W(["reviews"], """
+@register("user_activity_summary", W(["reviews"], f"""
 SELECT count(*) AS unique_users, count(*) FILTER (WHERE n > 1) AS active_users,
-  round(CAST(count(*) FILTER (WHERE n > 1) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0), 6) AS active_share
+  {O.round_div("count(*) FILTER (WHERE n > 1)", "count(*)")} AS active_share
 FROM (SELECT user_name, count(*) AS n FROM reviews WHERE user_name IS NOT NULL GROUP BY user_name)"""))
 def _user_activity_summary(I):
     return U.user_activity_summary(I.reviews)
@@ -43,10 +43,9 @@ def _score_by_activity(I):
     return U.score_by_activity(I.enriched)
 
 
-@register("score_share_by_activity", W(["E"], SBA + """
+@register("score_share_by_activity", W(["E"], SBA + f"""
 SELECT is_active_user, score,
-  round(CAST(review_count AS DOUBLE) / nullif(CAST(sum(review_count) OVER (PARTITION BY is_active_user) AS DOUBLE), 0), 6)
-    AS share
+  {O.round_div("review_count", "sum(review_count) OVER (PARTITION BY is_active_user)")} AS share
 FROM sba"""))
 def _score_share_by_activity(I):
     return U.score_share_by_activity(U.score_by_activity(I.enriched))
@@ -75,20 +74,22 @@ def _user_change(I):
     return U.user_change(I.enriched)
 
 
-@register("delta_direction", W(["E", "active"], UC + """
-SELECT round(avg(CASE WHEN score_delta > 0 THEN 1.0 ELSE 0.0 END::DOUBLE), 6) AS up_share,
-  round(avg(CASE WHEN score_delta < 0 THEN 1.0 ELSE 0.0 END::DOUBLE), 6) AS down_share,
-  round(avg(CASE WHEN score_delta = 0 THEN 1.0 ELSE 0.0 END::DOUBLE), 6) AS same_share FROM uc"""))
+@register("delta_direction", W(["E", "active"], UC + f"""
+SELECT {O.round_div("count(*) FILTER (WHERE score_delta > 0)", "count(*)")} AS up_share,
+  {O.round_div("count(*) FILTER (WHERE score_delta < 0)", "count(*)")} AS down_share,
+  {O.round_div("count(*) FILTER (WHERE score_delta = 0)", "count(*)")} AS same_share FROM uc"""))
 def _delta_direction(I):
     return U.delta_direction(U.user_change(I.enriched))
 
 
 def _describe_row(col):
     x = f"CAST({col} AS DOUBLE)"
-    return (f"SELECT '{col}' AS metric, count({x}) AS count, round(avg({x}), 3) AS mean, "
-            f"round(stddev_samp({x}), 3) AS std, round(min({x}), 3) AS min, "
-            f"round(quantile_cont({x}, 0.25), 3) AS p25, round(quantile_cont({x}, 0.5), 3) AS p50, "
-            f"round(quantile_cont({x}, 0.75), 3) AS p75, round(max({x}), 3) AS max FROM uc")
+    sc = 4 if col == "sent_delta" else 0
+    r = lambda e: O.round_decimal(e, 3, sc + 2)
+    return (f"SELECT '{col}' AS metric, count({x}) AS count, {O.exact_mean(x, sc, 3)} AS mean, "
+            f"round(stddev_samp({x}), 3) AS std, {r(f'min({x})')} AS min, "
+            f"{r(f'quantile_cont({x}, 0.25)')} AS p25, {r(f'quantile_cont({x}, 0.5)')} AS p50, "
+            f"{r(f'quantile_cont({x}, 0.75)')} AS p75, {r(f'max({x})')} AS max FROM uc")
 
 
 @register("delta_describe", W(["E", "active"], UC + "\nUNION ALL\n".join(_describe_row(c) for c in U.DELTAS)))

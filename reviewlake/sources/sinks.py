@@ -72,10 +72,17 @@ def append_run_log(df: DataFrame, path: str) -> None:
 def current_snapshot(spark: SparkSession, base: str) -> str | None:
     """Path of the current snapshot under ``base`` (None if not a snapshot table)."""
     ptr = f"{base.rstrip('/')}/{POINTER}"
-    if not path_exists(spark, ptr):
+    fs, p, jvm = _fs(spark, ptr)
+    if not fs.exists(p):
         return None
-    rows = spark.read.text(ptr).collect()  # one line: the snapshot name
-    return f"{base.rstrip('/')}/{rows[0][0].strip()}" if rows else None
+    # One short line naming the snapshot folder (read through the Hadoop
+    # file system: Spark's readers skip files whose names start with "_").
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        name = reader.readLine()
+    finally:
+        reader.close()
+    return f"{base.rstrip('/')}/{name.strip()}" if name else None
 
 
 def write_snapshot(df: DataFrame, base: str, max_records: int = BATCH_SIZE) -> str:
