@@ -69,6 +69,23 @@ def ngrams(tokens, n: int) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
+def explode_items(df, array_col: Column, name: str, keep=(), with_pos: bool = False):
+    """Rows of ``keep`` columns plus one per array element (null/empty arrays
+    give no row).
+
+    Written as ``explode_outer`` + a null filter on purpose: a plain
+    ``explode`` lets the optimizer infer ``size(array) > 0`` and push it
+    below the projection that computes the array, so the tokenising
+    expression would be evaluated again inside that filter.
+    """
+    keep = list(keep)
+    if with_pos:
+        out = df.select(*keep, F.posexplode_outer(array_col).alias("pos", name))
+    else:
+        out = df.select(*keep, F.explode_outer(array_col).alias(name))
+    return out.filter(F.col(name).isNotNull())
+
+
 def is_blank(c) -> Column:
     """Null or only spaces (TRIM semantics of the warehouse check)."""
     col = _c(c)

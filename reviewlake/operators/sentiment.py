@@ -32,7 +32,7 @@ def _unique_words(lexicon: DataFrame) -> DataFrame:
 
 def lexicon_hits(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
     """(key, pos, token, valence) for every token found in the lexicon."""
-    toks = reviews.select(key, F.posexplode(text.lexicon_tokens("content")).alias("pos", "token"))
+    toks = text.explode_items(reviews, text.lexicon_tokens("content"), "token", keep=[key], with_pos=True)
     lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
     return toks.join(lex, toks.token == lex.word).select(key, "pos", "token", "valence")
 
@@ -77,9 +77,8 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
     sum then gains sign(s) * punctuation emphasis (0.292 per "!" up to 4;
     "?" 0.18 each for 2-3, 0.96 for more) before normalisation.
     """
-    toks = reviews.select(
-        key, "content",
-        F.posexplode(F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0)).alias("pos", "raw"))
+    toks = text.explode_items(reviews, F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0), "raw",
+                              keep=[key, "content"], with_pos=True)
     toks = toks.withColumn("token", F.lower("raw"))
     lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
     mods = bounded_broadcast(modifiers.select(F.col("word").alias("mword"), "kind", "weight"), "modifiers")

@@ -22,9 +22,9 @@ def _band_words(features: DataFrame, min_len: int, high: int, low: int) -> DataF
     f = features
     if "clean_content" not in f.columns:
         f = f.withColumn("clean_content", text.clean_text("content"))
-    return (f.select(band_column(high, low).alias("band"), "clean_content")
-             .filter(F.col("band").isNotNull() & F.col("clean_content").isNotNull())
-             .select("band", F.explode(text.clean_words("clean_content", min_len)).alias("word")))
+    banded = (f.select(band_column(high, low).alias("band"), "clean_content")
+                .filter(F.col("band").isNotNull() & F.col("clean_content").isNotNull()))
+    return text.explode_items(banded, text.clean_words("clean_content", min_len), "word", keep=["band"])
 
 
 def word_freq_raw(features: DataFrame, min_len: int = 3, high: int = 4, low: int = 2) -> DataFrame:
@@ -106,11 +106,14 @@ def ngram_counts(reviews: DataFrame, stopwords: list[str], n_range=(2, 3), high:
     (no count-distinct expansion).
     """
     rows = _ngram_band_rows(reviews, stopwords, n_range, high, low)
-    occ = rows.select("band", F.explode("grams").alias("ngram"), F.lit(1).alias("o"), F.lit(0).alias("d"))
-    doc = rows.select("band", F.explode(F.array_distinct("grams")).alias("ngram"),
-                      F.lit(0).alias("o"), F.lit(1).alias("d"))
-    return occ.unionByName(doc).groupBy("band", "ngram").agg(
-        F.sum("o").cast("bigint").alias("count"), F.sum("d").cast("bigint").alias("doc_freq"))
+    # One array per review: every gram tagged (1, 0) for occurrences, every
+    # distinct gram tagged (0, 1) for document frequency -> one explode,
+    # one partial+final aggregation.
+    tag = lambda o, d: (lambda g: F.struct(g.alias("ngram"), F.lit(o).alias("o"), F.lit(d).alias("d")))
+    items = F.concat(F.transform("grams", tag(1, 0)), F.transform(F.array_distinct("grams"), tag(0, 1)))
+    it = text.explode_items(rows, items, "it", keep=["band"])
+    return it.groupBy("band", F.col("it.ngram").alias("ngram")).agg(
+        F.sum("it.o").cast("bigint").alias("count"), F.sum("it.d").cast("bigint").alias("doc_freq"))
 
 
 def band_sizes(reviews: DataFrame, high: int = 4, low: int = 2) -> DataFrame:
