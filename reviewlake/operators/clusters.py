@@ -1,19 +1,18 @@
 """User features, outlier filter and k-means clustering (Spark ML).
 
 K-means runs on pyspark.ml: the driver holds only the k centres; every
-iteration is a distributed pass.  The scaled feature frame is checkpointed
-to the shared checkpoint folder before the restarts, so the ten fits read
-materialised vectors instead of re-running the feature aggregation, and a
-lost executor recomputes from the checkpoint, not from the raw reviews.
+iteration is a distributed pass.  The per-user features are written once to
+the shared checkpoint folder before the restarts, so the ten fits read
+materialised rows instead of re-running the feature aggregation, and a lost
+executor recomputes from those files, not from the raw reviews.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from reviewlake.functions.stats import exact_mean
 from reviewlake.functions.versions import version_key
-from reviewlake.session import checkpoint_dir
 
 FEATURES = ["review_count", "avg_score", "avg_sentiment", "avg_length"]
 
@@ -45,33 +44,47 @@ def clustering_features(enriched: DataFrame) -> DataFrame:
 
 
 def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-                  max_iter: int = 300, tol: float = 1e-4, checkpoint: bool = True) -> DataFrame:
-    """Standardise the four features, fit k-means ``restarts`` times with
-    seeds seed, seed+1, ... and keep the lowest-cost model.  Labels are
-    renumbered by (avg_score, avg_length, review_count) of the cluster means
-    so they do not depend on the initialisation.  Returns user_name,
-    the features and ``cluster``."""
+                  max_iter: int = 300, tol: float = 1e-4, outlier_q: float | None = 0.99,
+                  parallelism: int = 4) -> DataFrame:
+    """Drop review-count outliers (``outlier_q``), standardise the four
+    features, fit k-means ``restarts`` times with seeds seed, seed+1, ... and
+    keep the lowest-cost model.  Labels are renumbered by (avg_score,
+    avg_length, review_count) of the cluster means so they do not depend on
+    the initialisation.  Returns user_name, the features and ``cluster``.
+
+    The per-user features are written once to the shared checkpoint folder;
+    the outlier threshold, the scaler fit and every k-means iteration read
+    that copy instead of re-running the review aggregation.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    base = features.select("user_name", *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    from reviewlake.plans.materialize import materialize
+
+    base = materialize(features.select("user_name", *[F.col(c).cast("double").alias(c) for c in FEATURES]),
+                       "user-features")
+    if outlier_q is not None:
+        base = outlier_filter(base, q=outlier_q)
     vec = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(base)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(vec)
-    scaled = scaler.transform(vec).select("user_name", *FEATURES, "features")
-    if checkpoint:
-        checkpoint_dir(scaled.sparkSession)
-        scaled = scaled.checkpoint(eager=True)
-    best = None
-    for i in range(restarts):
+    scaled = scaler.transform(vec).select("user_name", *FEATURES, "features").persist()
+
+    def fit(i):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
                        predictionCol="raw_cluster").fit(scaled)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    assigned = best[1].transform(scaled).drop("features")
+        return model.summary.trainingCost, i, model
+
+    # Restarts are independent distributed fits; like the tuning APIs'
+    # ``parallelism`` they are submitted from a few driver threads so their
+    # small per-iteration jobs overlap.  Ties in cost go to the lower seed.
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
+        fits = list(pool.map(fit, range(restarts)))
+    best = min(fits, key=lambda f: (f[0], f[1]))
+    assigned = best[2].transform(scaled).drop("features")
     means = assigned.groupBy("raw_cluster").agg(*[F.avg(c).alias(c) for c in FEATURES])
     # k rows: the relabelling map is a bounded broadcast side.
-    from pyspark.sql import Window
     relabel = means.select("raw_cluster", (F.row_number().over(
         Window.orderBy("avg_score", "avg_length", "review_count")) - 1).alias("cluster"))
     return assigned.join(F.broadcast(relabel), "raw_cluster").drop("raw_cluster")

@@ -114,7 +114,8 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - whisker * iqr
     hi_fence = F.col("q3") + whisker * iqr
-    w = (data.join(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f")), by)
+    # one row per group of a low-cardinality key (scores): broadcast
+    w = (data.join(F.broadcast(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f"))), by)
              .groupBy(by).agg(F.min(F.when(F.col("v") >= F.col("lo_f"), F.col("v"))).alias("wlo"),
                               F.max(F.when(F.col("v") <= F.col("hi_f"), F.col("v"))).alias("whi")))
     out = q.join(w, by)

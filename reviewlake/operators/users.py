@@ -16,7 +16,8 @@ from reviewlake.plans.enrich import active_users, with_activity
 
 
 def active_user_semi(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
-    """Reviews written by users with at least ``min_reviews`` reviews."""
+    """Reviews written by users with at least ``min_reviews`` reviews (semi
+    join; AQE picks broadcast or sort-merge from the measured user set)."""
     return reviews.join(active_users(reviews, min_reviews), "user_name", "left_semi")
 
 

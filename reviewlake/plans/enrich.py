@@ -42,6 +42,11 @@ def active_users(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
 
 
 def with_activity(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
+    """Adds is_active_user.  The active-user set is a partially aggregated
+    count (a hot user costs one row per input partition), joined back on
+    user_name.  It grows with the data, so no broadcast is forced: AQE
+    broadcasts it when the measured stage is under the adaptive threshold,
+    otherwise the sort-merge join runs with skew-partition splitting."""
     act = active_users(reviews, min_reviews).withColumn("_active", F.lit(True))
     return (reviews.join(act, "user_name", "left")
                    .withColumn("is_active_user", F.coalesce(F.col("_active"), F.lit(False)))

@@ -107,3 +107,89 @@ SELECT count(*) AS rows_loaded, count(*) = 0 AS is_empty FROM merge_batch WHERE
 def _empty_batch_guard(I):
     new = G.new_reviews_since(I.merge_batch, I.merge_target)
     return new.agg(F.count(F.lit(1)).alias("rows_loaded"), (F.count(F.lit(1)) == 0).alias("is_empty"))
+
+
+# ---------------------------------------------------------------- sinks
+# Write-then-read round trips: the data goes through the real writer and
+# reader into a fresh folder under the shared checkpoint directory, and the
+# result must equal the input (so the oracle is the input itself).
+import uuid  # noqa: E402
+
+from reviewlake import schemas  # noqa: E402
+from reviewlake.operators import monitoring as M  # noqa: E402
+from reviewlake.session import checkpoint_dir  # noqa: E402
+from reviewlake.sources import readers, sinks  # noqa: E402
+
+
+def _fresh(I, name):
+    return f"{checkpoint_dir(I.spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("append_batches", W(["reviews"], "SELECT * FROM reviews"))
+def _append_batches(I):
+    path = _fresh(I, "reviews-table")
+    sinks.create_reviews_table(I.spark, path)
+    sinks.append_batches(I.reviews, path, max_records=sinks.BATCH_SIZE)
+    return readers.scan_reviews(I.spark, path)
+
+
+@register("scan_reviews_csv", W(["reviews"], "SELECT * FROM reviews"))
+def _scan_reviews_csv(I):
+    path = _fresh(I, "reviews-csv")
+    export = I.reviews.select(
+        F.col("review_id").alias("reviewId"), F.col("user_name").alias("userName"),
+        F.col("score").cast("string").alias("score"), "content", F.lit("0").alias("thumbsUpCount"),
+        F.col("app_version").alias("reviewCreatedVersion"),
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("at"),
+        F.lit(None).cast("string").alias("replyContent"), F.lit(None).cast("string").alias("repliedAt"))
+    (export.write.option("header", True).option("escape", '"').option("quoteAll", True)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return readers.scan_reviews_csv(I.spark, path)
+
+
+@register("append_run_log", W(["runs"], """
+SELECT "date", task_name, status, rows_loaded,
+  CASE WHEN length(error_message) > 800 THEN substr(error_message, 1, 800) || ' ...' ELSE error_message END
+    AS error_message, round(duration_sec, 2) AS duration_sec, CAST(NULL AS VARCHAR) AS anomaly_flag, "timestamp"
+FROM runs"""))
+def _append_run_log(I):
+    path = _fresh(I, "run-log")
+    sinks.create_monitoring_table(I.spark, path)
+    rows = M.format_run_log(I.runs).withColumn("anomaly_flag", F.lit(None).cast("string"))
+    sinks.append_run_log(rows, path)
+    return readers.scan_run_log(I.spark, path)
+
+
+@register("append_app_metadata", W(["app_meta"], f"""
+SELECT app_version, title, coalesce(developer, '{DEFAULTS['default_developer']}') AS developer,
+  coalesce(genre, '{DEFAULTS['default_genre']}') AS genre, score, ratings_count, reviews_count, installs,
+  real_installs, is_free, price, currency, coalesce(sale, false) AS sale, offers_iap, iap_price_range,
+  coalesce(url, '{DEFAULTS['default_url']}') AS url, TIMESTAMP '2025-01-01 00:00:00' AS fetched_at
+FROM app_meta"""))
+def _append_app_metadata(I):
+    path = _fresh(I, "app-metadata")
+    sinks.create_app_metadata_table(I.spark, path)
+    snap = G.map_app_metadata(G.metadata_to_json(I.app_metadata), fetched_at="2025-01-01 00:00:00", **DEFAULTS)
+    sinks.append_app_metadata(snap, path)
+    return readers.scan_app_metadata(I.spark, path)
+
+
+@register("incremental_ingest", W(["merge_batch", "merge_target"], MERGE + """
+SELECT t.review_id, t.user_name,
+  CASE WHEN s.review_id IS NOT NULL THEN s.content ELSE t.content END AS content,
+  CASE WHEN s.review_id IS NOT NULL THEN s.score ELSE t.score END AS score,
+  CASE WHEN s.review_id IS NOT NULL THEN s.created_at ELSE t.created_at END AS created_at,
+  CASE WHEN s.review_id IS NOT NULL THEN s.app_version ELSE t.app_version END AS app_version
+FROM merge_target t LEFT JOIN src s ON s.review_id = t.review_id
+UNION ALL
+SELECT * FROM src WHERE review_id NOT IN (SELECT review_id FROM merge_target WHERE review_id IS NOT NULL)"""))
+def _incremental_ingest(I):
+    """Two landings (target pages, then batch pages) ingested by the
+    streaming job; the final table equals the batch merge."""
+    from reviewlake.streaming.incremental import incremental_ingest
+    landing, table, ckpt = _fresh(I, "landing"), _fresh(I, "reviews"), _fresh(I, "ingest-ckpt")
+    G.reviews_to_pages(I.merge_target).write.text(f"{landing}/part-1")
+    incremental_ingest(I.spark, f"{landing}/*", table, ckpt)
+    G.reviews_to_pages(I.merge_batch).write.text(f"{landing}/part-2")
+    incremental_ingest(I.spark, f"{landing}/*", table, ckpt)
+    return readers.scan_reviews(I.spark, table).select(*schemas.REVIEW_COLUMNS)

@@ -41,7 +41,7 @@ def _fixed_sample(I):
 
 
 def _clusters(I):
-    return C.user_clusters(C.clustering_features(I.enriched))
+    return C.user_clusters(C.user_features(I.enriched))
 
 
 @register("user_clusters")
