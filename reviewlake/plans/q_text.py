@@ -126,3 +126,10 @@ SELECT band, CAST(rank AS INTEGER) AS rank, ngram, count FROM (
 @register("top_ngrams", W(["reviews"], NGRAMS.replace("{stop}", _stoplist_sql())))
 def _top_ngrams(I):
     return WD.top_ngrams(I.reviews, ref.base_stopwords())
+
+
+@register("sentiment_score_rules")
+def _sentiment_score_rules(I):
+    """Level-2 scorer (negation, boosters, contrast, capitals, punctuation)."""
+    return SE.with_sentiment_rules(I.reviews.select("review_id", "content"), I.lexicon,
+                                   ref.modifiers(I.spark)).select("review_id", "sentiment")

@@ -133,3 +133,41 @@ def test_streaming_ingest_matches_batch_merge(spark, tmpdir_path):
     batch = G.merge_reviews(_reviews(spark, first), _reviews(spark, second))
     assert _sorted(streamed) == _sorted(batch)
     assert {r.review_id: r.user_name for r in streamed.collect()}["a"] == "ann"
+
+
+def test_monthly_update_logs_and_alerts(spark, tmpdir_path):
+    from reviewlake.plans.jobs import monthly_update
+    pages = os.path.join(tmpdir_path, "landing")
+    table, log, ckpt = (os.path.join(tmpdir_path, n) for n in ("reviews", "log", "ckpt"))
+    rows = [(f"r{i}", f"u{i}", "good", 5, T(2024, 1, 1, 0, 0, i), "1.0") for i in range(20)]
+    _write_pages(pages, rows[:10], 0)
+    r1, a1 = monthly_update(spark, pages, table, log, ckpt, now=T(2024, 2, 1))
+    assert r1.first().anomaly_flag == "FIRST_RUN" and r1.first().rows_loaded == 10 and a1.count() == 0
+    _write_pages(pages, rows[10:], 1)
+    r2, _ = monthly_update(spark, pages, table, log, ckpt, now=T(2024, 3, 1))
+    assert r2.first().anomaly_flag == "FIRST_RUN"  # OFFSET 1: only one earlier success
+    r3, a3 = monthly_update(spark, pages, table, log, ckpt, now=T(2024, 4, 1))
+    assert r3.first().rows_loaded == 0
+    assert r3.first().anomaly_flag == "WARNING: Only 0 rows vs 10 last month" and a3.count() == 1
+    assert readers.scan_run_log(spark, log).count() == 3
+    assert readers.scan_reviews(spark, table).count() == 20
+
+
+def test_monthly_update_failure_is_logged(spark, tmpdir_path):
+    from reviewlake.plans.jobs import monthly_update
+    log = os.path.join(tmpdir_path, "log")
+    missing = os.path.join(tmpdir_path, "does-not-exist")
+    r, alerts = monthly_update(spark, missing, os.path.join(tmpdir_path, "t"), log,
+                               os.path.join(tmpdir_path, "ck"), now=T(2024, 2, 1))
+    row = r.first()
+    assert row.status == "FAILURE" and row.anomaly_flag is None and row.error_message
+    assert alerts.count() == 1
+
+
+def test_analysis_report_writes_tables(spark, tmpdir_path):
+    from reviewlake.plans.jobs import analysis_report
+    from reviewlake.sources import reference_data as ref
+    paths = analysis_report(fixtures.reviews(spark, SF_SMALL), ref.seed_lexicon(spark), ref.stopwords(spark),
+                            ref.base_stopwords(), os.path.join(tmpdir_path, "report"))
+    assert spark.read.parquet(paths["version_volume_rating"]).count() > 0
+    assert spark.read.parquet(paths["top_ngrams"]).count() > 0
