@@ -40,8 +40,10 @@ def char_length(c) -> Column:
 def clean_text(c) -> Column:
     """lower -> drop URLs -> keep a-z and blanks -> collapse blanks -> trim."""
     t = F.lower(_c(c))
-    t = F.regexp_replace(t, URL_RUN, "")
-    t = F.regexp_replace(t, NON_ALPHA, "")
+    # One pass removes URL runs and non a-z characters: a URL run starts
+    # with a letter, so the alternation deletes exactly what removing URLs
+    # first and then the other characters would delete.
+    t = F.regexp_replace(t, f"{URL_RUN}|{NON_ALPHA}", "")
     t = F.regexp_replace(t, BLANK_RUN, " ")
     return F.trim(t)
 

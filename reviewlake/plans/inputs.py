@@ -15,17 +15,25 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    # Inputs are stored once per session (see fixtures.stored) and scanned.
+    def _stored(self, name, build) -> DataFrame:
+        return fixtures.stored(self.spark, self.sf_dir, name, build)
+
     @cached_property
     def reviews(self) -> DataFrame:
-        return fixtures.reviews(self.spark, self.sf_dir)
+        return self._stored("reviews", fixtures.reviews)
+
+    @cached_property
+    def raw_reviews(self) -> DataFrame:
+        return self._stored("raw_reviews", fixtures.raw_reviews)
 
     @cached_property
     def runs(self) -> DataFrame:
-        return fixtures.pipeline_runs(self.spark, self.sf_dir)
+        return self._stored("pipeline_runs", fixtures.pipeline_runs)
 
     @cached_property
     def app_metadata(self) -> DataFrame:
-        return fixtures.app_metadata(self.spark, self.sf_dir)
+        return self._stored("app_metadata", fixtures.app_metadata)
 
     @cached_property
     def lexicon(self) -> DataFrame:
@@ -49,8 +57,8 @@ class Inputs:
 
     @cached_property
     def merge_target(self) -> DataFrame:
-        return fixtures.merge_target(self.spark, self.sf_dir)
+        return self._stored("merge_target", fixtures.merge_target)
 
     @cached_property
     def merge_batch(self) -> DataFrame:
-        return fixtures.merge_batch(self.spark, self.sf_dir)
+        return self._stored("merge_batch", fixtures.merge_batch)

@@ -44,7 +44,7 @@ def _scan_review_pages(I):
 
 @register("coerce_types", W(["reviews"], RAW + COERCE))
 def _coerce_types(I):
-    return G.coerce_types(fixtures.raw_reviews(I.spark, I.sf_dir))
+    return G.coerce_types(I.raw_reviews)
 
 
 @register("stage_reviews", W(["merge_batch"], "SELECT * FROM merge_batch"))

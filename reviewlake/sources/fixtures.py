@@ -160,3 +160,26 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 113 == 0, F.lit("not-a-date"))
          .when(k % 7 == 0, F.concat(fmt, F.lit(".5"))).otherwise(fmt).alias("created_at"),
         "app_version")
+
+
+# ---------------------------------------------------------------- stored inputs
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived input ``name`` as a stored Parquet table.
+
+    In production the analyses read stored tables (reviews, run log,
+    metadata history); for the generated test data the derivation is
+    written once per session to the shared checkpoint folder and every
+    query then scans that table, exactly as it would scan the real one.
+    """
+    from reviewlake.session import checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STORED.get(key)
+    if path is None:
+        import uuid
+        path = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{uuid.uuid4().hex[:10]}/{name}"
+        build(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)

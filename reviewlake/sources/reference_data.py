@@ -52,8 +52,20 @@ SEED_BOOSTERS = [("very", 1.0), ("really", 1.0), ("extremely", 1.0),
 # -------------------------------------------------------------------------
 
 
+_SESSION_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _per_session(spark: SparkSession, name: str, build) -> DataFrame:
+    """One DataFrame per session for a fixed lookup table, so its broadcast
+    size check runs once rather than for every query that uses it."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _SESSION_TABLES:
+        _SESSION_TABLES[key] = build()
+    return _SESSION_TABLES[key]
+
+
 def seed_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_LEXICON, schemas.LEXICON)
+    return _per_session(spark, "lexicon", lambda: spark.createDataFrame(SEED_LEXICON, schemas.LEXICON))
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -93,10 +105,12 @@ def stopword_list(spark: SparkSession | None = None, custom: bool = True) -> lis
 
 
 def stopwords(spark: SparkSession, custom: bool = True) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in stopword_list(spark, custom)], schemas.STOPWORDS)
+    return _per_session(spark, f"stopwords-{custom}", lambda: spark.createDataFrame(
+        [(w,) for w in stopword_list(spark, custom)], schemas.STOPWORDS))
 
 
 def modifiers(spark: SparkSession) -> DataFrame:
     rows = [(w, "negation", NEGATION_SCALAR) for w in SEED_NEGATIONS]
     rows += [(w, "booster", s * BOOSTER_INCR) for w, s in SEED_BOOSTERS]
-    return spark.createDataFrame(rows, "word string, kind string, weight double")
+    return _per_session(spark, "modifiers",
+                        lambda: spark.createDataFrame(rows, "word string, kind string, weight double"))
