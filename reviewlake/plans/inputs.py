@@ -16,12 +16,13 @@ class Inputs:
         self.sf_dir = sf_dir
 
     # Inputs are stored once per session (see fixtures.stored) and scanned.
-    def _stored(self, name, build) -> DataFrame:
-        return fixtures.stored(self.spark, self.sf_dir, name, build)
+    def _stored(self, name, build, bucket_by=None) -> DataFrame:
+        return fixtures.stored(self.spark, self.sf_dir, name, build, bucket_by)
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return self._stored("reviews", fixtures.reviews)
+        # bucketed by review_id, the layout recommended for the real table
+        return self._stored("reviews", fixtures.reviews, bucket_by="review_id")
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
@@ -57,7 +58,7 @@ class Inputs:
 
     @cached_property
     def merge_target(self) -> DataFrame:
-        return self._stored("merge_target", fixtures.merge_target)
+        return self._stored("merge_target", fixtures.merge_target, bucket_by="review_id")
 
     @cached_property
     def merge_batch(self) -> DataFrame:

@@ -163,23 +163,34 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stored inputs
-_STORED: dict[tuple, str] = {}
+_STORED: dict[tuple, tuple] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The derived input ``name`` as a stored Parquet table.
+def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
+    """The derived input ``name`` as a stored table.
 
     In production the analyses read stored tables (reviews, run log,
     metadata history); for the generated test data the derivation is
     written once per session to the shared checkpoint folder and every
     query then scans that table, exactly as it would scan the real one.
+    With ``bucket_by`` it is an external table bucketed on that key (the
+    layout recommended for the reviews table, see sinks.save_bucketed_table).
     """
+    import uuid
+
     from reviewlake.session import checkpoint_dir
+    from reviewlake.sources.sinks import save_bucketed_table
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    path = _STORED.get(key)
-    if path is None:
-        import uuid
-        path = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{uuid.uuid4().hex[:10]}/{name}"
-        build(spark, sf_dir).write.mode("errorifexists").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+    ref = _STORED.get(key)
+    if ref is None:
+        tag = uuid.uuid4().hex[:10]
+        path = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{tag}/{name}"
+        if bucket_by:
+            ref = ("table", f"inputs_{tag}_{name}")
+            save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
+        else:
+            ref = ("path", path)
+            build(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _STORED[key] = ref
+    kind, where = ref
+    return spark.table(where) if kind == "table" else spark.read.parquet(where)
