@@ -56,11 +56,14 @@ def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: in
     [min, max] of the group, last bin closed, every bin present (0-filled),
     constant input widened by +-0.5.
 
-    One aggregation gives the bounds (one row per key - a handful of
-    metrics, broadcast), the bin index is a narrow expression with numpy's
-    edge corrections, then one partial+final aggregation on (key, bin).
+    The input is read once and collapsed to (key, value, multiplicity);
+    both the bounds (one row per key - a handful of metrics, broadcast) and
+    the binning read that aggregate, whose exchange Spark reuses.  The bin
+    index is a narrow expression with numpy's edge corrections, then one
+    partial+final aggregation on (key, bin).
     """
     vals = df.select(F.col(key), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    vals = vals.groupBy(key, "x").agg(F.count(F.lit(1)).alias("f"))
     b = vals.groupBy(key).agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     b = b.select(key,
                  F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
@@ -72,8 +75,8 @@ def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: in
     idx = F.least(F.greatest(F.floor((x - lo) * norm).cast("int"), F.lit(0)), F.lit(bins - 1))
     idx1 = F.when(x < lo + idx.cast("double") * step, idx - 1).otherwise(idx)
     idx2 = F.when((x >= lo + (idx1 + 1).cast("double") * step) & (idx1 != bins - 1), idx1 + 1).otherwise(idx1)
-    binned = vals.join(F.broadcast(b), key).select(key, idx2.alias("bin"))
-    counts = binned.groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
+    binned = vals.join(F.broadcast(b), key).select(key, idx2.alias("bin"), "f")
+    counts = binned.groupBy(key, "bin").agg(F.sum("f").alias("n"))
     grid = b.select(key, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [key, "bin"], "left")
     return out.select(
@@ -85,9 +88,30 @@ def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: in
 
 
 def histogram(df: DataFrame, col: str, bins: int = 60, digits: int = 9) -> DataFrame:
-    """Histogram of one column (see ``histogram_by``)."""
-    h = histogram_by(df.select(F.lit(col).alias("_metric"), F.col(col)), "_metric", col, bins, digits)
-    return h.drop("_metric")
+    """Histogram of one column (same rules as ``histogram_by``).  The bounds
+    come from one scalar subquery over the collapsed (value, multiplicity)
+    table and are attached as columns, so the binning is one narrow
+    projection and one partial+final aggregation."""
+    vals = (df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+              .groupBy("x").agg(F.count(F.lit(1)).alias("f")))
+    mn, mx = F.min("x"), F.max("x")
+    bounds = vals.agg(F.struct(F.when(mn == mx, mn - 0.5).otherwise(mn).alias("lo"),
+                               F.when(mn == mx, mx + 0.5).otherwise(mx).alias("hi"))).scalar()
+    v = vals.select("x", "f", bounds.alias("b")).select("x", "f", "b.lo", "b.hi")
+    lo, hi, x = F.col("lo"), F.col("hi"), F.col("x")
+    step = (hi - lo) / F.lit(float(bins))
+    idx = F.least(F.greatest(F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"), F.lit(0)),
+                  F.lit(bins - 1))
+    idx1 = F.when(x < lo + idx.cast("double") * step, idx - 1).otherwise(idx)
+    idx2 = F.when((x >= lo + (idx1 + 1).cast("double") * step) & (idx1 != bins - 1), idx1 + 1).otherwise(idx1)
+    counts = v.select(idx2.alias("bin"), "f", "lo", "hi").groupBy("bin", "lo", "hi").agg(F.sum("f").alias("n"))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("b"))
+    out = grid.join(counts.select("bin", "n"), "bin", "left").select("bin", "n", "b.lo", "b.hi")
+    b = F.col("bin").cast("double")
+    return out.select(
+        "bin", F.round(lo + b * step, digits).alias("bin_lo"),
+        F.round(F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (b + 1) * step), digits).alias("bin_hi"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count"))
 
 
 def to_long(df: DataFrame, cols, key: str = "metric", value: str = "x") -> DataFrame:
@@ -101,21 +125,26 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
     """Per group n, mean, Q1, median, Q3 and whiskers at the furthest data
     points within ``whisker`` * IQR of the box (outliers not shown).
 
-    Two aggregations on the group key (few groups: partial aggregation
-    absorbs the skew) and a join of the per-group quartiles back to the
-    rows; the quartile side has one row per group.
+    The rows are read once and collapsed to (group, value, multiplicity) -
+    a bounded table for a value domain like 4-decimal sentiment.  Quartiles
+    (``percentile`` with frequencies), the exact mean and the whiskers are
+    then computed from that compact table; its per-group quartiles (one row
+    per group of a low-cardinality key) are broadcast back to it.
     """
+    from reviewlake.functions.stats import units
     data = df.select(F.col(by), F.col(value).cast("double").alias("v")) \
              .filter(F.col(by).isNotNull() & F.col("v").isNotNull())
-    q = data.groupBy(by).agg(F.count("v").alias("n"), exact_mean("v", scale, digits).alias("mean"),
-                             F.percentile("v", F.array(*[F.lit(x) for x in QUARTILES])).alias("_q"))
+    hist = data.groupBy(by, "v").agg(F.count(F.lit(1)).alias("f"))
+    q = hist.groupBy(by).agg(
+        F.sum("f").alias("n"),
+        round_div(F.sum(units("v", scale) * F.col("f")), F.sum("f") * F.lit(10 ** scale), digits).alias("mean"),
+        F.percentile("v", F.array(*[F.lit(x) for x in QUARTILES]), F.col("f")).alias("_q"))
     q = q.select(by, "n", "mean", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - whisker * iqr
     hi_fence = F.col("q3") + whisker * iqr
-    # one row per group of a low-cardinality key (scores): broadcast
-    w = (data.join(F.broadcast(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f"))), by)
+    w = (hist.join(F.broadcast(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f"))), by)
              .groupBy(by).agg(F.min(F.when(F.col("v") >= F.col("lo_f"), F.col("v"))).alias("wlo"),
                               F.max(F.when(F.col("v") <= F.col("hi_f"), F.col("v"))).alias("whi")))
     out = q.join(w, by)
