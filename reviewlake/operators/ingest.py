@@ -21,6 +21,7 @@ from reviewlake import schemas
 from reviewlake.plans.broadcast import bounded_broadcast
 
 UPDATE_COLUMNS = ("content", "score", "created_at", "app_version")
+MERGE_BROADCAST_ROWS = 200_000
 
 
 def normalize_raw_reviews(raw: DataFrame) -> DataFrame:
@@ -87,7 +88,11 @@ def merge_reviews(target: DataFrame, batch: DataFrame, update=UPDATE_COLUMNS) ->
     user_name, from the target; unmatched batch rows are inserted whole."""
     cols = schemas.REVIEW_COLUMNS
     src = dedupe_batch(stage_reviews(batch))
-    s = bounded_broadcast(src.select(*[F.col(c).alias(f"s_{c}") for c in cols]), "merge_batch")
+    # The monthly batch is broadcast only when it has at most MERGE_BROADCAST_ROWS
+    # rows (a full review row is a few hundred bytes); above that the target
+    # is joined by shuffle (its review_id bucketing then spares its exchange).
+    s = bounded_broadcast(src.select(*[F.col(c).alias(f"s_{c}") for c in cols]), "merge_batch",
+                          MERGE_BROADCAST_ROWS)
     t = target.select(*cols)
     kept = t.join(s, t["review_id"] == s["s_review_id"], "left")
     matched = F.col("s_review_id").isNotNull()

@@ -15,14 +15,18 @@ from pyspark.sql import DataFrame, functions as F
 # A lookup side above this many rows is joined by shuffle instead.
 MAX_BROADCAST_ROWS = 2_000_000
 
-_checked: dict[int, bool] = {}
+# id -> (DataFrame, max_rows, verdict); the DataFrame is kept so its id
+# cannot be reused by another frame while the verdict is cached.
+_checked: dict[int, tuple] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    key = id(df)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
+    hit = _checked.get(id(df))
+    if hit is not None and hit[0] is df and hit[1] == max_rows:
+        return hit[2]
+    verdict = df.limit(max_rows + 1).count() <= max_rows
+    _checked[id(df)] = (df, max_rows, verdict)
+    return verdict
 
 
 def bounded_broadcast(df: DataFrame, name: str = "", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -186,8 +186,13 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
         tag = uuid.uuid4().hex[:10]
         path = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{tag}/{name}"
         if bucket_by:
-            ref = ("table", f"inputs_{tag}_{name}")
-            save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
+            try:
+                ref = ("table", f"inputs_{tag}_{name}")
+                save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
+            except Exception:  # noqa: BLE001 - no usable catalog: plain files
+                path = path + "-files"
+                ref = ("path", path)
+                build(spark, sf_dir).write.mode("errorifexists").parquet(path)
         else:
             ref = ("path", path)
             build(spark, sf_dir).write.mode("errorifexists").parquet(path)
