@@ -7,7 +7,6 @@ only when nothing is configured (tests, single-machine runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,8 +58,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written intermediate."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash(name)) % 10**8}"

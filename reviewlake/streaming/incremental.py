@@ -31,12 +31,11 @@ def _current_target(spark: SparkSession, target_base: str) -> DataFrame:
 def merge_pages_batch(batch: DataFrame, target_base: str) -> int:
     """Merge one micro-batch of page records; returns rows loaded (0 = no-op)."""
     spark = batch.sparkSession
-    rows = coerce_types(normalize_raw_reviews(explode_pages(batch)))
-    if rows.isEmpty():  # nothing new: no merge, no new snapshot
-        return 0
-    rows = rows.persist()
+    rows = coerce_types(normalize_raw_reviews(explode_pages(batch))).persist()
     try:
         n = rows.count()
+        if n == 0:  # nothing new: no merge, no new snapshot
+            return 0
         merged = merge_reviews(_current_target(spark, target_base), rows)
         sinks.write_snapshot(merged, target_base)
         return n
