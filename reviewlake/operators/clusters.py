@@ -45,7 +45,7 @@ def clustering_features(enriched: DataFrame) -> DataFrame:
 
 def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
                   max_iter: int = 300, tol: float = 1e-4, outlier_q: float | None = 0.99,
-                  parallelism: int = 4) -> DataFrame:
+                  parallelism: int = 10) -> DataFrame:
     """Drop review-count outliers (``outlier_q``), standardise the four
     features, fit k-means ``restarts`` times with seeds seed, seed+1, ... and
     keep the lowest-cost model.  Labels are renumbered by (avg_score,

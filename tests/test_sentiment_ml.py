@@ -58,3 +58,37 @@ def test_kmeans_repeatable_and_labelled(spark):
     summ = C.cluster_summary(C.user_clusters(feats, restarts=3)).orderBy("cluster").collect()
     keys = [(r.avg_score, r.avg_length, r.review_count) for r in summ]
     assert keys == sorted(keys)
+
+
+def test_cluster_mix_matches_brute_force(spark):
+    import collections
+
+    from reviewlake.plans.enrich import enrich_reviews
+    reviews = fixtures.reviews(spark, SF_SMALL)
+    users = C.user_clusters(C.user_features(enrich_reviews(reviews, ref.seed_lexicon(spark))), restarts=2)
+    got = {(r.app_version, r.cluster): (r.review_count, r.share)
+           for r in C.cluster_mix_by_version(reviews, users).collect()}
+    label = {r.user_name: r.cluster for r in users.collect()}
+    per = collections.defaultdict(collections.Counter)
+    for r in reviews.select("user_name", "app_version").collect():
+        c = label.get(r.user_name)
+        if r.app_version is not None and c is not None:
+            per[r.app_version][c] += 1
+    want = {}
+    for v, cnt in per.items():
+        total = sum(cnt.values())
+        for c in range(4):
+            want[(v, c)] = (cnt[c], round(cnt[c] / total, 6))
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in got)
+
+
+def test_monthly_corr_single_review_month_is_null(spark):
+    import datetime as dt
+
+    from reviewlake.operators import timeseries as TS
+    rows = [("a", dt.datetime(2024, 1, 5), 5, 0.5), ("b", dt.datetime(2024, 2, 1), 1, -0.2),
+            ("c", dt.datetime(2024, 2, 9), 5, 0.7)]
+    e = spark.createDataFrame(rows, "review_id string, created_at timestamp_ntz, score int, sentiment double")
+    got = {r.year_month.month: r.corr for r in TS.monthly_corr(e).collect()}
+    assert got[1] is None and got[2] == 1.0
