@@ -1,5 +1,6 @@
-"""End-to-end jobs: the monthly incremental update with run logging, and a
-full analysis report that enriches the reviews once.
+"""End-to-end jobs: the first full load, the monthly incremental update with
+run logging and alerts, the metadata snapshot ingest, and the analysis
+report that enriches the reviews once.
 """
 
 from __future__ import annotations
@@ -83,3 +84,30 @@ def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame
         df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
+
+
+def full_load(spark: SparkSession, pages_dir: str, reviews_base: str) -> int:
+    """Batch load of every landed page into the reviews table (the first
+    full sync; later runs use ``monthly_update``).  The pages are merged into
+    the current snapshot, or form the first one, written as a new snapshot.
+    Returns the number of review rows read."""
+    from reviewlake.operators.ingest import merge_reviews
+    from reviewlake import schemas
+    rows = materialize(readers.scan_review_pages(spark, pages_dir), "landed-reviews")
+    n = rows.count()
+    snap = sinks.current_snapshot(spark, reviews_base)
+    target = spark.read.parquet(snap) if snap else spark.createDataFrame([], schemas.REVIEWS)
+    sinks.write_snapshot(merge_reviews(target, rows), reviews_base)
+    return n
+
+
+def ingest_app_metadata(spark: SparkSession, metadata_json_path: str, metadata_table: str,
+                        fetched_at: _dt.datetime | None = None, **defaults) -> DataFrame:
+    """Append one metadata snapshot per landed JSON record (history table)."""
+    from reviewlake.operators.ingest import map_app_metadata
+    raw = spark.read.text(metadata_json_path)
+    fetched = fetched_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    snap = map_app_metadata(raw, fetched_at=fetched, **defaults)
+    sinks.create_app_metadata_table(spark, metadata_table)
+    sinks.append_app_metadata(snap, metadata_table)
+    return readers.scan_app_metadata(spark, metadata_table)

@@ -171,3 +171,21 @@ def test_analysis_report_writes_tables(spark, tmpdir_path):
                             ref.base_stopwords(), os.path.join(tmpdir_path, "report"))
     assert spark.read.parquet(paths["version_volume_rating"]).count() > 0
     assert spark.read.parquet(paths["top_ngrams"]).count() > 0
+
+
+def test_full_load_then_metadata(spark, tmpdir_path):
+    from reviewlake.plans.jobs import full_load, ingest_app_metadata
+    pages = os.path.join(tmpdir_path, "landing")
+    rows = [(f"r{i}", f"u{i}", "ok", 3, T(2024, 1, 1, 0, 0, i), "1.0") for i in range(30)]
+    _write_pages(pages, rows[:15], 0)
+    _write_pages(pages, rows[10:], 1)  # overlapping ids: merged, not duplicated
+    table = os.path.join(tmpdir_path, "reviews")
+    assert full_load(spark, pages, table) == 35
+    got = readers.scan_reviews(spark, table)
+    assert got.count() == 30 and got.select("review_id").distinct().count() == 30
+    meta = os.path.join(tmpdir_path, "meta.json")
+    with open(meta, "w") as f:
+        f.write(json.dumps({"version": "1.2.3", "title": "App", "score": 4.5, "free": True}) + "\n")
+    m = ingest_app_metadata(spark, meta, os.path.join(tmpdir_path, "meta_table"), T(2024, 1, 2),
+                            default_developer="dev", default_genre="Tools").first()
+    assert (m.app_version, m.developer, m.genre, m.sale, m.fetched_at) == ("1.2.3", "dev", "Tools", False, T(2024, 1, 2))
