@@ -92,3 +92,47 @@ def test_monthly_corr_single_review_month_is_null(spark):
     e = spark.createDataFrame(rows, "review_id string, created_at timestamp_ntz, score int, sentiment double")
     got = {r.year_month.month: r.corr for r in TS.monthly_corr(e).collect()}
     assert got[1] is None and got[2] == 1.0
+
+
+def _rules_brute_force(text, lex, negations, boosters):
+    if text is None:
+        return None
+    toks = [(i, m.group(0)) for i, m in enumerate(TOKEN.finditer(text))]
+    low = {i: t.lower() for i, t in toks}
+    but = next((i for i, _ in toks if low[i] == "but"), None)
+    all_caps = text == text.upper() and text != text.lower()
+    s = 0.0
+    for p, raw in toks:
+        v = lex.get(low[p])
+        if v is None:
+            continue
+        sign = (v > 0) - (v < 0)
+        boost = sum(boosters.get(low.get(p - d), 0.0) * sc for d, sc in ((1, 1.0), (2, 0.95), (3, 0.9)))
+        v = v + sign * boost
+        if raw == raw.upper() and raw != raw.lower() and not all_caps:
+            v += sign * ref.CAPS_INCR
+        for q in range(p - 3, p):
+            if low.get(q) in negations:
+                v *= ref.NEGATION_SCALAR
+        if but is not None:
+            v *= ref.BUT_BEFORE if p < but else ref.BUT_AFTER if p > but else 1.0
+        s += v
+    n_q = text.count("?")
+    emph = min(text.count("!"), ref.EXCLAIM_MAX) * ref.EXCLAIM_INCR + (
+        ref.QUESTION_MAX_BONUS if n_q > 3 else n_q * ref.QUESTION_INCR if n_q > 1 else 0.0)
+    s = s + emph if s > 0 else s - emph if s < 0 else s
+    return s / math.sqrt(s * s + ref.COMPOUND_ALPHA)
+
+
+def test_level2_matches_brute_force(spark):
+    reviews = fixtures.reviews(spark, SF_SMALL).select("review_id", "content")
+    got = {r.review_id: r.sentiment for r in SE.with_sentiment_rules(
+        reviews, ref.seed_lexicon(spark), ref.modifiers(spark)).collect()}
+    lex = dict(ref.SEED_LEXICON)
+    boosters = {w: s * ref.BOOSTER_INCR for w, s in ref.SEED_BOOSTERS}
+    for r in reviews.collect():
+        want = _rules_brute_force(r.content, lex, set(ref.SEED_NEGATIONS), boosters)
+        if want is None:
+            assert got[r.review_id] is None
+        else:
+            assert abs(got[r.review_id] - want) <= 0.00005 + 1e-9, (r.review_id, r.content, got[r.review_id], want)
