@@ -57,11 +57,19 @@ def score_share_by_activity(counts: DataFrame, digits: int = 6) -> DataFrame:
         .drop("review_count")
 
 
-def user_change(enriched: DataFrame, digits: int = 6) -> DataFrame:
+def user_change(enriched: DataFrame, digits: int = 6, min_reviews: int = 2) -> DataFrame:
     """Per active user: first and last non-null sentiment, score, length and
     date in time order (undated reviews last, ties by review_id), deltas and
-    the whole-day gap."""
-    e = active_user_semi(enriched)
+    the whole-day gap.
+
+    No join: every user is aggregated with map-side partial aggregation
+    (min_by/max_by/count combine per input partition, so a user holding a
+    third of the rows is one partial row per task), and the activity test
+    (``count >= min_reviews``) is a filter on the aggregated rows.  A semi
+    join followed by a grouping on the same key would pin a hot user to one
+    task, since the skew split cannot break the grouping's distribution.
+    """
+    e = enriched.filter(F.col("user_name").isNotNull())
     order = F.struct(F.col("created_at").isNull(), F.col("created_at"), F.col("review_id"))
 
     def first(c):
@@ -72,10 +80,12 @@ def user_change(enriched: DataFrame, digits: int = 6) -> DataFrame:
 
     e = e.withColumn("review_length", F.char_length("content"))
     g = e.groupBy("user_name").agg(
+        F.count(F.lit(1)).alias("_n"),
         first("sentiment").alias("sent_first"), last("sentiment").alias("sent_last"),
         first("score").alias("score_first"), last("score").alias("score_last"),
         first("review_length").alias("len_first"), last("review_length").alias("len_last"),
         F.min("created_at").alias("date_first"), F.max("created_at").alias("date_last"))
+    g = g.filter(F.col("_n") >= min_reviews).drop("_n")
     return g.select(
         "*",
         F.round(F.col("sent_last") - F.col("sent_first"), digits).alias("sent_delta"),
