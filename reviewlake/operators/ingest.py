@@ -15,7 +15,7 @@ path is never overwritten while it is being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reviewlake import schemas
 from reviewlake.plans.broadcast import bounded_broadcast
@@ -74,12 +74,22 @@ def new_reviews_since(batch: DataFrame, target: DataFrame, now=None, default_day
 
 def dedupe_batch(batch: DataFrame) -> DataFrame:
     """One row per review_id (latest created_at, then content, user_name,
-    app_version as a stable tie-break); null ids are quarantined."""
-    w = Window.partitionBy("review_id").orderBy(
-        F.desc_nulls_last("created_at"), F.asc_nulls_last("content"), F.asc_nulls_last("user_name"),
-        F.asc_nulls_last("app_version"), F.asc_nulls_last("score"))
-    return (batch.filter(F.col("review_id").isNotNull())
-                 .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn"))
+    app_version, score ascending as a stable tie-break; nulls last); null ids
+    are quarantined.
+
+    Written as ``min_by`` over an ordering struct, which combines map-side:
+    many copies of one id cost one partial row per input partition, where a
+    window over review_id would sort all copies in one task.
+    """
+    cols = schemas.REVIEW_COLUMNS
+    latest_first = F.expr("timestampdiff(MICROSECOND, created_at, TIMESTAMP_NTZ'9999-12-31 23:59:59')")
+    order = F.struct(
+        F.col("created_at").isNull(), latest_first,
+        F.col("content").isNull(), F.col("content"), F.col("user_name").isNull(), F.col("user_name"),
+        F.col("app_version").isNull(), F.col("app_version"), F.col("score").isNull(), F.col("score"))
+    best = (batch.filter(F.col("review_id").isNotNull())
+                 .groupBy("review_id").agg(F.min_by(F.struct(*cols), order).alias("r")))
+    return best.select(*[F.col(f"r.{c}").alias(c) for c in cols])
 
 
 def merge_reviews(target: DataFrame, batch: DataFrame, update=UPDATE_COLUMNS) -> DataFrame:

@@ -189,3 +189,11 @@ def test_full_load_then_metadata(spark, tmpdir_path):
     m = ingest_app_metadata(spark, meta, os.path.join(tmpdir_path, "meta_table"), T(2024, 1, 2),
                             default_developer="dev", default_genre="Tools").first()
     assert (m.app_version, m.developer, m.genre, m.sale, m.fetched_at) == ("1.2.3", "dev", "Tools", False, T(2024, 1, 2))
+
+
+def test_dedupe_many_copies_and_ties(spark):
+    rows = [("x", "u", f"copy{i:03d}", 1, T(2024, 1, 1), "1") for i in range(300)]  # hot id: many copies
+    rows += [("x", "u", "late", 2, None, "1"),                  # undated copy never wins
+             ("y", "b", "zzz", 1, T(2024, 1, 2), "1"), ("y", "a", "aaa", 1, T(2024, 1, 2), "1")]
+    got = {r.review_id: r for r in G.dedupe_batch(_reviews(spark, rows)).collect()}
+    assert got["x"].content == "copy000" and got["y"].content == "aaa"
