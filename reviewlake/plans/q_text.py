@@ -128,7 +128,46 @@ def _top_ngrams(I):
     return WD.top_ngrams(I.reviews, ref.base_stopwords())
 
 
-@register("sentiment_score_rules")
+def _rules_sql():
+    mods = O._values(ref.modifier_rows(), ["word", "kind", "weight"])
+    return W(["reviews", "lexicon"], f"""
+, mods AS ({mods})
+, tk AS (SELECT review_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS raw
+         FROM (SELECT review_id, regexp_extract_all(content, {O.sq(text.LEXICON_TOKEN)}) AS toks FROM reviews))
+, tg AS (SELECT tk.review_id, tk.pos, tk.raw, lower(tk.raw) AS token, l.valence, m.kind, m.weight
+         FROM tk LEFT JOIN lexicon l ON l.word = lower(tk.raw) LEFT JOIN mods m ON m.word = lower(tk.raw)
+         WHERE l.valence IS NOT NULL OR m.kind IS NOT NULL OR lower(tk.raw) = 'but')
+, bp AS (SELECT review_id, min(pos) AS but_pos FROM tg WHERE token = 'but' GROUP BY review_id)
+, caps AS (SELECT review_id, (content = upper(content) AND content <> lower(content)) AS all_caps FROM reviews)
+, hit AS (
+  SELECT h.review_id, h.pos, h.raw, h.valence,
+    coalesce(sum(CASE WHEN b.kind = 'booster' THEN b.weight *
+        CASE h.pos - b.pos WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 ELSE 0.9 END END), 0.0) AS boost,
+    count(*) FILTER (WHERE b.kind = 'negation') AS n_neg
+  FROM tg h LEFT JOIN tg b ON b.review_id = h.review_id AND b.pos BETWEEN h.pos - 3 AND h.pos - 1
+  WHERE h.valence IS NOT NULL GROUP BY h.review_id, h.pos, h.raw, h.valence)
+, sc AS (
+  SELECT hit.review_id, sum(
+    ((hit.valence + sign(hit.valence) * hit.boost)
+      + CASE WHEN hit.raw = upper(hit.raw) AND hit.raw <> lower(hit.raw) AND NOT c.all_caps
+             THEN sign(hit.valence) * {ref.CAPS_INCR} ELSE 0.0 END)
+    * pow({ref.NEGATION_SCALAR}, hit.n_neg)
+    * CASE WHEN bp.but_pos IS NULL THEN 1.0 WHEN hit.pos < bp.but_pos THEN {ref.BUT_BEFORE}
+           WHEN hit.pos > bp.but_pos THEN {ref.BUT_AFTER} ELSE 1.0 END) AS s
+  FROM hit JOIN caps c ON c.review_id = hit.review_id LEFT JOIN bp ON bp.review_id = hit.review_id
+  GROUP BY hit.review_id)
+, fin AS (
+  SELECT r.review_id, r.content, coalesce(sc.s, 0.0) AS s,
+    least(length(r.content) - length(replace(r.content, '!', '')), {ref.EXCLAIM_MAX}) AS n_excl,
+    length(r.content) - length(replace(r.content, '?', '')) AS n_q
+  FROM reviews r LEFT JOIN sc ON sc.review_id = r.review_id)
+, emph AS (SELECT *, n_excl * {ref.EXCLAIM_INCR} + CASE WHEN n_q > 3 THEN {ref.QUESTION_MAX_BONUS}
+                       WHEN n_q > 1 THEN n_q * {ref.QUESTION_INCR} ELSE 0.0 END AS e FROM fin)
+SELECT review_id, CASE WHEN content IS NULL THEN NULL ELSE round(sf / sqrt(sf * sf + 15), 4) END AS sentiment
+FROM (SELECT review_id, content, CASE WHEN s > 0 THEN s + e WHEN s < 0 THEN s - e ELSE s END AS sf FROM emph)""")
+
+
+@register("sentiment_score_rules", _rules_sql())
 def _sentiment_score_rules(I):
     """Level-2 scorer (negation, boosters, contrast, capitals, punctuation)."""
     return SE.with_sentiment_rules(I.reviews.select("review_id", "content"), I.lexicon,

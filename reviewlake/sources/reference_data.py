@@ -109,8 +109,12 @@ def stopwords(spark: SparkSession, custom: bool = True) -> DataFrame:
         [(w,) for w in stopword_list(spark, custom)], schemas.STOPWORDS))
 
 
-def modifiers(spark: SparkSession) -> DataFrame:
+def modifier_rows() -> list[tuple[str, str, float]]:
     rows = [(w, "negation", NEGATION_SCALAR) for w in SEED_NEGATIONS]
     rows += [(w, "booster", s * BOOSTER_INCR) for w, s in SEED_BOOSTERS]
-    return _per_session(spark, "modifiers",
-                        lambda: spark.createDataFrame(rows, "word string, kind string, weight double"))
+    return rows
+
+
+def modifiers(spark: SparkSession) -> DataFrame:
+    return _per_session(spark, "modifiers", lambda: spark.createDataFrame(
+        modifier_rows(), "word string, kind string, weight double"))
