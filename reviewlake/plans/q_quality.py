@@ -31,7 +31,14 @@ def _preview(I):
     return Q.preview(I.reviews)
 
 
-@register("column_types")
+# DuckDB type names -> Spark's simple type strings (the types used here).
+_TYPE_MAP = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+             "WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' "
+             "WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END")
+
+
+@register("column_types", f"SELECT column_name, {_TYPE_MAP} AS data_type FROM (DESCRIBE "
+          + W(["reviews"], "SELECT * FROM reviews") + ")")
 def _column_types(I):
     return Q.column_types(I.reviews)
 
