@@ -194,3 +194,10 @@ def exact_mean(x: str, scale: int = 0, digits: int = 6) -> str:
 
 def round_decimal(x: str, digits: int, exact_scale: int = 6) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,{exact_scale})), {digits}) AS DOUBLE)"
+
+
+def corr_sql(x: str, y: str) -> str:
+    """Pearson r over rows with both values, NULL on zero variance."""
+    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+    return (f"covar_pop({x}, {y}) FILTER (WHERE {both}) / "
+            f"nullif(stddev_pop({x}) FILTER (WHERE {both}) * stddev_pop({y}) FILTER (WHERE {both}), 0)")

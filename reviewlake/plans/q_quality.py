@@ -10,12 +10,6 @@ from reviewlake.schemas import REVIEW_COLUMNS
 W = O.with_ctes
 
 
-def corr_sql(x, y):
-    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
-    return (f"covar_pop({x}, {y}) FILTER (WHERE {both}) / "
-            f"nullif(stddev_pop({x}) FILTER (WHERE {both}) * stddev_pop({y}) FILTER (WHERE {both}), 0)")
-
-
 @register("scan_reviews", W(["reviews"], "SELECT * FROM reviews"))
 def _scan_reviews(I):
     return I.reviews
@@ -103,7 +97,7 @@ def _length_by_rating(I):
     return Q.length_by_rating(I.text_features)
 
 
-@register("sentiment_score_corr", W(["E"], f"SELECT round({corr_sql('sentiment', 'score')}, 6) AS corr FROM E"))
+@register("sentiment_score_corr", W(["E"], f"SELECT round({O.corr_sql('sentiment', 'score')}, 6) AS corr FROM E"))
 def _sentiment_score_corr(I):
     return S.corr(I.enriched, "sentiment", "score")
 

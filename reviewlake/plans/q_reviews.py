@@ -124,14 +124,8 @@ def _monthly_score_sentiment(I):
     return TS.monthly_score_sentiment(I.enriched)
 
 
-def _corr(x, y):
-    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
-    return (f"covar_pop({x}, {y}) FILTER (WHERE {both}) / "
-            f"nullif(stddev_pop({x}) FILTER (WHERE {both}) * stddev_pop({y}) FILTER (WHERE {both}), 0)")
-
-
 @register("monthly_corr", O.with_ctes(["E"], f"""
-SELECT year_month, round({_corr('score', 'sentiment')}, 6) AS corr
+SELECT year_month, round({O.corr_sql('score', 'sentiment')}, 6) AS corr
 FROM E WHERE year_month IS NOT NULL GROUP BY year_month"""))
 def _monthly_corr(I):
     return TS.monthly_corr(I.enriched)
