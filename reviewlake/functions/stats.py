@@ -23,10 +23,6 @@ def safe_corr(x, y) -> Column:
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
-def share(c, total) -> Column:
-    return F.try_divide(_c(c).cast("double"), _c(total).cast("double"))
-
-
 # ---- exact rounding ---------------------------------------------------
 # Rounded means and ratios are computed from exact integer sums so the
 # result does not depend on summation order (partial aggregation order

@@ -21,11 +21,6 @@ ERROR_LIMIT = 800
 RATIO = 0.2
 
 
-def _order(ts: str = "timestamp", tie: str | None = "event_id"):
-    cols = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    return Window.orderBy(*cols)
-
-
 def previous_success_rows(runs: DataFrame, offset: int = 1, ts: str = "timestamp",
                           tie: str | None = "event_id", by: str | None = None) -> DataFrame:
     """Adds ``prev_rows``: rows_loaded of the (offset+1)-th latest SUCCESS

@@ -172,3 +172,19 @@ def test_missing_counts_and_duplicates(spark):
     mc = {r.column_name: r.missing_count for r in Q.missing_counts(df).collect()}
     assert mc == {"review_id": 1, "user_name": 1, "content": 1, "score": 1, "created_at": 3, "app_version": 2}
     assert Q.duplicate_id_count(df).first()[0] == 1
+
+
+def test_schema_guards(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 0.5)], "SCORE int, sentiment_vader_raw double")
+    assert Q.require_columns(df, "score") is df
+    with pytest.raises(ValueError):
+        Q.require_columns(df, "score", "content")
+    assert Q.first_present(df, ["SENTIMENT", "SENTIMENT_VADER_CLEAN", "SENTIMENT_VADER_RAW"]) == "sentiment_vader_raw"
+
+
+def test_kde_density_integrates_to_one(spark):
+    df = spark.createDataFrame([(float(v),) for v in [0, 1, 1, 2, 2, 2, 3, 3, 4, 8]], "x double")
+    rows = sorted(S.kde_density(df, "x", grid=400).collect(), key=lambda r: r.grid_index)
+    step = rows[1].x - rows[0].x
+    assert abs(sum(r.density for r in rows) * step - 1.0) < 0.01
