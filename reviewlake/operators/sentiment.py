@@ -10,14 +10,13 @@ Plan shape: scan -> explode -> broadcast hash join (lexicon, size checked)
 review_id -> join back to the reviews.  Nothing leaves the JVM.
 
 Level 2 adds the rule-based modifiers (negation, boosters, "but",
-capitals, ! and ?) from token positions; the hits are gathered per review
-(bounded by that review's own length) and scored with higher-order
-functions, still without Python.
+capitals, ! and ?) from token positions with ``lag`` windows over the
+tagged tokens of each review: linear in the text, codegen'd, no Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlake.functions import text
 from reviewlake.sources import reference_data as ref
@@ -76,61 +75,65 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
     before the first "but" are halved and after it multiplied by 1.5.  The
     sum then gains sign(s) * punctuation emphasis (0.292 per "!" up to 4;
     "?" 0.18 each for 2-3, 0.96 for more) before normalisation.
+
+    Plan: tokens -> broadcast joins to lexicon and modifiers -> keep only
+    tagged tokens (hits, modifiers, "but") -> ``lag`` 1..3 over the tagged
+    tokens of a review ordered by position (a modifier within three tokens
+    is always among the three previous tagged tokens) -> per-hit value ->
+    per-review sums -> join back.  Linear in the text length; on a table
+    bucketed by review_id the window, the sums and the join stay inside each
+    bucket.
     """
     toks = text.explode_items(reviews, F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0), "raw",
-                              keep=[key, "content"], with_pos=True)
+                              keep=[key], with_pos=True)
     toks = toks.withColumn("token", F.lower("raw"))
     lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
     mods = bounded_broadcast(modifiers.select(F.col("word").alias("mword"), "kind", "weight"), "modifiers")
-    # Keep lexicon hits and modifier/contrast words; everything else is
-    # irrelevant to the score and never shuffled.
     tagged = (toks.join(lex, toks.token == lex.word, "left")
                   .join(mods, toks.token == mods.mword, "left")
-                  .filter(F.col("valence").isNotNull() | F.col("kind").isNotNull()
-                          | (F.col("token") == "but")))
-    item = F.struct(F.col("pos"), F.col("token"), F.col("raw"), F.col("valence"),
-                    F.col("kind"), F.col("weight"))
-    per_review = tagged.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
-
-    def score_item(h):
-        prev = lambda d: F.filter(F.col("items"), lambda m: m["pos"] == h["pos"] - d)
-        v = h["valence"]
-        sign = F.signum(v)
-        boost = F.lit(0.0)
-        for d, scale in ((1, 1.0), (2, 0.95), (3, 0.9)):
-            b = F.aggregate(F.filter(prev(d), lambda m: m["kind"] == "booster"),
-                            F.lit(0.0), lambda acc, m: acc + m["weight"])
-            boost = boost + b * scale
-        v1 = v + sign * boost
-        caps = F.when((h["raw"] == F.upper(h["raw"])) & (h["raw"] != F.lower(h["raw"]))
-                      & ~F.col("all_caps"), sign * ref.CAPS_INCR).otherwise(0.0)
-        v2 = v1 + caps
-        neg = F.aggregate(
-            F.filter(F.col("items"), lambda m: (m["kind"] == "negation")
-                     & (m["pos"] >= h["pos"] - 3) & (m["pos"] < h["pos"])),
-            F.lit(1.0), lambda acc, m: acc * F.lit(ref.NEGATION_SCALAR))
-        v3 = v2 * neg
-        but_pos = F.col("but_pos")
-        contrast = (F.when(but_pos.isNull(), 1.0)
-                     .when(h["pos"] < but_pos, ref.BUT_BEFORE)
-                     .when(h["pos"] > but_pos, ref.BUT_AFTER).otherwise(1.0))
-        return v3 * contrast
-
-    scored = per_review.withColumn(
-        "but_pos", F.aggregate(F.filter("items", lambda m: m["token"] == "but"),
-                               F.lit(None).cast("int"),
-                               lambda acc, m: F.coalesce(acc, m["pos"])))
-    base = reviews.join(scored, key, "left")
-    base = base.withColumn("all_caps", (F.col("content") == F.upper("content"))
-                           & (F.col("content") != F.lower("content")))
-    hits = F.filter(F.coalesce(F.col("items"), F.array().cast(per_review.schema["items"].dataType)),
-                    lambda m: m["valence"].isNotNull())
-    s = F.aggregate(F.transform(hits, score_item), F.lit(0.0), lambda acc, x: acc + x)
-    n_excl = F.least(F.size(F.split(F.coalesce(F.col("content"), F.lit("")), "!", -1)) - 1,
-                     F.lit(ref.EXCLAIM_MAX))
-    n_q = F.size(F.split(F.coalesce(F.col("content"), F.lit("")), r"\?", -1)) - 1
+                  .filter(F.col("valence").isNotNull() | F.col("kind").isNotNull() | (F.col("token") == "but"))
+                  .select(key, "pos", "raw", "token", "valence", "kind", "weight"))
+    w = Window.partitionBy(key).orderBy("pos")
+    per_review = Window.partitionBy(key)
+    cols = {"but_pos": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(per_review)}
+    for d in (1, 2, 3):
+        cols[f"p{d}"] = F.lag("pos", d).over(w)
+        cols[f"k{d}"] = F.lag("kind", d).over(w)
+        cols[f"w{d}"] = F.lag("weight", d).over(w)
+    lagged = tagged.withColumns(cols).filter(F.col("valence").isNotNull())
+
+    scale = {1: 1.0, 2: 0.95, 3: 0.9}
+    boost = F.lit(0.0)
+    n_neg = F.lit(0)
+    for d in (1, 2, 3):
+        dist = F.col("pos") - F.col(f"p{d}")
+        near = dist.between(1, 3)
+        factor = F.when(dist == 1, scale[1]).when(dist == 2, scale[2]).otherwise(scale[3])
+        boost = boost + F.when(near & (F.col(f"k{d}") == "booster"), F.col(f"w{d}") * factor).otherwise(0.0)
+        n_neg = n_neg + F.when(near & (F.col(f"k{d}") == "negation"), 1).otherwise(0)
+    v = F.col("valence")
+    sign = F.signum(v)
+    neg = F.pow(F.lit(ref.NEGATION_SCALAR), n_neg.cast("double"))
+    but_pos = F.col("but_pos")
+    contrast = (F.when(but_pos.isNull(), 1.0).when(F.col("pos") < but_pos, ref.BUT_BEFORE)
+                 .when(F.col("pos") > but_pos, ref.BUT_AFTER).otherwise(1.0))
+    raw = F.col("raw")
+    caps = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), sign * ref.CAPS_INCR).otherwise(0.0)
+    # The capitals bonus is summed apart: it applies only when the whole
+    # text is not in capitals, which is known on the review row.
+    sums = lagged.groupBy(key).agg(
+        F.sum((v + sign * boost) * neg * contrast).alias("_s_plain"),
+        F.sum(caps * neg * contrast).alias("_s_caps"))
+
+    base = reviews.join(sums, key, "left")
+    content = F.coalesce(F.col("content"), F.lit(""))
+    all_caps = (F.col("content") == F.upper("content")) & (F.col("content") != F.lower("content"))
+    s = (F.coalesce(F.col("_s_plain"), F.lit(0.0))
+         + F.when(all_caps, 0.0).otherwise(F.coalesce(F.col("_s_caps"), F.lit(0.0))))
+    n_excl = F.least(F.size(F.split(content, "!", -1)) - 1, F.lit(ref.EXCLAIM_MAX))
+    n_q = F.size(F.split(content, r"\?", -1)) - 1
     q_amp = F.when(n_q > 3, ref.QUESTION_MAX_BONUS).when(n_q > 1, n_q * ref.QUESTION_INCR).otherwise(0.0)
     emph = n_excl * ref.EXCLAIM_INCR + q_amp
     s_final = F.when(s > 0, s + emph).when(s < 0, s - emph).otherwise(s)
     return (base.withColumn(out, F.when(F.col("content").isNull(), None).otherwise(compound(s_final)))
-                .drop("items", "but_pos", "all_caps"))
+                .drop("_s_plain", "_s_caps"))
