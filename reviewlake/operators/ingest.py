@@ -166,8 +166,10 @@ def metadata_to_json(app_metadata: DataFrame) -> DataFrame:
 
 def reviews_to_pages(reviews: DataFrame, page_size: int = 200) -> DataFrame:
     """Landed page records (JSON text) from reviews: ``page_size`` reviews per
-    page, keyed by the numeric part of review_id (each page is bounded)."""
-    no = F.substring("review_id", 2, 100).cast("bigint")
+    page, keyed by the numeric part of review_id (each page is bounded);
+    ids without one are spread over pages by hash."""
+    no = F.coalesce(F.substring("review_id", 2, 100).try_cast("bigint"),
+                    F.abs(F.xxhash64("review_id")))
     raw = F.struct(F.col("review_id").alias("reviewId"), F.col("user_name").alias("userName"),
                    "content", F.col("score").cast("string").alias("score"),
                    F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("at"),
