@@ -44,9 +44,12 @@ def previous_success_rows(runs: DataFrame, offset: int = 1, ts: str = "timestamp
     return out.select(r["*"], s["prev_rows"]).drop("_prev_succ")
 
 
-def run_anomaly_flag(runs_with_prev: DataFrame, ratio: float = RATIO) -> DataFrame:
+def run_anomaly_flag(runs_with_prev: DataFrame, ratio: float = RATIO, offset: int = 1) -> DataFrame:
     """FIRST_RUN / WARNING: Only {rows} rows vs {prev} last month / OK for
-    successful runs; failed runs carry no flag."""
+    successful runs; failed runs carry no flag.  ``prev_rows`` is computed
+    with ``previous_success_rows(offset)`` when the input lacks it."""
+    if "prev_rows" not in runs_with_prev.columns:
+        runs_with_prev = previous_success_rows(runs_with_prev, offset=offset)
     rows, prev = F.col("rows_loaded"), F.col("prev_rows")
     flag = (F.when(F.col("status") != "SUCCESS", F.lit(None))
              .when(prev.isNull() | (prev <= 0), F.lit("FIRST_RUN"))
@@ -66,12 +69,12 @@ def format_run_log(runs: DataFrame, limit: int = ERROR_LIMIT) -> DataFrame:
 
 def run_log_row(spark: SparkSession, status: str, rows_loaded: int, error_message: str | None,
                 duration_sec: float, anomaly_flag: str | None, task_name: str = "review_update",
-                now: _dt.datetime | None = None) -> DataFrame:
+                now: _dt.datetime | None = None, limit: int = ERROR_LIMIT) -> DataFrame:
     """One log row for a finished run (date = today, timestamp = now)."""
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = [(now.date(), task_name, status, int(rows_loaded), error_message, float(duration_sec),
             anomaly_flag, now)]
-    return format_run_log(spark.createDataFrame(row, schemas.PIPELINE_MONITORING))
+    return format_run_log(spark.createDataFrame(row, schemas.PIPELINE_MONITORING), limit)
 
 
 def alert_rows(runs: DataFrame, extra=()) -> DataFrame:

@@ -58,9 +58,12 @@ def with_sentiment(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id
                  .drop("valence_sum")
 
 
-def sentiment_score(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """review_id, sentiment (level 1)."""
-    return with_sentiment(reviews.select("review_id", "content"), lexicon).select("review_id", "sentiment")
+def sentiment_score(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None) -> DataFrame:
+    """review_id, sentiment: level 1, or level 2 when a modifier table is given."""
+    base = reviews.select("review_id", "content")
+    scored = with_sentiment(base, lexicon) if modifiers is None else \
+        with_sentiment_rules(base, lexicon, modifiers)
+    return scored.select("review_id", "sentiment")
 
 
 # ---------------------------------------------------------------- level 2

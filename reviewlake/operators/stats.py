@@ -246,3 +246,9 @@ def length_weights(features: DataFrame, by: str = "score", value: str = "word_co
     # value / (sum / n) = value * n / sum, rounded exactly.
     return j.withColumn("weight", round_div(F.col(value) * F.col("_n"), F.col("_sum"), digits)) \
             .drop("_sum", "_n")
+
+
+def sentiment_box_stats(enriched: DataFrame, whisker: float = 1.5, digits: int = 6) -> DataFrame:
+    """Box statistics of sentiment per score 1..5 (rows with both present)."""
+    rows = enriched.dropna(subset=["sentiment", "score"]).filter(F.col("score").isin(1, 2, 3, 4, 5))
+    return box_stats(rows, "sentiment", "score", whisker, digits)

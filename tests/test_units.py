@@ -188,3 +188,25 @@ def test_kde_density_integrates_to_one(spark):
     rows = sorted(S.kde_density(df, "x", grid=400).collect(), key=lambda r: r.grid_index)
     step = rows[1].x - rows[0].x
     assert abs(sum(r.density for r in rows) * step - 1.0) < 0.01
+
+
+def test_api_conveniences(spark):
+    from reviewlake.operators import sentiment as SE
+    from reviewlake.sources import reference_data as ref
+    d = dt.date(2024, 1, 1)
+    runs = _runs(spark, [(1, T(2024, 1, 1), d, "t", "SUCCESS", 100, None, 1.0),
+                         (2, T(2024, 2, 1), d, "t", "SUCCESS", 50, None, 1.0),
+                         (3, T(2024, 3, 1), d, "t", "SUCCESS", 5, None, 1.0)])
+    flags = {r.event_id: r.anomaly_flag for r in M.run_anomaly_flag(runs).collect()}
+    assert flags[3] == "WARNING: Only 5 rows vs 100 last month"
+    flags0 = {r.event_id: r.anomaly_flag for r in M.run_anomaly_flag(runs, offset=0).collect()}
+    assert flags0[3] == "WARNING: Only 5 rows vs 50 last month"
+    df = spark.createDataFrame([("a", "not good"), ("b", "good")], "review_id string, content string")
+    l1 = {r.review_id: r.sentiment for r in SE.sentiment_score(df, ref.seed_lexicon(spark)).collect()}
+    l2 = {r.review_id: r.sentiment for r in SE.sentiment_score(df, ref.seed_lexicon(spark),
+                                                                ref.modifiers(spark)).collect()}
+    assert l1["a"] == l1["b"] > 0 and l2["a"] < 0 < l2["b"]
+    e = spark.createDataFrame([(s, 0.1 * s) for s in (1, 2, 2, 5)] + [(None, 0.3)], "score int, sentiment double")
+    assert S.sentiment_box_stats(e).count() == 3
+    row = M.run_log_row(spark, "FAILURE", 0, "x" * 20, 1.0, None, limit=10).first()
+    assert row.error_message == "x" * 10 + " ..."
