@@ -11,7 +11,7 @@ import traceback
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlake.operators import (monitoring as M, quality as Q, sarcasm as SC, stats as S,
+from reviewlake.operators import (clusters as C, monitoring as M, quality as Q, sarcasm as SC, stats as S,
                                   timeseries as TS, users as U, versions as V, words as WD)
 from reviewlake.plans.enrich import enrich_reviews
 from reviewlake.plans.materialize import materialize
@@ -53,8 +53,11 @@ def monthly_update(spark: SparkSession, pages_dir: str, reviews_base: str, run_l
 def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame,
                     ngram_stopwords: list[str], out_dir: str) -> dict[str, str]:
     """Enrich once (written to the shared checkpoint folder), then write
-    every analysis table under ``out_dir``; returns name -> path."""
+    every analysis table under ``out_dir``; returns name -> path.  The
+    k-means fit also runs once: its user labels are materialised and feed
+    both the cluster summary and the per-version mix."""
     e = materialize(enrich_reviews(reviews, lexicon), "enriched-reviews")
+    clusters = materialize(C.user_clusters(C.user_features(e)), "user-clusters")
     sarcastic = SC.sarcastic_reviews(e)
     changes = U.user_change(e)
     freq = WD.word_freq_filtered(e, stopwords)
@@ -77,6 +80,9 @@ def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame
         "delta_direction": U.delta_direction(changes),
         "delta_describe": U.delta_describe(changes),
         "user_change_histograms": U.user_change_histograms(changes),
+        "user_clusters": clusters,
+        "cluster_summary": C.cluster_summary(clusters),
+        "cluster_mix_by_version": C.cluster_mix_by_version(e, clusters),
     }
     paths = {}
     for name, df in tables.items():

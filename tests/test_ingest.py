@@ -171,6 +171,7 @@ def test_analysis_report_writes_tables(spark, tmpdir_path):
                             ref.base_stopwords(), os.path.join(tmpdir_path, "report"))
     assert spark.read.parquet(paths["version_volume_rating"]).count() > 0
     assert spark.read.parquet(paths["top_ngrams"]).count() > 0
+    assert spark.read.parquet(paths["cluster_summary"]).count() == 4
 
 
 def test_full_load_then_metadata(spark, tmpdir_path):
