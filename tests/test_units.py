@@ -210,3 +210,28 @@ def test_api_conveniences(spark):
     assert S.sentiment_box_stats(e).count() == 3
     row = M.run_log_row(spark, "FAILURE", 0, "x" * 20, 1.0, None, limit=10).first()
     assert row.error_message == "x" * 10 + " ..."
+
+
+def test_histogram_matches_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    a = np.round(rng.normal(0, 1, 500), 4)
+    b = rng.integers(0, 40, 300).astype(float)
+    rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b]
+    df = spark.createDataFrame(rows, "metric string, x double")
+    got = {}
+    for r in S.histogram_by(df, "metric", "x", 30).collect():
+        got.setdefault(r.metric, {})[r.bin] = r["count"]
+    for name, arr in (("a", a), ("b", b)):
+        want, _ = np.histogram(arr, bins=30)
+        assert [got[name][i] for i in range(30)] == list(want)
+    single = {r.bin: r["count"] for r in S.histogram(df.filter("metric = 'b'"), "x", 30).collect()}
+    assert [single[i] for i in range(30)] == list(np.histogram(b, bins=30)[0])
+
+
+def test_describe_exact_and_approx(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    ex = S.describe(df, "x").first()
+    ap = S.describe(df, "x", approx=True).first()
+    assert (ex.p25, ex.p50, ex.p75, ex.mean) == (25.75, 50.5, 75.25, 50.5)
+    assert abs(ap.p50 - 50.5) <= 1.0 and ap["count"] == 100
