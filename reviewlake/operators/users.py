@@ -106,6 +106,12 @@ def delta_direction(changes: DataFrame, digits: int = 6) -> DataFrame:
 DELTAS = ["sent_delta", "score_delta", "len_delta", "days_gap"]
 
 
+def short_gap_filter(changes: DataFrame, max_gap: int = 365) -> DataFrame:
+    """Active users whose first and last reviews are less than ``max_gap``
+    whole days apart (the population of the gap histogram)."""
+    return changes.filter(F.col("days_gap") < max_gap)
+
+
 def delta_describe(changes: DataFrame, digits: int = 3) -> DataFrame:
     return stats.describe_many(changes, DELTAS, digits, scales={"sent_delta": 4})
 
@@ -113,9 +119,8 @@ def delta_describe(changes: DataFrame, digits: int = 3) -> DataFrame:
 def user_change_histograms(changes: DataFrame, bins: int = 30, max_gap: int = 365) -> DataFrame:
     """30-bin histograms of the three deltas and of days_gap < max_gap,
     all from one pass (columns stacked into (metric, x))."""
-    long = stats.to_long(
-        changes.withColumn("days_gap", F.when(F.col("days_gap") < max_gap, F.col("days_gap"))),
-        DELTAS)
+    gap = F.when(F.col("days_gap") < max_gap, F.col("days_gap"))  # short_gap_filter, per column
+    long = stats.to_long(changes.withColumn("days_gap", gap), DELTAS)
     return stats.histogram_by(long, "metric", "x", bins)
 
 

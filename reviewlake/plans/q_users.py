@@ -74,6 +74,11 @@ def _user_change(I):
     return U.user_change(I.enriched)
 
 
+@register("short_gap_filter", W(["E", "active"], UC + "SELECT user_name, days_gap FROM uc WHERE days_gap < 365"))
+def _short_gap_filter(I):
+    return U.short_gap_filter(U.user_change(I.enriched)).select("user_name", "days_gap")
+
+
 @register("delta_direction", W(["E", "active"], UC + f"""
 SELECT {O.round_div("count(*) FILTER (WHERE score_delta > 0)", "count(*)")} AS up_share,
   {O.round_div("count(*) FILTER (WHERE score_delta < 0)", "count(*)")} AS down_share,
