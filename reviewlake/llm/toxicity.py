@@ -27,12 +27,12 @@ PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class Params:
     bits: int = 20            # hashed feature space
-    alpha: float = 0.1        # rate
+    alpha: float = 3.0        # rate
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
-    epochs: int = 3
-    shards: int = 8           # trained side by side, then averaged
+    l1: float = 3.0
+    l2: float = 0.0
+    epochs: int = 10
+    shard_docs: int = 8_000   # labelled rows trained in one sequence; several are averaged
     max_docs: int = 24_000    # bound of the labelled sample
     threshold: float = 0.3
 
@@ -88,7 +88,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.
 
     With no labelled row at all the model is empty and every score 0.5.
     """
-    sample = labelled_sample(docs, labels, p.max_docs).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(p.shards)))
+    shards = -(-min(labels.select("doc_id").distinct().count(), p.max_docs) // p.shard_docs)
+    sample = labelled_sample(docs, labels, p.max_docs).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, shards))))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         cache = WordHashes()
