@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlake.llm import simhash, spm, toxicity
+from reviewlake.llm import langid, quality, simhash, spm, toxicity
 from reviewlake.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -23,7 +31,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_simhash, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op3_language, op7_simhash, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
