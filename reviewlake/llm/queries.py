@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlake.llm import langid, quality, simhash, spm, toxicity
+from reviewlake.llm import langid, quality, sharding, simhash, spm, toxicity
 from reviewlake.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -31,7 +35,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_language, op7_simhash, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op3_language, op5_hilbert, op7_simhash, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
