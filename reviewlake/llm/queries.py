@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlake.llm import langid, quality, sharding, simhash, spm, toxicity
+from reviewlake.llm import langid, quality, sharding, simhash, spm, substring, toxicity
 from reviewlake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -35,7 +39,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_language, op5_hilbert, op7_simhash, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op7_simhash, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
