@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -94,7 +94,7 @@ def map_texts(docs: DataFrame, keep: list[str], start: Callable, fields: str, te
     are not read, so names cannot clash.
     """
     bounded_batches(docs.sparkSession)
-    names = [f.strip().split()[0] for f in fields.split(", ")]
+    names = [f.split()[0] for f in re.split(r",\s*(?![^<]*>)", fields)]  # commas within <...> belong to a type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = start()

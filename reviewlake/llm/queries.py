@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlake.llm import langid, quality, sharding, simhash, spm, substring, toxicity
+from reviewlake.llm import langid, linededup, quality, sharding, simhash, spm, substring, toxicity
 from reviewlake.llm.common import table
 
 
@@ -30,6 +31,45 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH lined AS (
+  SELECT doc_id, text, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines
+  FROM documents),
+starts AS (
+  SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS j,
+         unnest(list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\x09-\x0D\x20]+')))) AS words
+  FROM lined),
+summed AS (
+  SELECT doc_id, lines, j, sum(words) OVER w AS upto, sum(words) OVER w - words AS before
+  FROM starts WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+runs AS (
+  SELECT a.doc_id, a.j, b.j AS last, array_to_string(list_slice(a.lines, a.j, b.j), chr(10)) AS run
+  FROM summed a ASOF JOIN summed b ON a.doc_id = b.doc_id AND a.before + 8 <= b.upto),
+copies AS (
+  SELECT doc_id, j, last, row_number() OVER (PARTITION BY run ORDER BY doc_id, j) AS k FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(j, last + 1)) AS j FROM copies WHERE k > 1),
+counted AS (SELECT doc_id, count(*) AS n, list(j) AS js FROM gone GROUP BY doc_id),
+numbered AS (
+  SELECT doc_id, text, x, i, sum(has) OVER (PARTITION BY doc_id ORDER BY i) AS j, has
+  FROM (SELECT doc_id, text, x, i, CAST(regexp_matches(x, '[^\x09-\x0D\x20]') AS INT) AS has
+        FROM (SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
+                     unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents))),
+kept AS (
+  SELECT n.doc_id, string_agg(x, chr(10) ORDER BY i) FILTER (has = 0 OR g.j IS NULL) AS rest, sum(has) AS n_lines,
+         count(g.j) FILTER (has = 1) AS n_removed
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.j = g.j AND has = 1
+  GROUP BY n.doc_id)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(CASE WHEN n_removed > 0 AND n_removed = n_lines THEN '' ELSE coalesce(rest, '') END) AS kept_sha256
+FROM kept
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,8 +79,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op7_simhash, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op7_simhash, op8_lines, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_lines": OP8_SQL}
