@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import langid, linededup, quality, sharding, simhash, spm, substring, toxicity
+from reviewlake.llm import decontam, langid, linededup, quality, sharding, simhash, spm, substring, toxicity
 from reviewlake.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -79,7 +83,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op7_simhash, op8_lines, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op6_decontam, op7_simhash, op8_lines, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
