@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import decontam, langid, linededup, quality, sharding, simhash, spm, substring, toxicity
+from reviewlake.llm import ann, decontam, langid, linededup, quality, sharding, simhash, spm, substring, toxicity
 from reviewlake.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -83,7 +87,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op5_hilbert, op6_decontam, op7_simhash, op8_lines, op9_toxicity, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_quality, op2_substring, op3_language, op4_neighbours, op5_hilbert, op6_decontam, op7_simhash, op8_lines, op9_toxicity, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
