@@ -59,7 +59,15 @@ class Scratch:
             return
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        """Write and read back; the shuffle files behind the table go at once, not when the driver collects garbage."""
+        tidy, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
+        try:
+            before = self.spark.conf.get(tidy)
+            self.spark.conf.set(tidy, "true")
+            df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        finally:
+            if before is not None:
+                self.spark.conf.set(tidy, before)
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def drop(self, name: str) -> None:
@@ -86,12 +94,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame
             .groupBy("doc_id", "y").agg(F.max("text").alias("text")))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def map_texts(docs: DataFrame, keep: list[str], start: Callable, fields: str, text: str = "text") -> DataFrame:
     """``keep`` columns of every row, unchanged, and the columns ``fields`` computed from its text.
 
     ``start()`` runs once in a task and returns a function from a list of
     texts (null: None) to one array or list for each field.  Other columns
-    are not read, so names cannot clash.
+    are not read.
     """
     bounded_batches(docs.sparkSession)
     names = [f.split()[0] for f in re.split(r",\s*(?![^<]*>)", fields)]  # commas within <...> belong to a type
@@ -100,9 +115,10 @@ def map_texts(docs: DataFrame, keep: list[str], start: Callable, fields: str, te
         fn = start()
         for b in batches:
             if b.num_rows:
-                made = fn(b.column("_text").to_pylist())
+                made = fn(b.column(own).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(x if isinstance(x, pa.Array) else pa.array(x) for x in made)], [*keep, *names])
 
-    source = docs.select(*keep, F.col(text).alias("_text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"]
+    own = text if text in keep else unused(docs, "_text")  # a text that is kept is sent once
+    source = docs.select(*keep) if own == text else docs.select(*keep, F.col(text).alias(own))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep]
     return source.mapInArrow(run, ", ".join([*kept, fields]))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import Scratch, bounded_batches, map_texts
+from reviewlake.llm.common import Scratch, bounded_batches, map_texts, unused
 
 WORD = re.compile(r"\w+")
 
@@ -284,5 +284,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> Data
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text contains no item."""
-    hit = Scratch(docs.sparkSession, "leaks").store(matches(docs, benchmark, p).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "hit")
-    return docs.withColumn("_hash", F.xxhash64("text")).join(hit, F.expr("doc_id <=> _id AND _hash = _th"), "left_anti").drop("_hash")
+    ident, own, other = (unused(docs, c) for c in ("_id", "_own_hash", "_hash"))
+    hit = matches(docs, benchmark, p).select(F.col("doc_id").alias(ident), F.col("th").alias(other)).distinct()
+    return docs.withColumn(own, F.xxhash64("text")).join(
+        hit, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(other)), "left_anti").drop(own)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import Scratch, map_texts
+from reviewlake.llm.common import Scratch, map_texts, unused
 from reviewlake.llm.components import components
 
 SEED = 42
@@ -157,10 +157,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     smallest hash of its text stays, and one of equal rows.
     """
     found = near_duplicates(docs, shingle, max_bits)
+    ident, own_hash, chosen_hash, copies = (unused(docs, c) for c in ("_id", "_own_hash", "_hash", "_copies"))
     row = found.groupBy("component_id", "root", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     chosen = row.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash", "copies")).alias("c")).select(
-        F.col("c.doc_id").alias("_id"), F.col("c.text_hash").alias("_hash"), F.col("c.copies").alias("_copies"))
-    kept = docs.withColumn("_text_hash", F.xxhash64("text")).join(
-        chosen, F.expr("doc_id <=> _id AND _text_hash = _hash"))
-    once = kept.where("_copies > 1").dropDuplicates(["_id", "_hash"])  # only rows that repeat wholly
-    return kept.where("_copies = 1").union(once).select(*docs.columns)
+        F.col("c.doc_id").alias(ident), F.col("c.text_hash").alias(chosen_hash), F.col("c.copies").alias(copies))
+    kept = docs.withColumn(own_hash, F.xxhash64("text")).join(
+        chosen, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own_hash) == F.col(chosen_hash)))
+    once = kept.where(F.col(copies) > 1).dropDuplicates([ident, chosen_hash])  # only rows that repeat wholly
+    return kept.where(F.col(copies) == 1).union(once).select(*docs.columns)

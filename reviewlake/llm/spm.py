@@ -203,18 +203,23 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def encode(docs: DataFrame, keep: list[str] | None = None, model: str = MODEL) -> DataFrame:
-    """``keep`` columns (default doc_id) and ``ids`` array<int> of every row.
+    """``keep`` columns (default doc_id), ``ids`` array<int>, ``n_tokens`` and ``decoded_equal`` of every row.
 
     Null and empty texts have no ids.  Whole texts are encoded, however
-    long; columns not named are not read.
+    long, and decoded again to compare; columns not named are not read.
     """
     v = load(model)
 
     def start():
         e = Encoder(v)
-        return lambda texts: [lists(e.encode(texts))]
 
-    return map_texts(docs, keep or ["doc_id"], start, "ids array<int>")
+        def run(texts):
+            ids = e.encode(texts)
+            return [lists(ids), np.array([len(i) for i in ids], np.int64),
+                    np.array([decode_ids(i.tolist(), v) == (t or "") for i, t in zip(ids, texts)], bool)]
+        return run
+
+    return map_texts(docs, keep or ["doc_id"], start, "ids array<int>, n_tokens long, decoded_equal boolean")
 
 
 def decode(encoded: DataFrame, keep: list[str] | None = None, model: str = MODEL) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import held_out, labelled_sample, map_texts
+from reviewlake.llm.common import held_out, labelled_sample, map_texts, unused
 
 WORD = re.compile(r"\w+")
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -108,8 +108,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], p: Params = Params(),
-          keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id), score double and predicted int of every row.
+          keep: list[str] | None = None, made: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``keep`` columns (default doc_id) of every row, its score double and predicted int, named by ``made``.
 
     Null, empty and wordless texts get the bias alone.  Columns that are
     not named in ``keep`` are not read, so extra columns cannot clash.
@@ -125,10 +125,19 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], p: Param
             return [s, (s >= p.threshold).astype(np.int32)]
         return run
 
-    return map_texts(docs, keep or ["doc_id"], scorer, "score double, predicted int")
+    return map_texts(docs, keep or ["doc_id"], scorer, f"{made[0]} double, {made[1]} int")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic; learnt as in ``toxicity``."""
+    s, rejected = unused(docs, "score"), unused(docs, "predicted")
+    return score(docs, train(docs, training_labels(labels), p), p, docs.columns, (s, rejected)).where(F.col(rejected) == 0).drop(s, rejected)
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    return labels.where(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", F.col("toxic").alias("y"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, held_out, score, predicted for every document; learnt from rows not held out."""
-    y = labels.where(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", F.col("toxic").alias("y"))
-    return score(docs, train(docs, y, p), p).select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+    return score(docs, train(docs, training_labels(labels), p), p).select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
