@@ -7,16 +7,17 @@ so only anchors need buckets.
 
 1. Initial buckets: anchors with equal q-grams.  Anchors alone in a bucket
    are dropped with all their windows.
-2. Refinement: members of a bucket are split by the identifier of all bytes
-   that their windows reach, before and behind the anchor.  Members that
-   stay together are repeats in every window.
-3. Buckets that fell apart are refined once more, window by window: the
-   windows around one member of each part take identifiers of ``length``
-   bytes at the later offsets, and windows with equal identifiers are
-   repeats.  The result for a part is used again for all its members.
-
-Buckets are formed by map-side counts of 64-bit q-gram hashes and 128-bit
-identifiers; no bucket is ever gathered in one task.  Texts that occur in
+2. Refinement: the members of a bucket are split by the identifier of all
+   bytes that their windows reach, at the later offsets and before.  Members
+   that stay together are repeats in every window, and one of them stands
+   for all from here on.
+3. Buckets that fell apart are refined again, a range of offsets at a time:
+   the bytes that all windows of a range share are the next bucket, the
+   bytes that any of them reaches the next part.  Ranges get smaller until
+   they are single windows, and only those of mixed buckets go on.
+
+Buckets are formed by map-side counts of 128-bit identifiers (bucket and
+part together); no bucket is ever gathered in one task.  Texts that occur in
 several rows take part once, with their number.
 """
 
@@ -41,7 +42,8 @@ BLOCK = 1 << 20  # bytes of a text looked at together
 @dataclass(frozen=True)
 class Params:
     length: int = 200
-    gram: int = 32
+    gram: int = 64                       # a power of two, at most the length
+    ranges: tuple[int, ...] = (32, 8, 1)  # offsets refined together, ending with 1
 
 
 def ordered_hashes(b: np.ndarray, gram: int) -> np.ndarray:
@@ -95,14 +97,23 @@ def merged(first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray
     return first[new], np.append(end[:-1][new[1:]], end[-1])
 
 
+def packed_run(first: np.ndarray, last: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """First window, anchor behind it and windows after it, in one long; windows are shorter than 4096 bytes."""
+    return first << 24 | (a - first) << 12 | (last - first)
+
+
 def anchor_rows(texts: DataFrame, p: Params) -> DataFrame:
-    """A row for each anchor of a text: text, bucket, identifier of the bytes its windows reach, window run."""
+    """A row for each anchor of a text: text key, window run, bucket and part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, size = [[] for _ in range(6)], 0
+            out: list[list] = [[], [], [], []]
+
             def made():
-                return pa.RecordBatch.from_arrays([signed(np.concatenate(c)) if k < 4 else pa.array(np.concatenate(c).astype(np.int32)) for k, c in enumerate(out)],
-                                                  ["t", "bucket", "c1", "c2", "first", "last"])
+                rows = pa.RecordBatch.from_arrays([signed(np.concatenate(c)) for c in out], ["t", "at", "bucket", "part"])
+                for c in out:
+                    c.clear()
+                return rows
+
             for text in batch.column("text").to_pylist():
                 b = (text or "").encode()
                 first, last, a = anchors(b, p)
@@ -110,18 +121,15 @@ def anchor_rows(texts: DataFrame, p: Params) -> DataFrame:
                     continue
                 gram = [xxhash.xxh3_64_intdigest(b[i:i + p.gram]) for i in a.tolist()]
                 # The anchor's place in its bytes belongs to the identifier.
-                whole = [xxhash.xxh3_128_intdigest(b[i:j + p.length], k - i) for i, j, k in zip(first.tolist(), last.tolist(), a.tolist())]
-                for c, x in zip(out, (np.full(len(a), text_key(b), np.uint64), np.array(gram, np.uint64), np.array([w >> 64 for w in whole], np.uint64),
-                                      np.array([w & (1 << 64) - 1 for w in whole], np.uint64), first, last)):
+                part = [xxhash.xxh3_64_intdigest(b[i:j + p.length], k - i) for i, j, k in zip(first.tolist(), last.tolist(), a.tolist())]
+                for c, x in zip(out, (np.full(len(a), text_key(b), np.uint64), packed_run(first, last, a).astype(np.uint64), np.array(gram, np.uint64), np.array(part, np.uint64))):
                     c.append(x)
-                size += len(a)
-                if size > 200_000:
+                if sum(map(len, out[0])) > 200_000:
                     yield made()
-                    out, size = [[] for _ in range(6)], 0
-            if size:
+            if out[0]:
                 yield made()
 
-    return texts.select("text").mapInArrow(run, "t long, bucket long, c1 long, c2 long, first int, last int")
+    return texts.select("text").mapInArrow(run, "t long, at long, bucket long, part long")
 
 
 def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -137,42 +145,70 @@ def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
     return map_texts(docs, keep, start, "t long, z binary")
 
 
-def window_rows(parts: DataFrame, p: Params) -> DataFrame:
-    """A row for each window of (z, t, runs): text, window and the 128-bit identifier of its bytes."""
+def reached(texts: DataFrame, p: Params) -> DataFrame:
+    """(t, at, bytes): the bytes that the windows of some runs reach, from (z, ats) of their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            for t, blob, runs in zip(batch.column("t").to_pylist(), batch.column("z").to_pylist(), batch.column("runs").to_pylist()):
+            for t, blob, ats in zip(batch.column("t").to_pylist(), batch.column("z").to_pylist(), batch.column("ats").to_pylist()):
                 b = z.decompress(blob)
-                starts = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs]))
-                for k in range(0, len(starts), 100_000):
-                    some = starts[k:k + 100_000]
-                    ids = [xxhash.xxh3_128_intdigest(b[i:i + p.length]) for i in some.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), t, np.int64)), pa.array(some.astype(np.int32)),
-                                                      signed([i >> 64 for i in ids]), signed([i & (1 << 64) - 1 for i in ids])], ["t", "first", "w1", "w2"])
+                for k in range(0, len(ats), 10_000):
+                    some = ats[k:k + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), t, np.int64)), pa.array(some, pa.int64()),
+                                                      pa.array([b[i >> 24:(i >> 24) + (i & 4095) + p.length] for i in some], pa.binary())], ["t", "at", "bytes"])
 
-    return parts.mapInArrow(run, "t long, first int, w1 long, w2 long")
+    return texts.mapInArrow(run, "t long, at long, bytes binary")
+
+
+def range_rows(parts: DataFrame, size: int, p: Params) -> DataFrame:
+    """A row for each range of ``size`` offsets from the anchor that a run (t, at, low, high, bytes) has.
+
+    Offsets low..high of the run are looked at.  ``bucket`` identifies the
+    bytes that all windows of the full range share, ``part`` those that the
+    run's windows in it reach; both with their place beside the anchor.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[int]] = [[] for _ in range(8)]
+            for t, at, low, high, b in zip(*(batch.column(c).to_pylist() for c in ("t", "at", "low", "high", "bytes"))):
+                a = at >> 12 & 4095  # the anchor's place in the bytes
+                for g in range(low // size, high // size + 1):
+                    lo, hi = max(low, g * size), min(high, g * size + size - 1)
+                    core = xxhash.xxh3_128_intdigest(b[a - g * size:a - g * size - size + 1 + p.length], g * 8192 + size)
+                    span = xxhash.xxh3_128_intdigest(b[a - hi:a - lo + p.length], lo)
+                    for c, x in zip(out, (t, at, lo, hi, core >> 64, core, span >> 64, span)):
+                        c.append(x & (1 << 64) - 1)
+            yield pa.RecordBatch.from_arrays([signed(c) for c in out], ["t", "at", "low", "high", "bucket", "bucket2", "part", "part2"])
+
+    return parts.mapInArrow(run, "t long, at long, low long, high long, bucket long, bucket2 long, part long, part2 long")
 
 
 def repeats(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> DataFrame:
     """(t, first, last): runs of windows, by text key, whose bytes also start elsewhere."""
     bounded_batches(docs.sparkSession)
-    found = scratch.store(anchor_rows(docs, p), "anchors")
+    first, behind, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(4095), F.col("at").bitwiseAND(4095)
     # Initial buckets: those of one anchor hold no repeat.
+    found = scratch.store(anchor_rows(docs, p), "anchors")
     shared = found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = scratch.store(found.join(shared, "bucket").groupBy("t", "bucket", "c1", "c2", "first", "last").agg(F.count("*").alias("n")), "members")
+    rows = scratch.store(found.join(shared, "bucket").select("t", "at", (behind - more).alias("low"), behind.alias("high"), "bucket", F.lit(0).cast("long").alias("bucket2"),
+                                                             "part", F.lit(0).cast("long").alias("part2")), "rows0")
     scratch.drop("anchors")
-    # Refinement by identifier; a part is represented by one of its members.
-    part = scratch.store(members.groupBy("bucket", "c1", "c2").agg(F.sum("n").alias("n"), F.min(F.struct("t", "first", "last")).alias("one")), "parts")
-    apart = part.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1").select("bucket")
-    open_parts = scratch.store(part.join(apart, "bucket"), "open")
-    # Window by window, once for each part.
-    runs = open_parts.groupBy(F.col("one.t").alias("t")).agg(F.collect_set(F.struct("one.first", "one.last")).alias("runs"))
-    windows = scratch.store(window_rows(packed(docs, []).dropDuplicates(["t"]).join(runs, "t"), p), "windows")
-    same = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    alone = windows.join(same, ["w1", "w2"]).select("t", "first", F.col("first").alias("last"))
-    together = members.join(part.where("n > 1").select("bucket", "c1", "c2"), ["bucket", "c1", "c2"]).select("t", "first", "last")
-    return together.union(alone)
+    bytes_of, gone = None, None
+    for size in (*p.ranges, 0):
+        # Parts of one bucket; one of its members stands for a part.
+        bucket, part = ["bucket", "bucket2"], ["bucket", "bucket2", "part", "part2"]
+        parts = scratch.store(rows.groupBy(*part).agg(F.count("*").alias("n"), F.min(F.struct("t", "at", "low", "high")).alias("one")), f"parts{size}")
+        same = rows.join(parts.where("n > 1").select(*part), part).select("t", (first + behind - F.col("high")).alias("first"), (first + behind - F.col("low")).alias("last"))
+        same = scratch.store(same.distinct(), f"same{size}")
+        gone = same if gone is None else gone.union(same)
+        if not size:
+            return gone
+        mixed = parts.groupBy(*bucket).agg(F.count("*").alias("parts")).where("parts > 1").select(*bucket)
+        ahead = parts.join(mixed, bucket).select("one.*")
+        if bytes_of is None:
+            runs = ahead.groupBy("t").agg(F.collect_set("at").alias("ats"))
+            bytes_of = scratch.store(reached(packed(docs, []).dropDuplicates(["t"]).join(runs, "t"), p), "bytes")
+        rows = scratch.store(range_rows(ahead.join(bytes_of, ["t", "at"]), size, p), f"rows{size}")
 
 
 def remove_repeats(docs: DataFrame, p: Params = Params()) -> DataFrame:
