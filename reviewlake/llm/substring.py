@@ -43,7 +43,7 @@ BLOCK = 1 << 20  # bytes of a text looked at together
 class Params:
     length: int = 200
     gram: int = 64                       # a power of two, at most the length
-    ranges: tuple[int, ...] = (32, 8, 1)  # offsets refined together, ending with 1
+    ranges: tuple[int, ...] = (16, 1)  # offsets refined together, ending with 1
 
 
 def ordered_hashes(b: np.ndarray, gram: int) -> np.ndarray:
@@ -189,7 +189,8 @@ def repeats(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> DataFram
     first, behind, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(4095), F.col("at").bitwiseAND(4095)
     # Initial buckets: those of one anchor hold no repeat.
     found = scratch.store(anchor_rows(docs, p), "anchors")
-    shared = found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    # Counts are stored before they are joined, so that AQE can split a bucket with very many members.
+    shared = scratch.store(found.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "shared")
     rows = scratch.store(found.join(shared, "bucket").select("t", "at", (behind - more).alias("low"), behind.alias("high"), "bucket", F.lit(0).cast("long").alias("bucket2"),
                                                              "part", F.lit(0).cast("long").alias("part2")), "rows0")
     scratch.drop("anchors")
@@ -199,11 +200,11 @@ def repeats(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> DataFram
         bucket, part = ["bucket", "bucket2"], ["bucket", "bucket2", "part", "part2"]
         parts = scratch.store(rows.groupBy(*part).agg(F.count("*").alias("n"), F.min(F.struct("t", "at", "low", "high")).alias("one")), f"parts{size}")
         same = rows.join(parts.where("n > 1").select(*part), part).select("t", (first + behind - F.col("high")).alias("first"), (first + behind - F.col("low")).alias("last"))
-        same = scratch.store(same.distinct(), f"same{size}")
+        same = scratch.store(same, f"same{size}")
         gone = same if gone is None else gone.union(same)
         if not size:
             return gone
-        mixed = parts.groupBy(*bucket).agg(F.count("*").alias("parts")).where("parts > 1").select(*bucket)
+        mixed = scratch.store(parts.groupBy(*bucket).agg(F.count("*").alias("parts")).where("parts > 1").select(*bucket), f"mixed{size}")
         ahead = parts.join(mixed, bucket).select("one.*")
         if bytes_of is None:
             runs = ahead.groupBy("t").agg(F.collect_set("at").alias("ats"))
