@@ -82,7 +82,8 @@ def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
         fits = list(pool.map(fit, range(restarts)))
     best = min(fits, key=lambda f: (f[0], f[1]))
-    assigned = best[2].transform(scaled).drop("features")
+    assigned = best[2].transform(scaler.transform(vec).select("user_name", *FEATURES, "features")).drop("features")
+    scaled.unpersist()
     means = assigned.groupBy("raw_cluster").agg(*[F.avg(c).alias(c) for c in FEATURES])
     # k rows: the relabelling map is a bounded broadcast side.
     relabel = means.select("raw_cluster", (F.row_number().over(
@@ -98,8 +99,11 @@ def cluster_summary(users: DataFrame, digits: int = 2) -> DataFrame:
 
 def attach_clusters(reviews: DataFrame, users: DataFrame) -> DataFrame:
     """reviews LEFT JOIN user clusters on user_name (shuffle join: the user
-    table grows with the data and is never force-broadcast)."""
-    return reviews.join(users.select("user_name", "cluster"), "user_name", "left")
+    table grows with the data and is never force-broadcast).  Rows without a
+    name have no cluster and stay out of the join."""
+    named = reviews.filter(F.col("user_name").isNotNull()).join(users.select("user_name", "cluster"), "user_name", "left")
+    bare = reviews.filter(F.col("user_name").isNull()).withColumn("cluster", F.lit(None).cast("int"))
+    return named.unionByName(bare)
 
 
 def cluster_mix_by_version(reviews: DataFrame, users: DataFrame, k: int = 4, digits: int = 6) -> DataFrame:

@@ -4,8 +4,8 @@ MERGE on plain Parquet has no row-level catalog, so the merge is written
 as joins that produce the new table image (copy-on-write):
 
 * target LEFT JOIN batch - every existing row, updated where the batch
-  matches.  The batch is broadcast when its size check passes, so the big
-  target is streamed once without any exchange;
+  matches.  AQE broadcasts a batch of few bytes, so the big target is
+  streamed once without any exchange;
 * batch LEFT ANTI target - the new ids; only the target's key column is
   read and shuffled for it.
 
@@ -15,13 +15,11 @@ path is never overwritten while it is being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from reviewlake import schemas
-from reviewlake.plans.broadcast import bounded_broadcast
 
 UPDATE_COLUMNS = ("content", "score", "created_at", "app_version")
-MERGE_BROADCAST_ROWS = 200_000
 
 
 def normalize_raw_reviews(raw: DataFrame) -> DataFrame:
@@ -34,8 +32,10 @@ def normalize_raw_reviews(raw: DataFrame) -> DataFrame:
 def coerce_types(df: DataFrame) -> DataFrame:
     """Lenient typing: unparsable timestamps and scores become null,
     timestamps are cut to whole seconds, scores truncated to int."""
+    # Whole seconds of the wall clock itself: a way through the session's
+    # zone would move times inside a daylight-saving gap.
     ts = F.col("created_at").cast("string").try_cast("timestamp_ntz")
-    ts = F.date_trunc("SECOND", ts).cast("timestamp_ntz")
+    ts = F.substring_index(ts.cast("string"), ".", 1).try_cast("timestamp_ntz")
     score = F.col("score").cast("string").try_cast("double")
     score = F.when(score.isNull() | F.isnan(score), None).otherwise(score.try_cast("int"))
     return df.select(F.col("review_id").cast("string"), F.col("user_name").cast("string"),
@@ -48,9 +48,21 @@ def explode_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("reviews").alias("r")).select("r.*")
 
 
+def _read_pages(json_lines: DataFrame, col: str) -> DataFrame:
+    checked = T.StructType([*schemas.REVIEW_PAGE.fields, T.StructField("_bad", T.StringType())])
+    page = F.from_json(F.col(col), checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    lines = json_lines.filter(F.trim(F.col(col)) != "").select(F.col(col), page.alias("p"))
+    return lines.withColumn("_ok", F.coalesce(F.col("p._bad").isNull() & F.col("p.reviews").isNotNull(), F.lit(False)))
+
+
 def parse_pages(json_lines: DataFrame, col: str = "value") -> DataFrame:
-    """Page records from JSON text (one page per line)."""
-    return json_lines.select(F.from_json(F.col(col), schemas.REVIEW_PAGE).alias("p")).select("p.*")
+    """Page records from JSON text (one page per line); lines that are no page are left to ``bad_pages``."""
+    return _read_pages(json_lines, col).filter("_ok").select("p.page_no", "p.reviews")
+
+
+def bad_pages(json_lines: DataFrame, col: str = "value") -> DataFrame:
+    """The lines that are no page record: malformed, cut short or without reviews; blank ones are none."""
+    return _read_pages(json_lines, col).filter("NOT _ok").select(F.col(col).alias("value"))
 
 
 def stage_reviews(batch: DataFrame) -> DataFrame:
@@ -98,11 +110,9 @@ def merge_reviews(target: DataFrame, batch: DataFrame, update=UPDATE_COLUMNS) ->
     user_name, from the target; unmatched batch rows are inserted whole."""
     cols = schemas.REVIEW_COLUMNS
     src = dedupe_batch(stage_reviews(batch))
-    # The monthly batch is broadcast only when it has at most MERGE_BROADCAST_ROWS
-    # rows (a full review row is a few hundred bytes); above that the target
-    # is joined by shuffle (its review_id bucketing then spares its exchange).
-    s = bounded_broadcast(src.select(*[F.col(c).alias(f"s_{c}") for c in cols]), "merge_batch",
-                          MERGE_BROADCAST_ROWS)
+    # No hint: AQE broadcasts the batch when its measured bytes allow it, else
+    # the target is joined by shuffle and skewed partitions are split.
+    s = src.select(*[F.col(c).alias(f"s_{c}") for c in cols])
     t = target.select(*cols)
     kept = t.join(s, t["review_id"] == s["s_review_id"], "left")
     matched = F.col("s_review_id").isNotNull()
@@ -130,14 +140,14 @@ def merge_report(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def map_app_metadata(meta_json: DataFrame, fetched_at=None, col: str = "value",
-                     default_developer: str | None = None, default_genre: str | None = None,
-                     default_url: str | None = None, default_sale: bool = False) -> DataFrame:
+                     default_developer: str | None = "unknown developer", default_genre: str | None = "Productivity",
+                     default_url: str | None = "https://store.example/app", default_sale: bool = False) -> DataFrame:
     """Store metadata JSON -> app_metadata row.  Defaults apply to absent
-    keys; Spark's JSON reader cannot tell absent from null, so both get the
-    default."""
+    keys unless None is passed; Spark's JSON reader cannot tell absent from
+    null, so both get the default."""
     m = meta_json.select(F.from_json(F.col(col), schemas.APP_METADATA_JSON).alias("m")).select("m.*")
     fetched = F.lit(fetched_at).cast("timestamp_ntz") if fetched_at is not None else \
-        F.to_utc_timestamp(F.current_timestamp(), "UTC").cast("timestamp_ntz")
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
     dflt = lambda c, v: F.coalesce(F.col(c), F.lit(v)) if v is not None else F.col(c)
     return m.select(
         F.col("version").alias("app_version"), F.col("title"),
@@ -169,11 +179,11 @@ def reviews_to_pages(reviews: DataFrame, page_size: int = 200) -> DataFrame:
     page, keyed by the numeric part of review_id (each page is bounded);
     ids without one are spread over pages by hash."""
     no = F.coalesce(F.substring("review_id", 2, 100).try_cast("bigint"),
-                    F.abs(F.xxhash64("review_id")))
+                    F.shiftrightunsigned(F.xxhash64("review_id"), 1))
     raw = F.struct(F.col("review_id").alias("reviewId"), F.col("user_name").alias("userName"),
                    "content", F.col("score").cast("string").alias("score"),
                    F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("at"),
                    F.col("app_version").alias("appVersion"))
-    pages = reviews.groupBy(F.floor(no / page_size).cast("int").alias("page_no")) \
+    pages = reviews.withColumn("abs_no", no).groupBy(F.expr(f"abs_no div {int(page_size)}").alias("page_no")) \
                    .agg(F.collect_list(raw).alias("reviews"))
     return pages.select(F.to_json(F.struct("page_no", "reviews")).alias("value"))

@@ -1,9 +1,9 @@
 """Pipeline run log: row building, anomaly flags, alerts, dashboard view.
 
-The run log has one row per pipeline run (monthly cadence), so the few
-unpartitioned windows here only ever see that small frame; the only input
-that grows with the data is ``reviews`` and it is reduced to one
-field-check row (a global aggregate) before it meets the log.
+Runs are numbered hour by hour: a window inside each hour, on top of a
+running sum over one row for each hour, so no task sees the whole log.
+``reviews`` is reduced to one field-check row (a global aggregate) before
+it meets the log.
 """
 
 from __future__ import annotations
@@ -27,21 +27,25 @@ def previous_success_rows(runs: DataFrame, offset: int = 1, ts: str = "timestamp
     strictly before each run (offset=1 is the second latest, as the loader's
     ``LIMIT 1 OFFSET 1`` query returns before the current run is logged).
 
-    Successes are numbered once; each run counts the successes before it
-    and equi-joins to the one it needs - linear, no per-row lists.
+    Successes before an hour are counted over one row for each hour, those
+    within it by a window on the hour; each run then equi-joins to the
+    success that it needs.  Rows without a timestamp come first.
     """
-    tie = tie if tie and tie in runs.columns else None
-    cols = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    w = Window.orderBy(*cols) if by is None else Window.partitionBy(by).orderBy(*cols)
-    succ = F.col("status") == "SUCCESS"
-    r = runs.withColumn("_prev_succ", F.count(F.when(succ, 1)).over(
-        w.rowsBetween(Window.unboundedPreceding, -1)))
+    cols = [F.col(ts)] + ([F.col(tie)] if tie and tie in runs.columns else [])
     keys = [by] if by else []
-    s = runs.filter(succ).select(*keys, F.row_number().over(w).alias("_succ_no"),
-                                 F.col("rows_loaded").alias("prev_rows"))
-    cond = [r["_prev_succ"] - offset == s["_succ_no"]] + ([r[by] == s[by]] if by else [])
-    out = r.join(s, cond, "left")
-    return out.select(r["*"], s["prev_rows"]).drop("_prev_succ")
+    succ = F.col("status") == "SUCCESS"
+    timed = runs.withColumn("_hour", F.coalesce(F.date_trunc("hour", ts).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")))
+    hours = timed.groupBy(*keys, "_hour").agg(F.count_if(succ).alias("_in_hour"))
+    before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_hour").alias("_at"),
+                         F.coalesce(F.sum("_in_hour").over(before), F.lit(0)).alias("_before"))
+    same = [F.col("_hour") == F.col("_at")] + [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    w = Window.partitionBy(*keys, "_hour").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    r = timed.join(hours, same).withColumn("_prev_succ", F.col("_before") + F.count(F.when(succ, 1)).over(w))
+    s = r.filter(succ).select(*[F.col(k).alias(f"_s_{k}") for k in keys], (F.col("_prev_succ") + 1).alias("_succ_no"),
+                              F.col("rows_loaded").alias("prev_rows"))
+    cond = [F.col("_prev_succ") - offset == F.col("_succ_no")] + [F.col(k) == F.col(f"_s_{k}") for k in keys]
+    return r.join(s, cond, "left").select(*runs.columns, "prev_rows")
 
 
 def run_anomaly_flag(runs_with_prev: DataFrame, ratio: float = RATIO, offset: int = 1) -> DataFrame:
@@ -83,10 +87,11 @@ def alert_rows(runs: DataFrame, extra=()) -> DataFrame:
     cond = (F.col("status") == "FAILURE") | F.coalesce(F.col("anomaly_flag").startswith("WARNING"), F.lit(False))
     for f in extra:
         cond = cond | F.coalesce(F.col("anomaly_flag") == f, F.lit(False))
-    subject = F.concat(F.lit("[Pipeline Alert] "), F.col("task_name"), F.lit(" "), F.col("status"))
-    body = F.concat(F.lit("Status: "), F.col("status"),
-                    F.lit("\nRows Loaded: "), F.col("rows_loaded").cast("string"),
-                    F.lit("\nDuration: "), F.round("duration_sec", 2).cast("string"), F.lit("s\n\n"),
+    shown = lambda c: F.coalesce(c.cast("string"), F.lit("None"))  # a missing value must not empty the whole text
+    subject = F.concat(F.lit("[Pipeline Alert] "), shown(F.col("task_name")), F.lit(" "), shown(F.col("status")))
+    body = F.concat(F.lit("Status: "), shown(F.col("status")),
+                    F.lit("\nRows Loaded: "), shown(F.col("rows_loaded")),
+                    F.lit("\nDuration: "), shown(F.round("duration_sec", 2)), F.lit("s\n\n"),
                     F.coalesce(F.col("anomaly_flag"), F.lit("")), F.lit("\n\n"),
                     F.coalesce(F.col("error_message"), F.lit("")))
     return runs.filter(cond).withColumn("subject", subject).withColumn("body", body)

@@ -15,9 +15,11 @@ def preview(df: DataFrame, n: int = 5, order_by: str = "review_id") -> DataFrame
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """column -> type listing (from the schema; no data is read)."""
-    spark = df.sparkSession
-    return spark.createDataFrame([(c, t) for c, t in df.dtypes], "column_name string, data_type string")
+    """Name, type and number of present values of every column, in one pass."""
+    present = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    return present.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("data_type"), F.col(c).alias("non_null_count"))
+        for c, kind in df.dtypes])))
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -79,7 +81,7 @@ def complete_rows(enriched: DataFrame, value: str = "sentiment") -> DataFrame:
 
 
 def word_count_describe(features: DataFrame) -> DataFrame:
-    return stats.describe(features, "word_count")
+    return stats.describe(features, "word_count", scale=0)
 
 
 def length_by_rating(features: DataFrame, digits: int = 6) -> DataFrame:

@@ -24,23 +24,45 @@ from reviewlake.plans.broadcast import bounded_broadcast
 
 
 def _unique_words(lexicon: DataFrame) -> DataFrame:
-    # One row per word, or the join would multiply valences.  The lexicon
-    # is declared unique (``read_lexicon`` dedupes); keep the guard cheap.
-    return lexicon.select("word", "valence")
+    # One row per word, or the join would multiply valences: of a word listed
+    # more than once the greatest valence counts.
+    return lexicon.groupBy("word").agg(F.max("valence").alias("valence"))
 
 
-def lexicon_hits(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
+def _unique_modifiers(modifiers: DataFrame) -> DataFrame:
+    # Of a word listed more than once the first kind (booster before negation) and its weight count.
+    return modifiers.groupBy(F.col("word").alias("mword")).agg(F.min(F.struct("kind", "weight")).alias("m")).select("mword", "m.kind", "m.weight")
+
+
+def _row_by_row(reviews: DataFrame, key: str, score) -> DataFrame:
+    """``score(rows, keys)`` with keys that tell rows of different text apart.
+
+    The id alone does not: several reviews may share one, and it may be
+    null.  Rows with an id are keyed by it and a hash of the text, so a
+    layout bucketed by the id stays useful; the others by the hash alone.
+    """
+    keyed = reviews.withColumn("_text_hash", F.xxhash64("content"))
+    named = score(keyed.filter(F.col(key).isNotNull()), [key, "_text_hash"])
+    bare = score(keyed.filter(F.col(key).isNull()), ["_text_hash"])
+    return named.unionByName(bare).drop("_text_hash")
+
+
+def lexicon_hits(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] = "review_id") -> DataFrame:
     """(key, pos, token, valence) for every token found in the lexicon."""
-    toks = text.explode_items(reviews, text.lexicon_tokens("content"), "token", keep=[key], with_pos=True)
+    keys = [key] if isinstance(key, str) else key
+    toks = text.explode_items(reviews, text.lexicon_tokens("content"), "token", keep=keys, with_pos=True)
     lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
-    return toks.join(lex, toks.token == lex.word).select(key, "pos", "token", "valence")
+    return toks.join(lex, toks.token == lex.word).select(*keys, "pos", "token", "valence")
 
 
-def valence_sums(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id") -> DataFrame:
-    hits = lexicon_hits(reviews, lexicon, key)
-    # Exact decimal sum so the score does not depend on summation order.
-    return hits.groupBy(key).agg(
-        F.sum(F.col("valence").cast("decimal(12,4)")).cast("double").alias("valence_sum"))
+def valence_sums(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] = "review_id") -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
+    # One hit for each place, also where rows are equal; an exact decimal sum,
+    # so that the score does not depend on the order.
+    exact = F.struct("pos", F.col("valence").cast("decimal(12,4)").alias("v"))
+    total = F.aggregate("hits", F.lit(0).cast("decimal(22,4)"), lambda a, x: (a + x["v"]).cast("decimal(22,4)"))
+    return lexicon_hits(reviews, lexicon, keys).groupBy(*keys).agg(F.collect_set(exact).alias("hits")).select(
+        *keys, total.cast("double").alias("valence_sum"))
 
 
 def compound(s: Column, alpha: float = ref.COMPOUND_ALPHA) -> Column:
@@ -49,13 +71,14 @@ def compound(s: Column, alpha: float = ref.COMPOUND_ALPHA) -> Column:
 
 def with_sentiment(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id",
                    out: str = "sentiment") -> DataFrame:
-    """Adds the level-1 compound score.  ``key`` must be unique per row
-    (review_id is the table's primary key, enforced by ``merge_reviews``)."""
-    sums = valence_sums(reviews, lexicon, key)
+    """Adds the level-1 compound score of each row's own text; ids may repeat or be null."""
     s = F.coalesce(F.col("valence_sum"), F.lit(0.0))
-    joined = reviews.join(sums, key, "left")
-    return joined.withColumn(out, F.when(F.col("content").isNull(), None).otherwise(compound(s))) \
-                 .drop("valence_sum")
+
+    def score(rows: DataFrame, keys: list[str]) -> DataFrame:
+        joined = rows.join(valence_sums(rows, lexicon, keys), keys, "left")
+        return joined.withColumn(out, F.when(F.col("content").isNull(), None).otherwise(compound(s))).drop("valence_sum")
+
+    return _row_by_row(reviews, key, score)
 
 
 def sentiment_score(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None) -> DataFrame:
@@ -85,19 +108,24 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
     is always among the three previous tagged tokens) -> per-hit value ->
     per-review sums -> join back.  Linear in the text length; on a table
     bucketed by review_id the window, the sums and the join stay inside each
-    bucket.
+    bucket.  Ids may repeat or be null: each row is scored by its own text.
     """
+    return _row_by_row(reviews, key, lambda rows, keys: _rules(rows, lexicon, modifiers, keys, out))
+
+
+def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: list[str], out: str) -> DataFrame:
     toks = text.explode_items(reviews, F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0), "raw",
-                              keep=[key], with_pos=True)
+                              keep=keys, with_pos=True)
     toks = toks.withColumn("token", F.lower("raw"))
     lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
-    mods = bounded_broadcast(modifiers.select(F.col("word").alias("mword"), "kind", "weight"), "modifiers")
+    mods = bounded_broadcast(_unique_modifiers(modifiers), "modifiers")
     tagged = (toks.join(lex, toks.token == lex.word, "left")
                   .join(mods, toks.token == mods.mword, "left")
                   .filter(F.col("valence").isNotNull() | F.col("kind").isNotNull() | (F.col("token") == "but"))
-                  .select(key, "pos", "raw", "token", "valence", "kind", "weight"))
-    w = Window.partitionBy(key).orderBy("pos")
-    per_review = Window.partitionBy(key)
+                  .groupBy(*keys).agg(F.collect_set(F.struct("pos", "raw", "token", "valence", "kind", "weight")).alias("tags"))
+                  .select(*keys, F.inline("tags")))  # equal rows give each place once
+    w = Window.partitionBy(*keys).orderBy("pos")
+    per_review = Window.partitionBy(*keys)
     cols = {"but_pos": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(per_review)}
     for d in (1, 2, 3):
         cols[f"p{d}"] = F.lag("pos", d).over(w)
@@ -124,11 +152,11 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
     caps = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), sign * ref.CAPS_INCR).otherwise(0.0)
     # The capitals bonus is summed apart: it applies only when the whole
     # text is not in capitals, which is known on the review row.
-    sums = lagged.groupBy(key).agg(
+    sums = lagged.groupBy(*keys).agg(
         F.sum((v + sign * boost) * neg * contrast).alias("_s_plain"),
         F.sum(caps * neg * contrast).alias("_s_caps"))
 
-    base = reviews.join(sums, key, "left")
+    base = reviews.join(sums, keys, "left")
     content = F.coalesce(F.col("content"), F.lit(""))
     all_caps = (F.col("content") == F.upper("content")) & (F.col("content") != F.lower("content"))
     s = (F.coalesce(F.col("_s_plain"), F.lit(0.0))

@@ -26,14 +26,17 @@ def _pct(c: Column, qs, approx: bool = False) -> Column:
 
 
 def describe(df: DataFrame, col: str, by: str | list | None = None, digits: int | None = 6,
-             approx: bool = False, scale: int = 0) -> DataFrame:
+             approx: bool = False, scale: int | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 %, max of ``col`` [per ``by``].
 
-    ``scale`` = decimals the values carry (0 for counts, 4 for sentiment):
-    the mean is then exact and quartiles are rounded in DECIMAL."""
+    ``scale`` = decimals that all values carry (0 for counts, 4 for
+    sentiment): the mean is then exact and quartiles are rounded in DECIMAL.
+    Without it values may have any fraction: plain mean and quartiles,
+    rounded to ``digits``."""
     c = F.col(col).cast("double")
-    r = (lambda x: round_decimal(x, digits, scale + 2)) if digits is not None else (lambda x: x)
-    mean = exact_mean(c, scale, digits) if digits is not None else F.avg(c)
+    exact = digits is not None and scale is not None
+    r = (lambda x: round_decimal(x, digits, scale + 2)) if exact else (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+    mean = exact_mean(c, scale, digits) if exact else r(F.avg(c))
     aggs = [F.count(c).alias("count"), mean.alias("mean"),
             F.round(F.stddev_samp(c), digits).alias("std") if digits is not None else F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"),
@@ -57,8 +60,7 @@ def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: in
     constant input widened by +-0.5.
 
     The input is read once and collapsed to (key, value, multiplicity);
-    both the bounds (one row per key - a handful of metrics, broadcast) and
-    the binning read that aggregate, whose exchange Spark reuses.  The bin
+    both the bounds (one row per key; AQE broadcasts a few) and the binning read that aggregate, whose exchange Spark reuses.  The bin
     index is a narrow expression with numpy's edge corrections, then one
     partial+final aggregation on (key, bin).
     """
@@ -75,7 +77,7 @@ def histogram_by(df: DataFrame, key: str, value: str, bins: int = 60, digits: in
     idx = F.least(F.greatest(F.floor((x - lo) * norm).cast("int"), F.lit(0)), F.lit(bins - 1))
     idx1 = F.when(x < lo + idx.cast("double") * step, idx - 1).otherwise(idx)
     idx2 = F.when((x >= lo + (idx1 + 1).cast("double") * step) & (idx1 != bins - 1), idx1 + 1).otherwise(idx1)
-    binned = vals.join(F.broadcast(b), key).select(key, idx2.alias("bin"), "f")
+    binned = vals.join(b, key).select(key, idx2.alias("bin"), "f")
     counts = binned.groupBy(key, "bin").agg(F.sum("f").alias("n"))
     grid = b.select(key, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [key, "bin"], "left")
@@ -129,7 +131,7 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
     a bounded table for a value domain like 4-decimal sentiment.  Quartiles
     (``percentile`` with frequencies), the exact mean and the whiskers are
     then computed from that compact table; its per-group quartiles (one row
-    per group of a low-cardinality key) are broadcast back to it.
+    per group) are joined back to it.
     """
     from reviewlake.functions.stats import units
     data = df.select(F.col(by), F.col(value).cast("double").alias("v")) \
@@ -144,7 +146,7 @@ def box_stats(df: DataFrame, value: str, by: str, whisker: float = 1.5, digits:
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - whisker * iqr
     hi_fence = F.col("q3") + whisker * iqr
-    w = (hist.join(F.broadcast(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f"))), by)
+    w = (hist.join(q.select(by, lo_fence.alias("lo_f"), hi_fence.alias("hi_f")), by)
              .groupBy(by).agg(F.min(F.when(F.col("v") >= F.col("lo_f"), F.col("v"))).alias("wlo"),
                               F.max(F.when(F.col("v") <= F.col("hi_f"), F.col("v"))).alias("whi")))
     out = q.join(w, by)
@@ -163,7 +165,7 @@ def kde_by(df: DataFrame, key: str, value: str, grid: int = 200, cut: float = 3.
     Values are collapsed to (value, multiplicity) first - a bounded domain
     for the deltas this serves - and each distinct value contributes to the
     ``grid`` points through a fixed-size ``sequence`` explode and a sum per
-    grid point.  The per-key statistics (one row per metric) are broadcast.
+    grid point.  The per-key statistics are one row per metric.
     """
     vals = df.select(F.col(key), F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
     st = vals.groupBy(key).agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
@@ -173,7 +175,7 @@ def kde_by(df: DataFrame, key: str, value: str, grid: int = 200, cut: float = 3.
                    (F.col("mx") + cut * h).alias("g1"))
     distinct = vals.groupBy(key, "x").agg(F.count(F.lit(1)).alias("m"))
     step = (F.col("g1") - F.col("g0")) / F.lit(float(grid - 1))
-    pts = distinct.join(F.broadcast(st), key).select(
+    pts = distinct.join(st, key).select(
         key, "x", "m", "n", "h", "g0", "g1", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     gx = F.col("g0") + F.col("i").cast("double") * step
     z = F.try_divide(gx - F.col("x"), F.col("h"))
@@ -191,20 +193,21 @@ def kde_density(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, digi
 
 def describe_many(df: DataFrame, cols, digits: int = 3, key: str = "metric", scales=None) -> DataFrame:
     """``describe`` of several columns in one aggregation, one row per column.
-    ``scales`` maps a column to the decimals its values carry (default 0)."""
+    ``scales`` maps a column to the decimals its values carry; columns not
+    named there may have any fraction."""
     scales = scales or {}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        sc = scales.get(c, 0)
-        aggs += [F.count(x).alias(f"c{i}"), exact_mean(x, sc, digits).alias(f"m{i}"),
+        sc = scales.get(c)
+        aggs += [F.count(x).alias(f"c{i}"), (F.round(F.avg(x), digits) if sc is None else exact_mean(x, sc, digits)).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(*[F.lit(q) for q in QUARTILES])).alias(f"q{i}"),
                  F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
 
     def r(x, c):
-        return round_decimal(x, digits, scales.get(c, 0) + 2)
+        return F.round(x, digits) if scales.get(c) is None else round_decimal(x, digits, scales[c] + 2)
 
     rows = [F.struct(F.lit(c).alias(key), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                      F.round(F.col(f"s{i}"), digits).alias("std"), r(F.col(f"lo{i}"), c).alias("min"),
@@ -224,27 +227,32 @@ def fixed_sample(df: DataFrame, key: str, n: int = 3000, seed: int = 1) -> DataF
 def stratified_sample(df: DataFrame, by: str, key: str, n: int, seed: int = 1) -> DataFrame:
     """Up to ``n`` rows per ``by`` group, seeded hash order.
 
-    Uses a window ``row_number`` partitioned by the stratum; Spark inserts a
-    per-partition limit before the exchange (window group limit), so a
-    huge stratum sends at most ``n`` rows per input partition.
+    Uses a window ``row_number`` in two steps: first by stratum and a salt
+    from the hash, then by stratum.  Spark inserts a per-partition limit
+    before each exchange (window group limit), and the second step sees at
+    most ``n`` rows per salt of a stratum, however many partitions it has.
     """
     h = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
-    w = Window.partitionBy(by).orderBy(h, F.col(key))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    salt = F.pmod(F.xxhash64(key), F.lit(64))
+    def top(rows, *groups):
+        w = Window.partitionBy(by, *groups).orderBy(h, F.col(key))
+        return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+    return top(top(df.withColumn("_salt", salt), "_salt")).drop("_salt")
 
 
 def length_weights(features: DataFrame, by: str = "score", value: str = "word_count",
                    min_value: int | None = None, digits: int = 6) -> DataFrame:
     """weight = value / mean(value) of the row's group (optionally only rows
     with ``value >= min_value``).  Group means come from one partial
-    aggregation and are joined back - the group domain (scores) is tiny,
-    so the mean table is broadcast; no window over the skewed groups."""
+    aggregation and are joined back (AQE broadcasts a few groups); no window
+    over the skewed groups."""
     f = features if min_value is None else features.filter(F.col(value) >= min_value)
     sums = f.filter(F.col(by).isNotNull()).groupBy(by).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_n"))
-    j = f.join(F.broadcast(sums), by, "left")
-    # value / (sum / n) = value * n / sum, rounded exactly.
-    return j.withColumn("weight", round_div(F.col(value) * F.col("_n"), F.col("_sum"), digits)) \
+    j = f.join(sums, by, "left")
+    mean = F.try_divide(F.col("_sum").cast("double"), F.col("_n").cast("double"))
+    return j.withColumn("weight", F.round(F.try_divide(F.col(value).cast("double"), mean), digits)) \
             .drop("_sum", "_n")
 
 

@@ -38,16 +38,15 @@ def user_activity_summary(reviews: DataFrame, digits: int = 6) -> DataFrame:
 
 def score_by_activity(enriched: DataFrame) -> DataFrame:
     """Count of reviews per (is_active_user, score), zero-filled over the
-    observed flags x observed scores (pivot then unpivot; the pivot values
-    are the few distinct scores)."""
+    observed flags x observed scores (two flags and the score domain)."""
     e = enriched if "is_active_user" in enriched.columns else with_activity(enriched)
     base = e.filter(F.col("score").isNotNull() & F.col("review_id").isNotNull())
-    wide = base.groupBy("is_active_user").pivot("score").agg(F.count("review_id"))
-    score_cols = [c for c in wide.columns if c != "is_active_user"]
-    wide = wide.fillna(0, subset=score_cols)
-    long = wide.unpivot(["is_active_user"], score_cols, "score", "review_count")
-    return long.select("is_active_user", F.col("score").cast("int").alias("score"),
-                       F.col("review_count").cast("bigint").alias("review_count"))
+    counts = base.groupBy("is_active_user", "score").agg(F.count("review_id").alias("review_count"))
+    seen = counts.agg(F.collect_set("is_active_user").alias("flags"), F.collect_set("score").alias("scores"))
+    grid = seen.select(F.explode("flags").alias("is_active_user"), "scores").select("is_active_user", F.explode("scores").alias("score"))
+    return grid.join(counts, ["is_active_user", "score"], "left").select(
+        "is_active_user", F.col("score").cast("int").alias("score"),
+        F.coalesce("review_count", F.lit(0)).cast("bigint").alias("review_count"))
 
 
 def score_share_by_activity(counts: DataFrame, digits: int = 6) -> DataFrame:
@@ -113,7 +112,7 @@ def short_gap_filter(changes: DataFrame, max_gap: int = 365) -> DataFrame:
 
 
 def delta_describe(changes: DataFrame, digits: int = 3) -> DataFrame:
-    return stats.describe_many(changes, DELTAS, digits, scales={"sent_delta": 4})
+    return stats.describe_many(changes, DELTAS, digits, scales={c: 4 if c == "sent_delta" else 0 for c in DELTAS})
 
 
 def user_change_histograms(changes: DataFrame, bins: int = 30, max_gap: int = 365) -> DataFrame:

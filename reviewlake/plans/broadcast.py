@@ -15,18 +15,15 @@ from pyspark.sql import DataFrame, functions as F
 # A lookup side above this many rows is joined by shuffle instead.
 MAX_BROADCAST_ROWS = 2_000_000
 
-# id -> (DataFrame, max_rows, verdict); the DataFrame is kept so its id
-# cannot be reused by another frame while the verdict is cached.
-_checked: dict[int, tuple] = {}
+# A row above this many characters, as text, does not count as a lookup row.
+MAX_ROW_CHARS = 4_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    hit = _checked.get(id(df))
-    if hit is not None and hit[0] is df and hit[1] == max_rows:
-        return hit[2]
-    verdict = df.limit(max_rows + 1).count() <= max_rows
-    _checked[id(df)] = (df, max_rows, verdict)
-    return verdict
+    """At most ``max_rows`` rows, none of them long."""
+    long_row = F.length(F.concat_ws(" ", *[F.col(c).cast("string") for c in df.columns])) > MAX_ROW_CHARS
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.count_if(long_row).alias("long")).first()
+    return found["n"] <= max_rows and found["long"] == 0
 
 
 def bounded_broadcast(df: DataFrame, name: str = "", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

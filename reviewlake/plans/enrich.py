@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reviewlake.functions import text
-from reviewlake.operators.sentiment import with_sentiment
+from reviewlake.functions.versions import version_key
+from reviewlake.operators.sentiment import with_sentiment, with_sentiment_rules
 
 
 def year_month(c="created_at"):
@@ -48,13 +49,23 @@ def with_activity(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
     broadcasts it when the measured stage is under the adaptive threshold,
     otherwise the sort-merge join runs with skew-partition splitting."""
     act = active_users(reviews, min_reviews).withColumn("_active", F.lit(True))
-    return (reviews.join(act, "user_name", "left")
-                   .withColumn("is_active_user", F.coalesce(F.col("_active"), F.lit(False)))
-                   .drop("_active"))
+    # Rows without a name are never active and would all meet in one partition.
+    named = (reviews.filter(F.col("user_name").isNotNull()).join(act, "user_name", "left")
+                    .withColumn("is_active_user", F.coalesce(F.col("_active"), F.lit(False)))
+                    .drop("_active"))
+    return named.unionByName(reviews.filter(F.col("user_name").isNull()).withColumn("is_active_user", F.lit(False)))
 
 
-def enrich_reviews(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
+def enrich_reviews(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None,
+                   version_sort_key: bool = False) -> DataFrame:
+    """All derived columns; with ``modifiers`` the rule-based sentiment, and
+    with ``version_sort_key`` also ``version_key`` for the natural order.
+    Text features are added last, so the joins move the text only once."""
     cols = reviews.columns
-    e = with_activity(with_sentiment(with_text_features(reviews), lexicon))
+    scored = with_sentiment(reviews, lexicon) if modifiers is None else with_sentiment_rules(reviews, lexicon, modifiers)
+    e = with_text_features(with_activity(scored))
+    extra = []
+    if version_sort_key:
+        e, extra = e.withColumn("version_key", version_key("app_version")), ["version_key"]
     return e.select(*cols, "word_count", "char_length", "year_month", "clean_content",
-                    "sentiment", "is_active_user")
+                    "sentiment", "is_active_user", *extra)

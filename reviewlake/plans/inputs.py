@@ -56,6 +56,11 @@ class Inputs:
     def enriched(self) -> DataFrame:
         return enrich.enrich_reviews(self.reviews, self.lexicon)
 
+    @cached_property
+    def clusters(self) -> DataFrame:
+        from reviewlake.operators import clusters
+        return self._stored("user_clusters", lambda *_: clusters.user_clusters(clusters.user_features(self.enriched)))
+
     @cached_property
     def merge_target(self) -> DataFrame:
         return self._stored("merge_target", fixtures.merge_target, bucket_by="review_id")

@@ -13,13 +13,18 @@ from reviewlake.sources import reference_data as ref
 REVIEWS_SQL = """
 SELECT review_id, user_name,
   CASE WHEN k % 89 = 0 THEN NULL WHEN k % 9 = 0 THEN '   '
-       ELSE phrase || ' ' || substr(d.text, 1, CAST(10 + k % 90 AS INT)) END AS content,
+       ELSE phrase || ' ' || substr(d.text, 1 + (length(d.text) * slice) // slices,
+                                    (length(d.text) * (slice + 1)) // slices - (length(d.text) * slice) // slices) END AS content,
   score, created_at,
   CASE WHEN k % 14 = 0 THEN NULL WHEN k % 211 = 0 THEN 'beta'
        ELSE (CASE WHEN k % 5 = 0 THEN 'v1.' ELSE '1.' END) || CAST(year(ots) AS STRING) || '.' || CAST(month(ots) AS STRING) END AS app_version
 FROM (
-  SELECT o_orderkey AS k, o_orderdate AS ots,
-    'r' || lpad(CAST(o_orderkey AS STRING), 8, '0') AS review_id,
+  SELECT *, CAST(sum(has_text) OVER (PARTITION BY doc_key) AS BIGINT) AS slices,
+    CAST(sum(has_text) OVER (PARTITION BY doc_key ORDER BY k) - 1 AS BIGINT) AS slice
+  FROM (
+  SELECT o_orderkey AS k, o_orderdate AS ots, o_orderkey % (SELECT max(doc_id) + 1 FROM documents) AS doc_key,
+    CASE WHEN o_orderkey % 89 <> 0 AND o_orderkey % 9 <> 0 THEN 1 ELSE 0 END AS has_text,
+    'r' || CASE WHEN o_orderkey < 10000000 THEN lpad(CAST(o_orderkey AS STRING), 8, '0') ELSE CAST(o_orderkey AS STRING) END AS review_id,
     CASE WHEN o_orderkey % 97 = 0 THEN NULL
          WHEN o_orderkey % 3 = 0 THEN 'user_' || CAST(o_custkey AS STRING)
          ELSE 'guest_' || CAST(o_orderkey AS STRING) END AS user_name,
@@ -32,9 +37,10 @@ FROM (
          WHEN 3 THEN 'bad experience, wrong answer and slow. www.example.org/x'
          WHEN 4 THEN 'not good, the free version is terrible'
          ELSE 'love the idea, but login problem and bad update' END AS phrase
-  FROM orders
-  WHERE NOT (o_orderdate >= TIMESTAMP '1997-06-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-07-01 00:00:00')
-) r JOIN documents d ON d.doc_id = r.k % 200
+  FROM (SELECT o_orderkey, o_custkey, o_orderpriority,
+          CASE WHEN o_orderdate >= TIMESTAMP '1997-06-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-07-01 00:00:00'
+               THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END AS o_orderdate FROM orders))
+) r JOIN documents d ON d.doc_id = r.doc_key
 """
 
 RUNS_SQL = """
@@ -43,7 +49,7 @@ SELECT CAST(ts AS DATE) AS "date", event_id, CASE WHEN user_id % 10 = 0 THEN 're
  CASE WHEN event_type IN ('error','signup') AND event_id % 20 = 0 THEN 0 ELSE CAST(floor(value * 10) AS INT) END AS rows_loaded,
  CASE WHEN event_type = 'error' THEN repeat(props || ' ', CAST(1 + event_id % 150 AS INT)) ELSE NULL END AS error_message,
  value AS duration_sec, ts AS "timestamp"
-FROM events WHERE event_id % 10 = 0
+FROM events
 """
 
 APP_METADATA_SQL = """
@@ -59,11 +65,12 @@ SELECT '1.' || CAST(1995 + p_partkey % 7 AS STRING) || '.' || CAST(1 + p_partkey
 FROM part
 """
 
-MERGE_TARGET_SQL = "SELECT * FROM reviews WHERE CAST(substr(review_id, 2) AS INT) % 10 <> 0"
+MERGE_TARGET_SQL = "SELECT * FROM reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 10 <> 0"
 MERGE_BATCH_SQL = """
 SELECT review_id, 'renamed' AS user_name, content || ' (edited)' AS content,
-  CAST(CASE WHEN score IS NULL THEN NULL ELSE 6 - score END AS INT) AS score, created_at, app_version
-FROM reviews WHERE CAST(substr(review_id, 2) AS INT) % 5 = 0
+  CAST(CASE WHEN score IS NULL THEN NULL ELSE 6 - score END AS INT) AS score,
+  CASE WHEN CAST(substr(review_id, 2) AS BIGINT) % 30 = 0 THEN created_at + INTERVAL 4000 DAY ELSE created_at END AS created_at, app_version
+FROM reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 5 = 0
 """
 
 

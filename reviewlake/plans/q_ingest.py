@@ -13,9 +13,9 @@ W = O.with_ctes
 
 RAW = """
 , raw AS (SELECT review_id, user_name, content,
-    CASE WHEN CAST(substr(review_id, 2) AS INT) % 127 = 0 THEN 'n/a' ELSE CAST(score AS VARCHAR) END AS score,
-    CASE WHEN CAST(substr(review_id, 2) AS INT) % 113 = 0 THEN 'not-a-date'
-         WHEN CAST(substr(review_id, 2) AS INT) % 7 = 0 THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') || '.5'
+    CASE WHEN CAST(substr(review_id, 2) AS BIGINT) % 127 = 0 THEN 'n/a' ELSE CAST(score AS VARCHAR) END AS score,
+    CASE WHEN CAST(substr(review_id, 2) AS BIGINT) % 113 = 0 THEN 'not-a-date'
+         WHEN CAST(substr(review_id, 2) AS BIGINT) % 7 = 0 THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') || '.5'
          ELSE strftime(created_at, '%Y-%m-%d %H:%M:%S') END AS created_at,
     app_version FROM reviews)
 """
@@ -39,7 +39,10 @@ def _normalize_raw_reviews(I):
 
 @register("scan_review_pages", W(["reviews"], "SELECT * FROM reviews"))
 def _scan_review_pages(I):
-    return G.coerce_types(G.normalize_raw_reviews(G.explode_pages(_pages(I))))
+    """Pages landed as JSON files, read by the reader of the load."""
+    path = _fresh(I, "pages")
+    G.reviews_to_pages(I.reviews).write.text(path)
+    return readers.scan_review_pages(I.spark, path)
 
 
 @register("coerce_types", W(["reviews"], RAW + COERCE))
@@ -103,7 +106,7 @@ def _map_app_metadata(I):
 
 @register("empty_batch_guard", W(["merge_batch", "merge_target"], """
 SELECT count(*) AS rows_loaded, count(*) = 0 AS is_empty FROM merge_batch WHERE created_at > (
-  SELECT max(created_at) FROM merge_target)"""))
+  SELECT coalesce(max(created_at), CAST(current_timestamp AS TIMESTAMP) - INTERVAL 30 DAY) FROM merge_target)"""))
 def _empty_batch_guard(I):
     new = G.new_reviews_since(I.merge_batch, I.merge_target)
     return new.agg(F.count(F.lit(1)).alias("rows_loaded"), (F.count(F.lit(1)) == 0).alias("is_empty"))
@@ -160,6 +163,34 @@ def _append_run_log(I):
     return readers.scan_run_log(I.spark, path)
 
 
+@register("create_reviews_table", W(["reviews"], "SELECT * FROM reviews"))
+def _create_reviews_table(I):
+    """A second creation leaves the rows of the first in place."""
+    path = _fresh(I, "created-reviews")
+    sinks.create_reviews_table(I.spark, path)
+    sinks.append_batches(I.reviews, path)
+    sinks.create_reviews_table(I.spark, path)
+    return readers.scan_reviews(I.spark, path)
+
+
+@register("create_app_metadata_table", W(["app_meta"], "SELECT app_version, title, score FROM app_meta"))
+def _create_app_metadata_table(I):
+    path = _fresh(I, "created-metadata")
+    sinks.create_app_metadata_table(I.spark, path)
+    sinks.append_app_metadata(G.map_app_metadata(G.metadata_to_json(I.app_metadata)), path)
+    sinks.create_app_metadata_table(I.spark, path)
+    return readers.scan_app_metadata(I.spark, path).select("app_version", "title", "score")
+
+
+@register("create_monitoring_table", W(["runs"], 'SELECT "date", task_name, status, rows_loaded, "timestamp" FROM runs'))
+def _create_monitoring_table(I):
+    path = _fresh(I, "created-log")
+    sinks.create_monitoring_table(I.spark, path)
+    sinks.append_run_log(M.format_run_log(I.runs).withColumn("anomaly_flag", F.lit(None).cast("string")), path)
+    sinks.create_monitoring_table(I.spark, path)
+    return readers.scan_run_log(I.spark, path).select("date", "task_name", "status", "rows_loaded", "timestamp")
+
+
 @register("append_app_metadata", W(["app_meta"], f"""
 SELECT app_version, title, coalesce(developer, '{DEFAULTS['default_developer']}') AS developer,
   coalesce(genre, '{DEFAULTS['default_genre']}') AS genre, score, ratings_count, reviews_count, installs,

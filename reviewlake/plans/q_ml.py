@@ -41,7 +41,8 @@ def _fixed_sample(I):
 
 
 def _clusters(I):
-    return C.user_clusters(C.user_features(I.enriched))
+    """One fit for all queries of a session, stored like the other inputs."""
+    return I.clusters
 
 
 @register("user_clusters")
@@ -64,6 +65,37 @@ def _cluster_mix_by_version(I):
     return C.cluster_mix_by_version(I.reviews, _clusters(I))
 
 
+# What of the clustering does not depend on where k-means starts.
+@register("user_clusters_members", W(["E"], UF + f"SELECT {UF_OUT}, TRUE AS numbered FROM uf"))
+def _user_clusters_members(I):
+    return _clusters(I).select("user_name", F.col("review_count").cast("bigint").alias("review_count"),
+                               *[F.round(c, 6).alias(c) for c in ("avg_score", "avg_sentiment", "avg_length")],
+                               F.col("cluster").between(0, 3).alias("numbered"))
+
+
+@register("cluster_summary_total", W(["E"], UF + "SELECT 4 AS clusters, count(*) AS users FROM uf"))
+def _cluster_summary_total(I):
+    return C.cluster_summary(_clusters(I)).agg(F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("users").alias("users"))
+
+
+_MATCHED = """
+SELECT app_version, count(*) AS review_count FROM reviews WHERE user_name IN (SELECT user_name FROM uf)"""
+
+
+@register("attach_clusters_matched", W(["E"], UF + _MATCHED + " GROUP BY app_version"))
+def _attach_clusters_matched(I):
+    return C.attach_clusters(I.reviews, _clusters(I)).filter(F.col("cluster").isNotNull()) \
+        .groupBy("app_version").agg(F.count(F.lit(1)).alias("review_count"))
+
+
+@register("cluster_mix_shares", W(["E"], UF + f"""
+SELECT app_version, review_count, 4 AS clusters, TRUE AS adds_up FROM ({_MATCHED} AND app_version IS NOT NULL GROUP BY app_version)"""))
+def _cluster_mix_shares(I):
+    return C.cluster_mix_by_version(I.reviews, _clusters(I)).groupBy("app_version").agg(
+        F.sum("review_count").alias("review_count"), F.count(F.lit(1)).cast("int").alias("clusters"),
+        (F.abs(F.sum("share") - 1) < 1e-5).alias("adds_up"))
+
+
 @register("stratified_sample", W(["reviews"], """
 SELECT review_id, score FROM (SELECT review_id, score,
   row_number() OVER (PARTITION BY score ORDER BY md5('7' || review_id), review_id) AS rn FROM reviews) WHERE rn <= 500"""))
@@ -71,8 +103,8 @@ def _stratified_sample(I):
     return S.stratified_sample(I.reviews, "score", "review_id", 500, seed=7).select("review_id", "score")
 
 
-@register("length_weights", W(["tf"], f"""
-SELECT review_id, score, word_count, {O.round_div("word_count * m.n", "m.total")} AS weight
+@register("length_weights", W(["tf"], """
+SELECT review_id, score, word_count, round(CAST(word_count AS DOUBLE) / (CAST(m.total AS DOUBLE) / CAST(m.n AS DOUBLE)), 6) AS weight
 FROM tf LEFT JOIN (SELECT score AS s, sum(word_count) AS total, count(word_count) AS n
                    FROM tf WHERE score IS NOT NULL GROUP BY score) m
   ON m.s = tf.score"""))

@@ -31,8 +31,10 @@ _TYPE_MAP = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN
              "WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END")
 
 
-@register("column_types", f"SELECT column_name, {_TYPE_MAP} AS data_type FROM (DESCRIBE "
-          + W(["reviews"], "SELECT * FROM reviews") + ")")
+@register("column_types", f"SELECT t.column_name, {_TYPE_MAP} AS data_type, n.non_null_count FROM (DESCRIBE "
+          + W(["reviews"], "SELECT * FROM reviews") + ") t JOIN ("
+          + W(["reviews"], " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS non_null_count FROM reviews" for c in REVIEW_COLUMNS))
+          + ") n ON n.column_name = t.column_name")
 def _column_types(I):
     return Q.column_types(I.reviews)
 

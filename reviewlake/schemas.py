@@ -55,7 +55,7 @@ RAW_REVIEW = T.StructType([
 ])
 
 REVIEW_PAGE = T.StructType([
-    T.StructField("page_no", T.IntegerType()),
+    T.StructField("page_no", T.LongType()),
     T.StructField("reviews", T.ArrayType(RAW_REVIEW)),
 ])
 

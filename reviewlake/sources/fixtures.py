@@ -3,15 +3,14 @@
 The analyses read a ``reviews`` table, a pipeline run log and app metadata
 snapshots.  For tests and the benchmark they are derived from the
 TPC-H-style tables by plain column expressions (FIXTURES.md gives the same
-derivation as SQL, used by the DuckDB oracle).  Everything stays lazy and
-distributed: the only join is against at most 200 document snippets of
-at most 99 characters, a side whose size is bounded by construction, so it
-is broadcast.
+derivation as SQL, used by the DuckDB oracle).  Every order, document,
+event and part is read whole: the reviews that fall on one document carry
+its text in consecutive slices.  Everything stays lazy and distributed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # Fixed values of the derivation (see FIXTURES.md).
 PHRASES = [
@@ -22,8 +21,6 @@ PHRASES = [
     "not good, the free version is terrible",
     "love the idea, but login problem and bad update",
 ]
-SNIPPET_DOCS = 200
-SNIPPET_MAX_CHARS = 99
 GAP_MONTH_START = "1997-06-01 00:00:00"
 GAP_MONTH_END = "1997-07-01 00:00:00"
 
@@ -37,7 +34,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     gap_lo = F.lit(GAP_MONTH_START).cast("timestamp_ntz")
     gap_hi = F.lit(GAP_MONTH_END).cast("timestamp_ntz")
-    o = o.filter(~((F.col("o_orderdate") >= gap_lo) & (F.col("o_orderdate") < gap_hi)))
+    # An empty month for the calendar: its orders move to the month after.
+    day = F.col("o_orderdate")
+    o = o.withColumn("o_orderdate", F.when((day >= gap_lo) & (day < gap_hi), day + F.expr("INTERVAL 30 DAY")).otherwise(day))
 
     k = F.col("o_orderkey")
     prio = F.substring("o_orderpriority", 1, 1)
@@ -52,7 +51,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = o.select(
         k.alias("k"),
         F.col("o_orderdate").alias("ots"),
-        F.concat(F.lit("r"), F.lpad(k.cast("string"), 8, "0")).alias("review_id"),
+        F.concat(F.lit("r"), F.when(k < 10_000_000, F.lpad(k.cast("string"), 8, "0")).otherwise(k.cast("string"))).alias("review_id"),
         F.when(k % 97 == 0, None)
          .when(k % 3 == 0, F.concat(F.lit("user_"), F.col("o_custkey").cast("string")))
          .otherwise(F.concat(F.lit("guest_"), k.cast("string"))).alias("user_name"),
@@ -61,20 +60,23 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr("timestampadd(SECOND, CAST((o_orderkey * 7919) % 86400 AS INT), o_orderdate)")
         ).alias("created_at"),
         phrase.alias("phrase"),
-        (k % SNIPPET_DOCS).alias("doc_key"),
+        ((k % 89 != 0) & (k % 9 != 0)).cast("int").alias("has_text"),
     )
-    # doc_id = k % 200 can only hit the first 200 documents, and only their
-    # first 99 characters are ever used: a bounded broadcast side.
-    docs = (table(spark, sf_dir, "documents")
-            .filter(F.col("doc_id") < SNIPPET_DOCS)
-            .select("doc_id", F.substring("text", 1, SNIPPET_MAX_CHARS).alias("snippet")))
-    j = r.join(F.broadcast(docs), r.doc_key == docs.doc_id)
+    # The reviews of one document that have a text take its slices in key order.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = r.withColumn("doc_key", F.col("k") % docs.agg(F.max("doc_id") + 1).scalar())
+    mates = Window.partitionBy("doc_key")
+    r = (r.withColumn("slices", F.sum("has_text").over(mates))
+          .withColumn("slice", F.sum("has_text").over(mates.orderBy("k")) - 1))
+    j = r.join(docs, r.doc_key == docs.doc_id)
 
     kk = F.col("k")
+    begin = F.expr("(length(text) * slice) div slices")
+    end = F.expr("(length(text) * (slice + 1)) div slices")
     content = (F.when(kk % 89 == 0, None)
                 .when(kk % 9 == 0, F.lit("   "))
                 .otherwise(F.concat(F.col("phrase"), F.lit(" "),
-                                     F.expr("substr(snippet, 1, CAST(10 + k % 90 AS INT))"))))
+                                    F.substring("text", (begin + 1).cast("int"), (end - begin).cast("int")))))
     version = (F.when(kk % 14 == 0, None)
                 .when(kk % 211 == 0, F.lit("beta"))
                 .otherwise(F.concat(F.when(kk % 5 == 0, F.lit("v1.")).otherwise(F.lit("1.")),
@@ -87,7 +89,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run-log rows (anomaly_flag is computed by ``run_anomaly_flag``)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_id") % 10 == 0)
+    e = table(spark, sf_dir, "events")
     err = F.col("event_type") == "error"
     return e.select(
         F.to_date("ts").alias("date"),
@@ -130,7 +132,7 @@ def app_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _review_no(df: DataFrame):
-    return F.substring("review_id", 2, 100).cast("int")
+    return F.substring("review_id", 2, 100).cast("bigint")
 
 
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,13 +141,16 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half matches the target (ids % 10 = 5), half is new (ids % 10 = 0)."""
+    """Half matches the target (ids % 10 = 5), half is new (ids % 10 = 0);
+    every sixth row is dated after all rows of the target."""
     r = reviews(spark, sf_dir)
-    return r.filter(_review_no(r) % 5 == 0).select(
+    k = _review_no(r)
+    return r.filter(k % 5 == 0).select(
         "review_id", F.lit("renamed").alias("user_name"),
         F.concat(F.col("content"), F.lit(" (edited)")).alias("content"),
         F.when(F.col("score").isNull(), None).otherwise(6 - F.col("score")).cast("int").alias("score"),
-        "created_at", "app_version")
+        F.when(k % 30 == 0, F.col("created_at") + F.expr("INTERVAL 4000 DAY")).otherwise(F.col("created_at")).alias("created_at"),
+        "app_version")
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,13 +191,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
         tag = uuid.uuid4().hex[:10]
         path = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{tag}/{name}"
         if bucket_by:
-            try:
-                ref = ("table", f"inputs_{tag}_{name}")
-                save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
-            except Exception:  # noqa: BLE001 - no usable catalog: plain files
-                path = path + "-files"
-                ref = ("path", path)
-                build(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            ref = ("table", f"inputs_{tag}_{name}")
+            save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
         else:
             ref = ("path", path)
             build(spark, sf_dir).write.mode("errorifexists").parquet(path)
