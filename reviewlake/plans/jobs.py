@@ -20,18 +20,28 @@ from reviewlake.sources import readers, sinks
 
 def monthly_update(spark: SparkSession, pages_dir: str, reviews_base: str, run_log_path: str,
                    checkpoint: str | None = None, task_name: str = "review_update",
-                   now: _dt.datetime | None = None, offset: int = 1) -> tuple[DataFrame, DataFrame]:
+                   now: _dt.datetime | None = None, offset: int = 1,
+                   metadata: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Ingest newly landed pages, then log the run with its anomaly flag.
 
-    Any error in the load is recorded as FAILURE with its traceback (the run
-    is never logged as a silent success).  Returns (logged row, alert rows).
+    Only reviews newer than the table's newest are loaded and counted.
+    ``metadata`` names the landed metadata JSON and its history table: a
+    snapshot is appended in every run, also when no review is new.  Any
+    error in the load is recorded as FAILURE with its traceback, and lines
+    that are no page are named in the error text (the run is never logged as
+    a silent success).  Returns (logged row, alert rows).
     """
-    from reviewlake.streaming.incremental import incremental_ingest
+    from reviewlake.streaming.incremental import QUARANTINE, incremental_ingest, quarantined
 
     start = time.monotonic()
     status, rows, error = "SUCCESS", 0, None
     try:
-        rows = int(sum(incremental_ingest(spark, pages_dir, reviews_base, checkpoint)))
+        before = quarantined(spark, reviews_base).count()
+        rows = int(sum(incremental_ingest(spark, pages_dir, reviews_base, checkpoint, since_mark=True, now=now)))
+        if bad := quarantined(spark, reviews_base).count() - before:
+            status, error = "FAILURE", f"{bad} landed lines are no review page; see {QUARANTINE} in {reviews_base}"
+        if metadata:
+            ingest_app_metadata(spark, *metadata, fetched_at=now)
     except Exception:  # noqa: BLE001 - the failure itself is the logged result
         status, error = "FAILURE", traceback.format_exc()
     duration = round(time.monotonic() - start, 2)
@@ -51,18 +61,30 @@ def monthly_update(spark: SparkSession, pages_dir: str, reviews_base: str, run_l
 
 
 def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame,
-                    ngram_stopwords: list[str], out_dir: str) -> dict[str, str]:
+                    ngram_stopwords: list[str], out_dir: str, modifiers: DataFrame | None = None) -> dict[str, str]:
     """Enrich once (written to the shared checkpoint folder), then write
     every analysis table under ``out_dir``; returns name -> path.  The
     k-means fit also runs once: its user labels are materialised and feed
     both the cluster summary and the per-version mix."""
-    e = materialize(enrich_reviews(reviews, lexicon), "enriched-reviews")
+    e = materialize(enrich_reviews(reviews, lexicon, modifiers), "enriched-reviews")
     clusters = materialize(C.user_clusters(C.user_features(e)), "user-clusters")
     sarcastic = SC.sarcastic_reviews(e)
     changes = U.user_change(e)
+    raw_words = WD.word_freq_raw(e)
     freq = WD.word_freq_filtered(e, stopwords)
     tables = {
+        "preview": Q.preview(e),
+        "missing_counts": Q.missing_counts(reviews),
+        "duplicate_id_count": Q.duplicate_id_count(reviews),
         "missing_pct": Q.missing_pct(reviews),
+        "word_count_histogram": S.histogram(e, "word_count"),
+        "sarcastic_examples": SC.sarcastic_examples(sarcastic),
+        "monthly_avg_length": TS.monthly_avg_length(e),
+        "word_freq_raw": raw_words,
+        "word_freq_comparison": WD.word_freq_comparison(freq),
+        "word_sentiment_weight": WD.word_sentiment_weight(freq, lexicon),
+        "user_activity_summary": U.user_activity_summary(reviews),
+        "user_change_density": U.user_change_density(changes),
         "rating_distribution": Q.rating_distribution(e),
         "word_count_describe": Q.word_count_describe(e),
         "length_by_rating": Q.length_by_rating(e),
@@ -96,15 +118,15 @@ def full_load(spark: SparkSession, pages_dir: str, reviews_base: str) -> int:
     """Batch load of every landed page into the reviews table (the first
     full sync; later runs use ``monthly_update``).  The pages are merged into
     the current snapshot, or form the first one, written as a new snapshot.
-    Returns the number of review rows read."""
-    from reviewlake.operators.ingest import merge_reviews
-    from reviewlake import schemas
+    Lines that are no page go to the quarantine folder.  Returns the number
+    of review rows read."""
+    from reviewlake.streaming.incremental import QUARANTINE, merge_rows
     rows = materialize(readers.scan_review_pages(spark, pages_dir), "landed-reviews")
-    n = rows.count()
-    snap = sinks.current_snapshot(spark, reviews_base)
-    target = spark.read.parquet(snap) if snap else spark.createDataFrame([], schemas.REVIEWS)
-    sinks.write_snapshot(merge_reviews(target, rows), reviews_base)
-    return n
+    bad = readers.bad_review_pages(spark, pages_dir)
+    if not bad.isEmpty():
+        bad.write.mode("append").text(f"{reviews_base.rstrip('/')}/{QUARANTINE}")
+    merge_rows(rows, reviews_base)
+    return rows.count()
 
 
 def ingest_app_metadata(spark: SparkSession, metadata_json_path: str, metadata_table: str,

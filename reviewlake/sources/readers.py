@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake import schemas
-from reviewlake.operators.ingest import coerce_types, explode_pages, normalize_raw_reviews
-from reviewlake.sources.sinks import current_snapshot
+from reviewlake.operators.ingest import bad_pages, coerce_types, explode_pages, normalize_raw_reviews, parse_pages
+from reviewlake.sources.sinks import read_snapshot
 
 
 def _read_table(spark: SparkSession, path_or_table: str) -> DataFrame:
     if "/" in path_or_table or path_or_table.startswith("file:"):
-        snap = current_snapshot(spark, path_or_table)
-        return spark.read.parquet(snap or path_or_table)
+        snap = read_snapshot(spark, path_or_table)
+        return spark.read.parquet(path_or_table) if snap is None else snap
     return spark.table(path_or_table)
 
 
@@ -32,9 +32,14 @@ def scan_run_log(spark: SparkSession, path_or_table: str) -> DataFrame:
 
 def scan_review_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed store pages (JSON, one page record per line, each holding an
-    array of reviews) -> typed review rows."""
-    pages = spark.read.schema(schemas.REVIEW_PAGE).json(path)
-    return coerce_types(normalize_raw_reviews(explode_pages(pages)))
+    array of reviews) -> typed review rows.  Lines that are no page are
+    given by ``bad_review_pages``."""
+    return coerce_types(normalize_raw_reviews(explode_pages(parse_pages(spark.read.text(path)))))
+
+
+def bad_review_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(value) of the landed lines that cannot be read as a page."""
+    return bad_pages(spark.read.text(path))
 
 
 def scan_reviews_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 ``readStream`` over the landing folder replaces the loader's high-water
 mark: the file source's checkpoint remembers which page files were
-consumed.  Each micro-batch is exploded, normalised, typed, de-duplicated
-and merged into the reviews table, which is written as a new snapshot and
-then made current.  The merge is keyed on review_id, so replaying a batch
-after a failure (the sink is at-least-once) yields the same table.
+consumed; it lies beside the target table, so that a restart goes on where
+the last run ended and two targets never share it.  Each micro-batch is
+exploded, normalised, typed, de-duplicated and merged into the buckets of
+the reviews table that it touches.  The merge is keyed on review_id, so
+replaying a batch after a failure (the sink is at-least-once) yields the
+same table.  Lines that are no page go to a quarantine folder.
 
 ``trigger(availableNow=True)`` processes everything landed so far and
 stops - the monthly batch run; without it the same query runs continuously.
@@ -16,47 +18,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlake import schemas
-from reviewlake.operators.ingest import coerce_types, explode_pages, merge_reviews, normalize_raw_reviews
-from reviewlake.session import checkpoint_dir
+from reviewlake.operators.ingest import (bad_pages, coerce_types, explode_pages, merge_reviews, new_reviews_since,
+                                         normalize_raw_reviews, parse_pages)
+from reviewlake.plans.materialize import materialize
 from reviewlake.sources import sinks
 
+QUARANTINE = "_quarantine"
 
-def _current_target(spark: SparkSession, target_base: str) -> DataFrame:
-    snap = sinks.current_snapshot(spark, target_base)
-    if snap is None:
-        return spark.createDataFrame([], schemas.REVIEWS)
-    return spark.read.parquet(snap)
 
+def _current_target(spark: SparkSession, target_base: str, buckets: list[int] | None = None) -> DataFrame:
+    snap = sinks.read_snapshot(spark, target_base, buckets)
+    return spark.createDataFrame([], schemas.REVIEWS) if snap is None else snap
 
-def merge_pages_batch(batch: DataFrame, target_base: str) -> int:
-    """Merge one micro-batch of page records; returns rows loaded (0 = no-op)."""
+
+def merge_rows(rows: DataFrame, target_base: str) -> None:
+    """Merge stored review rows into the buckets that they touch (at most SNAPSHOT_BUCKETS numbers)."""
+    spark = rows.sparkSession
+    touched = [r["b"] for r in rows.filter("review_id IS NOT NULL").select(sinks.bucket_of().alias("b")).distinct().collect()]
+    if touched or sinks.snapshot_folders(spark, target_base) is None:
+        sinks.write_snapshot(merge_reviews(_current_target(spark, target_base, touched), rows), target_base, touched=touched)
+
+
+def merge_pages_batch(batch: DataFrame, target_base: str, since_mark: bool = False, now=None) -> int:
+    """Merge one micro-batch of page lines; returns rows loaded (0 = no-op).
+
+    With ``since_mark`` only rows newer than the table's newest are loaded
+    and counted, as the monthly loader does.  Lines that are no page are
+    appended to ``_quarantine`` in the target's folder.
+    """
     spark = batch.sparkSession
-    rows = coerce_types(normalize_raw_reviews(explode_pages(batch))).persist()
-    try:
-        n = rows.count()
-        if n == 0:  # nothing new: no merge, no new snapshot
-            return 0
-        merged = merge_reviews(_current_target(spark, target_base), rows)
-        sinks.write_snapshot(merged, target_base)
-        return n
-    finally:
-        rows.unpersist()
+    bad = bad_pages(batch)
+    if not bad.isEmpty():
+        bad.write.mode("append").text(f"{target_base.rstrip('/')}/{QUARANTINE}")
+    rows = coerce_types(normalize_raw_reviews(explode_pages(parse_pages(batch))))
+    if since_mark:
+        rows = new_reviews_since(rows, _current_target(spark, target_base), now)
+    rows = materialize(rows, "ingest-batch")  # read by the count, the buckets and both joins
+    n = rows.count()
+    if n:  # nothing new: no merge, no new snapshot
+        merge_rows(rows, target_base)
+    return n
+
+
+def quarantined(spark: SparkSession, target_base: str) -> DataFrame:
+    """The landed lines that could not be read as pages."""
+    path = f"{target_base.rstrip('/')}/{QUARANTINE}"
+    return spark.read.text(path) if sinks.path_exists(spark, path) else spark.createDataFrame([], "value string")
 
 
 def incremental_ingest(spark: SparkSession, pages_dir: str, target_base: str,
                        checkpoint: str | None = None, available_now: bool = True,
-                       max_files_per_trigger: int | None = None):
+                       max_files_per_trigger: int | None = None, since_mark: bool = False, now=None):
     """Start the ingest stream; with ``available_now`` it is awaited and the
     list of rows loaded per micro-batch is returned."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/incremental_ingest"
-    reader = spark.readStream.schema(schemas.REVIEW_PAGE)
+    ckpt = checkpoint or f"{target_base.rstrip('/')}/_ingest_checkpoint"
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.json(pages_dir)
+    pages = reader.text(pages_dir)
     loaded: list[int] = []
 
     def on_batch(batch_df: DataFrame, epoch_id: int) -> None:
-        loaded.append(merge_pages_batch(batch_df, target_base))
+        loaded.append(merge_pages_batch(batch_df, target_base, since_mark, now))
 
     writer = pages.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -139,7 +139,7 @@ def test_monthly_update_logs_and_alerts(spark, tmpdir_path):
     from reviewlake.plans.jobs import monthly_update
     pages = os.path.join(tmpdir_path, "landing")
     table, log, ckpt = (os.path.join(tmpdir_path, n) for n in ("reviews", "log", "ckpt"))
-    rows = [(f"r{i}", f"u{i}", "good", 5, T(2024, 1, 1, 0, 0, i), "1.0") for i in range(20)]
+    rows = [(f"r{i}", f"u{i}", "good", 5, T(2024, 1, 15, 0, 0, i), "1.0") for i in range(20)]
     _write_pages(pages, rows[:10], 0)
     r1, a1 = monthly_update(spark, pages, table, log, ckpt, now=T(2024, 2, 1))
     assert r1.first().anomaly_flag == "FIRST_RUN" and r1.first().rows_loaded == 10 and a1.count() == 0
