@@ -19,6 +19,25 @@ SEED_LEXICON = [
     ("great", 3.1), ("love", 3.2), ("helpful", 1.8), ("good", 1.9),
     ("useful", 1.9), ("easy", 1.9), ("best", 3.2), ("awesome", 3.1),
     ("bad", -2.5), ("wrong", -2.1), ("problem", -1.7), ("terrible", -2.1),
+    # Further words with valences of our own judgement.
+    ("accurate", 1.5), ("amazing", 2.8), ("annoying", -1.8), ("appreciate", 1.9), ("awful", -2.4), ("beautiful", 2.6),
+    ("better", 1.7), ("boring", -1.4), ("bored", -1.2), ("brilliant", 2.7), ("broken", -1.9),
+    ("clean", 1.4), ("clever", 1.9), ("clown", -1.3), ("complaint", -1.4), ("confusing", -1.5), ("cool", 1.4),
+    ("crap", -2.0), ("crash", -1.9), ("crashes", -1.9), ("creative", 1.8), ("cute", 1.8), ("damage", -2.0),
+    ("delight", 2.7), ("delightful", 2.6), ("difficult", -1.4), ("disappointed", -2.0), ("disappointing", -2.1), ("disgusting", -2.7),
+    ("dislike", -1.6), ("dumb", -2.2), ("enjoy", 2.1), ("enjoyable", 2.0), ("error", -1.6), ("errors", -1.6),
+    ("excellent", 2.8), ("excited", 1.8), ("fail", -2.2), ("failed", -2.1), ("fails", -2.0), ("fake", -1.9),
+    ("fantastic", 2.7), ("fast", 1.1), ("favorite", 2.0), ("fraud", -2.7), ("friendly", 2.0), ("frustrating", -1.9),
+    ("fun", 2.2), ("funny", 1.8), ("garbage", -2.2), ("glad", 2.0), ("happy", 2.6), ("hate", -2.6),
+    ("hated", -2.6), ("horrible", -2.4), ("idiot", -2.3), ("impressed", 2.0), ("impressive", 2.2), ("inaccurate", -1.6),
+    ("incredible", 2.5), ("issue", -1.1), ("issues", -1.2), ("joke", -0.9), ("joy", 2.7), ("lag", -1.3),
+    ("like", 1.4), ("loser", -2.2), ("loved", 2.8), ("lovely", 2.6), ("mad", -2.0), ("moron", -2.3),
+    ("nice", 1.8), ("outstanding", 2.9), ("pathetic", -2.5), ("perfect", 2.8), ("pleased", 1.9), ("poor", -2.0),
+    ("pretty", 1.6), ("recommend", 1.6), ("reliable", 1.7), ("ridiculous", -1.6), ("sad", -2.0), ("satisfied", 1.8),
+    ("scam", -2.7), ("scum", -2.6), ("silly", -0.8), ("smart", 1.8), ("smooth", 1.2), ("spam", -1.7),
+    ("stupid", -2.4), ("superb", 3.0), ("support", 1.5), ("thank", 1.6), ("thanks", 1.8), ("trash", -2.0),
+    ("trust", 2.1), ("ugly", -2.2), ("unfair", -2.0), ("unhappy", -1.9), ("useless", -1.9), ("waste", -1.8),
+    ("weak", -1.6), ("wonderful", 2.7), ("worse", -2.1), ("worst", -3.0), ("worthless", -2.3), ("wow", 2.6),
 ]
 
 # Extra stop words the word-frequency analysis adds to the base list
