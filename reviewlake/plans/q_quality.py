@@ -39,6 +39,11 @@ def _column_types(I):
     return Q.column_types(I.reviews)
 
 
+@register("require_columns", W(["reviews"], "SELECT review_id, score FROM reviews"))
+def _require_columns(I):
+    return Q.require_columns(I.reviews, "review_id", "score").select("review_id", "score")
+
+
 @register("missing_counts", W(["reviews"], "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing_count FROM reviews"
     for c in REVIEW_COLUMNS)))

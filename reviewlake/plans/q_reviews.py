@@ -47,6 +47,13 @@ def _version_score_sentiment_min50(I):
     return V.version_score_sentiment_min50(I.enriched)
 
 
+@register("having_min_count", O.with_ctes(["reviews"], f"""
+SELECT app_version, count(review_id) AS review_count, {O.exact_mean("score")} AS avg_score
+FROM reviews WHERE app_version IS NOT NULL GROUP BY app_version HAVING count(review_id) >= 100"""))
+def _having_min_count(I):
+    return V.having_min_count(V.version_volume_rating(I.reviews), min_count=100)
+
+
 # ---------------------------------------------------------------- sarcasm
 @register("sarcastic_reviews", O.with_ctes(["E"], SARC + """
 SELECT review_id, user_name, content, score, created_at, app_version, sentiment FROM sarc"""))

@@ -128,6 +128,11 @@ def _top_ngrams(I):
     return WD.top_ngrams(I.reviews, ref.base_stopwords())
 
 
+@register("top_ngrams_k", W(["reviews"], NGRAMS.replace("{stop}", _stoplist_sql()).replace("rank <= 25", "rank <= 5")))
+def _top_ngrams_k(I):
+    return WD.top_ngrams(I.reviews, ref.base_stopwords(), k=5)
+
+
 def _rules_sql():
     mods = O._values(ref.modifier_rows(), ["word", "kind", "weight"])
     return W(["reviews", "lexicon"], f"""

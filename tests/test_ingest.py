@@ -171,6 +171,9 @@ def test_analysis_report_writes_tables(spark, tmpdir_path):
                             ref.base_stopwords(), os.path.join(tmpdir_path, "report"))
     assert spark.read.parquet(paths["version_volume_rating"]).count() > 0
     assert spark.read.parquet(paths["top_ngrams"]).count() > 0
+    for name in ("preview", "missing_counts", "duplicate_id_count", "word_count_histogram", "sarcastic_examples", "monthly_avg_length",
+                 "word_freq_raw", "word_freq_comparison", "word_sentiment_weight", "user_activity_summary", "user_change_density"):
+        assert spark.read.parquet(paths[name]).columns
     assert spark.read.parquet(paths["cluster_summary"]).count() == 4
 
 
