@@ -25,17 +25,18 @@ from pyspark.sql import functions as F
 from reviewlake.llm.common import Scratch, bounded_batches, map_texts, unused
 
 WORD = re.compile(r"\w+")
+BLOCK = 1 << 18  # words searched together
 
 
 @dataclass(frozen=True)
 class Params:
-    passage: int = 32            # words of a passage of the matrix
+    passage: int = 64            # words of a passage of the matrix
     rank: int = 64               # latent dimensions
     oversample: int = 8
     stop_share: float = 0.05     # words in more passages than that have no weight
-    windows: tuple[int, ...] = (16, 32, 64, 128, 256, 512)  # an item is searched in windows of the next length
-    cosine: float = 0.4
-    shared: float = 0.35         # least inner product, as a share of the item's own
+    windows: tuple[int, ...] = (24, 48, 96, 192, 384)  # an item is searched in windows of the next length; each doubles, the first is divided by 3
+    cosine: float = 0.45
+    shared: float = 0.35         # least inner product, as a share of what the item or the part of it in a window has
     copied: float = 0.8          # of the item's words in order: contaminated
     partial: float = 0.6         # the same, if the answer is there too
     answer_words: int = 5
@@ -93,7 +94,8 @@ def frequencies(texts: DataFrame, items: Items, p: Params) -> tuple[np.ndarray,
         for batch in batches:
             for a in term_arrays(batch, items):
                 total += -(-len(a) // p.passage)
-                counts += np.bincount(np.unique(np.arange(len(a)) // p.passage * size + a) % size, minlength=size)
+                known = np.flatnonzero(a)
+                counts += np.bincount(np.unique(known // p.passage * size + a[known]) % size, minlength=size)
         counts[0] = total
         kept = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int32)), pa.array(counts[kept])], ["term", "n"])
@@ -129,7 +131,7 @@ def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarr
                     rows = np.add.reduceat(weighted[a], starts)
                     rows /= np.add.reduceat(weight[a] ** 2, starts).astype(np.float32)[:, None]
                     owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(a))))
-                    order = np.argsort(a, kind="stable")
+                    order = np.argsort(a.astype(np.uint16) if len(weight) < 1 << 16 else a, kind="stable")  # 16 bits sort by radix
                     sorted_a = a[order]
                     first = np.flatnonzero(np.concatenate([[True], sorted_a[1:] != sorted_a[:-1]]))
                     out[sorted_a[first]] += np.add.reduceat(rows[owner[order]], first) * weight[sorted_a[first]].astype(np.float32)[:, None]
@@ -146,19 +148,24 @@ def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarr
 def latent_space(texts: DataFrame, items: Items, p: Params) -> np.ndarray:
     """For each term its weighted place in the latent space, each dimension divided by its singular value.
 
-    Randomised SVD: a random test matrix through A'A, its orthonormal basis
-    through A'A once more, and the small projected problem on the driver.
+    Randomised SVD in one pass: a random orthonormal test matrix G through
+    A'A gives Y, and Y (G'Y)^-1 Y' has nearly the same leading eigenvectors;
+    they come from the singular vectors of a matrix as thin as G.
     """
     df, total = frequencies(texts, items, p)
     weight = np.log((1 + total) / (1 + df))
     weight[0] = 0
     weight[df > max(p.stop_share * total, 1)] = 0
     columns = min(p.rank + p.oversample, len(weight))
-    test = np.random.default_rng(0).standard_normal((len(weight), columns))
-    basis = np.linalg.qr(gram_product(texts, items, weight, test, p))[0]
-    values, vectors = np.linalg.eigh(basis.T @ gram_product(texts, items, weight, basis, p))
-    kept = np.flatnonzero(values > max(values.max(), 0) * 1e-6)[::-1][:p.rank]
-    return (basis @ vectors[:, kept] / np.sqrt(values[kept]) * weight[:, None]).astype(np.float32)
+    test = np.linalg.qr(np.random.default_rng(0).standard_normal((len(weight), columns)))[0]
+    sketch = gram_product(texts, items, weight, test, p)
+    shift = 1e-6 * np.linalg.norm(sketch) + 1e-12  # keeps the small matrix positive definite
+    sketch = sketch + shift * test
+    core = np.linalg.cholesky((test.T @ sketch + sketch.T @ test) / 2)
+    vectors, singular, _ = np.linalg.svd(np.linalg.solve(core, sketch.T).T, full_matrices=False)
+    values = singular ** 2 - shift
+    kept = np.flatnonzero(values > max(values.max(), 0) * 1e-6)[:p.rank]
+    return (vectors[:, kept] / np.sqrt(values[kept]) * weight[:, None]).astype(np.float32)
 
 
 def common_subsequence(masks: np.ndarray, item: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -187,12 +194,12 @@ def long_subsequence(item: np.ndarray, terms: np.ndarray) -> int:
 
 
 def searcher(items: Items, space: np.ndarray, p: Params):
-    """A function from a text's terms to its (item, cosine, share, answer) matches, the best window of each."""
+    """A function from texts' terms to their matches: item -> (share, cosine, answer) of the best window."""
     vectors = np.stack([space[w].sum(0) for w in items.words])
     norms = np.linalg.norm(vectors, axis=1)
     length = np.array([len(w) for w in items.words])
-    window_of = [next((w for w in p.windows if w >= n), int(n)) for n in length]
-    groups = [(w, np.flatnonzero((np.array(window_of) == w) & (norms > 1e-6))) for w in sorted(set(window_of))]
+    window_of = np.array([next((w for w in p.windows if w >= n), p.windows[-1]) for n in length])
+    groups = [(w, np.flatnonzero((window_of == w) & (norms > 1e-6))) for w in sorted(set(window_of.tolist()))]
     blind = np.flatnonzero(norms <= 1e-6)  # items of stop words alone: every window is a candidate
     short = np.flatnonzero(length <= 64)
     masks = np.zeros((len(length), len(items.vocabulary) + 1), np.uint64)
@@ -201,50 +208,96 @@ def searcher(items: Items, space: np.ndarray, p: Params):
             masks[k, t] |= np.uint64(1 << place)
         # Places beyond the item never match, so they stay set and count nothing.
     answers = [w[-p.answer_words:] for w in items.words]
-
-    def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray, found: dict) -> None:
-        part = np.zeros((len(item), int((stop - start).max())), np.int32)
-        inside = np.arange(part.shape[1]) < (stop - start)[:, None]
-        part[inside] = a[(start[:, None] + np.arange(part.shape[1]))[inside]]
+    weighty = np.abs(space).sum(1) > 0
+    more = np.maximum(window_of // 2, length - window_of // 2)
+
+    def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray, texts: list[int], found: list[dict]) -> None:
+        order = np.argsort(item, kind="stable")  # neighbours read the same masks
+        item, start, stop, cosine = item[order], start[order], stop[order], cosine[order]
+        places = start[:, None] + np.arange(int((stop - start).max()))
+        part = np.where(places < stop[:, None], a[np.minimum(places, len(a) - 1)], 0)
         share = np.zeros(len(item))
-        small = length[item] <= 64
-        if small.any():
+        small = np.flatnonzero(length[item] <= 64)
+        if len(small):
+            # Places of the item whose word is there at all bound the subsequence from above.
+            there = np.bitwise_count(np.bitwise_or.reduce(masks[item[small][:, None], part[small]], axis=1))
+            small = small[there >= p.partial * length[item[small]]]
+        if len(small):
             share[small] = common_subsequence(masks, item[small], part[small]) / length[item[small]]
-        for k in np.flatnonzero(~small):
+        for k in np.flatnonzero(length[item] > 64):
             share[k] = long_subsequence(items.words[item[k]], part[k]) / length[item[k]]
         for k in np.flatnonzero(share >= p.partial):
             tail = answers[item[k]]
             views = np.lib.stride_tricks.sliding_window_view(part[k], len(tail)) if part.shape[1] >= len(tail) else np.zeros((0, len(tail)))
             answer = bool((views == tail).all(1).any())
             if share[k] >= p.copied or answer:
-                found[int(item[k])] = max(found.get(int(item[k]), (0.0, 0.0, False)), (float(share[k]), float(cosine[k]), answer))
-
-    def run(a: np.ndarray) -> dict[int, tuple[float, float, bool]]:
-        found: dict[int, tuple[float, float, bool]] = {}
-        for block in range(0, max(len(a), 1), 1 << 16):  # bounded memory; blocks overlap by the longest windows
-            part = a[block:block + (1 << 16) + 2 * max(window_of)]
-            held = np.flatnonzero(np.abs(space[part]).sum(1) > 0)
-            sums = np.vstack([np.zeros((1, space.shape[1]), np.float32), np.cumsum(space[part[held]], axis=0)])
-            before = np.searchsorted(held, np.arange(len(part) + 1))
-            for w, own in groups:
-                start = np.arange(0, max(1, len(part) - w // 2), max(1, w // 3))
-                stop = np.minimum(start + w, len(part))
-                some = before[stop] - before[start] >= 2
-                start, stop = start[some], stop[some]
-                x = sums[before[stop]] - sums[before[start]]
+                own = found[texts[order[k]]]
+                own[int(item[k])] = max(own.get(int(item[k]), (0.0, 0.0, False)), (float(share[k]), float(cosine[k]), answer))
+
+    def run(arrays: list[np.ndarray]) -> list[dict[int, tuple[float, float, bool]]]:
+        """Matches of each text; the texts are laid end to end and no window crosses from one to the next."""
+        found: list[dict[int, tuple[float, float, bool]]] = [{} for _ in arrays]
+        reach, k, rest = int(2 * max(window_of.max(), length.max())), 0, 0
+        while k < len(arrays):
+            pieces, owner = [], []
+            while k < len(arrays) and sum(map(len, pieces)) < BLOCK:  # bounded memory; a long text goes on in the next block
+                piece = arrays[k][rest:rest + BLOCK + reach]
+                pieces.append(piece)
+                owner.append(k)
+                k, rest = (k, rest + BLOCK) if rest + len(piece) < len(arrays[k]) else (k + 1, 0)
+            search(np.concatenate(pieces), np.cumsum([0, *map(len, pieces)]), owner, found)
+        return found
+
+    def search(a: np.ndarray, bounds: np.ndarray, owner: list[int], found: list[dict]) -> None:
+        # Sums over steps of the smallest windows; a window is three steps, a longer one three of doubled length.
+        sizes, pad = np.diff(bounds), 1 << len(p.windows) - 1
+        steps = -(-sizes // (p.windows[0] // 3 * pad)) * pad
+        first = np.cumsum(steps) - steps
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        held = np.flatnonzero(weighty[a])
+        step_of = first[text[held]] + (held - bounds[text[held]]) // (p.windows[0] // 3)
+        runs = np.flatnonzero(np.concatenate([[True], step_of[1:] != step_of[:-1]])) if len(held) else held
+        total = np.zeros((int(steps.sum()), space.shape[1]), np.float32)
+        if len(held):
+            total[step_of[runs]] = np.add.reduceat(space[a[held]], runs)
+        count = np.bincount(step_of, minlength=len(total))
+        for level, w in enumerate(p.windows):
+            own = next((g for size, g in groups if size == w), None)
+            if level:
+                total, count = total[::2] + total[1::2], count[::2] + count[1::2]
+            if own is None or not len(own):
+                continue
+            owner_of = np.repeat(np.arange(len(sizes)), steps >> level)
+            place = np.arange(len(total)) - (first >> level)[owner_of]
+            left = (steps >> level)[owner_of] - place  # steps from here to the end of the text
+            sums, some = total.copy(), count.copy()
+            for ahead in (1, 2):
+                inside = np.flatnonzero(left > ahead)
+                sums[inside] += total[inside + ahead]
+                some[inside] += count[inside + ahead]
+            begin = place * (w // 3)
+            kept = np.flatnonzero((some >= 2) & ((place == 0) | (begin < sizes[owner_of] - w // 2)))
+            text, sums = owner_of[kept], sums[kept]
+            start = bounds[text] + begin[kept]
+            stop = np.minimum(start + w, bounds[text + 1])
+            for at in range(0, len(start), 1 << 15):
+                r = slice(at, at + (1 << 15))
+                x = sums[r]
                 inner = x @ vectors[own].T
-                row, col = np.nonzero(inner > p.shared * norms[own] ** 2)
-                cosine = inner[row, col] / (np.linalg.norm(x, axis=1)[row] * norms[own][col] + 1e-9)
+                row, col = np.nonzero(inner > p.shared * norms[own] ** 2 * np.minimum(1, w / length[own]))
+                cosine = inner[row, col] / (np.sqrt(np.einsum("ij,ij->i", x, x))[row] * norms[own][col] + 1e-9)
                 near = cosine >= p.cosine
-                row, col, cosine = row[near], col[near], cosine[near]
-                for k in range(0, len(row), 4096):
-                    r = slice(k, k + 4096)
-                    # Half a window more on either side: an item seldom begins where a window does.
-                    confirm(part, own[col[r]], np.maximum(start[row[r]] - w // 2, 0), np.minimum(stop[row[r]] + w // 2, len(part)), cosine[r], found)
-            for k in blind:
-                start = np.arange(0, max(1, len(part)), max(1, length[k]))
-                confirm(part, np.full(len(start), k), start, np.minimum(start + 2 * length[k], len(part)), np.zeros(len(start)), found) if len(part) else None
-        return found
+                row, col, cosine = row[near] + at, col[near], cosine[near]
+                for c in range(0, len(row), 8192):
+                    q, item = row[c:c + 8192], own[col[c:c + 8192]]
+                    # More on either side: an item seldom begins where a window does, or may be longer.
+                    confirm(a, item, np.maximum(start[q] - more[item], bounds[text[q]]), np.minimum(stop[q] + more[item], bounds[text[q] + 1]),
+                            cosine[c:c + 8192], [owner[t] for t in text[q].tolist()], found)
+        for k in blind:
+            for t in np.flatnonzero(sizes):
+                start = np.arange(bounds[t], bounds[t + 1], max(1, length[k]))
+                confirm(a, np.full(len(start), k), start, np.minimum(start + 2 * length[k], bounds[t + 1]), np.zeros(len(start)), [owner[t]] * len(start), found)
+
     return run
 
 
@@ -270,8 +323,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> Data
             search = searcher(items, space, p)
             for batch in batches:
                 owner, item, cosine, share, answer = [], [], [], [], []
-                for k, a in enumerate(term_arrays(batch, items)):
-                    for i, (s, c, f) in sorted(search(a).items()):
+                for k, matched in enumerate(search(term_arrays(batch, items))):
+                    for i, (s, c, f) in sorted(matched.items()):
                         for column, x in zip((owner, item, cosine, share, answer), (k, items.ids[i], c, s, f)):
                             column.append(x)
                 at = pa.array(owner, pa.int64())
@@ -286,5 +339,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> D
     """The rows of ``docs``, with all their columns, whose text contains no item."""
     ident, own, other = (unused(docs, c) for c in ("_id", "_own_hash", "_hash"))
     hit = matches(docs, benchmark, p).select(F.col("doc_id").alias(ident), F.col("th").alias(other)).distinct()
+    hit = Scratch(docs.sparkSession, "leaks").store(hit, "hit")
     return docs.withColumn(own, F.xxhash64("text")).join(
         hit, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(other)), "left_anti").drop(own)
