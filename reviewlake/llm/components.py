@@ -27,10 +27,12 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
                 edges.select("v", "v").distinct())
         state, k = found, k + 1
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Stored before they are joined, so that AQE can split a hub with very many neighbours.
+        low = scratch.store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = scratch.store(large, "large")
+        low = scratch.store(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low).distinct())
         edges = scratch.store(small, f"edges{k}")
