@@ -31,7 +31,8 @@ class Params:
     dims: int = 2048              # hashed n-grams
     orders: tuple[int, ...] = (1, 2, 3)
     docs_per_language: int = 1000  # bound of the labelled sample of each language
-    max_languages: int = 200       # the most frequent ones; more labels than that are an error
+    max_docs: int = 16_000         # bound of the whole sample: with many languages each gets fewer
+    max_languages: int = 200       # more labels than that are an error
     cost: float = 1.0
     rounds: int = 30
 
@@ -126,8 +127,8 @@ class Model:
 def train(docs: DataFrame, p: Params = Params()) -> Model | None:
     """Fit on (text, lang) of ``docs``; null languages and texts without a letter teach nothing.
 
-    At most ``docs_per_language`` rows of each language are used, chosen by
-    the hash of the text, and their vectors, of fixed size, reach the
+    At most ``docs_per_language`` rows of each language, and ``max_docs`` in
+    all, are used, chosen by the hash of the text, and their vectors, of fixed size, reach the
     driver.  None if no row is left.
     """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
@@ -136,12 +137,13 @@ def train(docs: DataFrame, p: Params = Params()) -> Model | None:
         raise ValueError(f"more than {p.max_languages} languages")
     if not counts:
         return None
+    each = max(1, min(p.docs_per_language, p.max_docs // len(counts)))
     # A hash threshold for each language lets about a quarter more than the bound through; the rest is cut exactly.
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.25 * p.docs_per_language / n))])
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.25 * each / n))])
     h = F.xxhash64("text")
     some = (known.where(F.pmod(h, F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).groupBy("lang", h.alias("h"))
             .agg(F.max("text").alias("text")))
-    sample = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))).where(F.col("rank") <= p.docs_per_language)
+    sample = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))).where(F.col("rank") <= each)
 
     def start():
         def run(texts):

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import held_out, labelled_sample, map_texts
+from reviewlake.llm.common import Scratch, held_out, labelled_sample, map_texts
 
 
 @dataclass(frozen=True)
@@ -101,6 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     good ones, 0.5 if there is none.
     """
     sample = labelled_sample(docs, labels, p.max_docs).withColumn("curve", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 1)
+    sample = Scratch(docs.sparkSession, "quality").store(sample, "sample")  # read for either dictionary and for the curve
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

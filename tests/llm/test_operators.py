@@ -302,8 +302,27 @@ def test_words_get_the_best_segmentation(spark, unigram):
     # The library adds in single precision, which the penalty of an unknown character uses up.
     known = [(a, b) for a, b in zip(ours, theirs) if not set(a.tolist()) & set(v.byte_ids)]
     assert len(known) > 0.9 * len(words)
-    assert sum(a.tolist() != b for a, b in known) < 0.001 * len(known)  # equal sums may be cut differently
-    assert all(score[a].sum() >= score[b].sum() for a, b in known)
+    assert sum(a.tolist() != b for a, b in known) < 0.01 * len(known)
+    assert all(score[a].sum() >= score[b].sum() for a, b in known)  # where they differ, ours is as good or better
+
+
+def test_viterbi_equals_trying_all_segmentations():
+    v = spm.load()
+    score = {v.pieces[i].decode().replace(" ", spm.BLANK): s for i, s in zip(v.ids.tolist(), v.scores.tolist())}
+
+    def slow(word):
+        best = [0.0] + [-np.inf] * len(word)
+        for j in range(1, len(word) + 1):
+            best[j] = max(best[i] + score.get(word[i:j], v.scores.min() - spm.UNKNOWN_PENALTY if j - i == 1 else -np.inf) for i in range(j))
+        return best[-1]
+    rng = random.Random(4)
+    words = [spm.BLANK + "".join(rng.choice("theaonring.é日") for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    by_id = np.full(len(v.pieces), np.nan)
+    by_id[v.ids] = v.scores
+    for word in words:
+        ids = np.frombuffer(spm.best_segmentation([word], v)[0], "<i4")
+        if not set(ids.tolist()) & set(v.byte_ids):
+            assert by_id[ids].sum() == slow(word)
 
 
 def test_round_trip_of_any_text(spark, messy):
