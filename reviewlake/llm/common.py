@@ -8,13 +8,14 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of one Arrow batch handed to Python: very long texts make short
 # batches, so a worker's memory does not follow the longest texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound what Spark sends to Python at once, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
@@ -49,6 +50,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         atexit.register(self._remove, self.path)
 
     def _remove(self, path: str) -> None:
@@ -68,10 +70,35 @@ class Scratch:
         finally:
             if before is not None:
                 self.spark.conf.set(tidy, before)
+        self.names.add(name)
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def drop(self, name: str) -> None:
         self._remove(f"{self.path}/{name}")
+        self.names.discard(name)
+
+    def keep_only(self, *names: str) -> None:
+        """Drop all tables but those that what is returned still reads."""
+        for name in self.names.difference(names):
+            self.drop(name)
+
+
+def ranked(rows: DataFrame, order: list[str], scratch: Scratch) -> tuple[DataFrame, int]:
+    """``rows`` with ``rank`` long, gapless from 0 in the given order, and how many they are.
+
+    The rows are range-partitioned and sorted once and stored with their
+    partition and place in it; the partitions' counts (one row for each
+    partition) turn the place into the rank.  No row passes a single task.
+    """
+    n = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tie = F.monotonically_increasing_id()  # equal rows may be cut apart between partitions
+    placed = scratch.store(rows.withColumn("_tie", tie).repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+                           .withColumn("_at", F.monotonically_increasing_id()), "placed")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    starts = np.concatenate([[0], np.cumsum([c for _, c in counts])]).tolist()
+    first = rows.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(counts, starts)], "_p long, _start long")
+    return placed.join(F.broadcast(first), part == F.col("_p")).withColumn("rank", F.col("_start") + place).drop("_at", "_p", "_start"), int(starts[-1])
 
 
 def held_out(doc_id, buckets: int, remainder: int):
@@ -117,6 +144,8 @@ def map_texts(docs: DataFrame, keep: list[str], start: Callable, fields: str, te
             if b.num_rows:
                 made = fn(b.column(own).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *(x if isinstance(x, pa.Array) else pa.array(x) for x in made)], [*keep, *names])
+                del made
+                pa.default_memory_pool().release_unused()
 
     own = text if text in keep else unused(docs, "_text")  # a text that is kept is sent once
     source = docs.select(*keep) if own == text else docs.select(*keep, F.col(text).alias(own))

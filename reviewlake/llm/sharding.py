@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import Scratch
+from reviewlake.llm.common import Scratch, ranked
 
 BITS = 6  # cells for each dimension: 2 to this power
 
@@ -72,24 +72,6 @@ def curve(rows: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     return rows.withColumn("curve", index(*[F.col(d).cast("double") for d in dims]))
 
 
-def ranked(rows: DataFrame, order: list[str], scratch: Scratch) -> tuple[DataFrame, int]:
-    """``rows`` with ``rank`` long, gapless from 0 in the given order, and how many they are.
-
-    The rows are range-partitioned and sorted once and stored with their
-    partition and place in it; the partitions' counts (one row for each
-    partition) turn the place into the rank.  No row passes a single task.
-    """
-    n = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    tie = F.monotonically_increasing_id()  # equal rows may be cut apart between partitions
-    placed = scratch.store(rows.withColumn("_tie", tie).repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
-                           .withColumn("_at", F.monotonically_increasing_id()), "placed")
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
-    starts = np.concatenate([[0], np.cumsum([c for _, c in counts])]).tolist()
-    first = rows.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(counts, starts)], "_p long, _start long")
-    return placed.join(F.broadcast(first), part == F.col("_p")).withColumn("rank", F.col("_start") + place).drop("_at", "_p", "_start"), int(starts[-1])
-
-
 def shards(docs: DataFrame, count: int = 8, bits: int = BITS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row, by the law ``rows``.
 

@@ -146,6 +146,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = scratch.store(named.join(smallest, "root").select("fp", "root", "component_id"), "members")
+    scratch.keep_only("prints", "members")
     return prints.join(members, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", "text_hash")
 
