@@ -164,7 +164,7 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     n, norm = facts["n"], facts["norm"]
     count = int(min(p.max_lists, max(1, n // p.list_size)))
     sample = distinct.orderBy(F.xxhash64("v"), "vid").limit(p.max_sample).select("v") if n > p.max_sample else distinct.select("v")
-    x = np.array([r["v"] for r in sample.collect()])  # at most max_sample vectors
+    x = stacked(sample.toArrow().column("v").combine_chunks())  # at most max_sample vectors
     x = np.c_[x, np.sqrt(np.maximum(norm * norm - (x * x).sum(1), 0))]
     graph = CentroidGraph(balanced_centroids(x[np.lexsort(x.T)], count), p.degree)
     posted = scratch.store(lists_of(distinct, graph, norm, p.replicas, p.boundary, min(p.beam, 4 * p.replicas), False, ["v", "ids"]), "posted")
@@ -202,7 +202,7 @@ def best_rows(q: np.ndarray, v: np.ndarray, top: int) -> tuple[np.ndarray, np.nd
 def best_in_block(a: pd.DataFrame, b: pd.DataFrame, top: int) -> pd.DataFrame:
     """The nearest vectors of one block to the queries that probe its list."""
     if a.empty or b.empty:
-        return pd.DataFrame({"vid": [], "score": [], "ids": []})
+        return pd.DataFrame({"vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64"), "ids": pd.Series([], dtype=object)})
     v, ids, out = np.stack(a["v"].to_numpy()), a["ids"].to_numpy(), []
     for k in range(0, len(b), 512):
         row, at, score = best_rows(np.stack(b["v"].to_numpy()[k:k + 512]), v, top + 1)
