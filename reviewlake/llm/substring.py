@@ -222,7 +222,8 @@ def remove_repeats(docs: DataFrame, p: Params = Params()) -> DataFrame:
     rows are copies of each other.  Of ``docs`` only doc_id and text are read.
     """
     scratch = Scratch(docs.sparkSession, "substring")
-    found = repeats(docs, scratch, p).groupBy("t").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    found = scratch.store(repeats(docs, scratch, p).groupBy("t").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")), "found")
+    scratch.keep_only("found")
     rows = packed(docs.select("doc_id", "text"), ["doc_id"]).join(found, "t", "left").select("doc_id", "z", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
