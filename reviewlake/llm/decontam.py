@@ -35,8 +35,8 @@ class Params:
     oversample: int = 8
     stop_share: float = 0.05     # words in more passages than that have no weight
     windows: tuple[int, ...] = (24, 48, 96, 192, 384)  # an item is searched in windows of the next length; each doubles, the first is divided by 3
-    cosine: float = 0.35
-    shared: float = 0.35         # least inner product, as a share of what the item or the part of it in a window has
+    cosine: float = 0.3
+    shared: float = 0.3          # least inner product, as a share of what the item or the part of it in a window has
     copied: float = 0.8          # of the item's words in order: contaminated
     partial: float = 0.6         # the same, if the answer is there too
     answer_words: int = 5
