@@ -3,8 +3,10 @@
 Documents are cut into passages; a distributed randomised SVD of their
 TF-IDF matrix gives a small latent space.  Windows of every text as long as
 the items are compared with them by cosine there, also when words were
-exchanged or moved, and each candidate is confirmed by the longest common
-subsequence of words and by the item's answer, its last words.
+exchanged or moved.  Copies do not depend on the space: every place where a
+text has a few words in a row as an item has them is a candidate too.  Each
+candidate is confirmed by the longest common subsequence of words and by the
+item's answer, its last words.
 
 Columns of the matrix are the words of the benchmark: no other word can add
 to an inner product with an item.  Document frequencies and the SVD cover
@@ -37,6 +39,7 @@ class Params:
     windows: tuple[int, ...] = (24, 48, 96, 192, 384)  # an item is searched in windows of the next length; each doubles, the first is divided by 3
     cosine: float = 0.3
     shared: float = 0.3          # least inner product, as a share of what the item or the part of it in a window has
+    gram: int = 5                # so many of the item's words in a row, or all of a shorter item, make a candidate at any cosine
     copied: float = 0.8          # of the item's words in order: contaminated
     partial: float = 0.6         # the same, if the answer is there too
     answer_words: int = 5
@@ -193,8 +196,46 @@ def long_subsequence(item: np.ndarray, terms: np.ndarray) -> int:
     return len(item) - state.bit_count()
 
 
+def gram_hashes(a: np.ndarray, words: int) -> np.ndarray:
+    """64 bits of the ``words`` terms from each place on."""
+    out = np.full(max(len(a) - words + 1, 0), words, np.uint64)
+    terms = a.astype(np.uint64)
+    for k in range(words):
+        out ^= terms[k:k + len(out)]
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+class Grams:
+    """Where the items have which words in a row: all runs of ``words`` terms of the items ``own``."""
+
+    def __init__(self, words: int, own: np.ndarray, items: Items):
+        self.words = words
+        made = [gram_hashes(items.words[k], words) for k in own]
+        every, sizes = np.concatenate(made), np.array([len(x) for x in made])
+        order = np.argsort(every, kind="stable")
+        self.item = np.repeat(own, sizes)[order]
+        self.offset = (np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
+        self.hash, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+        self.sieve = np.zeros(1 << 20, bool)  # most places of a text end here
+        self.sieve[self.hash >> np.uint64(44)] = True
+
+    def places(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, item, offset) of every run that a place of ``a`` shares with an item."""
+        made = gram_hashes(a, self.words)
+        at = np.flatnonzero(self.sieve[made >> np.uint64(44)])
+        near = np.minimum(np.searchsorted(self.hash, made[at]), len(self.hash) - 1)
+        same = self.hash[near] == made[at]
+        at, near = at[same], near[same]
+        many = self.count[near]
+        row = np.repeat(self.first[near] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(at, many), self.item[row], self.offset[row]
+
+
 def searcher(items: Items, space: np.ndarray, p: Params):
     """A function from texts' terms to their matches: item -> (share, cosine, answer) of the best window."""
+    space = space / max(float(np.linalg.norm(space, axis=1).max()), 1e-30)  # bounds below are relative to the longest word
     vectors = np.stack([space[w].sum(0) for w in items.words])
     norms = np.linalg.norm(vectors, axis=1)
     length = np.array([len(w) for w in items.words])
@@ -210,10 +251,15 @@ def searcher(items: Items, space: np.ndarray, p: Params):
     answers = [w[-p.answer_words:] for w in items.words]
     weighty = np.abs(space).sum(1) > 0
     more = np.maximum(window_of // 2, length - window_of // 2)
+    runs_of = np.minimum(length, p.gram)
+    grams = [Grams(int(n), np.flatnonzero(runs_of == n), items) for n in np.unique(runs_of)]
+
+    def likeness(x: np.ndarray, item: int) -> float:
+        return float(x @ vectors[item] / max(float(np.linalg.norm(x) * norms[item]), 1e-30))
 
-    def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray, texts: list[int], found: list[dict]) -> None:
+    def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray | None, texts: list[int], found: list[dict]) -> None:
         order = np.argsort(item, kind="stable")  # neighbours read the same masks
-        item, start, stop, cosine = item[order], start[order], stop[order], cosine[order]
+        item, start, stop = item[order], start[order], stop[order]
         places = start[:, None] + np.arange(int((stop - start).max()))
         part = np.where(places < stop[:, None], a[np.minimum(places, len(a) - 1)], 0)
         share = np.zeros(len(item))
@@ -232,7 +278,8 @@ def searcher(items: Items, space: np.ndarray, p: Params):
             answer = bool((views == tail).all(1).any())
             if share[k] >= p.copied or answer:
                 own = found[texts[order[k]]]
-                own[int(item[k])] = max(own.get(int(item[k]), (0.0, 0.0, False)), (float(share[k]), float(cosine[k]), answer))
+                like = likeness(space[part[k]].sum(0), item[k]) if cosine is None else float(cosine[order[k]])
+                own[int(item[k])] = max(own.get(int(item[k]), (0.0, 0.0, False)), (float(share[k]), like, answer))
 
     def run(arrays: list[np.ndarray]) -> list[dict[int, tuple[float, float, bool]]]:
         """Matches of each text; the texts are laid end to end and no window crosses from one to the next."""
@@ -248,7 +295,25 @@ def searcher(items: Items, space: np.ndarray, p: Params):
             search(np.concatenate(pieces), np.cumsum([0, *map(len, pieces)]), owner, found)
         return found
 
+    def copies(a: np.ndarray, bounds: np.ndarray, owner: list[int], found: list[dict]) -> None:
+        for g in grams:
+            at, item, offset = g.places(a)
+            text = np.searchsorted(bounds, at, "right") - 1
+            inside = at + g.words <= bounds[text + 1]
+            text, item = text[inside], item[inside]
+            # Runs of one copy point to the same beginning, or a near one if words came in or fell out.
+            step = np.maximum(length[item] // 2, 1)
+            begin = (at - offset)[inside] - bounds[text]
+            text, item, begin = np.unique(np.stack([text, item, begin // step * step]), axis=1)
+            step = np.maximum(length[item] // 2, 1)
+            start, stop = bounds[text] + begin - step, bounds[text] + begin + 2 * step + length[item]
+            rows = max(1, min(8192, (1 << 22) // int(3 * length.max())))
+            for c in range(0, len(text), rows):
+                r = slice(c, c + rows)
+                confirm(a, item[r], np.maximum(start[r], bounds[text[r]]), np.minimum(stop[r], bounds[text[r] + 1]), None, [owner[t] for t in text[r].tolist()], found)
+
     def search(a: np.ndarray, bounds: np.ndarray, owner: list[int], found: list[dict]) -> None:
+        copies(a, bounds, owner, found)
         # Sums over steps of the smallest windows; a window is three steps, a longer one three of doubled length.
         sizes, pad = np.diff(bounds), 1 << len(p.windows) - 1
         steps = -(-sizes // (p.windows[0] // 3 * pad)) * pad
@@ -285,7 +350,7 @@ def searcher(items: Items, space: np.ndarray, p: Params):
                 x = sums[r]
                 inner = x @ vectors[own].T
                 row, col = np.nonzero(inner > p.shared * norms[own] ** 2 * np.minimum(1, w / length[own]))
-                cosine = inner[row, col] / (np.sqrt(np.einsum("ij,ij->i", x, x))[row] * norms[own][col] + 1e-9)
+                cosine = inner[row, col] / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[row] * norms[own][col], 1e-30)
                 near = cosine >= p.cosine
                 row, col, cosine = row[near] + at, col[near], cosine[near]
                 for c in range(0, len(row), 8192):

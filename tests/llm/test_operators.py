@@ -270,6 +270,38 @@ def test_common_subsequences():
         assert decontam.common_subsequence(masks, np.array([0]), np.array([b]))[0] == slow(a, b) == decontam.long_subsequence(np.array(a), np.array(b))
 
 
+def drawn_items(lengths, terms):
+    rng = np.random.default_rng(3)
+    words = [rng.permutation(np.arange(1, terms + 1))[:n] for n in lengths]
+    return decontam.Items(list(range(len(lengths))), words, {f"w{k}": k for k in range(1, terms + 1)})
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-9])
+def test_exact_copies_do_not_depend_on_the_latent_space(size):
+    items = drawn_items([30, 12, 3, 1, 90], 200)
+    items.vocabulary.update({f"x{k}": k for k in range(201, 211)})
+    space = np.zeros((211, 4), np.float32)
+    space[1:201, 0] = size
+    space[201:, 1] = 100 * size  # words beside the item swamp it
+    around = np.random.default_rng(4).integers(201, 211, 60)
+    search = decontam.searcher(items, space, decontam.Params())
+    for k, w in enumerate(items.words):
+        found, = search([np.concatenate([around, w, around])])
+        assert found[k][0] == 1.0 and found[k][2]
+    halves = [np.concatenate([around, items.words[0][:15]]), np.concatenate([items.words[0][15:], around])]
+    assert not any(0 in x for x in search(halves))
+
+
+def test_latent_bounds_are_relative_to_the_space():
+    items = drawn_items([40, 25], 100)
+    space = np.random.default_rng(5).standard_normal((101, 8)).astype(np.float32)
+    space[0] = 0
+    texts = [np.where(np.arange(len(w)) % 5 == 2, 0, w) for w in items.words]  # every fifth word exchanged
+    large, small = (decontam.searcher(items, space * np.float32(x), decontam.Params())(texts) for x in (1, 1e-8))
+    assert [{k: (v[0], round(v[1], 4), v[2]) for k, v in x.items()} for x in large] == [{k: (v[0], round(v[1], 4), v[2]) for k, v in x.items()} for x in small]
+    assert all(k in x for k, x in enumerate(large))
+
+
 def test_benchmark_blocks_and_messy_items(spark, messy):
     bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8"), (2, None), (3, ""), (4, " ".join(f"w{k}" for k in range(1, 90))), (None, "w1 w2")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "z " * 40 + "w1 w2 w3 w4 w5 w6 w7 w8 " + "y " * 40), (2, " ".join(f"w{k}" for k in range(1, 90))), (3, None), (4, "")], "doc_id long, text string")
