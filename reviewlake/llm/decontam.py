@@ -43,6 +43,8 @@ class Params:
     copied: float = 0.8          # of the item's words in order: contaminated
     partial: float = 0.6         # the same, if the answer is there too
     answer_words: int = 5
+    few_words: int = 3           # an item with fewer different words of weight is searched everywhere,
+    few_share: float = 0.1       # and one with a smaller share of them among its words
     block_words: int = 50_000    # benchmark words searched at once; more are done block after block
 
 
@@ -241,7 +243,6 @@ def searcher(items: Items, space: np.ndarray, p: Params):
     length = np.array([len(w) for w in items.words])
     window_of = np.array([next((w for w in p.windows if w >= n), p.windows[-1]) for n in length])
     groups = [(w, np.flatnonzero((window_of == w) & (norms > 1e-6))) for w in sorted(set(window_of.tolist()))]
-    blind = np.flatnonzero(norms <= 1e-6)  # items of stop words alone: every window is a candidate
     short = np.flatnonzero(length <= 64)
     masks = np.zeros((len(length), len(items.vocabulary) + 1), np.uint64)
     for k in short:
@@ -250,6 +251,8 @@ def searcher(items: Items, space: np.ndarray, p: Params):
         # Places beyond the item never match, so they stay set and count nothing.
     answers = [w[-p.answer_words:] for w in items.words]
     weighty = np.abs(space).sum(1) > 0
+    few = np.array([len(np.unique(w[weighty[w]])) < p.few_words or weighty[w].mean() < p.few_share for w in items.words])
+    blind = np.flatnonzero(few | (norms <= 1e-6))  # nearly all stop words: every window is a candidate
     more = np.maximum(window_of // 2, length - window_of // 2)
     runs_of = np.minimum(length, p.gram)
     grams = [Grams(int(n), np.flatnonzero(runs_of == n), items) for n in np.unique(runs_of)]
@@ -341,7 +344,7 @@ def searcher(items: Items, space: np.ndarray, p: Params):
                 sums[inside] += total[inside + ahead]
                 some[inside] += count[inside + ahead]
             begin = place * (w // 3)
-            kept = np.flatnonzero((some >= 2) & ((place == 0) | (begin < sizes[owner_of] - w // 2)))
+            kept = np.flatnonzero((some >= 1) & ((place == 0) | (begin < sizes[owner_of] - w // 2)))
             text, sums = owner_of[kept], sums[kept]
             start = bounds[text] + begin[kept]
             stop = np.minimum(start + w, bounds[text + 1])
@@ -359,9 +362,19 @@ def searcher(items: Items, space: np.ndarray, p: Params):
                     confirm(a, item, np.maximum(start[q] - more[item], bounds[text[q]]), np.minimum(stop[q] + more[item], bounds[text[q] + 1]),
                             cosine[c:c + 8192], [owner[t] for t in text[q].tolist()], found)
         for k in blind:
-            for t in np.flatnonzero(sizes):
-                start = np.arange(bounds[t], bounds[t + 1], max(1, length[k]))
-                confirm(a, np.full(len(start), k), start, np.minimum(start + 2 * length[k], bounds[t + 1]), np.zeros(len(start)), [owner[t]] * len(start), found)
+            n = int(length[k])
+            member = np.zeros(len(weighty), bool)
+            member[items.words[k]] = True
+            inside = np.concatenate([[0], np.cumsum(member[a])])
+            many = -(-sizes // n)
+            text = np.repeat(np.arange(len(sizes)), many)
+            start = bounds[text] + (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * n
+            stop = np.minimum(start + 2 * n, bounds[text + 1])
+            near = np.flatnonzero(inside[stop] - inside[start] >= p.partial * n)  # a subsequence has no more than these
+            rows = max(1, min(8192, (1 << 22) // (2 * n)))
+            for c in range(0, len(near), rows):
+                r = near[c:c + rows]
+                confirm(a, np.full(len(r), k), start[r], stop[r], None, [owner[t] for t in text[r].tolist()], found)
 
     return run
 

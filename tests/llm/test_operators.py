@@ -302,6 +302,20 @@ def test_latent_bounds_are_relative_to_the_space():
     assert all(k in x for k, x in enumerate(large))
 
 
+@pytest.mark.parametrize("weighted", [0, 1, 2])
+def test_items_of_few_weighted_words_are_searched_everywhere(weighted):
+    items = drawn_items([25], 40)
+    items.vocabulary.update({f"x{k}": k for k in range(41, 51)})
+    space = np.zeros((51, 4), np.float32)
+    space[items.words[0][:weighted], 0] = 1
+    space[41:, 1] = 100
+    copy = np.where(np.arange(25) % 5 == 2, 0, items.words[0])  # every fifth word exchanged: no five in a row
+    assert weighted < 1 or copy[0] == items.words[0][0]
+    for around in (np.zeros(70, int), np.full(70, 45)):  # words without weight, and words that swamp the item's
+        found, = decontam.searcher(items, space, decontam.Params())([np.concatenate([around, copy, around])])
+        assert found[0][0] == 0.8
+
+
 def test_benchmark_blocks_and_messy_items(spark, messy):
     bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8"), (2, None), (3, ""), (4, " ".join(f"w{k}" for k in range(1, 90))), (None, "w1 w2")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "z " * 40 + "w1 w2 w3 w4 w5 w6 w7 w8 " + "y " * 40), (2, " ".join(f"w{k}" for k in range(1, 90))), (3, None), (4, "")], "doc_id long, text string")
