@@ -92,7 +92,7 @@ class CentroidGraph:
             fresh = ~seen[rows[:, None], nodes] & active[:, None]
             for k in range(1, nodes.shape[1]):  # a node linked twice counts once
                 fresh[:, k] &= ~(nodes[:, :k] == nodes[:, k:k + 1]).any(1)
-            seen[rows[:, None], nodes] |= fresh
+            seen[rows[:, None], nodes] |= active[:, None]  # one value for a row: a node linked twice is written alike
             ids, dist = np.concatenate([ids, nodes], 1), np.concatenate([dist, np.where(fresh, distance(nodes), np.inf)], 1)
             spread = np.concatenate([spread, ~fresh], 1)
             order = np.argsort(dist, axis=1, kind="stable")[:, :beam]

@@ -525,6 +525,19 @@ def test_recall_of_probed_lists(spark):
     assert np.mean(share) >= 0.9
 
 
+def test_no_list_is_joined_or_probed_twice(spark):
+    x = np.random.default_rng(2).standard_normal((3000, 6))
+    graph = ann.CentroidGraph(ann.balanced_centroids(x, 1200), 16)
+    ids, dist = graph.search(x[:200], 96)
+    assert all(len(set(i[np.isfinite(d)].tolist())) == np.isfinite(d).sum() for i, d in zip(ids, dist))
+    norm = float(np.sqrt((x * x).sum(1).max()))
+    graph = ann.CentroidGraph(ann.balanced_centroids(np.c_[x, np.sqrt(norm * norm - (x * x).sum(1))], 1200), 16)
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x[:400].tolist())], "vid long, v array<double>")
+    for as_query in (False, True):
+        got = [tuple(r) for r in ann.lists_of(rows, graph, norm, 8, 1.7, 32, as_query, ["v", "vid"]).select("list", "vid").collect()]
+        assert len(set(got)) == len(got) > 400
+
+
 # Empty tables
 
 def test_empty_documents(empty):
