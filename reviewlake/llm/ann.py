@@ -4,8 +4,9 @@ Inner products become Euclidean distances by one more coordinate.  A bounded
 sample is halved again and again into balanced cells; a cell's mean is the
 centroid of a posting list.  Every vector goes to its nearest list, and a
 boundary vector to further lists that are nearly as near.  A query finds its
-nearest centroids in an in-memory neighbour graph and probes the lists whose
-distance is within a ratio of the best one.  Scores are exact inner products
+nearest centroids in an in-memory neighbour graph and probes all lists whose
+distance is within a ratio of the best one; where these are so many that a
+scan is no dearer, it is compared with all vectors.  Scores are exact inner products
 of the original vectors in double precision.
 """
 
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +33,11 @@ class Params:
     max_lists: int = 16_384
     replicas: int = 8            # lists that a boundary vector may join
     boundary: float = 1.2        # joins lists within this ratio of its nearest centroid's distance
-    probes: int = 48             # lists that a query may probe
-    ratio: float = 1.7           # and only within this ratio of its nearest centroid's distance
+    ratio: float = 1.7           # a query probes all lists within this ratio of its nearest centroid's distance
+    probes: int = 48             # with more lists than that, and
+    share: float = 0.125         # than this share of all, it is compared with all vectors: replicas make that no dearer
     degree: int = 16             # of the centroid graph
-    beam: int = 96               # centroids kept by the graph search
+    beam: int = 96               # centroids kept by the graph search; a query with more within the ratio meets all centroids
     block: int = 4_096           # rows of a list that meet in one task
 
 
@@ -100,6 +103,9 @@ class CentroidGraph:
         order = np.argsort(dist, axis=1, kind="stable")
         return ids[rows[:, None], order], dist[rows[:, None], order]
 
+    def distances(self, q: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((q * q).sum(1)[:, None] + self.sq - 2 * q @ self.c.T, 0))
+
 
 def usable(vector: Column) -> Column:
     """Not null, no null or non-finite component, not all zero."""
@@ -113,7 +119,10 @@ def stacked(column: pa.Array) -> np.ndarray:
 
 
 def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, count: int, ratio: float, beam: int, as_query: bool, keep: list[str]) -> DataFrame:
-    """A row for each list that a vector (column v) joins, or probes if ``as_query``."""
+    """A row for each list that a vector (column v) joins, at most ``count``, or probes if ``as_query``.
+
+    A query with more than ``count`` lists within the ratio has one row, of list -1.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
@@ -123,10 +132,22 @@ def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, count: int, rat
                 more = np.zeros(len(v)) if as_query else np.sqrt(np.maximum(norm * norm - (v * v).sum(1), 0))
                 ids, dist = graph.search(np.c_[v, more], beam)
                 near = (dist <= ratio * dist[:, :1] + 1e-12) & np.isfinite(dist)
-                near[:, count:] = False
-                row, col = np.nonzero(near)
+                if as_query:
+                    cut = near[:, -1] if ids.shape[1] < len(graph.c) else np.zeros(len(v), bool)  # more may be within the ratio
+                    row, col = np.nonzero(near & ~cut[:, None])
+                    lists = ids[row, col]
+                    if cut.any():
+                        far = graph.distances(np.c_[v, more][cut])
+                        at, more_lists = np.nonzero(far <= ratio * far.min(1, keepdims=True) + 1e-12)
+                        row, lists = np.r_[row, np.flatnonzero(cut)[at]], np.r_[lists, more_lists]
+                    whole = np.bincount(row, minlength=len(v)) > count
+                    row, lists = np.r_[row[~whole[row]], np.flatnonzero(whole)], np.r_[lists[~whole[row]], np.full(whole.sum(), -1)]
+                else:
+                    near[:, count:] = False
+                    row, col = np.nonzero(near)
+                    lists = ids[row, col]
                 taken = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, col].astype(np.int32)), *(taken.column(c) for c in keep)], ["list", *keep])
+                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), *(taken.column(c) for c in keep)], ["list", *keep])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     return rows.select(*keep).mapInArrow(run, "list int, " + ", ".join(f"{c} {kinds[c]}" for c in keep))
@@ -140,8 +161,9 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     components take no part, and neither do rows with a null id; all others
     must have one length.  Equal vectors are searched once: of the rows
     that share a vector only the ``top`` + 1 smallest ids can be among the
-    nearest of anything.  A query whose lists hold fewer than ``top`` others
-    is compared with all vectors, in blocks.
+    nearest of anything.  A query whose lists hold fewer than ``top`` others,
+    or that would probe a large share of the lists, is compared with all
+    vectors, in blocks.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -169,12 +191,12 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     graph = CentroidGraph(balanced_centroids(x[np.lexsort(x.T)], count), p.degree)
     posted = scratch.store(lists_of(distinct, graph, norm, p.replicas, p.boundary, min(p.beam, 4 * p.replicas), False, ["v", "ids"]), "posted")
     askers = distinct.join(asked.select("vid").distinct(), "vid").select("v", "vid")
-    probes = scratch.store(lists_of(askers, graph, norm, p.probes, p.ratio, p.beam, True, ["v", "vid"]), "probes")
+    probes = scratch.store(lists_of(askers, graph, norm, max(p.probes, int(p.share * count)), p.ratio, p.beam, True, ["v", "vid"]), "probes")
     # Long lists are cut into blocks; each block meets the queries of the list.
     sizes = posted.groupBy("list").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     left = posted.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("ids"), blocks).cast("int")).select("list", "block", "v", "ids")
-    right = probes.join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("list", "block", "v", "vid")
+    right = probes.where("list >= 0").join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("list", "block", "v", "vid")
     part = left.groupBy("list", "block").cogroup(right.groupBy("list", "block")).applyInPandas(
         lambda a, b: best_in_block(a, b, p.top), "vid long, score double, ids array<long>")
     found = scratch.store(merge(part, p.top), "found")
@@ -189,6 +211,17 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     return each.withColumn("rank", order).where(F.col("rank") <= p.top).select("query_id", "rank", "vec_id", "score")
 
 
+def smallest(ids: pa.Array) -> np.ndarray:
+    return pc.list_element(ids, 0).to_numpy(zero_copy_only=False)
+
+
+def first_rows(row: np.ndarray, score: np.ndarray, one: np.ndarray, top: int) -> np.ndarray:
+    """Places of the ``top`` largest scores of each row, equal ones by the smaller id."""
+    order = np.lexsort((one, -score, row))
+    counts = np.unique(row, return_counts=True)[1]
+    return order[np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts) < top]
+
+
 def best_rows(q: np.ndarray, v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, vector, score) of the ``top`` largest inner products of each query; every score is summed alike."""
     rough = q @ v.T
@@ -228,10 +261,15 @@ def against_all(few: DataFrame, distinct: DataFrame, p: Params) -> DataFrame:
         q, vid = np.array([r["v"] for r in block]), np.array([r["vid"] for r in block])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            row, score, ids = np.zeros(0, np.int64), np.zeros(0), pa.array([], pa.list_(pa.int64()))
             for batch in batches:
                 if batch.num_rows:
-                    row, at, score = best_rows(q, stacked(batch.column("v")), p.top + 1)
-                    yield pa.RecordBatch.from_arrays([pa.array(vid[row]), pa.array(score), batch.column("ids").take(pa.array(at))], ["vid", "score", "ids"])
+                    new, at, more = best_rows(q, stacked(batch.column("v")), p.top + 1)
+                    row, score = np.r_[row, new], np.r_[score, more]
+                    ids = pa.concat_arrays([ids, batch.column("ids").take(pa.array(at)).cast(ids.type)])
+                    kept = first_rows(row, score, smallest(ids), p.top + 1)
+                    row, score, ids = row[kept], score[kept], ids.take(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([pa.array(vid[row]), pa.array(score), ids], ["vid", "score", "ids"])
 
         return distinct.select("v", "ids").mapInArrow(run, "vid long, score double, ids array<long>")
 

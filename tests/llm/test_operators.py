@@ -525,16 +525,29 @@ def test_recall_of_probed_lists(spark):
     assert np.mean(share) >= 0.9
 
 
+def test_no_query_is_cut_at_a_number_of_lists(spark):
+    x = np.random.default_rng(6).standard_normal((1500, 12))
+    rows = [(k, v) for k, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = slow_neighbours(rows)
+    for p in (ann.Params(list_size=8, probes=2, beam=4, ratio=100.0),               # the scan
+              ann.Params(list_size=8, probes=2, beam=4, ratio=100.0, share=1.0)):   # all lists
+        got = defaultdict(list)
+        for r in ann.nearest(df, df["vec_id"] % 20 == 0, p).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append(r["vec_id"])
+        assert got == {q: [j for _, j in near] for q, near in want.items()}
+
+
 def test_no_list_is_joined_or_probed_twice(spark):
     x = np.random.default_rng(2).standard_normal((3000, 6))
     graph = ann.CentroidGraph(ann.balanced_centroids(x, 1200), 16)
     ids, dist = graph.search(x[:200], 96)
     assert all(len(set(i[np.isfinite(d)].tolist())) == np.isfinite(d).sum() for i, d in zip(ids, dist))
     norm = float(np.sqrt((x * x).sum(1).max()))
-    graph = ann.CentroidGraph(ann.balanced_centroids(np.c_[x, np.sqrt(norm * norm - (x * x).sum(1))], 1200), 16)
+    graph = ann.CentroidGraph(ann.balanced_centroids(np.c_[x, np.sqrt(np.maximum(norm * norm - (x * x).sum(1), 0))], 1200), 16)
     rows = spark.createDataFrame([(k, v) for k, v in enumerate(x[:400].tolist())], "vid long, v array<double>")
-    for as_query in (False, True):
-        got = [tuple(r) for r in ann.lists_of(rows, graph, norm, 8, 1.7, 32, as_query, ["v", "vid"]).select("list", "vid").collect()]
+    for as_query, count in ((False, 8), (True, 1200)):
+        got = [tuple(r) for r in ann.lists_of(rows, graph, norm, count, 1.7, 32, as_query, ["v", "vid"]).select("list", "vid").collect()]
         assert len(set(got)) == len(got) > 400
 
 
