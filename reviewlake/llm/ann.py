@@ -222,14 +222,20 @@ def first_rows(row: np.ndarray, score: np.ndarray, one: np.ndarray, top: int) ->
     return order[np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts) < top]
 
 
-def best_rows(q: np.ndarray, v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) of the ``top`` largest inner products of each query; every score is summed alike."""
+def best_rows(q: np.ndarray, v: np.ndarray, one: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) of the ``top`` largest inner products of each query, equal ones by the smaller id ``one``.
+
+    Every score is summed alike; the matrix product only leaves out what is
+    below the last place by more than its rounding.
+    """
     rough = q @ v.T
-    kept = min(top + 4, len(v))
-    at = np.argpartition(-rough, kept - 1, axis=1)[:, :kept] if kept < len(v) else np.tile(np.arange(len(v)), (len(q), 1))
-    exact = (q[:, None, :] * v[at]).sum(2)
-    row = np.repeat(np.arange(len(q)), kept)
-    return row, at.ravel(), exact.ravel()
+    kept = min(top, len(v))
+    last = np.partition(rough, len(v) - kept, axis=1)[:, len(v) - kept]
+    rounding = 4 * q.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
+    row, at = np.nonzero(rough >= (last - rounding)[:, None])
+    exact = np.concatenate([(q[row[k:k + 65536]] * v[at[k:k + 65536]]).sum(1) for k in range(0, len(row), 65536)])
+    first = first_rows(row, exact, one[at], top)
+    return row[first], at[first], exact[first]
 
 
 def best_in_block(a: pd.DataFrame, b: pd.DataFrame, top: int) -> pd.DataFrame:
@@ -237,8 +243,9 @@ def best_in_block(a: pd.DataFrame, b: pd.DataFrame, top: int) -> pd.DataFrame:
     if a.empty or b.empty:
         return pd.DataFrame({"vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64"), "ids": pd.Series([], dtype=object)})
     v, ids, out = np.stack(a["v"].to_numpy()), a["ids"].to_numpy(), []
+    one = np.array([x[0] for x in ids])
     for k in range(0, len(b), 512):
-        row, at, score = best_rows(np.stack(b["v"].to_numpy()[k:k + 512]), v, top + 1)
+        row, at, score = best_rows(np.stack(b["v"].to_numpy()[k:k + 512]), v, one, top + 1)
         out.append(pd.DataFrame({"vid": b["vid"].to_numpy()[k:k + 512][row], "score": score, "ids": ids[at]}))
     return pd.concat(out)
 
@@ -264,7 +271,7 @@ def against_all(few: DataFrame, distinct: DataFrame, p: Params) -> DataFrame:
             row, score, ids = np.zeros(0, np.int64), np.zeros(0), pa.array([], pa.list_(pa.int64()))
             for batch in batches:
                 if batch.num_rows:
-                    new, at, more = best_rows(q, stacked(batch.column("v")), p.top + 1)
+                    new, at, more = best_rows(q, stacked(batch.column("v")), smallest(batch.column("ids")), p.top + 1)
                     row, score = np.r_[row, new], np.r_[score, more]
                     ids = pa.concat_arrays([ids, batch.column("ids").take(pa.array(at)).cast(ids.type)])
                     kept = first_rows(row, score, smallest(ids), p.top + 1)

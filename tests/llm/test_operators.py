@@ -525,6 +525,18 @@ def test_recall_of_probed_lists(spark):
     assert np.mean(share) >= 0.9
 
 
+def test_ties_of_many_distinct_vectors(spark):
+    x = np.random.default_rng(7).integers(0, 2, (600, 14)).astype(float)
+    rows = [(int(k), v) for k, v in zip(np.random.default_rng(8).permutation(600), x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = slow_neighbours(rows)
+    for p in (ann.Params(ratio=100.0), ann.Params(probes=0, share=0.0)):  # by lists, by the scan
+        got = defaultdict(list)
+        for r in ann.nearest(df, df["vec_id"] % 20 == 0, p).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append(r["vec_id"])
+        assert got == {q: [j for _, j in near] for q, near in want.items()}
+
+
 def test_no_query_is_cut_at_a_number_of_lists(spark):
     x = np.random.default_rng(6).standard_normal((1500, 12))
     rows = [(k, v) for k, v in enumerate(x.tolist())]
