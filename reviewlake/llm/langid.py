@@ -127,20 +127,21 @@ class Model:
 def train(docs: DataFrame, p: Params = Params()) -> Model | None:
     """Fit on (text, lang) of ``docs``; null languages and texts without a letter teach nothing.
 
-    At most ``docs_per_language`` rows of each language, and ``max_docs`` in
+    At most ``docs_per_language`` distinct texts of each language, and ``max_docs`` in
     all, are used, chosen by the hash of the text, and their vectors, of fixed size, reach the
     driver.  None if no row is left.
     """
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages + 1).collect()}
+    h = F.xxhash64("text")
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # Copies of one text are one: they must not lower the share of the others.
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang", h.alias("h")).agg(F.lit(1)).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages + 1).collect()}
     if len(counts) > p.max_languages:
         raise ValueError(f"more than {p.max_languages} languages")
     if not counts:
         return None
     each = max(1, min(p.docs_per_language, p.max_docs // len(counts)))
-    # A hash threshold for each language lets about a quarter more than the bound through; the rest is cut exactly.
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.25 * each / n))])
-    h = F.xxhash64("text")
+    # A hash threshold for each language lets eight deviations more than the bound through; the rest is cut exactly.
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (each + 8 * each ** 0.5 + 32) / n))])
     some = (known.where(F.pmod(h, F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).groupBy("lang", h.alias("h"))
             .agg(F.max("text").alias("text")))
     sample = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))).where(F.col("rank") <= each)

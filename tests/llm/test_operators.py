@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
 from reviewlake.llm import ann, decontam, langid, linededup, quality, queries, sharding, simhash, spm, substring, toxicity
 from reviewlake.llm.common import table
@@ -431,6 +432,21 @@ def test_classifiers_on_messy_and_empty_tables(spark, messy, empty):
     assert kept.columns == df.columns
 
 
+def test_copies_do_not_shrink_the_sample_of_a_language(spark):
+    rng = random.Random(9)
+
+    def text(alphabet):
+        return " ".join("".join(rng.choices(alphabet, k=5)) for _ in range(12))
+    rows = [("xa", text("abcdefg")) for _ in range(200)] + [("xb", text("nopqrst")) for _ in range(40)]
+    docs = spark.createDataFrame([(k, lang, t) for k, (lang, t) in enumerate(rows)], "doc_id long, lang string, text string")
+    hot = spark.range(200_000).select("id", F.lit("xb").alias("lang"), F.when(F.col("id") % 2 == 0, F.lit("one text that is copied")).otherwise(F.concat(F.col("id").cast("string"), F.lit(" !"))).alias("text"))
+    p = langid.Params(docs_per_language=30)
+    m = langid.train(docs.union(hot), p)
+    assert set(m.families.classes) == {"only xa", "only xb"}
+    got = Counter((r["lang"], r["lang_pred"]) for r in langid.predict(docs, m, p, ["lang"]).collect())
+    assert got[("xb", "xb")] >= 39 and got[("xa", "xa")] >= 198
+
+
 def test_family_first():
     assert langid.family("en-GB") == langid.family("de") != langid.family("fr") == langid.family("es")
     assert langid.family("xx") == "only xx"
