@@ -48,9 +48,13 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def text_number(c: Column) -> Column:
-    """The first seven UTF-8 bytes as a number that sorts like the text; null stays null."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+def text_cells(rows: DataFrame, name: str, bits: int) -> Column:
+    """The cell of the text column ``name`` between its quantiles over all rows, cut on whole strings; null stays null."""
+    order, total = ranked(rows.where(F.col(name).isNotNull()).select(F.col(name).alias("s")), ["s"], Scratch(rows.sparkSession, "cuts"))
+    at = sorted({k * total // (1 << bits) for k in range(1, 1 << bits)})
+    cuts = sorted({r["s"] for r in order.where(F.col("rank").isin(at)).select("s").collect()}, key=lambda x: x.encode())
+    below = F.array(*[F.lit(c) for c in cuts]).cast("array<string>")
+    return F.when(F.col(name).isNotNull(), F.size(F.filter(below, lambda c: c < F.col(name))).cast("long"))
 
 
 def curve(rows: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
@@ -85,7 +89,7 @@ def shards(docs: DataFrame, count: int = 8, bits: int = BITS) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
-        text_number(F.col("source")).alias("source"), text_number(F.col("lang")).alias("lang"))
+        text_cells(docs, "source", bits).alias("source"), text_cells(docs, "lang", bits).alias("lang"))
     placed, total = ranked(curve(rows, ["source", "lang", "size", "doc_id"], bits).drop("source", "lang"),
                            ["curve", "text_crc32", "doc_id", "size"], Scratch(docs.sparkSession, "shards"))
     starts = F.array(*[F.lit(s * total // count).cast("long") for s in range(count)])
@@ -98,8 +102,8 @@ def shards(docs: DataFrame, count: int = 8, bits: int = BITS) -> DataFrame:
 
 def write(docs: DataFrame, path: str, count: int = 8, bits: int = BITS) -> None:
     """All columns of ``docs`` as Parquet in curve order, in about ``count`` files of neighbouring rows."""
-    rows = docs.withColumn("_size", F.octet_length(F.coalesce("text", F.lit("")))).withColumn("_source", text_number(F.col("source"))) \
-        .withColumn("_lang", text_number(F.col("lang")))
+    rows = docs.withColumn("_size", F.octet_length(F.coalesce("text", F.lit("")))).withColumn("_source", text_cells(docs, "source", bits)) \
+        .withColumn("_lang", text_cells(docs, "lang", bits))
     curved = curve(rows, ["_source", "_lang", "_size", "doc_id"], bits)
     curved.repartitionByRange(count, "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id").drop("_size", "_source", "_lang", "curve") \
         .write.mode("overwrite").parquet(path)

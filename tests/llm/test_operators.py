@@ -477,6 +477,14 @@ def test_shards_hold_equal_counts(spark, messy, empty):
     assert {r["shard"] for r in sharding.shards(df.limit(3)).collect()} <= set(range(8))
 
 
+def test_sources_that_share_a_beginning_have_cells_of_their_own(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"),
+                                   F.when(F.col("id") % 9 > 0, F.concat(F.lit("https://host"), F.col("id") % 4)).alias("source"))
+    shard = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shards(docs, 1).collect()}
+    flat = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shards(docs.withColumn("source", F.substring("source", 12, 2)), 1).collect()}
+    assert shard == flat  # the common beginning changes nothing
+
+
 def test_written_shards_prune_in_several_dimensions(spark, tmpdir_path):
     docs = table(spark, LABELLED, "documents")
     sharding.write(docs, f"{tmpdir_path}/s", 8)
