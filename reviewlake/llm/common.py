@@ -60,13 +60,13 @@ class Scratch:
         except Exception:  # noqa: BLE001 - the session may be gone when the interpreter ends
             return
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, **options: int) -> DataFrame:
         """Write and read back; the shuffle files behind the table go at once, not when the driver collects garbage."""
         tidy, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", None
         try:
             before = self.spark.conf.get(tidy)
             self.spark.conf.set(tidy, "true")
-            df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+            df.write.mode("overwrite").options(**options).parquet(f"{self.path}/{name}")
         finally:
             if before is not None:
                 self.spark.conf.set(tidy, before)
