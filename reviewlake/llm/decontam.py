@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,13 @@ from pyspark.sql import functions as F
 from reviewlake.llm.common import Scratch, bounded_batches, map_texts, unused
 
 WORD = re.compile(r"\w+")
-BLOCK = 1 << 18  # words searched together
+#: The same words by bytes: blanks for what is no part of a word, outside ASCII and in it; ASCII in lower case.
+OUTSIDE = re.compile(r"[^\w\x00-\x7f]+")
+WORD_BYTES = bytes(c if c > 127 else ord(chr(c).lower()) if WORD.match(chr(c)) else 32 for c in range(256))
+PIECE = 1 << 20       # bytes of a text whose words are held at once
+BLOCK = 1 << 18       # words searched together
+MASK_BYTES = 1 << 25  # of the items' place masks that are held at once
+DIGITS = 4            # of a reported cosine: float sums depend on the partitions beyond them
 
 
 @dataclass(frozen=True)
@@ -45,49 +52,76 @@ class Params:
     answer_words: int = 5
     few_words: int = 3           # an item with fewer different words of weight is searched everywhere,
     few_share: float = 0.1       # and one with a smaller share of them among its words
-    block_words: int = 50_000    # benchmark words searched at once; more are done block after block
+    block_words: int = 50_000    # benchmark words searched at once; more are done block after block, with the same results
 
 
 @dataclass(frozen=True)
 class Items:
-    ids: list[int]
+    ids: pa.Array
     words: list[np.ndarray]      # term numbers from 1
     vocabulary: dict[str, int]
 
 
-def read_items(benchmark: DataFrame, p: Params) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size; null and wordless items match nothing."""
-    def block(rows: list[tuple[int, list[str]]]) -> Items:
-        vocabulary = {w: k + 1 for k, w in enumerate(sorted({w for _, ws in rows for w in ws}))}
-        return Items([i for i, _ in rows], [np.array([vocabulary[w] for w in ws]) for _, ws in rows], vocabulary)
+def read_items(benchmark: DataFrame) -> Items:
+    """The benchmark's different items, with one vocabulary for all; null and wordless items match nothing.
 
-    rows, size = [], 0
-    for r in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct().orderBy("item_id", "text").toLocalIterator():
-        if words := WORD.findall(r["text"].lower()):
-            if rows and size + len(words) > p.block_words:
-                yield block(rows)
-                rows, size = [], 0
-            rows.append((r["item_id"], words))
-            size += len(words)
-    if rows:
-        yield block(rows)
+    The benchmark is held whole, 4 bytes a word, and so is its vocabulary.
+    """
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct().orderBy("item_id", "text")
+    ids, words, numbers = [], [], {}
+    for r in rows.toLocalIterator():
+        if found := WORD.findall(r["text"].lower()):
+            ids.append(r["item_id"])
+            words.append(np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int32))
+    ordered = sorted(numbers)
+    number = np.empty(len(ordered), np.int32)
+    number[[numbers[w] for w in ordered]] = np.arange(1, len(ordered) + 1)
+    kind = benchmark.select("item_id").limit(0).toArrow().schema.field("item_id").type
+    return Items(pa.array(ids, kind), [number[w] for w in words], {w: k + 1 for k, w in enumerate(ordered)})
+
+
+def blocks(items: Items, p: Params) -> Iterator[Items]:
+    """The items in blocks of bounded size; the vocabulary stays that of all."""
+    first, size = 0, 0
+    for k, w in enumerate(items.words):
+        if k > first and size + len(w) > p.block_words:
+            yield Items(items.ids[first:k], items.words[first:k], items.vocabulary)
+            first, size = k, 0
+        size += len(w)
+    if first < len(items.words):
+        yield Items(items.ids[first:], items.words[first:], items.vocabulary)
+
+
+def term_numbers(text: str, number: dict[bytes, int], kind: str) -> bytes:
+    """The numbers of a text's words in lower case, 0 for words that have none; some words at a time are held."""
+    b = (text if text.isascii() else OUTSIDE.sub(" ", text.lower())).encode().translate(WORD_BYTES)
+    out, at = [], 0
+    while at < len(b):
+        end = b.find(b" ", at + PIECE)
+        found = b[at:end if end >= 0 else len(b)].split()
+        out.append(np.fromiter(map(number.get, found, repeat(0)), kind, len(found)).tobytes())
+        at = end if end >= 0 else len(b)
+    return b"".join(out)
+
+
+def term_kind(items: Items) -> str:
+    return "<u2" if len(items.vocabulary) < 65535 else "<u4"
 
 
 def numbered(docs: DataFrame, items: Items) -> DataFrame:
     """(doc_id, th, terms): every text as its words' term numbers, 0 for words outside the benchmark."""
-    number = items.vocabulary
+    number, kind = {w.encode(): k for w, k in items.vocabulary.items()}, term_kind(items)
 
     def start():
         def run(texts):
-            return [pa.array([np.array([number.get(w, 0) for w in WORD.findall(t.lower())] if t else [], "<u2" if len(number) < 65535 else "<u4").tobytes() for t in texts], pa.binary())]
+            return [pa.array([term_numbers(t, number, kind) if t else b"" for t in texts], pa.binary())]
         return run
 
     return map_texts(docs.select("doc_id", F.xxhash64("text").alias("th"), "text"), ["doc_id", "th"], start, "terms binary")
 
 
 def term_arrays(batch: pa.RecordBatch, items: Items) -> list[np.ndarray]:
-    kind = "<u2" if len(items.vocabulary) < 65535 else "<u4"
-    return [np.frombuffer(x, kind).astype(np.int32) for x in batch.column("terms").to_pylist()]
+    return [np.frombuffer(x, term_kind(items)).astype(np.int32) for x in batch.column("terms").to_pylist()]
 
 
 def frequencies(texts: DataFrame, items: Items, p: Params) -> tuple[np.ndarray, int]:
@@ -117,7 +151,7 @@ def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarr
     weighted, columns = (g * weight[:, None]).astype(np.float32), g.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(g.shape, np.float32)
+        out = np.zeros(g.shape)
         for batch in batches:
             arrays = term_arrays(batch, items)
             k = 0
@@ -141,7 +175,7 @@ def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarr
                     first = np.flatnonzero(np.concatenate([[True], sorted_a[1:] != sorted_a[:-1]]))
                     out[sorted_a[first]] += np.add.reduceat(rows[owner[order]], first) * weight[sorted_a[first]].astype(np.float32)[:, None]
         kept = np.flatnonzero(out.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int32)), *(pa.array(out[kept, c].astype(np.float64)) for c in range(columns))], ["term", *(f"c{c}" for c in range(columns))])
+        yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int32)), *(pa.array(out[kept, c]) for c in range(columns))], ["term", *(f"c{c}" for c in range(columns))])
 
     schema = "term int, " + ", ".join(f"c{c} double" for c in range(columns))
     total = np.zeros(g.shape)
@@ -179,8 +213,9 @@ def common_subsequence(masks: np.ndarray, item: np.ndarray, terms: np.ndarray) -
     ``masks[item, term]`` has a bit for each place of the term in the item.
     """
     state = np.full(len(item), np.iinfo(np.uint64).max, np.uint64)
+    flat, base = masks.ravel(), item * masks.shape[1]
     for column in terms.T:
-        hit = state & masks[item, column]
+        hit = state & flat[base + column]
         state = (state + hit) | (state - hit)
     return np.bitwise_count(~state).astype(np.int64)
 
@@ -243,12 +278,25 @@ def searcher(items: Items, space: np.ndarray, p: Params):
     length = np.array([len(w) for w in items.words])
     window_of = np.array([next((w for w in p.windows if w >= n), p.windows[-1]) for n in length])
     groups = [(w, np.flatnonzero((window_of == w) & (norms > 1e-6))) for w in sorted(set(window_of.tolist()))]
-    short = np.flatnonzero(length <= 64)
-    masks = np.zeros((len(length), len(items.vocabulary) + 1), np.uint64)
-    for k in short:
-        for place, t in enumerate(items.words[k].tolist()):
-            masks[k, t] |= np.uint64(1 << place)
-        # Places beyond the item never match, so they stay set and count nothing.
+    columns = len(items.vocabulary) + 1
+    together = max(1, MASK_BYTES // (8 * columns))  # items whose masks are held at once
+    held_masks: dict[int, np.ndarray] = {}
+
+    def masks_of(some: int) -> np.ndarray:
+        """Place masks of the items from ``some`` * together on; only one such group is held.
+
+        Places beyond an item never match, so they stay set and count nothing.
+        """
+        if some not in held_masks:
+            held_masks.clear()
+            made = np.zeros((min(together, len(length) - some * together), columns), np.uint64)
+            for k in range(len(made)):
+                terms = items.words[some * together + k]
+                if len(terms) <= 64:
+                    np.bitwise_or.at(made[k], terms, np.uint64(1) << np.arange(len(terms), dtype=np.uint64))
+            held_masks[some] = made
+        return held_masks[some]
+
     answers = [w[-p.answer_words:] for w in items.words]
     weighty = np.abs(space).sum(1) > 0
     few = np.array([len(np.unique(w[weighty[w]])) < p.few_words or weighty[w].mean() < p.few_share for w in items.words])
@@ -263,16 +311,23 @@ def searcher(items: Items, space: np.ndarray, p: Params):
     def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray | None, texts: list[int], found: list[dict]) -> None:
         order = np.argsort(item, kind="stable")  # neighbours read the same masks
         item, start, stop = item[order], start[order], stop[order]
-        places = start[:, None] + np.arange(int((stop - start).max()))
-        part = np.where(places < stop[:, None], a[np.minimum(places, len(a) - 1)], 0)
+        width = int((stop - start).max())
+        part = np.lib.stride_tricks.sliding_window_view(np.pad(a, (0, width)), width)[start]
+        part[np.arange(width) >= (stop - start)[:, None]] = 0
         share = np.zeros(len(item))
-        small = np.flatnonzero(length[item] <= 64)
-        if len(small):
+        for some in np.unique(item // together):
+            small = np.flatnonzero((item // together == some) & (length[item] <= 64))
+            if not len(small):
+                continue
             # Places of the item whose word is there at all bound the subsequence from above.
-            there = np.bitwise_count(np.bitwise_or.reduce(masks[item[small][:, None], part[small]], axis=1))
-            small = small[there >= p.partial * length[item[small]]]
-        if len(small):
-            share[small] = common_subsequence(masks, item[small], part[small]) / length[item[small]]
+            masks = masks_of(int(some))
+            flat, base = masks.ravel(), (item[small] - some * together) * columns
+            there = np.zeros(len(small), np.uint64)
+            for column in np.ascontiguousarray(part[small].T):
+                there |= flat[base + column]
+            small = small[np.bitwise_count(there) >= p.partial * length[item[small]]]
+            if len(small):
+                share[small] = common_subsequence(masks, item[small] - some * together, part[small]) / length[item[small]]
         for k in np.flatnonzero(length[item] > 64):
             share[k] = long_subsequence(items.words[item[k]], part[k]) / length[item[k]]
         for k in np.flatnonzero(share >= p.partial):
@@ -345,6 +400,9 @@ def searcher(items: Items, space: np.ndarray, p: Params):
                 some[inside] += count[inside + ahead]
             begin = place * (w // 3)
             kept = np.flatnonzero((some >= 1) & ((place == 0) | (begin < sizes[owner_of] - w // 2)))
+            # An inner product is at most the product of both norms: shorter sums reach no item.
+            least = max(p.shared, 0) * (norms[own] * np.minimum(1, w / length[own])).min() * (1 - 1e-5)
+            kept = kept[np.einsum("ij,ij->i", sums[kept], sums[kept]) >= least ** 2]
             text, sums = owner_of[kept], sums[kept]
             start = bounds[text] + begin[kept]
             stop = np.minimum(start + w, bounds[text + 1])
@@ -385,28 +443,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> Data
     A row for each document and item, from the window with the largest
     share of the item's words in order; th is the text's hash.  Null, empty
     and wordless texts match nothing, and an empty benchmark gives no row;
-    equal rows of ``docs`` give equal rows.  Of ``docs`` only doc_id and
-    text are read, of ``benchmark`` item_id and text.
+    equal rows of ``docs`` give equal rows, and equal items count once.  An
+    item_id may have any type and comes back in it; two texts of one id are
+    two items.  Of ``docs`` only doc_id and text are read, of ``benchmark``
+    item_id and text.  Cosines are rounded to 4 decimals.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {kind}, th long, item_id {item_kind}, cosine double, lcs_share double, answer_found boolean"
+    items = read_items(benchmark)
     out = spark.createDataFrame([], schema)
-    for items in read_items(benchmark, p):
-        texts = Scratch(spark, "decontam").store(numbered(docs, items), "terms")
-        space = latent_space(texts, items, p)
-
-        def run(batches: Iterator[pa.RecordBatch], items=items, space=space) -> Iterator[pa.RecordBatch]:
-            search = searcher(items, space, p)
+    if not items.words:
+        return out
+    texts = Scratch(spark, "decontam").store(numbered(docs, items), "terms")
+    space = latent_space(texts, items, p)
+    for some in blocks(items, p):
+        def run(batches: Iterator[pa.RecordBatch], some=some) -> Iterator[pa.RecordBatch]:
+            search = searcher(some, space, p)
             for batch in batches:
                 owner, item, cosine, share, answer = [], [], [], [], []
-                for k, matched in enumerate(search(term_arrays(batch, items))):
+                for k, matched in enumerate(search(term_arrays(batch, some))):
                     for i, (s, c, f) in sorted(matched.items()):
-                        for column, x in zip((owner, item, cosine, share, answer), (k, items.ids[i], c, s, f)):
+                        for column, x in zip((owner, item, cosine, share, answer), (k, i, round(c, DIGITS), s, f)):
                             column.append(x)
                 at = pa.array(owner, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(item, pa.int64()), pa.array(cosine, pa.float64()),
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), some.ids.take(pa.array(item, pa.int64())), pa.array(cosine, pa.float64()),
                                                   pa.array(share, pa.float64()), pa.array(answer, pa.bool_())], ["doc_id", "th", "item_id", "cosine", "lcs_share", "answer_found"])
 
         out = out.union(texts.mapInArrow(run, schema))

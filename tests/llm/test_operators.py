@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -244,7 +245,7 @@ def test_common_subsequences():
 def drawn_items(lengths, terms):
     rng = np.random.default_rng(3)
     words = [rng.permutation(np.arange(1, terms + 1))[:n] for n in lengths]
-    return decontam.Items(list(range(len(lengths))), words, {f"w{k}": k for k in range(1, terms + 1)})
+    return decontam.Items(pa.array(range(len(lengths))), words, {f"w{k}": k for k in range(1, terms + 1)})
 
 
 @pytest.mark.parametrize("size", [1.0, 1e-9])
