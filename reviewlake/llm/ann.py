@@ -5,9 +5,13 @@ sample is halved again and again into balanced cells; a cell's mean is the
 centroid of a posting list.  Every vector goes to its nearest list, and a
 boundary vector to further lists that are nearly as near.  A query finds its
 nearest centroids in an in-memory neighbour graph and probes all lists whose
-distance is within a ratio of the best one; where these are so many that a
-scan is no dearer, it is compared with all vectors.  Scores are exact inner products
-of the original vectors in double precision.
+distance is within a ratio of the best one.  Both ratios are fitted on the
+sample: the boundary to a mean number of lists for a vector, the query's
+ratio to the recall of the sample's own neighbours.  Scores are exact inner
+products of the original vectors in double precision.
+
+Lists that lie together form a group; a group's vectors and the queries that
+probe one of its lists meet in blocks of bounded size on both sides.
 """
 
 from __future__ import annotations
@@ -16,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -29,16 +32,18 @@ from reviewlake.llm.common import Scratch, bounded_batches
 class Params:
     top: int = 20
     list_size: int = 256         # vectors for each posting list, before replication
-    max_sample: int = 100_000    # bound of the sample that places the centroids
+    max_sample: int = 100_000    # bound of the sample that places the centroids and fits the ratios
+    max_asked: int = 512         # of the sample's vectors that are its queries
     max_lists: int = 16_384
     replicas: int = 8            # lists that a boundary vector may join
-    boundary: float = 1.2        # joins lists within this ratio of its nearest centroid's distance
-    ratio: float = 1.7           # a query probes all lists within this ratio of its nearest centroid's distance
-    probes: int = 48             # with more lists than that, and
-    share: float = 0.125         # than this share of all, it is compared with all vectors: replicas make that no dearer
+    mean_replicas: float = 2.5   # lists that a vector joins on the average
+    recall: float = 0.96         # of the sample's neighbours, by which the query's ratio is fitted
+    ratio: float | None = None   # a query probes all lists within this ratio of its nearest centroid's distance; None: fitted
     degree: int = 16             # of the centroid graph
     beam: int = 96               # centroids kept by the graph search; a query with more within the ratio meets all centroids
-    block: int = 4_096           # rows of a list that meet in one task
+    together: int = 32           # lists of a group
+    block: int = 16_384          # vectors of a group that meet in one task
+    asked_block: int = 4_096     # queries of a group that meet in one task
 
 
 def balanced_centroids(x: np.ndarray, lists: int) -> np.ndarray:
@@ -118,52 +123,108 @@ def stacked(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, count: int, ratio: float, beam: int, as_query: bool, keep: list[str]) -> DataFrame:
-    """A row for each list that a vector (column v) joins, at most ``count``, or probes if ``as_query``.
+def lifted(v: np.ndarray, norm: float) -> np.ndarray:
+    """One more coordinate gives all vectors one norm; then the largest inner product is the smallest distance."""
+    return np.c_[v, np.sqrt(np.maximum(norm * norm - (v * v).sum(1), 0))]
+
+
+def within(graph: CentroidGraph, q: np.ndarray, ratio: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, list) of all lists within the ratio of each query's nearest; where the beam may have cut some, all centroids are met."""
+    ids, dist = graph.search(q, beam)
+    near = (dist <= ratio * dist[:, :1] + 1e-12) & np.isfinite(dist)
+    cut = near[:, -1] if ids.shape[1] < len(graph.c) else np.zeros(len(q), bool)
+    row, col = np.nonzero(near & ~cut[:, None])
+    lists = ids[row, col]
+    if cut.any():
+        far = graph.distances(q[cut])
+        at, more = np.nonzero(far <= ratio * far.min(1, keepdims=True) + 1e-12)
+        row, lists = np.r_[row, np.flatnonzero(cut)[at]], np.r_[lists, more]
+    return row, lists
+
+
+def joined(graph: CentroidGraph, v: np.ndarray, boundary: float, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(vector, list) of the lists that each lifted vector joins."""
+    ids, dist = graph.search(v, min(p.beam, 4 * p.replicas))
+    near = (dist <= boundary * dist[:, :1] + 1e-12) & np.isfinite(dist)
+    near[:, p.replicas:] = False
+    row, col = np.nonzero(near)
+    return row, ids[row, col]
+
 
-    A query with more than ``count`` lists within the ratio has one row, of list -1.
+def fitted(graph: CentroidGraph, x: np.ndarray, norm: float, p: Params) -> tuple[float, float]:
+    """The boundary and the query's ratio, from the sample ``x`` of vectors.
+
+    The boundary lets a sample's vector join ``mean_replicas`` lists on the
+    average.  Some of the sample are queries: a neighbour is found by the
+    ratio of its nearest list to the query's nearest one, and ``recall`` of
+    the neighbours within the sample are found by the fitted ratio.  The
+    neighbours among all vectors are no farther, so they need no more.
     """
+    up = lifted(x, norm)
+    some = up[:p.max_asked * 8]
+    ratios = np.sort((lambda d: d / np.maximum(d[:, :1], 1e-12))(graph.search(some, min(p.beam, 4 * p.replicas))[1])[:, :p.replicas].ravel())
+    boundary = float(ratios[min(len(ratios), max(1, int(p.mean_replicas * len(some)))) - 1])
+    row, lists = zip(*(joined(graph, up[k:k + 1024], boundary, p) for k in range(0, len(up), 1024)))
+    row, lists = np.concatenate([r + k * 1024 for k, r in enumerate(row)]), np.concatenate(lists)
+    starts = np.searchsorted(row, np.arange(len(x) + 1))
+    asked = x[np.linspace(0, len(x) - 1, min(len(x), p.max_asked)).astype(int)]
+    need = []
+    for q in asked:
+        score = x @ q
+        near = np.argpartition(-score, min(p.top, len(x) - 1))[:p.top + 1]
+        near = near[np.argsort(-score[near], kind="stable")][1:]  # without the query itself
+        d = graph.distances(np.append(q, 0.0)[None])[0]
+        if len(near):
+            need.append([d[lists[starts[k]:starts[k + 1]]].min() / max(d.min(), 1e-12) for k in near])
+    return boundary, float(np.quantile(np.concatenate(need), p.recall)) if need else 1.0
+
+
+def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, boundary: float, p: Params) -> DataFrame:
+    """(list, v, ids) for each list that a vector joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                v = stacked(part.column("v"))
-                # One more coordinate gives all vectors one norm; a query has none.
-                more = np.zeros(len(v)) if as_query else np.sqrt(np.maximum(norm * norm - (v * v).sum(1), 0))
-                ids, dist = graph.search(np.c_[v, more], beam)
-                near = (dist <= ratio * dist[:, :1] + 1e-12) & np.isfinite(dist)
-                if as_query:
-                    cut = near[:, -1] if ids.shape[1] < len(graph.c) else np.zeros(len(v), bool)  # more may be within the ratio
-                    row, col = np.nonzero(near & ~cut[:, None])
-                    lists = ids[row, col]
-                    if cut.any():
-                        far = graph.distances(np.c_[v, more][cut])
-                        at, more_lists = np.nonzero(far <= ratio * far.min(1, keepdims=True) + 1e-12)
-                        row, lists = np.r_[row, np.flatnonzero(cut)[at]], np.r_[lists, more_lists]
-                    whole = np.bincount(row, minlength=len(v)) > count
-                    row, lists = np.r_[row[~whole[row]], np.flatnonzero(whole)], np.r_[lists[~whole[row]], np.full(whole.sum(), -1)]
-                else:
-                    near[:, count:] = False
-                    row, col = np.nonzero(near)
-                    lists = ids[row, col]
+                row, lists = joined(graph, lifted(stacked(part.column("v")), norm), boundary, p)
                 taken = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), *(taken.column(c) for c in keep)], ["list", *keep])
+                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), taken.column("v"), taken.column("ids")], ["list", "v", "ids"])
+
+    return rows.select("v", "ids").mapInArrow(run, "list int, v array<double>, ids array<long>")
+
+
+def probed(rows: DataFrame, graph: CentroidGraph, ratio: float | None, p: Params) -> DataFrame:
+    """(group, lists, v, vid) for each group with lists that a query probes: those within the ratio, or all (None)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                n = len(graph.c)
+                if ratio is None:
+                    row, lists = np.repeat(np.arange(part.num_rows), n), np.tile(np.arange(n), part.num_rows)
+                else:
+                    row, lists = within(graph, np.c_[stacked(part.column("v")), np.zeros(part.num_rows)], ratio, p.beam)
+                order = np.lexsort((lists, row))
+                row, lists = row[order], lists[order]
+                group = lists // p.together
+                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (group[1:] != group[:-1])]))
+                held = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)).astype(np.int32)), pa.array(lists.astype(np.int32)))
+                taken = part.take(pa.array(row[new]))
+                yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), held, taken.column("v"), taken.column("vid")], ["group", "lists", "v", "vid"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.select(*keep).mapInArrow(run, "list int, " + ", ".join(f"{c} {kinds[c]}" for c in keep))
+    return rows.select("v", "vid").mapInArrow(run, "group int, lists array<int>, v array<double>, vid long")
 
 
 def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score) of each row that ``queries`` selects: its nearest others by inner product.
+    """(query_id, rank, vec_id, score) of each id that ``queries`` selects: its nearest others by inner product.
 
     Nearest first, equal scores by the smaller id; all candidates if there
     are fewer than ``top``.  Vectors null, zero or with null or non-finite
     components take no part, and neither do rows with a null id; all others
-    must have one length.  Equal vectors are searched once: of the rows
-    that share a vector only the ``top`` + 1 smallest ids can be among the
-    nearest of anything.  A query whose lists hold fewer than ``top`` others,
-    or that would probe a large share of the lists, is compared with all
-    vectors, in blocks.
+    must have one length, else an error is raised.  An id has one vector:
+    equal rows count once, and of an id's different vectors the greatest,
+    by its components in order, counts.  Ids with equal vectors are searched
+    once: of them only the ``top`` + 1 smallest can be among the nearest of
+    anything.  A query whose lists hold too few others probes all lists.
     """
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -176,49 +237,65 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
         return spark.createDataFrame([], schema)
     if len(lengths) > 1:
         raise ValueError("vectors differ in length")
+    rows = scratch.store(rows.groupBy("id").agg(F.max("v").alias("v"), F.max("asks").alias("asks")), "rows")
     # Equal vectors: their smallest ids.  The limit is applied before the shuffle, so a frequent vector stays spread.
-    rank = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    first = rows.withColumn("k", rank).where(F.col("k") <= p.top + 1)
+    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    first = rows.withColumn("k", place).where(F.col("k") <= p.top + 1)
     distinct = scratch.store(first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("vid", F.element_at("ids", 1)), "distinct")
-    asked = scratch.store(rows.where("asks").select("v", "id").distinct().join(distinct.select("v", "vid"), "v").select(F.col("id").alias("query_id"), "vid"), "asked")
+    asked = scratch.store(rows.where("asks").select("v", "id").join(distinct.select("v", "vid"), "v").select(F.col("id").alias("query_id"), "vid"), "asked")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    facts = distinct.agg(F.count("*").alias("n"), F.sqrt(F.max(square)).alias("norm")).first()
+    facts = distinct.agg(F.count("*").alias("n"), F.sqrt(F.max(square)).alias("norm"), F.sum(F.size("ids")).alias("ids")).first()
     n, norm = facts["n"], facts["norm"]
     count = int(min(p.max_lists, max(1, n // p.list_size)))
     sample = distinct.orderBy(F.xxhash64("v"), "vid").limit(p.max_sample).select("v") if n > p.max_sample else distinct.select("v")
     x = stacked(sample.toArrow().column("v").combine_chunks())  # at most max_sample vectors
-    x = np.c_[x, np.sqrt(np.maximum(norm * norm - (x * x).sum(1), 0))]
-    graph = CentroidGraph(balanced_centroids(x[np.lexsort(x.T)], count), p.degree)
-    posted = scratch.store(lists_of(distinct, graph, norm, p.replicas, p.boundary, min(p.beam, 4 * p.replicas), False, ["v", "ids"]), "posted")
+    x = x[np.lexsort(x.T)]
+    graph = CentroidGraph(balanced_centroids(lifted(x, norm), count), p.degree)
+    boundary, ratio = fitted(graph, x, norm, p)
+    posted = scratch.store(lists_of(distinct, graph, norm, boundary, p), "posted")
     askers = distinct.join(asked.select("vid").distinct(), "vid").select("v", "vid")
-    probes = scratch.store(lists_of(askers, graph, norm, max(p.probes, int(p.share * count)), p.ratio, p.beam, True, ["v", "vid"]), "probes")
-    # Long lists are cut into blocks; each block meets the queries of the list.
-    sizes = posted.groupBy("list").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / p.block).cast("int")
-    left = posted.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("ids"), blocks).cast("int")).select("list", "block", "v", "ids")
-    right = probes.where("list >= 0").join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("list", "block", "v", "vid")
-    part = left.groupBy("list", "block").cogroup(right.groupBy("list", "block")).applyInPandas(
-        lambda a, b: best_in_block(a, b, p.top), "vid long, score double, ids array<long>")
-    found = scratch.store(merge(part, p.top), "found")
-    held = asked.select("vid").distinct().join(found.groupBy("vid").agg(F.count("*").alias("got")), "vid", "left")
-    few = held.where(F.coalesce("got", F.lit(0)) < min(n, p.top + 1)).select("vid")
-    few = scratch.store(few.join(distinct.select("vid", "v"), "vid"), "few")
+    found = scratch.store(merge(met(posted, scratch.store(probed(askers, graph, ratio if p.ratio is None else p.ratio, p), "probes"), p), p.top), "found")
+    got = found.groupBy("vid").agg(F.sum(F.size("ids")).alias("got"))
+    few = askers.join(got, "vid", "left").where(F.coalesce("got", F.lit(0)) < min(facts["ids"], p.top + 1)).select("v", "vid")
+    few = scratch.store(few, "few")
     if not few.isEmpty():
-        found = found.join(few.select("vid"), "vid", "left_anti").union(merge(against_all(few, distinct, p), p.top))
+        more = merge(met(posted, scratch.store(probed(few, graph, None, p), "all"), p), p.top)
+        found = scratch.store(found.join(few.select("vid"), "vid", "left_anti").union(more), "found_all")
     # The smallest ids of each near vector, without the query itself.
     each = asked.join(found, "vid").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return each.withColumn("rank", order).where(F.col("rank") <= p.top).select("query_id", "rank", "vec_id", "score")
 
 
+def met(posted: DataFrame, probes: DataFrame, p: Params) -> DataFrame:
+    """(vid, score, ids): the nearest vectors of each query in each group of lists, block by block on both sides.
+
+    A group's numbers of vectors and queries decide its blocks; there are as
+    many groups as lists by ``together``, which bounds the broadcast.
+    """
+    group = F.floor(F.col("list") / p.together).cast("int")
+    sizes = posted.groupBy(group.alias("group")).agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
+    asks = probes.groupBy("group").agg(F.ceil(F.count("*") / p.asked_block).cast("int").alias("asked"))
+    plan = F.broadcast(sizes.join(asks, "group"))
+    left = posted.withColumn("group", group).join(plan, "group").withColumn("block", F.pmod(F.xxhash64("ids"), "blocks").cast("int"))
+    left = left.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("asked") - 1))).select("group", "block", "turn", "list", "v", "ids")
+    right = probes.join(plan, "group").withColumn("turn", F.pmod(F.xxhash64("vid"), "asked").cast("int"))
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("group", "block", "turn", "lists", "v", "vid")
+    keys = ("group", "block", "turn")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: best_in_block(a, b, p.top), "vid long, score double, ids array<long>")
+
+
 def smallest(ids: pa.Array) -> np.ndarray:
     return pc.list_element(ids, 0).to_numpy(zero_copy_only=False)
 
 
 def first_rows(row: np.ndarray, score: np.ndarray, one: np.ndarray, top: int) -> np.ndarray:
-    """Places of the ``top`` largest scores of each row, equal ones by the smaller id."""
+    """Places of the ``top`` largest scores of each row, equal ones by the smaller id; an id found twice counts once."""
     order = np.lexsort((one, -score, row))
-    counts = np.unique(row, return_counts=True)[1]
+    same = np.zeros(len(order), bool)
+    same[1:] = (row[order][1:] == row[order][:-1]) & (one[order][1:] == one[order][:-1])  # found in two lists: the score is the same
+    order = order[~same]
+    counts = np.unique(row[order], return_counts=True)[1]
     return order[np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts) < top]
 
 
@@ -238,16 +315,33 @@ def best_rows(q: np.ndarray, v: np.ndarray, one: np.ndarray, top: int) -> tuple[
     return row[first], at[first], exact[first]
 
 
-def best_in_block(a: pd.DataFrame, b: pd.DataFrame, top: int) -> pd.DataFrame:
-    """The nearest vectors of one block to the queries that probe its list."""
-    if a.empty or b.empty:
-        return pd.DataFrame({"vid": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64"), "ids": pd.Series([], dtype=object)})
-    v, ids, out = np.stack(a["v"].to_numpy()), a["ids"].to_numpy(), []
-    one = np.array([x[0] for x in ids])
-    for k in range(0, len(b), 512):
-        row, at, score = best_rows(np.stack(b["v"].to_numpy()[k:k + 512]), v, one, top + 1)
-        out.append(pd.DataFrame({"vid": b["vid"].to_numpy()[k:k + 512][row], "score": score, "ids": ids[at]}))
-    return pd.concat(out)
+def best_in_block(a: pa.Table, b: pa.Table, top: int) -> pa.Table:
+    """The nearest vectors of one block to the queries that probe some of its lists."""
+    schema = pa.schema([("vid", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
+    if not a.num_rows or not b.num_rows:
+        return schema.empty_table()
+    a = a.take(pc.sort_indices(a.column("list")))
+    v, ids, q = stacked(a.column("v").combine_chunks()), a.column("ids").combine_chunks(), stacked(b.column("v").combine_chunks())
+    one, lists = smallest(ids), a.column("list").to_numpy()
+    asked = b.column("lists").combine_chunks()
+    owner = np.repeat(np.arange(len(q)), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+    wanted = asked.flatten().to_numpy()
+    order = np.argsort(wanted, kind="stable")
+    owner, wanted = owner[order], wanted[order]
+    row, at, score = [], [], []
+    for k in np.unique(lists):
+        low, high = np.searchsorted(lists, [k, k + 1])
+        mine = owner[slice(*np.searchsorted(wanted, [k, k + 1]))]
+        for c in range(0, len(mine), 512):
+            r, t, s = best_rows(q[mine[c:c + 512]], v[low:high], one[low:high], top + 1)
+            row.append(mine[c:c + 512][r])
+            at.append(low + t)
+            score.append(s)
+    if not row:
+        return schema.empty_table()
+    row, at, score = np.concatenate(row), np.concatenate(at), np.concatenate(score)
+    kept = first_rows(row, score, one[at], top + 1)
+    return pa.table([b.column("vid").take(pa.array(row[kept])), pa.array(score[kept]), ids.take(pa.array(at[kept]))], schema=schema)
 
 
 def merge(found: DataFrame, top: int) -> DataFrame:
@@ -255,33 +349,3 @@ def merge(found: DataFrame, top: int) -> DataFrame:
     once = found.groupBy("vid", F.element_at("ids", 1).alias("one")).agg(F.max("score").alias("score"), F.max("ids").alias("ids"))
     order = F.row_number().over(Window.partitionBy("vid").orderBy(F.desc("score"), "one"))
     return once.withColumn("k", order).where(F.col("k") <= top + 1).select("vid", "score", "ids")
-
-
-def against_all(few: DataFrame, distinct: DataFrame, p: Params) -> DataFrame:
-    """Exact search of a few queries: each task of vectors keeps the best of its batches for every query.
-
-    The queries come to the driver in blocks of bounded size.
-    """
-    out, block = None, []
-
-    def scan(block: list) -> DataFrame:
-        q, vid = np.array([r["v"] for r in block]), np.array([r["vid"] for r in block])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            row, score, ids = np.zeros(0, np.int64), np.zeros(0), pa.array([], pa.list_(pa.int64()))
-            for batch in batches:
-                if batch.num_rows:
-                    new, at, more = best_rows(q, stacked(batch.column("v")), smallest(batch.column("ids")), p.top + 1)
-                    row, score = np.r_[row, new], np.r_[score, more]
-                    ids = pa.concat_arrays([ids, batch.column("ids").take(pa.array(at)).cast(ids.type)])
-                    kept = first_rows(row, score, smallest(ids), p.top + 1)
-                    row, score, ids = row[kept], score[kept], ids.take(pa.array(kept))
-            yield pa.RecordBatch.from_arrays([pa.array(vid[row]), pa.array(score), ids], ["vid", "score", "ids"])
-
-        return distinct.select("v", "ids").mapInArrow(run, "vid long, score double, ids array<long>")
-
-    for r in few.toLocalIterator():
-        block.append(r)
-        if len(block) == 1000:
-            out, block = scan(block) if out is None else out.union(scan(block)), []
-    return out if not block else scan(block) if out is None else out.union(scan(block))

@@ -500,24 +500,71 @@ def test_few_candidates_and_no_vector(spark):
     df = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(4)], "vec_id long, embedding array<double>")
     assert rows_of(ann.nearest(df, df["vec_id"] % 20 == 0), "query_id", "rank", "vec_id") == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
     assert ann.nearest(df.where("false"), df["vec_id"] % 20 == 0).count() == 0
-    pairs = ann.Params(top=3, list_size=2, probes=1, replicas=1)  # lists too small for a query: all vectors are compared
+    pairs = ann.Params(top=3, list_size=2, replicas=1, ratio=1.0)  # one list is too small for a query: it probes all
     many = spark.createDataFrame([(k, [float(k % 7), float(k)]) for k in range(40)], "vec_id long, embedding array<double>")
     assert ann.nearest(many, many["vec_id"] % 20 == 0, pairs).groupBy("query_id").count().collect()[0]["count"] == 3
 
 
-def test_recall_of_probed_lists(spark):
-    df = table(spark, "/root/testdata/check_s", "embeddings")
-    x = {r["vec_id"]: np.array(r["embedding"], float) for r in df.collect()}
-    ids, m = np.array(sorted(x)), np.stack([x[k] for k in sorted(x)])
+def clustered(n, dim, spread, seed=0):
+    """Unit vectors around centres that are unequally large."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((max(n // 150, 2), dim))
+    weight = rng.exponential(size=len(centres))
+    x = centres[rng.choice(len(centres), n, p=weight / weight.sum())] + spread * rng.standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def recall_of(spark, x, p=ann.Params()):
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(6)
     got = defaultdict(set)
-    for r in ann.nearest(df, df["vec_id"] % 20 == 0).collect():
+    for r in ann.nearest(df, df["vec_id"] % 20 == 0, p).collect():
         got[r["query_id"]].add(r["vec_id"])
     share = []
-    for k in np.flatnonzero(ids % 20 == 0):
-        s = m @ m[k]
+    for k in range(0, len(x), 20):
+        s = x @ x[k]
         s[k] = -np.inf
-        share.append(len(got[ids[k]] & set(ids[np.lexsort((ids, -s))[:20]].tolist())) / 20)
-    assert np.mean(share) >= 0.9
+        share.append(len(got[k] & set(np.lexsort((np.arange(len(x)), -s))[:20].tolist())) / 20)
+    return np.mean(share)
+
+
+@pytest.mark.parametrize("spread, list_size", [(0.3, 64), (0.6, 64), (0.6, 16)])
+def test_recall_and_share_of_probed_lists(spark, spread, list_size):
+    x = clustered(12_000, 32, spread)
+    p = ann.Params(list_size=list_size)
+    assert recall_of(spark, x, p) >= 0.9
+    graph = ann.CentroidGraph(ann.balanced_centroids(ann.lifted(x, 1.0), len(x) // list_size), p.degree)
+    boundary, ratio = ann.fitted(graph, x, 1.0, p)
+    assert len(ann.joined(graph, ann.lifted(x, 1.0), boundary, p)[0]) < 3 * len(x)
+    lists = ann.within(graph, np.c_[x[::20], np.zeros(len(x[::20]))], ratio, p.beam)[1]
+    assert len(lists) < 0.2 * len(graph.c) * len(x[::20])
+
+
+def test_recall_without_any_clusters(spark):
+    x = np.random.default_rng(1).standard_normal((4000, 24))
+    assert recall_of(spark, x / np.linalg.norm(x, axis=1, keepdims=True)) >= 0.9
+    assert recall_of(spark, x) >= 0.9  # unequal norms: the longest vectors are near everything
+
+
+def test_blocks_on_both_sides_give_the_same(spark):
+    x = clustered(3000, 8, 0.5)
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = [rows_of(ann.nearest(df, df["vec_id"] % 20 == 0, p), "query_id", "rank", "vec_id", "score")
+           for p in (ann.Params(list_size=32), ann.Params(list_size=32, block=50, asked_block=7), ann.Params(list_size=32, together=1))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 3000
+
+
+def test_repeated_ids_and_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.standard_normal(4).round(2).tolist()) for k in range(60)]
+    more = rows + [rows[7]] * 31 + [(20, [-9.0, 1.0, 1.0, 1.0]), (33, [-9.0, 2.0, 2.0, 2.0])]  # the greater vector of an id counts
+    want = slow_neighbours([(i, max([v, *(w for j, w in more if j == i)])) for i, v in rows])
+    df = spark.createDataFrame(more, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(df, df["vec_id"] % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert got == {q: [j for _, j in near] for q, near in want.items()}
+    with pytest.raises(ValueError, match="differ in length"):
+        ann.nearest(df.union(spark.createDataFrame([(99, [1.0])], df.schema)), df["vec_id"] % 20 == 0)
 
 
 def test_ties_of_many_distinct_vectors(spark):
@@ -525,7 +572,7 @@ def test_ties_of_many_distinct_vectors(spark):
     rows = [(int(k), v) for k, v in zip(np.random.default_rng(8).permutation(600), x.tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = slow_neighbours(rows)
-    for p in (ann.Params(ratio=100.0), ann.Params(probes=0, share=0.0)):  # by lists, by the scan
+    for p in (ann.Params(ratio=100.0), ann.Params(ratio=100.0, list_size=16)):
         got = defaultdict(list)
         for r in ann.nearest(df, df["vec_id"] % 20 == 0, p).orderBy("query_id", "rank").collect():
             got[r["query_id"]].append(r["vec_id"])
@@ -537,12 +584,10 @@ def test_no_query_is_cut_at_a_number_of_lists(spark):
     rows = [(k, v) for k, v in enumerate(x.tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = slow_neighbours(rows)
-    for p in (ann.Params(list_size=8, probes=2, beam=4, ratio=100.0),               # the scan
-              ann.Params(list_size=8, probes=2, beam=4, ratio=100.0, share=1.0)):   # all lists
-        got = defaultdict(list)
-        for r in ann.nearest(df, df["vec_id"] % 20 == 0, p).orderBy("query_id", "rank").collect():
-            got[r["query_id"]].append(r["vec_id"])
-        assert got == {q: [j for _, j in near] for q, near in want.items()}
+    got = defaultdict(list)
+    for r in ann.nearest(df, df["vec_id"] % 20 == 0, ann.Params(list_size=8, beam=4, ratio=100.0)).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert got == {q: [j for _, j in near] for q, near in want.items()}
 
 
 def test_no_list_is_joined_or_probed_twice(spark):
@@ -551,11 +596,9 @@ def test_no_list_is_joined_or_probed_twice(spark):
     ids, dist = graph.search(x[:200], 96)
     assert all(len(set(i[np.isfinite(d)].tolist())) == np.isfinite(d).sum() for i, d in zip(ids, dist))
     norm = float(np.sqrt((x * x).sum(1).max()))
-    graph = ann.CentroidGraph(ann.balanced_centroids(np.c_[x, np.sqrt(np.maximum(norm * norm - (x * x).sum(1), 0))], 1200), 16)
-    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x[:400].tolist())], "vid long, v array<double>")
-    for as_query, count in ((False, 8), (True, 1200)):
-        got = [tuple(r) for r in ann.lists_of(rows, graph, norm, count, 1.7, 32, as_query, ["v", "vid"]).select("list", "vid").collect()]
-        assert len(set(got)) == len(got) > 400
+    graph = ann.CentroidGraph(ann.balanced_centroids(ann.lifted(x, norm), 1200), 16)
+    for row, lists in (ann.joined(graph, ann.lifted(x, norm), 1.3, ann.Params()), ann.within(graph, np.c_[x, np.zeros(len(x))], 1.05, 32)):
+        assert len(set(zip(row.tolist(), lists.tolist()))) == len(row) > 3000
 
 
 # Empty tables
