@@ -27,13 +27,15 @@ that passes.
 from __future__ import annotations
 
 import hashlib
-from array import array
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,8 +44,13 @@ from pyspark.sql import functions as F
 from reviewlake.llm.common import Scratch, bounded_batches, map_texts
 
 BLOCK = 1 << 19       # words looked at together
-KNOWN_WORDS = 1 << 20  # whose hashes a task keeps
+PART = 1 << 21        # bytes whose words are hashed together
+STREAMED = 1 << 15    # words of the last stretches that are enough to stream
 LOW = (1 << 64) - 1
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+IN_WORD = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
+LETTERS = np.random.default_rng(13).integers(0, LOW, (2, 256), np.uint64, endpoint=True)
+POWERS = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(4095, m, np.uint64)])) for m in (0x9E3779B97F4A7C13, 0xD6E8FEB86659FD9B)]
 
 
 @dataclass(frozen=True)
@@ -56,26 +63,36 @@ class Params:
     stream: int = 400            # stretches that meet one automaton in one task
 
 
-class WordHashes(dict):
-    """Two 64-bit hashes of a word, computed once for each word that a task meets."""
+def word_lanes(raw: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Two 64-bit hashes of every word of some texts, and the number of words up to the end of each text.
 
-    def __init__(self):
-        super().__init__()
-        self.hashes = array("Q"), array("Q")
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_128_intdigest(word)
-        self.hashes[0].append(h >> 64)
-        self.hashes[1].append(h & LOW)
-        self[word] = len(self)
-        return len(self) - 1
-
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-            self.hashes = array("Q"), array("Q")
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return tuple(np.frombuffer(h, np.uint64)[at] if len(h) else np.zeros(0, np.uint64) for h in self.hashes)
+    A word's hash adds up random numbers of its bytes, each times a power
+    of an odd number for its place, so that no word is handled by itself.
+    """
+    joined = b"\n".join(raw)
+    text_ends = np.cumsum([len(b) + 1 for b in raw])
+    ends, lanes, at, seen = [], ([], []), 0, 0
+    while at < len(joined) or not ends:
+        # A part ends with a byte that separates words, or with the last one.
+        cut = BLANK.search(joined, at + PART)
+        stop = cut.end() if cut else len(joined)
+        data = np.frombuffer(joined, np.uint8, stop - at, at)
+        inside = IN_WORD[data]
+        places = np.flatnonzero(inside)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(places) > 1]))[:len(places)]
+        length = np.diff(np.append(first, len(places)))
+        letters, k = data[places], np.arange(len(places)) - np.repeat(first, length)
+        near, far = k & 4095, k >> 12
+        for lane, out in enumerate(lanes):
+            value = LETTERS[lane][letters] * POWERS[lane][near]
+            if len(far) and far.max():
+                value *= np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.repeat(POWERS[lane][4095:] * POWERS[lane][1:2], far.max())]))[far]
+            out.append(np.add.reduceat(value, first) if len(first) else value)
+        ends.append(np.searchsorted(places[first] + at, text_ends[(text_ends > at) & (text_ends <= stop)]) + seen)
+        at, seen = stop, seen + len(first)
+    if sum(map(len, ends)) < len(raw):
+        ends.append(np.full(len(raw) - sum(map(len, ends)), seen))
+    return tuple(np.concatenate(x) for x in lanes), np.concatenate(ends)
 
 
 def mix(a: np.ndarray, b: np.ndarray, lane: int, step: int) -> np.ndarray:
@@ -119,18 +136,11 @@ def text_key(b: bytes) -> bytes:
 def pieces(texts: DataFrame, p: Params) -> DataFrame:
     """A row for each piece of a text: text key, first window and their number, anchor and identifier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            keys, ends, words = [], [], []
-            for text in batch.column("text").to_pylist():
-                b = (text or "").encode()
-                words += b.split()
-                keys.append(text_key(b))
-                ends.append(len(words))
-            if not words:
-                continue
-            hashes, ends = known.of(words), np.array(ends)
-            del words
+            raw = [(t or "").encode() for t in batch.column("text").to_pylist()]
+            keys = pa.array([text_key(b) for b in raw], pa.binary())
+            hashes, ends = word_lanes(raw)
+            del raw
             for at in range(0, max(0, len(hashes[0]) - p.window + 1), BLOCK):
                 h = [x[at:at + BLOCK + p.window - 1] for x in hashes]
                 whole = [runs_of(x, p.window, lane) for lane, x in enumerate(h)]
@@ -147,7 +157,7 @@ def pieces(texts: DataFrame, p: Params) -> DataFrame:
                 part = [signed(mix(x[first], x[last], lane, p.window) + (last - first).astype(np.uint64)) for lane, x in enumerate(whole)]
                 own = owner[first]
                 place = start[first] - np.concatenate([[0], ends])[own]
-                yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in own.tolist()], pa.binary()), pa.array(place << 8 | (last - first)), signed(gram[anchor[first]]), *part],
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(own)), pa.array(place << 8 | (last - first)), signed(gram[anchor[first]]), *part],
                                                  ["t", "at", "bucket", "part", "part2"])
 
     return texts.select("text").mapInArrow(run, "t binary, at long, bucket long, part long, part2 long")
@@ -169,16 +179,21 @@ def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
 def windows(texts: DataFrame, p: Params) -> DataFrame:
     """A row for each window of some pieces, from (t, z, ats) of their texts: its place, piece, number of copies and identifier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, known = zstandard.ZstdDecompressor(), WordHashes()
+        z = zstandard.ZstdDecompressor()
         for batch in batches:
-            for t, blob, ats in zip(batch.column("t").to_pylist(), batch.column("z").to_pylist(), batch.column("ats")):
-                hashes = [runs_of(h, p.window, lane) for lane, h in enumerate(known.of(z.decompress(blob).split()))]
-                at, n = (ats.values.field(c).to_numpy() for c in ("at", "n"))
-                for k in range(0, len(at), 10_000):
-                    some, times = at[k:k + 10_000], (at[k:k + 10_000] & 255) + 1
-                    place = np.repeat(some >> 8, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    yield pa.RecordBatch.from_arrays([pa.array([t] * len(place), pa.binary()), pa.array(place), pa.array(np.repeat(some, times)), pa.array(np.repeat(n[k:k + 10_000], times)),
-                                                      signed(hashes[0][place]), signed(hashes[1][place])], ["t", "place", "at", "n", "a", "b"])
+            hashes, ends = word_lanes([z.decompress(b) for b in batch.column("z").to_pylist()])
+            whole = [runs_of(h, p.window, lane) for lane, h in enumerate(hashes)]
+            ats = batch.column("ats")
+            begin, pieces_of = np.concatenate([[0], ends]), pc.list_value_length(ats).to_numpy(zero_copy_only=False)
+            owner, (at, n) = np.repeat(np.arange(batch.num_rows), pieces_of), (ats.flatten().field(c).to_numpy() for c in ("at", "n"))
+            for k in range(0, len(at), 4096):
+                r = slice(k, k + 4096)
+                times = (at[r] & 255) + 1
+                place = np.repeat(at[r] >> 8, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                own = np.repeat(owner[r], times)
+                a, b = (h[begin[own] + place] for h in whole)
+                yield pa.RecordBatch.from_arrays([batch.column("t").take(pa.array(own)), pa.array(place), pa.array(np.repeat(at[r], times)), pa.array(np.repeat(n[r], times)), signed(a), signed(b)],
+                                                 ["t", "place", "at", "n", "a", "b"])
 
     return texts.mapInArrow(run, "t binary, place long, at long, n long, a long, b long")
 
@@ -234,22 +249,24 @@ def stretches(texts: DataFrame, p: Params) -> DataFrame:
 class Automaton:
     """The confirmed passages of one shard: phrases in an Aho-Corasick automaton over words, and the windows' identifiers."""
 
-    def __init__(self, passages: list[tuple[list[bytes], list[int]]], p: Params):
+    def __init__(self, passages: list[tuple[bytes, list[int]]], p: Params):
         self.p, self.phrase = p, (p.window + 1) // 2
         self.numbers: dict[bytes, int] = {}
-        known, texts, ids = WordHashes(), [], ([], [])
-        for words, confirmed in passages:
-            texts.append([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words])
-            for lane, h in enumerate(known.of(words)):
-                ids[lane].append(runs_of(h, p.window, lane)[confirmed])
-        self.hashes = [np.concatenate([[np.uint64(0)], h]) for h in known.of(list(self.numbers))]  # 0: words that no passage has
-        a, b = (np.concatenate(x) for x in ids)
+        lanes, ends = word_lanes([words for words, _ in passages])
+        text = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for words, _ in passages for w in words.split()], np.int64)
+        self.hashes = []  # of each number; 0 stands for words that no passage has
+        for h in lanes:
+            self.hashes.append(np.zeros(len(self.numbers) + 1, np.uint64))
+            self.hashes[-1][text] = h
+        begin = np.concatenate([[0], ends[:-1]])
+        start = np.concatenate([np.array(confirmed, np.int64) + b for (_, confirmed), b in zip(passages, begin.tolist())])
+        a, b = (runs_of(h, p.window, lane)[start] for lane, h in enumerate(lanes))
         order = np.lexsort((b, a))
         self.a, self.b = a[order], b[order]
         self.found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for text in texts:
-            s = self.letters(np.array(text))
-            for k in range(0, len(s) - self.phrase + 1, self.phrase):
+        s = self.letters(text)
+        for first, last in zip(begin.tolist(), ends.tolist()):
+            for k in range(first, last - self.phrase + 1, self.phrase):
                 self.found.add_word(s[k:k + self.phrase])
         self.found.make_automaton()
 
@@ -258,49 +275,63 @@ class Automaton:
         """One character for each word; the surrogates' code points are left out."""
         return (numbers + 1 + 0x800 * (numbers + 1 >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
 
-    def occurrences(self, words: list[bytes]) -> np.ndarray:
-        """Starts of the windows of these words that are confirmed."""
-        n = len(words) - self.p.window + 1
-        numbers = np.fromiter(map(self.numbers.get, words, [0] * len(words)), np.int64, len(words))
-        ends = np.fromiter((end for end, _ in self.found.iter(self.letters(numbers))), np.int64)
-        if n < 1 or not len(ends):
-            return ends[:0]
+    def occurrences(self, stretches: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """(stretch, start) of the confirmed windows in some stretches of words, which lie behind each other with a word between that no passage has."""
+        parts = []
+        for words in stretches:
+            parts += [np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words)), np.zeros(1, np.int64)]
+        begin = np.cumsum([0, *(len(words) + 1 for words in stretches)])
+        numbers = np.concatenate(parts) if parts else begin[:0]
+        ends = np.array([end for end, _ in self.found.iter(self.letters(numbers))], np.int64)
+        if not len(ends):
+            return ends, ends
         # The windows around a phrase.
-        edge = np.zeros(len(words) + 1, np.int64)
+        edge = np.zeros(len(numbers) + 1, np.int64)
         np.add.at(edge, np.maximum(ends - self.p.window + 1, 0), 1)
         np.add.at(edge, ends - self.phrase + 2, -1)
-        at = np.flatnonzero(np.cumsum(edge)[:n])
+        at = np.flatnonzero(np.cumsum(edge)[:max(len(numbers) - self.p.window + 1, 0)])
         a, b = (runs_of(h[numbers], self.p.window, lane)[at] for lane, h in enumerate(self.hashes))
         low, high = (np.searchsorted(self.a, a, side) for side in ("left", "right"))
         hit = np.zeros(len(at), bool)
         for k in range(int((high - low).max(initial=0))):
             there = np.minimum(low + k, len(self.a) - 1)
             hit |= (low + k < high) & (self.b[there] == b)
-        return at[hit]
+        at = at[hit]
+        owner = np.searchsorted(begin, at, "right") - 1
+        return owner, at - begin[owner]
 
 
 def located(feed: DataFrame, p: Params) -> DataFrame:
     """(t, first, last): runs of windows that the automata locate; rows come sorted by shard, salt and kind."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, passages, automaton = None, [], None
+        waiting: list[tuple] = []  # stretches of one shard: text, start and words
+
+        def found() -> pa.RecordBatch:
+            owner, at = automaton.occurrences([words for *_, words in waiting])
+            new = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(owner, prepend=-1) != 0))
+            start = np.array([x for _, x, _ in waiting], np.int64)[owner]
+            keys = pa.array([t for t, *_ in waiting], pa.binary())
+            waiting.clear()
+            last = at[np.append(new[1:], len(at)) - 1] if len(new) else at
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(owner[new])), pa.array(at[new] + start[new]), pa.array(last + start[new])], ["t", "first", "last"])
+
         for batch in batches:
-            out: list[list] = [[], [], []]
             for s, salt, kind, t, start, blob, confirmed in zip(*(batch.column(c).to_pylist() for c in ("shard", "salt", "kind", "t", "start", "words", "confirmed"))):
                 if (s, salt) != shard:
+                    if waiting:
+                        yield found()
                     shard, passages, automaton = (s, salt), [], None
                 if kind == 0:
-                    passages.append((blob.split(), confirmed))
+                    passages.append((blob, confirmed))
                     continue
                 if automaton is None:
                     automaton, passages = Automaton(passages, p), []
-                at = automaton.occurrences(blob.split())
-                if len(at):
-                    new = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-                    out[0] += [t] * len(new)
-                    out[1] += (at[new] + start).tolist()
-                    out[2] += (at[np.append(new[1:], len(at)) - 1] + start).tolist()
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(out, (pa.binary(), pa.int64(), pa.int64()))], ["t", "first", "last"])
+                waiting.append((t, start, blob.split()))
+                if sum(len(words) for *_, words in waiting[-8:]) > STREAMED or len(waiting) >= 64:
+                    yield found()
+        if waiting:
+            yield found()
 
     return feed.mapInArrow(run, "t binary, first long, last long")
 

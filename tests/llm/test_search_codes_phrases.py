@@ -260,10 +260,30 @@ def test_blocks_of_words_do_not_change_the_result(spark, monkeypatch):
 def test_automaton_finds_only_confirmed_windows():
     p = phrases.Params(window=5, gram=2)
     words = [str(k).encode() for k in range(12)]
-    a = phrases.Automaton([(words, [0, 1, 6])], p)
-    assert a.occurrences(words).tolist() == [0, 1, 6]
-    assert a.occurrences([b"other", *words[6:11], b"other", *words[2:8], *words[:5]]).tolist() == [1, 13]
-    assert a.occurrences(words[:4]).tolist() == [] and a.occurrences([]).tolist() == []
+    a = phrases.Automaton([(b" ".join(words), [0, 1, 6])], p)
+    def at(*stretches):
+        return [x.tolist() for x in a.occurrences(list(stretches))]
+
+    assert at(words) == [[0, 0, 0], [0, 1, 6]]
+    assert at([b"other", *words[6:11], b"other", *words[2:8], *words[:5]]) == [[0, 0], [1, 13]]
+    assert at(words[:3], words[3:], [], words[:5], words[1:6]) == [[1, 3, 4], [3, 0, 0]]
+    assert at(words[:4]) == [[], []] == at([]) == at()
+
+
+def test_words_of_any_length_and_place_are_hashed_alike(monkeypatch):
+    rng = random.Random(3)
+    words = [bytes(rng.choice(b"ab\x85\xc3\xff") for _ in range(n)) for n in (1, 2, 3, 5, 4095, 4096, 4097, 20_000)] * 2
+    raw = [b"", b"  " + words[0], b"\x0b".join(words), b"\n", b"\t".join(reversed(words)) + b" ", b"x" * 300 + b" " + b"x" * 301, b""]
+    want = [w for b in raw for w in b.split()]
+    made = []
+    for part in (phrases.PART, 7):
+        monkeypatch.setattr(phrases, "PART", part)
+        lanes, ends = phrases.word_lanes(raw)
+        assert ends.tolist() == np.cumsum([len(b.split()) for b in raw]).tolist()
+        made.append([tuple(x) for x in zip(*(h.tolist() for h in lanes))])
+    assert made[0] == made[1] and len(made[0]) == len(want)
+    assert len(set(made[0])) == len(set(want)) == len(set(zip(made[0], want)))
+    assert phrases.word_lanes([])[1].tolist() == [] and phrases.word_lanes([b"", b" "])[1].tolist() == [0, 0]
 
 
 def test_documents_without_a_repeat_and_no_documents(spark, empty):
