@@ -1,20 +1,27 @@
-"""User features, outlier filter and k-means clustering (Spark ML).
-
-K-means runs on pyspark.ml: the driver holds only the k centres; every
-iteration is a distributed pass.  The per-user features are written once to
-the shared checkpoint folder before the restarts, so the ten fits read
-materialised rows instead of re-running the feature aggregation, and a lost
-executor recomputes from those files, not from the raw reviews.
+"""User features, outlier filter and k-means clustering.
+
+K-means is Lloyd's iteration as DataFrame aggregates on integers: the driver
+holds only the centres, and an iteration is one distributed pass for all
+restarts.  The per-user features are written once to the shared checkpoint
+folder, so that every pass reads materialised rows instead of re-running the
+feature aggregation, and a lost executor recomputes from those files, not
+from the raw reviews.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlake.functions.stats import exact_mean
 from reviewlake.functions.versions import version_key
 
 FEATURES = ["review_count", "avg_score", "avg_sentiment", "avg_length"]
+UNIT = 10_000  # features are taken to 4 decimals
+GRID = 10_000  # steps of a standardised feature in one deviation
+_UNITS = [f"u{d}" for d in range(len(FEATURES))]
+_GRID = [f"z{d}" for d in range(len(FEATURES))]
 
 
 def user_features(enriched: DataFrame, digits: int | None = None) -> DataFrame:
@@ -43,58 +50,99 @@ def clustering_features(enriched: DataFrame) -> DataFrame:
     return outlier_filter(user_features(enriched))
 
 
+def _moments(points: DataFrame) -> tuple[int, list[tuple[float, float]]]:
+    """Number of points, and mean and deviation of each coordinate, from exact integer sums."""
+    wide = [F.col(u).cast("decimal(19,0)") for u in _UNITS]
+    row = points.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{d}") for d, c in enumerate(wide)],
+                     *[F.sum(c * c).alias(f"q{d}") for d, c in enumerate(wide)]).first()
+    out, n = [], row["n"]
+    for d in range(len(wide) if n else 0):
+        mean = float(int(row[f"s{d}"])) / n
+        out.append((mean, math.sqrt(max(float(int(row[f"q{d}"])) / n - mean * mean, 0.0))))
+    return n, out
+
+
+def _nearest(k: int) -> Column:
+    """Squared distance to the nearest centre, times ``k``, plus its number: the lower one of equal distances."""
+    far = [sum(((F.col(z) - F.col(f"c{j}_{d}")) * (F.col(z) - F.col(f"c{j}_{d}")) for d, z in enumerate(_GRID)), F.lit(0).cast("bigint")) * k + j for j in range(k)]
+    return F.least(*far) if k > 1 else far[0]
+
+
+def _against(points: DataFrame, centres: dict[int, list[tuple[int, ...]]]) -> DataFrame:
+    """Every point once for each restart, with the restart's centres beside it (one row for each restart)."""
+    k = len(next(iter(centres.values())))
+    names = [f"c{j}_{d}" for j in range(k) for d in range(len(_GRID))]
+    rows = [(r, *(x for c in cs for x in c)) for r, cs in centres.items()]
+    table = points.sparkSession.createDataFrame(rows, "r int, " + ", ".join(f"{n} bigint" for n in names))
+    numbered = points.withColumn("r", F.explode(F.array(*[F.lit(r) for r in centres])))
+    return numbered.join(F.broadcast(table), "r").withColumn("near", _nearest(k))
+
+
+def _seeds(points: DataFrame, k: int, seed: int, restarts: int) -> dict[int, list[tuple[int, ...]]]:
+    """The ``k`` users with the smallest MD5 of seed + restart and name start a restart."""
+    each = points.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))))
+    each = each.withColumn("h", F.md5(F.concat((F.col("r") + seed).cast("string"), F.lit(":"), "user_name")))
+    place = F.row_number().over(Window.partitionBy("r").orderBy("h", "user_name"))
+    found = each.withColumn("j", place).where(F.col("j") <= k).select("r", "j", *_GRID).collect()
+    out: dict[int, list[tuple[int, ...]]] = {}
+    for row in sorted(found, key=lambda x: (x["r"], x["j"])):
+        out.setdefault(row["r"], []).append(tuple(row[z] for z in _GRID))
+    return out
+
+
 def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-                  max_iter: int = 300, tol: float = 1e-4, outlier_q: float | None = 0.99,
-                  parallelism: int = 10) -> DataFrame:
+                  max_iter: int = 300, outlier_q: float | None = 0.99) -> DataFrame:
     """Drop review-count outliers (``outlier_q``), standardise the four
-    features, fit k-means ``restarts`` times with seeds seed, seed+1, ... and
-    keep the lowest-cost model.  Labels are renumbered by (avg_score,
-    avg_length, review_count) of the cluster means so they do not depend on
-    the initialisation.  Returns user_name, the features and ``cluster``.
-
-    The per-user features are written once to the shared checkpoint folder;
-    the outlier threshold, the scaler fit and every k-means iteration read
-    that copy instead of re-running the review aggregation.
+    features and run Lloyd's iterations from ``restarts`` sets of seeds; the
+    set of centres with the least sum of squared distances wins.
+
+    Everything after the standardisation is integer arithmetic: features are
+    taken to 4 decimals, standardised values to 1/10 000 of a deviation, and
+    a centre is the rounded-down mean of its points.  So the result depends
+    neither on the partitions nor on the order of sums.  Equal distances go
+    to the lower centre, equal costs to the lower restart; a centre without
+    points stays.  One pass over the users moves the centres of all restarts
+    that still move, as map-side sums; the driver holds ``restarts`` times
+    ``k`` centres.  Labels are numbered by score, length and review count of
+    the centres.  Returns user_name, the features and ``cluster``.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
     from reviewlake.plans.materialize import materialize
 
-    base = materialize(features.select("user_name", *[F.col(c).cast("double").alias(c) for c in FEATURES]),
-                       "user-features")
+    base = materialize(features.select("user_name", *FEATURES), "user-features")
     if outlier_q is not None:
         base = outlier_filter(base, q=outlier_q)
-    vec = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(base)
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(vec)
-    scaled = scaler.transform(vec).select("user_name", *FEATURES, "features").persist()
-
-    def fit(i):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
-                       predictionCol="raw_cluster").fit(scaled)
-        return model.summary.trainingCost, i, model
-
-    # Restarts are independent distributed fits; like the tuning APIs'
-    # ``parallelism`` they are submitted from a few driver threads so their
-    # small per-iteration jobs overlap.  Ties in cost go to the lower seed.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
-        fits = list(pool.map(fit, range(restarts)))
-    best = min(fits, key=lambda f: (f[0], f[1]))
-    assigned = best[2].transform(scaler.transform(vec).select("user_name", *FEATURES, "features")).drop("features")
-    scaled.unpersist()
-    means = assigned.groupBy("raw_cluster").agg(*[F.avg(c).alias(c) for c in FEATURES])
-    # k rows: the relabelling map is a bounded broadcast side.
-    relabel = means.select("raw_cluster", (F.row_number().over(
-        Window.orderBy("avg_score", "avg_length", "review_count")) - 1).alias("cluster"))
-    return assigned.join(F.broadcast(relabel), "raw_cluster").drop("raw_cluster")
+    points = materialize(base.select("*", *[F.floor(F.col(c) * UNIT + 0.5).cast("bigint").alias(u) for c, u in zip(FEATURES, _UNITS)]), "user-points")
+    n, moments = _moments(points)
+    if not n:
+        return points.select("user_name", *FEATURES, F.lit(None).cast("int").alias("cluster"))
+    grid = [(F.floor((F.col(u) - F.lit(m)) / F.lit(s) * GRID + 0.5) if s else F.lit(0)).cast("bigint").alias(z)
+            for u, z, (m, s) in zip(_UNITS, _GRID, moments)]
+    points = points.select("user_name", *FEATURES, *grid)
+    k = min(k, n)
+    centres = _seeds(points, k, seed, restarts)
+    moving = dict(centres)
+    for _ in range(max_iter):
+        sums = _against(points, moving).groupBy("r", F.pmod("near", F.lit(k)).alias("j")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(z).alias(z) for z in _GRID]).collect()
+        moved = {r: list(cs) for r, cs in moving.items()}
+        for row in sums:
+            moved[row["r"]][row["j"]] = tuple(row[z] // row["n"] for z in _GRID)
+        moving = {r: cs for r, cs in moved.items() if cs != moving[r]}
+        centres |= moving
+        if not moving:
+            break
+    costs = _against(points, centres).groupBy("r").agg(F.sum(((F.col("near") - F.pmod("near", F.lit(k))) / k).cast("decimal(38,0)")).alias("cost")).collect()
+    best = min(costs, key=lambda row: (row["cost"], row["r"]))["r"]
+    order = sorted(range(k), key=lambda j: (centres[best][j][1], centres[best][j][3], centres[best][j][0], j))
+    label = F.element_at(F.array(*[F.lit(order.index(j)) for j in range(k)]), (F.pmod("near", F.lit(k)) + 1).cast("int"))
+    return _against(points, {best: centres[best]}).select("user_name", *FEATURES, label.cast("int").alias("cluster"))
 
 
 def cluster_summary(users: DataFrame, digits: int = 2) -> DataFrame:
+    """Users and mean features of each cluster; the means of features with 6 decimals are exact, rounded half up."""
     return users.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("users"),
-        *[F.round(F.avg(c), digits).alias(c) for c in FEATURES]).orderBy("cluster")
+        F.count(F.lit(1)).alias("users"), exact_mean("review_count", 0, digits).alias("review_count"),
+        *[exact_mean(c, 6, digits).alias(c) for c in FEATURES[1:]]).orderBy("cluster")
 
 
 def attach_clusters(reviews: DataFrame, users: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ class Inputs:
     @cached_property
     def clusters(self) -> DataFrame:
         from reviewlake.operators import clusters
-        return self._stored("user_clusters", lambda *_: clusters.user_clusters(clusters.user_features(self.enriched)))
+        return self._stored("user_clusters", lambda *_: clusters.user_clusters(clusters.user_features(self.enriched, digits=6)))
 
     @cached_property
     def merge_target(self) -> DataFrame:

@@ -45,22 +45,67 @@ def _clusters(I):
     return I.clusters
 
 
-@register("user_clusters")
+# Lloyd's iteration over the same integers as a recursive query: ten restarts
+# of four centres, seeds by the smallest MD5, until no centre moves.
+_Z = [f"z{d}" for d in range(4)]
+_FLOOR = "(sum({z}) - ((sum({z}) % count(*)) + count(*)) % count(*)) // count(*)"
+_DIST = " + ".join(f"(p.z{d} - s.c{d}) * (p.z{d} - s.c{d})" for d in range(4))
+KM = UF + f"""
+, pu AS (SELECT *, {", ".join(f"CAST(floor({c} * 10000 + 0.5) AS BIGINT) AS u{d}" for d, c in enumerate(C.FEATURES))} FROM uf)
+, mo AS (SELECT {", ".join(f"CAST(sum(u{d}) AS DOUBLE) / count(*) AS m{d}, CAST(sum(CAST(u{d} AS HUGEINT) * u{d}) AS DOUBLE) / count(*) AS q{d}" for d in range(4))} FROM pu)
+, sd AS (SELECT *, {", ".join(f"sqrt(greatest(q{d} - m{d} * m{d}, 0)) AS s{d}" for d in range(4))} FROM mo)
+, pz AS MATERIALIZED (SELECT {UF_OUT}, {", ".join(f"CASE WHEN s{d} = 0 THEN 0 ELSE CAST(floor((u{d} - m{d}) / s{d} * 10000 + 0.5) AS BIGINT) END AS z{d}" for d in range(4))} FROM pu, sd)
+, seeds AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY md5(CAST(42 + r AS VARCHAR) || ':' || user_name), user_name) - 1 AS j, {", ".join(_Z)}
+  FROM pz, range(10) t(r))
+, lloyd AS (
+  SELECT 0 AS i, r, j, {", ".join(f"CAST(z{d} AS HUGEINT) AS c{d}" for d in range(4))} FROM seeds WHERE j < 4
+  UNION ALL
+  SELECT i + 1, r, j, {", ".join(f"n{d}" for d in range(4))} FROM (
+    SELECT o.i, o.r, o.j, {", ".join(f"coalesce(n.n{d}, o.c{d}) AS n{d}" for d in range(4))},
+      max(CASE WHEN n.n0 IS NOT NULL AND ({" OR ".join(f"n.n{d} <> o.c{d}" for d in range(4))}) THEN 1 ELSE 0 END) OVER (PARTITION BY o.r) AS moved
+    FROM lloyd o LEFT JOIN (
+      SELECT r, near % 4 AS j, {", ".join(_FLOOR.format(z=z) + f" AS n{d}" for d, z in enumerate(_Z))}
+      FROM (SELECT s.r, p.user_name, min(({_DIST}) * 4 + s.j) AS near, {", ".join(f"any_value(p.{z}) AS {z}" for z in _Z)}
+            FROM pz p, lloyd s GROUP BY s.r, p.user_name)
+      GROUP BY r, near % 4) n ON o.r = n.r AND o.j = n.j)
+  WHERE moved = 1 AND i < 300)
+, fin AS (SELECT * FROM lloyd QUALIFY i = max(i) OVER (PARTITION BY r))
+, asg AS (SELECT s.r, p.user_name, min(({_DIST}) * 4 + s.j) AS near FROM pz p, fin s GROUP BY s.r, p.user_name)
+, best AS (SELECT r FROM (SELECT r, sum(near // 4) AS cost FROM asg GROUP BY r) ORDER BY cost, r LIMIT 1)
+, lab AS (SELECT j, row_number() OVER (ORDER BY c1, c3, c0, j) - 1 AS cluster FROM fin WHERE r = (SELECT r FROM best))
+, km AS (SELECT {", ".join("pz." + c.strip() for c in UF_OUT.split(","))}, CAST(lab.cluster AS INTEGER) AS cluster
+  FROM pz JOIN (SELECT * FROM asg WHERE r = (SELECT r FROM best)) a ON a.user_name = pz.user_name JOIN lab ON lab.j = a.near % 4)
+"""
+
+
+def _recursive(body: str, names: list[str]) -> str:
+    return W(names, body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("user_clusters", _recursive(KM + f"SELECT {UF_OUT}, cluster FROM km", ["E"]))
 def _user_clusters(I):
     return _clusters(I)
 
 
-@register("cluster_summary")
+@register("cluster_summary", _recursive(KM + f"""
+SELECT cluster, count(*) AS users, {O.exact_mean("review_count", 0, 2)} AS review_count,
+  {", ".join(f"{O.exact_mean(c, 6, 2)} AS {c}" for c in C.FEATURES[1:])} FROM km GROUP BY cluster""", ["E"]))
 def _cluster_summary(I):
     return C.cluster_summary(_clusters(I))
 
 
-@register("attach_clusters")
+@register("attach_clusters", _recursive(KM + """
+SELECT r.review_id, r.user_name, km.cluster FROM reviews r LEFT JOIN km ON km.user_name = r.user_name""", ["E"]))
 def _attach_clusters(I):
     return C.attach_clusters(I.reviews, _clusters(I)).select("review_id", "user_name", "cluster")
 
 
-@register("cluster_mix_by_version")
+@register("cluster_mix_by_version", _recursive(KM + """
+, mix AS (SELECT r.app_version, km.cluster FROM reviews r JOIN km ON km.user_name = r.user_name WHERE r.app_version IS NOT NULL)
+, cells AS (SELECT app_version, CAST(c AS INTEGER) AS cluster FROM (SELECT DISTINCT app_version FROM mix), range(4) t(c))
+SELECT cells.app_version, cells.cluster, count(mix.cluster) AS review_count,
+  round(CAST(count(mix.cluster) AS DOUBLE) / CAST(sum(count(mix.cluster)) OVER (PARTITION BY cells.app_version) AS DOUBLE), 6) AS share
+FROM cells LEFT JOIN mix ON mix.app_version = cells.app_version AND mix.cluster = cells.cluster GROUP BY cells.app_version, cells.cluster""", ["E"]))
 def _cluster_mix_by_version(I):
     return C.cluster_mix_by_version(I.reviews, _clusters(I))
 

@@ -3,6 +3,7 @@
 import math
 
 import regex
+import pytest
 from pyspark.sql import functions as F
 
 from reviewlake import schemas
@@ -51,21 +52,70 @@ def test_level2_rules(spark):
 def test_kmeans_repeatable_and_labelled(spark):
     from reviewlake.plans.enrich import enrich_reviews
     e = enrich_reviews(fixtures.reviews(spark, SF_SMALL), ref.seed_lexicon(spark))
-    feats = C.user_features(e)
-    a = {r.user_name: r.cluster for r in C.user_clusters(feats, restarts=3, parallelism=2).collect()}
-    b = {r.user_name: r.cluster for r in C.user_clusters(feats, restarts=3, parallelism=1).collect()}
+    feats = C.user_features(e, digits=6)
+    a = {r.user_name: r.cluster for r in C.user_clusters(feats, restarts=3).collect()}
+    b = {r.user_name: r.cluster for r in C.user_clusters(feats.repartition(7), restarts=3).collect()}
     assert a == b and set(a.values()) <= {0, 1, 2, 3}
     summ = C.cluster_summary(C.user_clusters(feats, restarts=3)).orderBy("cluster").collect()
     keys = [(r.avg_score, r.avg_length, r.review_count) for r in summ]
     assert keys == sorted(keys)
 
 
+def _slow_lloyd(points, k, restarts, max_iter):
+    """Labels by plain Python: the same integers, one point at a time."""
+    import hashlib
+    import math
+    n = len(points)
+    units = {u: [math.floor(x * 10_000 + 0.5) for x in v] for u, v in points.items()}
+    z = {u: [] for u in points}
+    for d in range(4):
+        mean = float(sum(v[d] for v in units.values())) / n
+        sd = math.sqrt(max(float(sum(v[d] ** 2 for v in units.values())) / n - mean * mean, 0.0))
+        for u, v in units.items():
+            z[u].append(math.floor((v[d] - mean) / sd * 10_000 + 0.5) if sd else 0)
+    def near(x, cs):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), j) for j, c in enumerate(cs))
+    best = None
+    for r in range(restarts):
+        first = sorted(z, key=lambda u: (hashlib.md5(f"{42 + r}:{u}".encode()).hexdigest(), u))[:k]
+        cs = [tuple(z[u]) for u in first]
+        for _ in range(max_iter):
+            held = {u: near(x, cs)[1] for u, x in z.items()}
+            new = list(cs)
+            for j in range(len(cs)):
+                mine = [z[u] for u, g in held.items() if g == j]
+                if mine:
+                    new[j] = tuple(sum(c) // len(mine) for c in zip(*mine))
+            if new == cs:
+                break
+            cs = new
+        cost = sum(near(x, cs)[0] for x in z.values())
+        if best is None or cost < best[0]:
+            best = (cost, cs)
+    cs = best[1]
+    order = sorted(range(len(cs)), key=lambda j: (cs[j][1], cs[j][3], cs[j][0], j))
+    return {u: order.index(near(x, cs)[1]) for u, x in z.items()}
+
+
+@pytest.mark.parametrize("n, k, restarts, max_iter", [(120, 4, 5, 300), (60, 3, 4, 2), (3, 4, 2, 300), (1, 4, 1, 5)])
+def test_kmeans_equals_plain_python(spark, n, k, restarts, max_iter):
+    import random
+    rng = random.Random(n)
+    points = {f"u{i}": [rng.randint(1, 9), round(rng.uniform(1, 5), 6), round(rng.uniform(-1, 1), 6), round(rng.expovariate(0.02), 6)] for i in range(n)}
+    points |= {f"same{i}": [2, 3.0, 0.0, 10.0] for i in range(n // 4)}
+    df = spark.createDataFrame([(u, *v) for u, v in points.items()], "user_name string, review_count long, avg_score double, avg_sentiment double, avg_length double").repartition(3)
+    got = C.user_clusters(df, k=k, restarts=restarts, max_iter=max_iter, outlier_q=None)
+    assert {r.user_name: r.cluster for r in got.collect()} == _slow_lloyd(points, k, restarts, max_iter)
+    assert got.columns == ["user_name", *C.FEATURES, "cluster"]
+    assert C.user_clusters(df.where("false")).count() == 0
+
+
 def test_cluster_mix_matches_brute_force(spark):
     import collections
 
     from reviewlake.plans.enrich import enrich_reviews
     reviews = fixtures.reviews(spark, SF_SMALL)
-    users = C.user_clusters(C.user_features(enrich_reviews(reviews, ref.seed_lexicon(spark))), restarts=2)
+    users = C.user_clusters(C.user_features(enrich_reviews(reviews, ref.seed_lexicon(spark)), digits=6), restarts=2)
     got = {(r.app_version, r.cluster): (r.review_count, r.share)
            for r in C.cluster_mix_by_version(reviews, users).collect()}
     label = {r.user_name: r.cluster for r in users.collect()}
