@@ -9,13 +9,14 @@ as joins that produce the new table image (copy-on-write):
 * batch LEFT ANTI target - the new ids; only the target's key column is
   read and shuffled for it.
 
-The result is written as a new snapshot (sources.sinks.write_snapshot); a
-path is never overwritten while it is being read.
+The result is stored first and then replaces the buckets that the batch
+touches (streaming.incremental.merge_rows); a path is never overwritten
+while it is being read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewlake import schemas
 
@@ -81,7 +82,12 @@ def high_water_mark(target: DataFrame, now=None, default_days: int = 30):
 def new_reviews_since(batch: DataFrame, target: DataFrame, now=None, default_days: int = 30) -> DataFrame:
     """Batch rows strictly newer than the high-water mark (rows at or before
     it are dropped, as the loader's page filter does)."""
-    return batch.filter(F.col("created_at") > high_water_mark(target, now, default_days))
+    return newer_than(batch, high_water_mark(target, now, default_days))
+
+
+def newer_than(batch: DataFrame, mark) -> DataFrame:
+    """Batch rows strictly newer than a mark (a column or a time)."""
+    return batch.filter(F.col("created_at") > (mark if isinstance(mark, Column) else F.lit(mark).cast("timestamp_ntz")))
 
 
 def dedupe_batch(batch: DataFrame) -> DataFrame:

@@ -31,14 +31,14 @@ def monthly_update(spark: SparkSession, pages_dir: str, reviews_base: str, run_l
     that are no page are named in the error text (the run is never logged as
     a silent success).  Returns (logged row, alert rows).
     """
-    from reviewlake.streaming.incremental import QUARANTINE, incremental_ingest, quarantined
+    from reviewlake.streaming.incremental import QUARANTINE, incremental_ingest
 
     start = time.monotonic()
     status, rows, error = "SUCCESS", 0, None
     try:
-        before = quarantined(spark, reviews_base).count()
-        rows = int(sum(incremental_ingest(spark, pages_dir, reviews_base, checkpoint, since_mark=True, now=now)))
-        if bad := quarantined(spark, reviews_base).count() - before:
+        lines: list[int] = []
+        rows = int(sum(incremental_ingest(spark, pages_dir, reviews_base, checkpoint, since_mark=True, now=now, bad_lines=lines)))
+        if bad := sum(lines):
             status, error = "FAILURE", f"{bad} landed lines are no review page; see {QUARANTINE} in {reviews_base}"
         if metadata:
             ingest_app_metadata(spark, *metadata, fetched_at=now)
@@ -67,7 +67,7 @@ def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame
     k-means fit also runs once: its user labels are materialised and feed
     both the cluster summary and the per-version mix."""
     e = materialize(enrich_reviews(reviews, lexicon, modifiers), "enriched-reviews")
-    clusters = materialize(C.user_clusters(C.user_features(e)), "user-clusters")
+    clusters = materialize(C.user_clusters(C.user_features(e, digits=6)), "user-clusters")
     sarcastic = SC.sarcastic_reviews(e)
     changes = U.user_change(e)
     raw_words = WD.word_freq_raw(e)
@@ -114,18 +114,16 @@ def analysis_report(reviews: DataFrame, lexicon: DataFrame, stopwords: DataFrame
     return paths
 
 
-def full_load(spark: SparkSession, pages_dir: str, reviews_base: str) -> int:
+def full_load(spark: SparkSession, pages_dir: str, reviews_base: str, buckets: int | None = None) -> int:
     """Batch load of every landed page into the reviews table (the first
     full sync; later runs use ``monthly_update``).  The pages are merged into
-    the current snapshot, or form the first one, written as a new snapshot.
-    Lines that are no page go to the quarantine folder.  Returns the number
-    of review rows read."""
-    from reviewlake.streaming.incremental import QUARANTINE, merge_rows
+    the table, or form it with the given number of buckets; done again, it
+    changes nothing.  Lines that are no page go to the quarantine folder.
+    Returns the number of review rows read."""
+    from reviewlake.streaming.incremental import merge_rows, quarantine
     rows = materialize(readers.scan_review_pages(spark, pages_dir), "landed-reviews")
-    bad = readers.bad_review_pages(spark, pages_dir)
-    if not bad.isEmpty():
-        bad.write.mode("append").text(f"{reviews_base.rstrip('/')}/{QUARANTINE}")
-    merge_rows(rows, reviews_base)
+    quarantine(readers.bad_review_pages(spark, pages_dir), reviews_base, "full")
+    merge_rows(rows, reviews_base, buckets)
     return rows.count()
 
 

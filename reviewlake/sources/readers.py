@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake import schemas
 from reviewlake.operators.ingest import bad_pages, coerce_types, explode_pages, normalize_raw_reviews, parse_pages
-from reviewlake.sources.sinks import read_snapshot
+from reviewlake.sources.sinks import read_buckets
 
 
 def _read_table(spark: SparkSession, path_or_table: str) -> DataFrame:
     if "/" in path_or_table or path_or_table.startswith("file:"):
-        snap = read_snapshot(spark, path_or_table)
-        return spark.read.parquet(path_or_table) if snap is None else snap
+        rows = read_buckets(spark, path_or_table)
+        return spark.read.parquet(path_or_table) if rows is None else rows
     return spark.table(path_or_table)
 
 
 def scan_reviews(spark: SparkSession, path_or_table: str) -> DataFrame:
-    """The reviews table (Parquet path, snapshot folder or catalog table).
+    """The reviews table (Parquet path, table of buckets or catalog table).
     Column pruning and filter pushdown reach the Parquet scan."""
     return _read_table(spark, path_or_table).select(*schemas.REVIEW_COLUMNS)
 

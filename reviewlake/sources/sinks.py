@@ -1,26 +1,23 @@
-"""Table creation, appends and snapshot writes (Parquet).
+"""Table creation, appends and bucket-wise overwrites (Parquet).
 
 Appends go through the DataFrame writer: tasks write in parallel and
 ``maxRecordsPerFile`` caps each file at the loader's batch size.  The
-reviews table is a folder for each bucket of review_id; a load writes the
-buckets that it touches and then adds the next numbered pointer file, so
-readers never see a half-written table, a failed job leaves the previous
-image current, and untouched buckets keep their files.
+reviews table is partitioned by a hash bucket of review_id; a load replaces
+the buckets that it touches by Spark's dynamic partition overwrite, and the
+others keep their files.  The number of buckets is chosen when the table is
+first written and kept in its schema.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from reviewlake import schemas
 
 BATCH_SIZE = 200_000
-POINTER = "_CURRENT"
-SNAPSHOT_BUCKETS = 64
+BUCKET = "bucket"
+BUCKETS = 64  # of a new table; a bucket should be a few files of some hundred MB
 
 
 def _fs(spark: SparkSession, path: str):
@@ -76,104 +73,46 @@ def _children(spark: SparkSession, base: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def _pointers(spark: SparkSession, base: str) -> list[int]:
-    """Numbers of the pointer files, oldest first."""
-    return sorted(int(n[len(POINTER) + 1:]) for n in _children(spark, base) if n.startswith(f"{POINTER}.") and n[len(POINTER) + 1:].isdigit())
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
 
 
-def _read_pointer(spark: SparkSession, base: str, number: int) -> list[str]:
-    fs, p, jvm = _fs(spark, f"{base.rstrip('/')}/{POINTER}.{number:012d}")
-    # A few short lines, read through the Hadoop file system: Spark's readers
-    # skip files whose names start with "_".
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-    lines = []
-    try:
-        while (line := reader.readLine()) is not None:
-            lines.append(line)
-    finally:
-        reader.close()
-    return lines
+def bucket_count(spark: SparkSession, base: str) -> int | None:
+    """The number of buckets of the table under ``base``, a property in its schema; None if it has no buckets yet."""
+    if not any(n.startswith(f"{BUCKET}=") for n in _children(spark, base)):
+        return None
+    return spark.read.parquet(base).schema["review_id"].metadata["buckets"]
 
 
-def snapshot_folders(spark: SparkSession, base: str) -> dict[int, str] | None:
-    """Bucket -> folder of the current image under ``base``; None if there never was one.
+def bucket_of(buckets: int, key: str = "review_id") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-    Snapshot folders without a pointer mean that the pointer was lost: that
-    raises, for an empty table would let the next merge drop the history.
-    """
-    numbers = _pointers(spark, base)
-    if numbers:
-        folders = _read_pointer(spark, base, numbers[-1])
-        return {int(f.rpartition("=")[2]): f"{base.rstrip('/')}/{f}" for f in folders}
-    if any(n.startswith("snapshot-") for n in _children(spark, base)):
-        raise RuntimeError(f"{base} holds snapshots but no {POINTER} file; restore the pointer before reading or merging")
-    return None
-
-
-def read_snapshot(spark: SparkSession, base: str, buckets: list[int] | None = None) -> DataFrame | None:
-    """The current image under ``base``, or the given buckets of it; None if there never was one."""
-    folders = snapshot_folders(spark, base)
-    if folders is None:
+
+def read_buckets(spark: SparkSession, base: str, some: list[int] | None = None) -> DataFrame | None:
+    """The reviews under ``base``, or those of some buckets (the others' files are pruned); None without buckets."""
+    if bucket_count(spark, base) is None:
         return None
-    paths = [f for b, f in sorted(folders.items()) if buckets is None or b in buckets]
-    return spark.read.schema(schemas.REVIEWS).parquet(*paths) if paths else spark.createDataFrame([], schemas.REVIEWS)
+    rows = spark.read.schema(schemas.REVIEWS).parquet(base)
+    return (rows if some is None else rows.filter(F.col(BUCKET).isin(some))).select(*schemas.REVIEW_COLUMNS)
 
 
-def bucket_of(key: str = "review_id") -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SNAPSHOT_BUCKETS)).cast("int")
+def overwrite_buckets(rows: DataFrame, base: str, buckets: int, max_records: int = BATCH_SIZE) -> None:
+    """Replace the buckets that ``rows`` (with their column ``bucket``) have by those rows; all others keep their files.
 
+    Spark's dynamic partition overwrite: the same rows written again give
+    the same table.  Rebalanced by bucket, so that a bucket is a few files
+    and a large one is split.
+    """
+    named = [F.col(c).alias(c, metadata={"buckets": buckets}) if c == "review_id" else F.col(c) for c in schemas.REVIEW_COLUMNS]
+    (rows.select(*named, BUCKET).hint("rebalance", BUCKET).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records).partitionBy(BUCKET).parquet(base))
 
-def write_snapshot(df: DataFrame, base: str, max_records: int = BATCH_SIZE, touched: list[int] | None = None) -> str:
-    """Write ``df`` as a new snapshot folder, a folder for each bucket of review_id, and make it current.
 
-    With ``touched`` only those buckets are replaced, by the rows of ``df``;
-    all others keep the files of the image before.  Folders that neither the
-    new pointer nor the one before names are removed.
-    """
-    spark = df.sparkSession
-    before = snapshot_folders(spark, base) or {}
-    name = "snapshot-" + _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    target = f"{base.rstrip('/')}/{name}"
-    # Rebalanced by bucket, so that a bucket is a few files and a large one is split.
-    (df.select(*schemas.REVIEW_COLUMNS).withColumn("bucket", bucket_of()).hint("rebalance", "bucket")
-       .write.mode("errorifexists").option("maxRecordsPerFile", max_records).partitionBy("bucket").parquet(target))
-    folders = {b: f[len(base.rstrip("/")) + 1:] for b, f in before.items() if touched is not None and b not in touched}
-    folders |= {int(n.rpartition("=")[2]): f"{name}/{n}" for n in _children(spark, target) if n.startswith("bucket=")}
-    _write_pointer(spark, base, [folders[b] for b in sorted(folders)])
-    _remove_unused(spark, base)
-    return target
-
-
-def _write_pointer(spark: SparkSession, base: str, lines: list[str]) -> None:
-    """Add the next numbered pointer; earlier ones stay until it is in place."""
-    numbers = _pointers(spark, base)
-    number = numbers[-1] + 1 if numbers else 1
-    fs, _, jvm = _fs(spark, base)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_tmp.{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    out.write(bytearray("".join(f"{x}\n" for x in lines).encode("utf-8")))
-    out.close()
-    final = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}.{number:012d}")
-    if fs.exists(final) or not fs.rename(tmp, final):
-        raise RuntimeError(f"another writer made snapshot {number} of {base} current")
-
-
-def _remove_unused(spark: SparkSession, base: str, keep: int = 2) -> None:
-    """Drop pointers but the last ``keep`` and what no kept pointer names, so that running readers end well."""
-    numbers = _pointers(spark, base)
-    fs, _, jvm = _fs(spark, base)
-    path = lambda n: jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{n}")
-    for number in numbers[:-keep]:
-        fs.delete(path(f"{POINTER}.{number:012d}"), False)
-    named = {f for number in numbers[-keep:] for f in _read_pointer(spark, base, number)}
-    for snapshot in _children(spark, base):
-        if snapshot.startswith("snapshot-"):
-            folders = [f"{snapshot}/{n}" for n in _children(spark, f"{base.rstrip('/')}/{snapshot}") if n.startswith("bucket=")]
-            if not named.intersection(folders):
-                fs.delete(path(snapshot), True)
-            else:
-                for f in set(folders) - named:
-                    fs.delete(path(f), True)
+def write_reviews(df: DataFrame, base: str, buckets: int | None = None, max_records: int = BATCH_SIZE) -> None:
+    """Write ``df`` as the whole rows of the buckets that it touches."""
+    n = bucket_count(df.sparkSession, base) or buckets or BUCKETS
+    overwrite_buckets(df.withColumn(BUCKET, bucket_of(n)), base, n, max_records)
 
 
 def save_bucketed_table(df: DataFrame, name: str, path: str, key: str = "review_id",

@@ -93,15 +93,18 @@ def test_pages_reader_and_csv_reader(spark, tmpdir_path):
     assert got.content == 'hello, "quoted"\nline' and got.score == 5 and got.app_version == "1.0"
 
 
-def test_sinks_snapshot_and_appends(spark, tmpdir_path):
+def test_sinks_buckets_and_appends(spark, tmpdir_path):
     base = os.path.join(tmpdir_path, "reviews")
     assert sinks.create_reviews_table(spark, os.path.join(tmpdir_path, "empty")) is True
     assert sinks.create_reviews_table(spark, os.path.join(tmpdir_path, "empty")) is False
     df = fixtures.reviews(spark, SF_SMALL)
-    sinks.write_snapshot(df, base, max_records=500)
-    assert readers.scan_reviews(spark, base).count() == df.count()
-    sinks.write_snapshot(df.limit(10), base)
-    assert readers.scan_reviews(spark, base).count() == 10
+    sinks.write_reviews(df, base, buckets=5, max_records=500)
+    assert sinks.bucket_count(spark, base) == 5 and _sorted(readers.scan_reviews(spark, base)) == _sorted(df)
+    one = df.filter(sinks.bucket_of(5) == 2)
+    sinks.write_reviews(one.limit(10), base, buckets=64)  # the table's own number counts
+    assert sinks.bucket_count(spark, base) == 5
+    assert readers.scan_reviews(spark, base).count() == df.count() - one.count() + 10
+    assert sinks.read_buckets(spark, base, [2]).count() == 10
     log = os.path.join(tmpdir_path, "log")
     from reviewlake.operators.monitoring import run_log_row
     sinks.append_run_log(run_log_row(spark, "SUCCESS", 3, None, 1.234, "OK"), log)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from reviewlake import schemas
 from reviewlake.operators import ingest as G, monitoring as M, sentiment as SE, stats as S, users as U
-from reviewlake.plans.jobs import monthly_update
+from reviewlake.plans.jobs import full_load, monthly_update
 from reviewlake.sources import fixtures, reference_data as ref, readers, sinks
+from reviewlake.streaming import incremental as inc
 from reviewlake.streaming.incremental import incremental_ingest, quarantined
 
 T = dt.datetime
@@ -49,37 +52,97 @@ def test_two_targets_do_not_share_a_checkpoint(spark, tmpdir_path):
         assert readers.scan_reviews(spark, f"{tmpdir_path}/{name}").count() == 12
 
 
-def test_a_lost_pointer_raises(spark, tmpdir_path):
-    base = f"{tmpdir_path}/t"
-    df = fixtures.reviews(spark, SF)
-    sinks.write_snapshot(df.limit(30), base)
-    sinks.write_snapshot(df.limit(20), base)
-    assert readers.scan_reviews(spark, base).count() == 20
-    for f in os.listdir(base):
-        if f.startswith(sinks.POINTER):
-            os.remove(f"{base}/{f}")
-    with pytest.raises(RuntimeError, match="pointer"):
-        readers.scan_reviews(spark, base)
-    with pytest.raises(RuntimeError, match="pointer"):
-        sinks.write_snapshot(df.limit(10), base)
+def files_of(target):
+    return {n: sorted(f for f in os.listdir(f"{target}/{n}") if f.startswith("part-")) for n in os.listdir(target) if n.startswith("bucket=")}
 
 
 def test_untouched_buckets_keep_their_files(spark, tmpdir_path):
     pages, target = f"{tmpdir_path}/in", f"{tmpdir_path}/t"
     land(pages, rows_from(0, 500), 0)
-    incremental_ingest(spark, pages, target)
-    before = sinks.snapshot_folders(spark, target)
+    incremental_ingest(spark, pages, target, buckets=16)
+    before = files_of(target)
     land(pages, [("r7", "edited", "2024-01-21 00:00:00"), ("new", "first", "2024-01-21 00:00:00")], 1)
     incremental_ingest(spark, pages, target)
-    after = sinks.snapshot_folders(spark, target)
-    touched = {r["b"] for r in spark.createDataFrame([("r7",), ("new",)], "review_id string").select(sinks.bucket_of().alias("b")).collect()}
-    assert {b for b in after if before.get(b) != after[b]} == touched
+    after = files_of(target)
+    touched = {r["b"] for r in spark.createDataFrame([("r7",), ("new",)], "review_id string").select(sinks.bucket_of(16).alias("b")).collect()}
+    assert len(after) == 16 == sinks.bucket_count(spark, target)
+    assert {b for b in after if before.get(b) != after[b]} == {f"bucket={b}" for b in touched}
     got = {r["review_id"]: r["content"] for r in readers.scan_reviews(spark, target).collect()}
     assert len(got) == 501 and got["r7"] == "edited" and got["r8"] == "text 8"
-    land(pages, [("r9", "edited", "2024-01-22 00:00:00")], 2)
+
+
+class Killed(Exception):
+    pass
+
+
+def die(*args, **kwargs):
+    raise Killed
+
+
+def half_way(rows, base, buckets, *args):
+    """A run that ends while the overwrite is committed: some of its buckets are gone already."""
+    for r in rows.select("bucket").distinct().limit(3).collect():
+        shutil.rmtree(f"{base}/bucket={r['bucket']}", ignore_errors=True)
+    raise Killed
+
+
+def after(f):
+    def run(*args, **kwargs):
+        f(*args, **kwargs)
+        raise Killed
+    return run
+
+
+#: Where a run is killed: before a decision, before its note, before, while and after buckets are replaced, after the note became the last batch.
+KILLS = {
+    "before the image": (inc, "decide", lambda f: die), "after the image": (inc, "merge_reviews", lambda f: die), "after the note": (inc, "decide", after),
+    "half way": (sinks, "overwrite_buckets", lambda f: half_way), "after the overwrite": (sinks, "overwrite_buckets", after), "before the checkpoint": (inc, "merge_pages_batch", after),
+}
+
+
+@pytest.mark.parametrize("where", KILLS)
+def test_a_killed_run_is_replayed_exactly(spark, tmpdir_path, monkeypatch, where):
+    """Rows, quarantine and logged counts are those of a run that was not killed."""
+    made = {}
+    for name in ("whole", "killed"):
+        pages, target, log = (f"{tmpdir_path}/{name}/{n}" for n in ("in", "t", "log"))
+        land(pages, rows_from(0, 40, "2024-02-20"), 0)
+        monthly_update(spark, pages, target, log, now=T(2024, 3, 1))
+        land(pages, rows_from(30, 60, "2024-03-20") + rows_from(60, 65, "2024-02-01") + [("r5", "edited", "2024-03-25 00:00:00")], 1, tail="no page\n")
+        if name == "killed":
+            module, f, kill = KILLS[where]
+            monkeypatch.setattr(module, f, kill(getattr(module, f)))
+            row, _ = monthly_update(spark, pages, target, log, now=T(2024, 4, 1))
+            assert row.first().status == "FAILURE" and row.first().rows_loaded == 0
+            monkeypatch.undo()
+        row, _ = monthly_update(spark, pages, target, log, now=T(2024, 4, 2))
+        again, _ = monthly_update(spark, pages, target, log, now=T(2024, 4, 3))
+        made[name] = (row.first().rows_loaded, row.first().error_message.split(" landed")[0], again.first().rows_loaded,
+                      sorted(map(tuple, readers.scan_reviews(spark, target).collect())), [r["value"] for r in quarantined(spark, target).collect()])
+        assert not {n for n in os.listdir(target) if n.startswith("_")} - {"_ingest_checkpoint", "_quarantine", "_applied"}
+    assert made["killed"] == made["whole"]
+    assert made["whole"][:3] == (31, "1", 0) and len(made["whole"][3]) == 60 and made["whole"][4] == ["no page"]
+
+
+def test_the_mark_holds_for_all_batches_of_a_run(spark, tmpdir_path):
+    """Older rows of a landing are loaded although a batch before them was newer."""
+    pages, target = f"{tmpdir_path}/in", f"{tmpdir_path}/t"
+    land(pages, rows_from(0, 3, "2024-01-20"), 0)
     incremental_ingest(spark, pages, target)
-    kept = [n for n in os.listdir(target) if n.startswith("snapshot-")]
-    assert len([n for n in os.listdir(target) if n.startswith(sinks.POINTER)]) == 2 and len(kept) >= 2
+    for k, day in enumerate(("2024-03-03", "2024-03-02", "2024-03-01", "2024-01-01"), 1):
+        land(pages, rows_from(10 * k, 10 * k + 2, day), k)
+        os.utime(f"{pages}/p{k}.json", (time.time() + k, time.time() + k))
+    assert incremental_ingest(spark, pages, target, since_mark=True, max_files_per_trigger=1) == [2, 2, 2, 0]
+    assert readers.scan_reviews(spark, target).count() == 9
+
+
+def test_a_full_load_again_changes_nothing(spark, tmpdir_path):
+    pages, target = f"{tmpdir_path}/in", f"{tmpdir_path}/t"
+    land(pages, rows_from(0, 30), 0, tail="no page\n")
+    for _ in range(2):
+        assert full_load(spark, pages, target, buckets=3) == 30
+        assert readers.scan_reviews(spark, target).count() == 30 and quarantined(spark, target).count() == 1
+        assert sinks.bucket_count(spark, target) == 3
 
 
 def test_bad_lines_are_kept_and_reported(spark, tmpdir_path):
