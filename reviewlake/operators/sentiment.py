@@ -6,8 +6,8 @@ the compound score s / sqrt(s^2 + 15), rounded to 4 decimals.  Null text
 gives null; text without a lexicon hit gives 0.0.
 
 Plan shape: scan -> explode -> broadcast hash join (lexicon, size checked)
--> partial sum per review (map side) -> exchange of the *hits only* on
-review_id -> join back to the reviews.  Nothing leaves the JVM.
+-> partial sum per review (map side) -> exchange of the sums on review_id
+-> join back to the reviews.  Nothing leaves the JVM.
 
 Level 2 adds the rule-based modifiers (negation, boosters, "but",
 capitals, ! and ?) from token positions with ``lag`` windows over the
@@ -56,13 +56,21 @@ def lexicon_hits(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] =
 
 
 def valence_sums(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] = "review_id") -> DataFrame:
+    """(key, valence_sum) of the rows of each key, which all must have one text.
+
+    Valences are summed map-side as counts of 1/10 000, so that the score
+    does not depend on the order.  Equal rows give every hit as often as
+    there are rows; one token more for each row, which no text has, tells
+    how many they are.
+    """
     keys = [key] if isinstance(key, str) else key
-    # One hit for each place, also where rows are equal; an exact decimal sum,
-    # so that the score does not depend on the order.
-    exact = F.struct("pos", F.col("valence").cast("decimal(12,4)").alias("v"))
-    total = F.aggregate("hits", F.lit(0).cast("decimal(22,4)"), lambda a, x: (a + x["v"]).cast("decimal(22,4)"))
-    return lexicon_hits(reviews, lexicon, keys).groupBy(*keys).agg(F.collect_set(exact).alias("hits")).select(
-        *keys, total.cast("double").alias("valence_sum"))
+    tokens = F.concat(F.array(F.lit("")), text.lexicon_tokens("content"))
+    toks = text.explode_items(reviews, tokens, "token", keep=keys)
+    row_mark = lexicon.sparkSession.createDataFrame([("", 0)], "word string, units long")
+    units = F.round(F.col("valence").cast("decimal(12,4)") * 10_000).cast("bigint").alias("units")
+    lex = bounded_broadcast(_unique_words(lexicon.filter("word <> ''")).select("word", units).unionByName(row_mark), "lexicon")
+    sums = toks.join(lex, toks.token == lex.word).groupBy(*keys).agg(F.sum("units").alias("s"), F.count_if(F.col("token") == "").alias("n"))
+    return sums.select(*keys, (F.expr("s div n") / F.lit(10_000.0)).alias("valence_sum"))
 
 
 def compound(s: Column, alpha: float = ref.COMPOUND_ALPHA) -> Column:

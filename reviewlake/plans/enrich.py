@@ -48,12 +48,13 @@ def with_activity(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
     user_name.  It grows with the data, so no broadcast is forced: AQE
     broadcasts it when the measured stage is under the adaptive threshold,
     otherwise the sort-merge join runs with skew-partition splitting."""
-    act = active_users(reviews, min_reviews).withColumn("_active", F.lit(True))
-    # Rows without a name are never active and would all meet in one partition.
-    named = (reviews.filter(F.col("user_name").isNotNull()).join(act, "user_name", "left")
-                    .withColumn("is_active_user", F.coalesce(F.col("_active"), F.lit(False)))
-                    .drop("_active"))
-    return named.unionByName(reviews.filter(F.col("user_name").isNull()).withColumn("is_active_user", F.lit(False)))
+    act = active_users(reviews, min_reviews).select(F.col("user_name").alias("_user"), F.lit(True).alias("_active"))
+    # Rows without a name are never active and would all meet in one partition: they get keys that no user has.
+    nobody = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*reviews.columns), F.lit(4096)).cast("string"))
+    keyed = reviews.withColumn("_user_key", F.coalesce("user_name", nobody))
+    return (keyed.join(act, F.col("_user_key") == F.col("_user"), "left")
+                 .withColumn("is_active_user", F.coalesce(F.col("_active") & F.col("user_name").isNotNull(), F.lit(False)))
+                 .drop("_user_key", "_user", "_active"))
 
 
 def enrich_reviews(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None,
