@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 from reviewlake.llm.common import Scratch, bounded_batches, map_texts
 
 BLOCK = 1 << 19       # words looked at together
-PART = 1 << 21        # bytes whose words are hashed together
+PART = 1 << 19        # bytes whose words are hashed together
+HELD = 1 << 21        # bytes of texts whose windows are made together
 STREAMED = 1 << 15    # words of the last stretches that are enough to stream
 LOW = (1 << 64) - 1
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -178,22 +179,31 @@ def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def windows(texts: DataFrame, p: Params) -> DataFrame:
     """A row for each window of some pieces, from (t, z, ats) of their texts: its place, piece, number of copies and identifier."""
+    def rows(batch: pa.RecordBatch, raw: list[bytes]) -> Iterator[pa.RecordBatch]:
+        hashes, ends = word_lanes(raw)
+        whole = [runs_of(h, p.window, lane) for lane, h in enumerate(hashes)]
+        ats = batch.column("ats")
+        begin, pieces_of = np.concatenate([[0], ends]), pc.list_value_length(ats).to_numpy(zero_copy_only=False)
+        owner, (at, n) = np.repeat(np.arange(batch.num_rows), pieces_of), (ats.flatten().field(c).to_numpy() for c in ("at", "n"))
+        for k in range(0, len(at), 1024):
+            r = slice(k, k + 1024)
+            times = (at[r] & 255) + 1
+            place = np.repeat(at[r] >> 8, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            own = np.repeat(owner[r], times)
+            a, b = (h[begin[own] + place] for h in whole)
+            yield pa.RecordBatch.from_arrays([batch.column("t").take(pa.array(own)), pa.array(place), pa.array(np.repeat(at[r], times)), pa.array(np.repeat(n[r], times)), signed(a), signed(b)],
+                                             ["t", "place", "at", "n", "a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            hashes, ends = word_lanes([z.decompress(b) for b in batch.column("z").to_pylist()])
-            whole = [runs_of(h, p.window, lane) for lane, h in enumerate(hashes)]
-            ats = batch.column("ats")
-            begin, pieces_of = np.concatenate([[0], ends]), pc.list_value_length(ats).to_numpy(zero_copy_only=False)
-            owner, (at, n) = np.repeat(np.arange(batch.num_rows), pieces_of), (ats.flatten().field(c).to_numpy() for c in ("at", "n"))
-            for k in range(0, len(at), 4096):
-                r = slice(k, k + 4096)
-                times = (at[r] & 255) + 1
-                place = np.repeat(at[r] >> 8, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                own = np.repeat(owner[r], times)
-                a, b = (h[begin[own] + place] for h in whole)
-                yield pa.RecordBatch.from_arrays([batch.column("t").take(pa.array(own)), pa.array(place), pa.array(np.repeat(at[r], times)), pa.array(np.repeat(n[r], times)), signed(a), signed(b)],
-                                                 ["t", "place", "at", "n", "a", "b"])
+            low, raw, size = 0, [], 0
+            for k, blob in enumerate(batch.column("z")):  # some MB of text at a time
+                raw.append(z.decompress(blob.as_py()))
+                size += len(raw[-1])
+                if size > HELD or k == batch.num_rows - 1:
+                    yield from rows(batch.slice(low, k + 1 - low), raw)
+                    low, raw, size = k + 1, [], 0
 
     return texts.mapInArrow(run, "t binary, place long, at long, n long, a long, b long")
 
