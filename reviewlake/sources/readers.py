@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake import schemas
 from reviewlake.operators.ingest import bad_pages, coerce_types, explode_pages, normalize_raw_reviews, parse_pages
+from reviewlake.sources.csv_records import read_csv
 from reviewlake.sources.sinks import read_buckets
 
 
@@ -43,10 +44,9 @@ def bad_review_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_reviews_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The older single-file export layout -> typed review rows."""
-    raw = (spark.read.schema(schemas.REVIEWS_CSV)
-                .option("header", True).option("multiLine", True).option("escape", '"')
-                .csv(path))
+    """The older single-file export layout -> typed review rows; a large file
+    is read by many tasks, also where quoted texts hold line breaks."""
+    raw = read_csv(spark, path, schemas.REVIEWS_CSV)
     return coerce_types(raw.select(
         F.col("reviewId").alias("review_id"), F.col("userName").alias("user_name"), "content", "score",
         F.col("at").alias("created_at"), F.col("reviewCreatedVersion").alias("app_version")))
