@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,10 +92,16 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.
     shards = -(-min(labels.select("doc_id").distinct().count(), p.max_docs) // p.shard_docs)
     sample = labelled_sample(docs, labels, p.max_docs).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, shards))))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def featured():
         cache = WordHashes()
+        return lambda texts: [pa.array([features(t, p.bits, cache).astype("<i4").tobytes() for t in texts], pa.binary())]
+
+    # Only the texts' features meet in a shard: 4 bytes for each different one, at most 2 to the power of ``bits`` of a text.
+    sample = map_texts(sample, ["doc_id", "y", "shard"], featured, "f binary")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id")
-        z, n = ftrl([features(t, p.bits, cache) for t in pdf["text"]], pdf["y"].to_numpy(float), p)
+        z, n = ftrl([np.frombuffer(f, "<i4") for f in pdf["f"]], pdf["y"].to_numpy(float), p)
         i = np.flatnonzero((np.abs(z) > p.l1) | (np.arange(len(z)) == len(z) - 1))
         return pd.DataFrame({"docs": [len(pdf)], "i": [i.astype("<i4").tobytes()], "w": [ftrl_weights(z[i], n[i], p).astype("<f8").tobytes()]})
 
