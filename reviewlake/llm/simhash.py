@@ -137,14 +137,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
     prints = scratch.store(fingerprints(docs, shingle), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    index = variants(distinct.select("fp"), max_bits)
+    distinct = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    # A row becomes many: the few bytes of the fingerprints are dealt to all tasks before that.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = variants(distinct.select("fp").repartition(tasks), max_bits)
     dealt = index.repartition("key").sortWithinPartitions("key")
     links = dealt.mapInArrow(lambda batches: bucket_links(batches, max_bits), "u long, v long")
     roots = components(links, scratch)
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = scratch.store(distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "named")
+    # Stored before it is joined, so that AQE can split a root with very many fingerprints.
+    smallest = scratch.store(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
     members = scratch.store(named.join(smallest, "root").select("fp", "root", "component_id"), "members")
     scratch.keep_only("prints", "members")
     return prints.join(members, "fp").select(
