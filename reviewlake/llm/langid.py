@@ -1,16 +1,19 @@
 """Language identification in two levels: the family, then the language within it.
 
 Texts become vectors of hashed character n-grams.  Linear support vector
-machines, one for each pair, separate first the families and then the
-closely related languages of the family that won.
+machines separate first each family from the others, and then, one for each
+pair, the closely related languages of the family that won.  Every machine
+is trained in a task of its own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import held_out, map_texts
@@ -32,7 +35,7 @@ class Params:
     orders: tuple[int, ...] = (1, 2, 3)
     docs_per_language: int = 1000  # bound of the labelled sample of each language
     max_docs: int = 16_000         # bound of the whole sample: with many languages each gets fewer
-    max_languages: int = 200       # more labels than that are an error
+    max_languages: int = 1_000     # the most frequent ones are learnt; rarer labels than these teach nothing
     cost: float = 1.0
     rounds: int = 30
 
@@ -89,60 +92,96 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float, rounds: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Machines:
-    """One machine for each pair of classes; positive: the first."""
+    """Linear machines between classes; positive: the first of a pair, or a class against all others (-1)."""
     classes: tuple[str, ...]
     pairs: tuple[tuple[int, int], ...]
     weights: np.ndarray
 
     def votes(self, x: np.ndarray) -> np.ndarray:
-        """Shares of the classes for each row: mean of the pairwise logistic votes, made to add up to 1."""
+        """Shares of the classes for each row: logistic votes, made to add up to 1."""
         out = np.full((len(x), len(self.classes)), 1.0 if len(self.classes) == 1 else 0.0)
         if self.pairs:
             first = 1 / (1 + np.exp(-np.clip(4 * (x @ self.weights[:, :-1].T + self.weights[:, -1]), -30, 30)))
             for k, (i, j) in enumerate(self.pairs):
                 out[:, i] += first[:, k]
-                out[:, j] += 1 - first[:, k]
+                if j >= 0:
+                    out[:, j] += 1 - first[:, k]
         return out / out.sum(1, keepdims=True)
 
 
-def machines(x: np.ndarray, y: list[str], p: Params) -> Machines:
-    classes = sorted(set(y))
-    at = {c: np.array([i for i, v in enumerate(y) if v == c]) for c in classes}
-    pairs, weights = [], []
-    for i in range(len(classes)):
-        for j in range(i):
-            rows = np.concatenate([at[classes[i]], at[classes[j]]])
-            sign = np.r_[np.ones(len(at[classes[i]])), -np.ones(len(at[classes[j]]))]
-            pairs.append((i, j))
-            weights.append(svm(x[rows], sign, p.cost, p.rounds))
-    return Machines(tuple(classes), tuple(pairs), np.array(weights).reshape(-1, x.shape[1] + 1))
-
-
 @dataclass(frozen=True)
 class Model:
     families: Machines
     within: dict[str, Machines]
 
 
+def machine_tasks(kin: list[str], langs: list[str]) -> list[tuple[str | None, int, int]]:
+    """(family, i, j) of all machines: each family against the others, each two languages of a family against each other.
+
+    Family None stands for the families themselves.  Their number follows
+    the families and the pairs of close languages, not all pairs.
+    """
+    families = sorted(set(kin))
+    out: list[tuple[str | None, int, int]] = [(None, i, -1) for i in range(len(families))] if len(families) > 1 else []
+    for f in families:
+        own = sorted({lang for lang, k in zip(langs, kin) if k == f})
+        out += [(f, i, j) for i in range(len(own)) for j in range(i)]
+    return out
+
+
+def machines(spark: SparkSession, x: np.ndarray, langs: list[str], p: Params) -> Model:
+    """All machines, each trained in a task of its own; the sample's vectors, bounded by ``max_docs``, are broadcast."""
+    kin = [family(lang) for lang in langs]
+    jobs = machine_tasks(kin, langs)
+    sample = spark.sparkContext.broadcast((x, langs, kin))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, langs, kin = sample.value
+            names, families = np.array(langs), np.array(kin)
+            made = []
+            for job in batch.column("job").to_pylist():
+                f, i, j = jobs[job]
+                if f is None:
+                    rows, sign = np.arange(len(x)), np.where(families == sorted(set(kin))[i], 1.0, -1.0)
+                else:
+                    own = sorted(set(names[families == f].tolist()))
+                    rows = np.flatnonzero((names == own[i]) | (names == own[j]))
+                    sign = np.where(names[rows] == own[i], 1.0, -1.0)
+                made.append(svm(x[rows], sign, p.cost, p.rounds).astype("<f8").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("job"), pa.array(made, pa.binary())], ["job", "w"])
+
+    weights = {}
+    if jobs:
+        numbers = spark.createDataFrame([(k,) for k in range(len(jobs))], "job int").repartition(min(len(jobs), 256), "job")
+        weights = {r["job"]: np.frombuffer(r["w"], "<f8") for r in numbers.mapInArrow(run, "job int, w binary").collect()}
+    sample.unpersist()
+
+    def of(f: str | None, classes: list[str]) -> Machines:
+        own = [k for k, job in enumerate(jobs) if job[0] == f]
+        return Machines(tuple(classes), tuple(jobs[k][1:] for k in own), np.array([weights[k] for k in own]).reshape(-1, x.shape[1] + 1))
+
+    families = sorted(set(kin))
+    return Model(of(None, families), {f: of(f, sorted({lang for lang, k in zip(langs, kin) if k == f})) for f in families})
+
+
 def train(docs: DataFrame, p: Params = Params()) -> Model | None:
     """Fit on (text, lang) of ``docs``; null languages and texts without a letter teach nothing.
 
-    At most ``docs_per_language`` distinct texts of each language, and ``max_docs`` in
-    all, are used, chosen by the hash of the text, and their vectors, of fixed size, reach the
+    At most ``docs_per_language`` distinct texts of each of the
+    ``max_languages`` most frequent languages, and about ``max_docs`` in all, are used, chosen by the hash of the text, and their vectors, of fixed size, reach the
     driver.  None if no row is left.
     """
     h = F.xxhash64("text")
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # Copies of one text are one: they must not lower the share of the others.
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang", h.alias("h")).agg(F.lit(1)).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages + 1).collect()}
-    if len(counts) > p.max_languages:
-        raise ValueError(f"more than {p.max_languages} languages")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang", h.alias("h")).agg(F.lit(1)).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages).collect()}
     if not counts:
         return None
     each = max(1, min(p.docs_per_language, p.max_docs // len(counts)))
     # A hash threshold for each language lets eight deviations more than the bound through; the rest is cut exactly.
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (each + 8 * each ** 0.5 + 32) / n))])
-    some = (known.where(F.pmod(h, F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).groupBy("lang", h.alias("h"))
+    some = (known.where(F.col("lang").isin(list(counts)) & (F.pmod(h, F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))).groupBy("lang", h.alias("h"))
             .agg(F.max("text").alias("text")))
     sample = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))).where(F.col("rank") <= each)
 
@@ -157,12 +196,7 @@ def train(docs: DataFrame, p: Params = Params()) -> Model | None:
         return None
     rows.sort(key=lambda r: (r["lang"], r["h"]))
     x, y = np.stack([np.frombuffer(r["v"], "<f4") for r in rows]), [r["lang"] for r in rows]
-    kin = [family(lang) for lang in y]
-    within = {}
-    for f in sorted(set(kin)):
-        own = [i for i, k in enumerate(kin) if k == f]
-        within[f] = machines(x[own], [y[i] for i in own], p)
-    return Model(machines(x, kin, p), within)
+    return machines(docs.sparkSession, x, y, p)
 
 
 def predict(docs: DataFrame, m: Model | None, p: Params = Params(), keep: list[str] | None = None) -> DataFrame:
