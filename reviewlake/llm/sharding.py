@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reviewlake.llm.common import Scratch, ranked
 
@@ -57,6 +58,11 @@ def text_cells(rows: DataFrame, name: str, bits: int) -> Column:
     return F.when(F.col(name).isNotNull(), F.size(F.filter(below, lambda c: c < F.col(name))).cast("long"))
 
 
+def id_cells(docs: DataFrame, bits: int) -> Column:
+    """What stands for the id among the dimensions: a number itself, a string its cell."""
+    return text_cells(docs, "doc_id", bits) if isinstance(docs.schema["doc_id"].dataType, StringType) else F.col("doc_id")
+
+
 def curve(rows: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """``rows`` with ``curve`` long: the Hilbert index of the numeric columns ``dims``.
 
@@ -83,14 +89,15 @@ def shards(docs: DataFrame, count: int = 8, bits: int = BITS) -> DataFrame:
     ordered by the text's crc32, then doc_id, so that equal texts of a cell
     are neighbours.  Shard s holds the ranks from s*n/count up to
     (s+1)*n/count, rounded down: counts differ by one at most.  A null text
-    has size 1 and crc32 0; an empty table gives no row.  Only doc_id, text,
+    has size 1 and crc32 0; an empty table gives no row.  Ids that are
+    strings get their cells like source and language.  Only doc_id, text,
     lang and source are read; no text is moved.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
-        text_cells(docs, "source", bits).alias("source"), text_cells(docs, "lang", bits).alias("lang"))
-    placed, total = ranked(curve(rows, ["source", "lang", "size", "doc_id"], bits).drop("source", "lang"),
+        text_cells(docs, "source", bits).alias("source"), text_cells(docs, "lang", bits).alias("lang"), id_cells(docs, bits).alias("number"))
+    placed, total = ranked(curve(rows, ["source", "lang", "size", "number"], bits).drop("source", "lang", "number"),
                            ["curve", "text_crc32", "doc_id", "size"], Scratch(docs.sparkSession, "shards"))
     starts = F.array(*[F.lit(s * total // count).cast("long") for s in range(count)])
     # The last shard that starts at or before the rank; empty shards start where the next one does.
@@ -103,7 +110,7 @@ def shards(docs: DataFrame, count: int = 8, bits: int = BITS) -> DataFrame:
 def write(docs: DataFrame, path: str, count: int = 8, bits: int = BITS) -> None:
     """All columns of ``docs`` as Parquet in curve order, in about ``count`` files of neighbouring rows."""
     rows = docs.withColumn("_size", F.octet_length(F.coalesce("text", F.lit("")))).withColumn("_source", text_cells(docs, "source", bits)) \
-        .withColumn("_lang", text_cells(docs, "lang", bits))
-    curved = curve(rows, ["_source", "_lang", "_size", "doc_id"], bits)
-    curved.repartitionByRange(count, "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id").drop("_size", "_source", "_lang", "curve") \
+        .withColumn("_lang", text_cells(docs, "lang", bits)).withColumn("_number", id_cells(docs, bits))
+    curved = curve(rows, ["_source", "_lang", "_size", "_number"], bits)
+    curved.repartitionByRange(count, "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id").drop("_size", "_source", "_lang", "_number", "curve") \
         .write.mode("overwrite").parquet(path)

@@ -608,3 +608,32 @@ def test_empty_documents(empty):
     assert substring.remove_repeats(empty).count() == 0
     assert linededup.dedup(empty).count() == 0
     assert spm.round_trip(empty).count() == 0 and spm.encode(empty).count() == 0
+
+
+# Ids of other types, many languages
+
+def test_string_ids(spark):
+    line = " ".join(f"w{k}" for k in range(12))
+    rows = [(f"id{k % 7}" if k != 5 else None, f"{line}\nown {k}", "en", "s") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    got = linededup.dedup(docs).select("doc_id", "text", "n_removed").collect()
+    assert sum(r["n_removed"] for r in got) == 11
+    first = min((r for r in rows if r[0]), key=lambda r: r[0])[0]
+    assert [r["doc_id"] for r in got if not r["n_removed"]] == [first]
+    out = sharding.shards(docs).collect()
+    assert sorted(Counter(r["shard"] for r in out).values()) == [1] * 4 + [2] * 4 and {r["doc_id"] for r in out} == {r[0] for r in rows}
+
+
+def test_more_languages_than_are_learnt(spark):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(210):
+        own = rng.sample(letters, 5)
+        rows += [(4 * k + 1 + j, " ".join("".join(rng.choice(own) for _ in range(6)) for _ in range(30)), f"l{k:03d}") for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = langid.Params(rounds=3, dims=256)
+    got = langid.language(docs, p).collect()
+    assert len(got) == 420 and len({r["lang_pred"] for r in got}) > 150
+    few = langid.language(docs, langid.Params(rounds=3, dims=256, max_languages=5)).collect()
+    assert len({r["lang_pred"] for r in few}) <= 5
