@@ -39,9 +39,15 @@ def user_features(enriched: DataFrame, digits: int | None = None) -> DataFrame:
     return g.dropna(subset=["avg_score", "avg_sentiment", "avg_length"])
 
 
-def outlier_filter(features: DataFrame, col: str = "review_count", q: float = 0.99) -> DataFrame:
+def outlier_filter(features: DataFrame, col: str = "review_count", q: float = 0.99, stored: bool = False) -> DataFrame:
     """Keep rows with ``col`` at or below its ``q`` quantile (linear
-    interpolation; the threshold is a scalar subquery, not a driver value)."""
+    interpolation; the threshold is a scalar subquery, not a driver value).
+    The quantile and the rows both read the features: they are stored first,
+    so that the aggregation behind them runs once, unless they are
+    ``stored`` already."""
+    from reviewlake.plans.materialize import materialize
+
+    features = features if stored else materialize(features, "user-features")
     thr = features.agg(F.percentile(F.col(col), F.lit(q))).scalar()
     return features.filter(F.col(col) <= thr)
 
@@ -110,7 +116,7 @@ def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
 
     base = materialize(features.select("user_name", *FEATURES), "user-features")
     if outlier_q is not None:
-        base = outlier_filter(base, q=outlier_q)
+        base = outlier_filter(base, q=outlier_q, stored=True)
     points = materialize(base.select("*", *[F.floor(F.col(c) * UNIT + 0.5).cast("bigint").alias(u) for c, u in zip(FEATURES, _UNITS)]), "user-points")
     n, moments = _moments(points)
     if not n:

@@ -1,7 +1,7 @@
 """Pipeline run log: row building, anomaly flags, alerts, dashboard view.
 
-Runs are numbered hour by hour: a window inside each hour, on top of a
-running sum over one row for each hour, so no task sees the whole log.
+Runs are windowed hour by hour, on top of a window over one row for each
+hour, so no task sees the whole log.
 ``reviews`` is reduced to one field-check row (a global aggregate) before
 it meets the log.
 """
@@ -27,25 +27,35 @@ def previous_success_rows(runs: DataFrame, offset: int = 1, ts: str = "timestamp
     strictly before each run (offset=1 is the second latest, as the loader's
     ``LIMIT 1 OFFSET 1`` query returns before the current run is logged).
 
-    Successes before an hour are counted over one row for each hour, those
-    within it by a window on the hour; each run then equi-joins to the
-    success that it needs.  Rows without a timestamp come first.
+    The log is windowed once, inside each hour: the last success before a run
+    there carries the one ``offset`` before it.  What an hour takes over from
+    earlier ones, their last ``offset`` + 1 successes, comes from one row for
+    each hour.  Rows without a timestamp come first.
     """
+    need = offset + 1
     cols = [F.col(ts)] + ([F.col(tie)] if tie and tie in runs.columns else [])
     keys = [by] if by else []
     succ = F.col("status") == "SUCCESS"
+    value = F.struct(F.col("rows_loaded").alias("v"))
     timed = runs.withColumn("_hour", F.coalesce(F.date_trunc("hour", ts).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")))
-    hours = timed.groupBy(*keys, "_hour").agg(F.count_if(succ).alias("_in_hour"))
+    # The last successes of each hour, then of all hours up to it: ``need`` hours with one hold that many.
+    last = lambda rows: F.slice(rows, F.greatest(F.size(rows) - (need - 1), F.lit(1)), need)
+    hours = timed.groupBy(*keys, "_hour").agg(F.sort_array(F.collect_list(F.when(succ, F.struct(*cols, value.alias("s"))))).alias("_all"))
+    hours = hours.withColumn("_own", last(F.transform("_all", lambda x: x["s"]))).drop("_all")
+    some = F.size("_own") > 0
+    in_order = Window.partitionBy(*keys, some).orderBy("_hour").rowsBetween(-(need - 1), 0)
+    hours = hours.withColumn("_upto", F.when(some, last(F.flatten(F.collect_list("_own").over(in_order)))))
     before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     hours = hours.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_hour").alias("_at"),
-                         F.coalesce(F.sum("_in_hour").over(before), F.lit(0)).alias("_before"))
+                         F.last("_upto", ignorenulls=True).over(before).alias("_before"))
     same = [F.col("_hour") == F.col("_at")] + [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    w = Window.partitionBy(*keys, "_hour").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
-    r = timed.join(hours, same).withColumn("_prev_succ", F.col("_before") + F.count(F.when(succ, 1)).over(w))
-    s = r.filter(succ).select(*[F.col(k).alias(f"_s_{k}") for k in keys], (F.col("_prev_succ") + 1).alias("_succ_no"),
-                              F.col("rows_loaded").alias("prev_rows"))
-    cond = [F.col("_prev_succ") - offset == F.col("_succ_no")] + [F.col(k) == F.col(f"_s_{k}") for k in keys]
-    return r.join(s, cond, "left").select(*runs.columns, "prev_rows")
+    order = Window.partitionBy(*keys, "_hour", succ).orderBy(*cols)
+    so_far = Window.partitionBy(*keys, "_hour").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    inside = timed.repartition(*keys, "_hour").withColumn("_lag", F.when(succ, F.struct((F.lag(value, offset).over(order) if offset else value).alias("p"))))
+    inside = inside.withColumn("_here", F.last("_lag", ignorenulls=True).over(so_far)["p"]).withColumn("_n", F.count(F.when(succ, 1)).over(so_far).cast("int"))
+    r = inside.join(hours, same, "left")
+    earlier = F.try_element_at("_before", F.col("_n") - need)  # counted from the end
+    return r.withColumn("prev_rows", F.when(F.col("_n") >= need, F.col("_here")["v"]).otherwise(earlier["v"])).select(*runs.columns, "prev_rows")
 
 
 def run_anomaly_flag(runs_with_prev: DataFrame, ratio: float = RATIO, offset: int = 1) -> DataFrame:

@@ -23,7 +23,7 @@ from reviewlake.sources import reference_data as ref
 from reviewlake.plans.broadcast import bounded_broadcast
 
 
-def _unique_words(lexicon: DataFrame) -> DataFrame:
+def unique_words(lexicon: DataFrame) -> DataFrame:
     # One row per word, or the join would multiply valences: of a word listed
     # more than once the greatest valence counts.
     return lexicon.groupBy("word").agg(F.max("valence").alias("valence"))
@@ -51,7 +51,7 @@ def lexicon_hits(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] =
     """(key, pos, token, valence) for every token found in the lexicon."""
     keys = [key] if isinstance(key, str) else key
     toks = text.explode_items(reviews, text.lexicon_tokens("content"), "token", keep=keys, with_pos=True)
-    lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
+    lex = bounded_broadcast(unique_words(lexicon), "lexicon")
     return toks.join(lex, toks.token == lex.word).select(*keys, "pos", "token", "valence")
 
 
@@ -68,7 +68,7 @@ def valence_sums(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] =
     toks = text.explode_items(reviews, tokens, "token", keep=keys)
     row_mark = lexicon.sparkSession.createDataFrame([("", 0)], "word string, units long")
     units = F.round(F.col("valence").cast("decimal(12,4)") * 10_000).cast("bigint").alias("units")
-    lex = bounded_broadcast(_unique_words(lexicon.filter("word <> ''")).select("word", units).unionByName(row_mark), "lexicon")
+    lex = bounded_broadcast(unique_words(lexicon.filter("word <> ''")).select("word", units).unionByName(row_mark), "lexicon")
     sums = toks.join(lex, toks.token == lex.word).groupBy(*keys).agg(F.sum("units").alias("s"), F.count_if(F.col("token") == "").alias("n"))
     return sums.select(*keys, (F.expr("s div n") / F.lit(10_000.0)).alias("valence_sum"))
 
@@ -125,7 +125,7 @@ def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: l
     toks = text.explode_items(reviews, F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0), "raw",
                               keep=keys, with_pos=True)
     toks = toks.withColumn("token", F.lower("raw"))
-    lex = bounded_broadcast(_unique_words(lexicon), "lexicon")
+    lex = bounded_broadcast(unique_words(lexicon), "lexicon")
     mods = bounded_broadcast(_unique_modifiers(modifiers), "modifiers")
     tagged = (toks.join(lex, toks.token == lex.word, "left")
                   .join(mods, toks.token == mods.mword, "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from reviewlake.functions import text
 from reviewlake.operators.quality import band_column
-from reviewlake.operators.sentiment import compound
+from reviewlake.operators.sentiment import compound, unique_words
 from reviewlake.plans.broadcast import bounded_broadcast
 
 
@@ -71,8 +71,12 @@ def vocabulary_union(freq: DataFrame, k: int = 200) -> DataFrame:
 
 
 def word_valence_lookup(words: DataFrame, lexicon: DataFrame, default: float = 0.0) -> DataFrame:
-    """word -> single-word compound sentiment; words outside the lexicon get ``default``."""
-    lex = bounded_broadcast(lexicon.select(F.col("word").alias("_w"), "valence"), "lexicon")
+    """word -> single-word compound sentiment; words outside the lexicon get ``default``.
+
+    Of a word that the lexicon lists more than once the greatest valence
+    counts, as in the scoring of texts: each row of ``words`` stays one.
+    """
+    lex = bounded_broadcast(unique_words(lexicon).select(F.col("word").alias("_w"), "valence"), "lexicon")
     j = words.join(lex, words["word"] == lex["_w"], "left")
     return j.select(words["*"], F.coalesce(compound(F.col("valence")), F.lit(default)).alias("sentiment"))
 

@@ -88,11 +88,11 @@ def seed_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated lexicon file: word, mean valence, [std, ratings...]."""
+    """Tab-separated lexicon file: word, mean valence, [std, ratings...]; of a word's several valences the greatest."""
     raw = spark.read.option("sep", "\t").option("quote", "\u0000").csv(path)
     return (raw.select(F.col("_c0").alias("word"), F.col("_c1").cast("double").alias("valence"))
                .filter(F.col("word").isNotNull() & F.col("valence").isNotNull())
-               .dropDuplicates(["word"]))
+               .groupBy("word").agg(F.max("valence").alias("valence")))
 
 
 def base_stopwords(language: str = "english") -> list[str]:
