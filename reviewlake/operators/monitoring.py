@@ -16,6 +16,7 @@ from reviewlake import schemas
 from reviewlake.functions.stats import exact_mean, round_div
 from reviewlake.functions.text import truncate_with_suffix
 from reviewlake.operators.quality import field_check
+from reviewlake.operators.stats import describe
 
 ERROR_LIMIT = 800
 RATIO = 0.2
@@ -149,6 +150,11 @@ def duration_trend(view: DataFrame, digits: int = 6) -> DataFrame:
     return view.groupBy("run_date").agg(exact_mean("duration_sec", 2, digits).alias("avg_duration_sec"))
 
 
+def duration_describe(runs: DataFrame, by: str | None = "task_name", digits: int = 6) -> DataFrame:
+    """Count, mean, deviation, quartiles and range of the runs' seconds per task; durations may have any fraction."""
+    return describe(runs, "duration_sec", by, digits, unbounded=True)
+
+
 def rows_loaded_trend(view: DataFrame) -> DataFrame:
     return view.groupBy("run_date").agg(F.sum("rows_loaded").cast("bigint").alias("total_rows_loaded"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from reviewlake.functions.stats import exact_mean, round_div
 from reviewlake.functions.text import is_blank
 from reviewlake.operators import stats
+from reviewlake.operators.quantiles import exact_quantiles
 
 
 def preview(df: DataFrame, n: int = 5, order_by: str = "review_id") -> DataFrame:
@@ -81,18 +82,17 @@ def complete_rows(enriched: DataFrame, value: str = "sentiment") -> DataFrame:
 
 
 def word_count_describe(features: DataFrame) -> DataFrame:
-    return stats.describe(features, "word_count", scale=0)
+    """Words of a review: texts have no longest length, so quartiles come with bounded state."""
+    return stats.describe(features, "word_count", scale=0, unbounded=True)
 
 
 def length_by_rating(features: DataFrame, digits: int = 6) -> DataFrame:
     """mean, median, std of word count per (non-null) score."""
-    wc = F.col("word_count").cast("double")
-    return (features.filter(F.col("score").isNotNull())
-                    .groupBy("score")
-                    .agg(exact_mean("word_count", 0, digits).alias("mean"),
-                         F.round(F.median(wc), digits).alias("median"),
-                         F.round(F.stddev_samp(wc), digits).alias("std"))
-                    .orderBy("score"))
+    rated = features.filter(F.col("score").isNotNull())
+    sums = rated.groupBy("score").agg(exact_mean("word_count", 0, digits).alias("mean"),
+                                      F.round(F.stddev_samp(F.col("word_count").cast("double")), digits).alias("std"))
+    median = exact_quantiles(rated, "word_count", [0.5], "score").select("score", F.round(F.col("q")[0], digits).alias("median"))
+    return sums.join(median, "score", "left").select("score", "mean", "median", "std").orderBy("score")
 
 
 def field_check(reviews: DataFrame, task_name: str = "review_update") -> DataFrame:

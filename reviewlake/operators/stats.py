@@ -4,7 +4,9 @@ Exact percentiles (``percentile``, linear interpolation like the pandas /
 numpy default) keep a value->count map per group.  They are applied to
 discrete, bounded domains only (word counts, scores, 4-decimal sentiment,
 day gaps), so the map is bounded by the value domain, not the row count.
-``approx=True`` switches to ``percentile_approx`` for unbounded domains.
+Domains without a bound get exact quartiles from sketches and counts
+(``unbounded=True``, operators.quantiles); ``approx=True`` takes
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlake.functions.stats import exact_mean, round_decimal, round_div, safe_corr
+from reviewlake.operators.quantiles import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -26,9 +29,13 @@ def _pct(c: Column, qs, approx: bool = False) -> Column:
 
 
 def describe(df: DataFrame, col: str, by: str | list | None = None, digits: int | None = 6,
-             approx: bool = False, scale: int | None = None) -> DataFrame:
+             approx: bool = False, scale: int | None = None, unbounded: bool = False) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 %, max of ``col`` [per ``by``].
 
+    ``unbounded`` takes exact quartiles by sketches and counts
+    (operators.quantiles), whose state does not grow with the different
+    values; ``by`` is then one column at most.
+
     ``scale`` = decimals that all values carry (0 for counts, 4 for
     sentiment): the mean is then exact and quartiles are rounded in DECIMAL.
     Without it values may have any fraction: plain mean and quartiles,
@@ -40,9 +47,12 @@ def describe(df: DataFrame, col: str, by: str | list | None = None, digits: int
     aggs = [F.count(c).alias("count"), mean.alias("mean"),
             F.round(F.stddev_samp(c), digits).alias("std") if digits is not None else F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"),
-            _pct(c, QUARTILES, approx).alias("_q"), F.max(c).alias("max")]
+            F.max(c).alias("max")] + ([] if unbounded else [_pct(c, QUARTILES, approx).alias("_q")])
     keys = [by] if isinstance(by, str) else list(by or [])
     g = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    if unbounded:
+        q = exact_quantiles(df, col, QUARTILES, *keys).select(*[F.col(k).alias("_g") for k in keys], F.col("q").alias("_q"))
+        g = g.join(q, F.col(keys[0]).eqNullSafe(F.col("_g")), "left") if keys else g.join(q, how="cross")  # one row each
     return g.select(*keys, "count", "mean", "std", "min",
                     r(F.col("_q")[0]).alias("p25"), r(F.col("_q")[1]).alias("p50"),
                     r(F.col("_q")[2]).alias("p75"), "max")

@@ -133,6 +133,14 @@ def _duration_trend(I):
     return M.duration_trend(_view(I))
 
 
+@register("duration_describe", W(["runs"], """
+SELECT task_name, count(duration_sec) AS count, round(avg(duration_sec), 6) AS mean, round(stddev_samp(duration_sec), 6) AS std, min(duration_sec) AS min,
+  round(quantile_cont(duration_sec, 0.25), 6) AS p25, round(quantile_cont(duration_sec, 0.5), 6) AS p50, round(quantile_cont(duration_sec, 0.75), 6) AS p75,
+  max(duration_sec) AS max FROM runs GROUP BY task_name"""))
+def _duration_describe(I):
+    return M.duration_describe(I.runs)
+
+
 @register("rows_loaded_trend", W(["runs", "reviews"], VIEW + """
 SELECT run_date, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded FROM vw GROUP BY run_date"""))
 def _rows_loaded_trend(I):
