@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reviewlake.functions import text
+from reviewlake.operators.heavy import frequent
 from reviewlake.operators.quality import band_column
 from reviewlake.operators.sentiment import compound, unique_words
 from reviewlake.plans.broadcast import bounded_broadcast
@@ -52,6 +53,21 @@ def top_words(freq: DataFrame, k: int = 200, by: str = "band") -> DataFrame:
     return freq.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def frequent_words(features: DataFrame, stopwords: DataFrame, k: int = 200, min_len: int = 3, high: int = 4, low: int = 2) -> DataFrame:
+    """(band, word, count) of words that hold the top ``k`` of each band, for ``top_words`` and what builds on it.
+
+    The counts are exact; other words may be among them or not.  Unlike
+    ``word_freq_filtered`` it shuffles no count of every word.
+    """
+    words = stopword_anti(_band_words(features, min_len, high, low), stopwords)
+
+    def count(some: DataFrame | None) -> DataFrame:
+        rows = words if some is None else words.join(some, ["band", "word"], "left_semi")
+        return rows.groupBy("band", "word").agg(F.count(F.lit(1)).alias("count"))
+
+    return frequent(words, "band", "word", k, count)
+
+
 def word_freq_comparison(freq: DataFrame, k: int = 20) -> DataFrame:
     """Side-by-side ranks: rank, pos_word, pos_count, neg_word, neg_count."""
     top = top_words(freq, k)
@@ -102,8 +118,8 @@ def _ngram_band_rows(reviews: DataFrame, stopwords: list[str], n_range, high: in
 
 
 def ngram_counts(reviews: DataFrame, stopwords: list[str], n_range=(2, 3), high: int = 4,
-                 low: int = 2) -> DataFrame:
-    """(band, ngram, count, doc_freq): occurrences and number of reviews.
+                 low: int = 2, some: DataFrame | None = None) -> DataFrame:
+    """(band, ngram, count, doc_freq): occurrences and number of reviews, of all n-grams or ``some`` (band, ngram).
 
     Document frequency comes from exploding the per-review distinct grams
     next to the full list, so one partial+final aggregation computes both
@@ -115,9 +131,10 @@ def ngram_counts(reviews: DataFrame, stopwords: list[str], n_range=(2, 3), high:
     # one partial+final aggregation.
     tag = lambda o, d: (lambda g: F.struct(g.alias("ngram"), F.lit(o).alias("o"), F.lit(d).alias("d")))
     items = F.concat(F.transform("grams", tag(1, 0)), F.transform(F.array_distinct("grams"), tag(0, 1)))
-    it = text.explode_items(rows, items, "it", keep=["band"])
-    return it.groupBy("band", F.col("it.ngram").alias("ngram")).agg(
-        F.sum("it.o").cast("bigint").alias("count"), F.sum("it.d").cast("bigint").alias("doc_freq"))
+    it = text.explode_items(rows, items, "it", keep=["band"]).select("band", "it.ngram", "it.o", "it.d")
+    if some is not None:
+        it = it.join(some, ["band", "ngram"], "left_semi")
+    return it.groupBy("band", "ngram").agg(F.sum("o").cast("bigint").alias("count"), F.sum("d").cast("bigint").alias("doc_freq"))
 
 
 def band_sizes(reviews: DataFrame, high: int = 4, low: int = 2) -> DataFrame:
@@ -130,13 +147,20 @@ def top_ngrams(reviews: DataFrame, stopwords: list[str], n_range=(2, 3), k: int
                min_df: int | None = None, high: int = 4, low: int = 2) -> DataFrame:
     """Top ``k`` n-grams per band by total count among n-grams present in at
     least ``min_df`` reviews (default: 10 if the band has >= 200 reviews,
-    else 2)."""
-    counts = ngram_counts(reviews, stopwords, n_range, high, low)
+    else 2).
+
+    Only candidates of a frequent-items sketch are counted
+    (operators.heavy), so what is shuffled does not follow the number of
+    different n-grams.
+    """
     sizes = band_sizes(reviews, high, low)
     thr = F.lit(min_df) if min_df is not None else \
         F.when(F.col("band_reviews") >= 200, F.lit(10)).otherwise(F.lit(2))
     # ``sizes`` has one row per band (two rows): a bounded broadcast side.
-    kept = counts.join(F.broadcast(sizes), "band").filter(F.col("doc_freq") >= thr)
+    enough = lambda counts: counts.join(F.broadcast(sizes), "band").filter(F.col("doc_freq") >= thr)
+    grams = text.explode_items(_ngram_band_rows(reviews, stopwords, n_range, high, low), F.col("grams"), "ngram", keep=["band"])
+    counts = frequent(grams, "band", "ngram", k, lambda some: ngram_counts(reviews, stopwords, n_range, high, low, some), enough, tracked=100_000)
+    kept = enough(counts)
     w = Window.partitionBy("band").orderBy(F.desc("count"), F.asc("ngram"))
     return (kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
                 .select("band", "rank", "ngram", "count"))

@@ -47,7 +47,7 @@ def _stopword_anti(I):
 
 @register("top_words", W(["tf", "stopwords"], FILTERED + "SELECT band, word, count, rank FROM tw WHERE rank <= 200"))
 def _top_words(I):
-    return WD.top_words(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+    return WD.top_words(WD.frequent_words(I.text_features, I.stopwords, 200), 200)
 
 
 @register("word_freq_comparison", W(["tf", "stopwords"], FILTERED + """
@@ -56,12 +56,12 @@ SELECT coalesce(p.rank, n.rank) AS rank, p.word AS pos_word, p.count AS pos_coun
 FROM (SELECT * FROM tw WHERE band = 'high' AND rank <= 20) p
 FULL OUTER JOIN (SELECT * FROM tw WHERE band = 'low' AND rank <= 20) n ON p.rank = n.rank"""))
 def _word_freq_comparison(I):
-    return WD.word_freq_comparison(WD.word_freq_filtered(I.text_features, I.stopwords), 20)
+    return WD.word_freq_comparison(WD.frequent_words(I.text_features, I.stopwords, 20), 20)
 
 
 @register("vocabulary_union", W(["tf", "stopwords", "lexicon"], VOCAB + "SELECT word FROM vocab"))
 def _vocabulary_union(I):
-    return WD.vocabulary_union(WD.word_freq_filtered(I.text_features, I.stopwords), 200)
+    return WD.vocabulary_union(WD.frequent_words(I.text_features, I.stopwords, 200), 200)
 
 
 @register("word_valence_lookup", W(["tf", "stopwords", "lexicon"], VOCAB + "SELECT word, sentiment FROM wv"))
