@@ -242,13 +242,35 @@ def stratified_sample(df: DataFrame, by: str, key: str, n: int, seed: int = 1) -
     before each exchange (window group limit), and the second step sees at
     most ``n`` rows per salt of a stratum, however many partitions it has.
     """
-    h = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
-    salt = F.pmod(F.xxhash64(key), F.lit(64))
+    return _first_of_each(df, by, key, [_seeded_hash(key, seed), F.col(key)], n)
+
+
+def _seeded_hash(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
+
+
+def _first_of_each(df: DataFrame, by: str, key: str, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of each group, by a salt of the group first: no task sorts a whole hot group."""
     def top(rows, *groups):
-        w = Window.partitionBy(by, *groups).orderBy(h, F.col(key))
+        w = Window.partitionBy(by, *groups).orderBy(*order)
         return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
-    return top(top(df.withColumn("_salt", salt), "_salt")).drop("_salt")
+    return top(top(df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(64))), "_salt")).drop("_salt")
+
+
+def weighted_sample(df: DataFrame, by: str, key: str, weight: str, n: int, seed: int = 1) -> DataFrame:
+    """Up to ``n`` rows per ``by`` group, drawn one after another without replacement in proportion to their weights.
+
+    Each row gets an exponential waiting time, -ln(u) / weight, with u from
+    52 bits of the seeded hash of its key, and the ``n`` shortest times of a
+    group win: that is the same as drawing in turn.  Repeatable, one pass,
+    and rows that share a key share u.  Rows with a null, zero, negative or
+    NaN weight are never drawn.
+    """
+    u = (F.conv(F.substring(_seeded_hash(key, seed), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    w = F.col(weight).cast("double")
+    rows = df.filter((w > 0) & ~F.isnan(w)).withColumn("_wait", -F.log(u) / w)
+    return _first_of_each(rows, by, key, [F.col("_wait"), F.col(key)], n).drop("_wait")
 
 
 def length_weights(features: DataFrame, by: str = "score", value: str = "word_count",

@@ -148,6 +148,19 @@ def _stratified_sample(I):
     return S.stratified_sample(I.reviews, "score", "review_id", 500, seed=7).select("review_id", "score")
 
 
+@register("weighted_sample", W(["tf"], """
+, m AS (SELECT score AS s, sum(word_count) AS total, count(word_count) AS n FROM tf WHERE score IS NOT NULL GROUP BY score)
+, wt AS (SELECT review_id, score, round(CAST(word_count AS DOUBLE) / (CAST(m.total AS DOUBLE) / CAST(m.n AS DOUBLE)), 6) AS weight
+  FROM tf LEFT JOIN m ON m.s = tf.score)
+SELECT review_id, score, weight FROM (SELECT *, row_number() OVER (PARTITION BY score ORDER BY
+    -ln((CAST(CAST('0x' || substr(md5('3' || review_id), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0) / weight, review_id) AS rn
+  FROM wt WHERE weight > 0) WHERE rn <= 500"""))
+def _weighted_sample(I):
+    """Longer reviews are drawn more often, in proportion to their length within the score."""
+    weighted = S.length_weights(I.text_features)
+    return S.weighted_sample(weighted, "score", "review_id", "weight", 500, seed=3).select("review_id", "score", "weight")
+
+
 @register("length_weights", W(["tf"], """
 SELECT review_id, score, word_count, round(CAST(word_count AS DOUBLE) / (CAST(m.total AS DOUBLE) / CAST(m.n AS DOUBLE)), 6) AS weight
 FROM tf LEFT JOIN (SELECT score AS s, sum(word_count) AS total, count(word_count) AS n

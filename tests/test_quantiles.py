@@ -49,3 +49,15 @@ def test_state_is_bounded(spark, monkeypatch):
     q = Q.exact_quantiles(df, "x", [0.5], "g", distinct=500).collect()[0]["q"][0]
     x = np.array([r["x"] for r in df.collect()])
     assert q == pytest.approx(np.quantile(x, 0.5), abs=1e-15) and seen.count("quantile-state") > 1
+
+
+def test_weighted_samples_draw_in_proportion(spark):
+    from reviewlake.operators import stats as S
+    rows = [(k, "g", [1.0, 3.0, 0.0, None, -1.0][k % 5]) for k in range(5000)] + [(9000 + k, "h", 1.0) for k in range(3)]
+    df = spark.createDataFrame(rows, "id long, g string, w double").repartition(5)
+    got = [S.weighted_sample(df, "g", "id", "w", 200, seed=s).collect() for s in range(8)]
+    light = sum(r["w"] == 1.0 and r["g"] == "g" for x in got for r in x)
+    assert all(sorted(r["g"] for r in x).count("g") == 200 and sum(r["g"] == "h" for r in x) == 3 for x in got)
+    assert 0.19 < light / 1600 < 0.33  # a quarter, a little more as heavy rows run out
+    assert {r["w"] for x in got for r in x} == {1.0, 3.0}
+    assert sorted(r["id"] for r in got[0]) == sorted(r["id"] for r in S.weighted_sample(df.repartition(2), "g", "id", "w", 200, seed=0).collect())
