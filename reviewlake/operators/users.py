@@ -123,6 +123,7 @@ def user_change_histograms(changes: DataFrame, bins: int = 30, max_gap: int = 36
     return stats.histogram_by(long, "metric", "x", bins)
 
 
-def user_change_density(changes: DataFrame, grid: int = 200) -> DataFrame:
+def user_change_density(changes: DataFrame, grid: int = 200, binned: bool = False) -> DataFrame:
+    """Kernel densities of the three deltas; ``binned`` sums over a fine lattice in place of every different value."""
     long = stats.to_long(changes, DELTAS[:3])
-    return stats.kde_by(long, "metric", "x", grid)
+    return (stats.kde_binned_by if binned else stats.kde_by)(long, "metric", "x", grid)

@@ -156,3 +156,19 @@ FROM kp GROUP BY metric, i, n, h, gx"""
 """ + kde_by_sql("lg", 200)))
 def _user_change_density(I):
     return U.user_change_density(U.user_change(I.enriched))
+
+
+@register("user_change_density_binned", W(["E", "active"], UC + """
+, lg AS (SELECT 'sent_delta' AS metric, CAST(sent_delta AS DOUBLE) AS x FROM uc
+  UNION ALL SELECT 'score_delta', CAST(score_delta AS DOUBLE) FROM uc
+  UNION ALL SELECT 'len_delta', CAST(len_delta AS DOUBLE) FROM uc)
+, st0 AS (SELECT metric, count(x) AS n, stddev_samp(x) * pow(CAST(count(x) AS DOUBLE), -0.2) AS h, min(x) AS mn, max(x) AS mx FROM lg WHERE x IS NOT NULL GROUP BY metric)
+, st1 AS (SELECT metric, n, h, mn - 3.0 * h AS g0, mx + 3.0 * h AS g1 FROM st0 WHERE h > 0)
+, st AS (SELECT *, (g1 - g0) / least(ceil((g1 - g0) * 32 / h), 1048576.0) AS d FROM st1)
+, pl AS (SELECT lg.metric, floor((x - g0) / d) AS b, (x - g0) / d - floor((x - g0) / d) AS s FROM lg JOIN st ON st.metric = lg.metric WHERE x IS NOT NULL)
+, la AS (SELECT metric, c, sum(m) AS m FROM (SELECT metric, b AS c, 1 - s AS m FROM pl UNION ALL SELECT metric, b + 1, s FROM pl) GROUP BY metric, c)
+SELECT la.metric, CAST(i.range AS INTEGER) AS grid_index, round(g0 + i.range * ((g1 - g0) / 199.0), 9) AS x,
+  round(sum(m * exp(-0.5 * pow((g0 + i.range * ((g1 - g0) / 199.0) - (g0 + c * d)) / h, 2))) / (n * h * sqrt(2 * pi())), 9) AS density
+FROM la JOIN st ON st.metric = la.metric, range(200) i GROUP BY la.metric, i.range, g0, g1, n, h"""))
+def _user_change_density_binned(I):
+    return U.user_change_density(U.user_change(I.enriched), binned=True)

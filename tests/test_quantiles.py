@@ -61,3 +61,23 @@ def test_weighted_samples_draw_in_proportion(spark):
     assert 0.19 < light / 1600 < 0.33  # a quarter, a little more as heavy rows run out
     assert {r["w"] for x in got for r in x} == {1.0, 3.0}
     assert sorted(r["id"] for r in got[0]) == sorted(r["id"] for r in S.weighted_sample(df.repartition(2), "g", "id", "w", 200, seed=0).collect())
+
+
+def test_binned_density_keeps_its_error_bound(spark):
+    import math
+
+    from reviewlake.operators import stats as S
+    rng = np.random.default_rng(3)
+    rows = [("a", v) for v in rng.normal(size=800)] + [("b", v) for v in rng.standard_cauchy(400)] + [("c", 1.0), ("c", 1.0), (None, 2.0), (None, 3.0)]
+    df = spark.createDataFrame([(k, float(v)) for k, v in rows], "metric string, x double").repartition(4)
+    exact = {(r["metric"], r["grid_index"]): r["density"] for r in S.kde_by(df.filter("metric IN ('a', 'b')"), "metric", "x", digits=15).collect()}
+    got = {(r["metric"], r["grid_index"]): r["density"] for r in S.kde_binned_by(df, "metric", "x", digits=15).collect()}
+    assert {k for k, _ in got} == {"a", "b", None} and set(exact) < set(got)
+    for k in "ab":
+        x = np.array([v for m, v in rows if m == k])
+        h = x.std(ddof=1) * len(x) ** -0.2
+        span = x.max() - x.min() + 6 * h
+        d = span / min(math.ceil(span * 32 / h), 1 << 20)
+        bound = d * d / (8 * h ** 3 * math.sqrt(2 * math.pi))
+        off = max(abs(exact[k, i] - got[k, i]) for i in range(200))
+        assert 0 < off <= bound
