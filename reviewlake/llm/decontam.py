@@ -131,10 +131,20 @@ def frequencies(texts: DataFrame, items: Items, p: Params) -> tuple[np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = np.zeros(size, np.int64), 0
         for batch in batches:
-            for a in term_arrays(batch, items):
-                total += -(-len(a) // p.passage)
+            part, key, held = [], [], 0
+            for k, a in enumerate(arrays := term_arrays(batch, items)):
                 known = np.flatnonzero(a)
-                counts += np.bincount(np.unique(known // p.passage * size + a[known]) % size, minlength=size)
+                part.append(a[known])
+                key.append(known // p.passage + total)
+                total += -(-len(a) // p.passage)
+                held += len(known)
+                if held and (held > BLOCK or k == len(arrays) - 1):  # bounded memory
+                    a, passage = np.concatenate(part), np.concatenate(key)
+                    # Sorted by term, a term's places in one passage are neighbours.
+                    order = np.argsort(a.astype(np.uint16) if size < 1 << 16 else a, kind="stable")  # 16 bits sort by radix
+                    a, passage = a[order], passage[order]
+                    counts += np.bincount(a[np.concatenate([[True], (a[1:] != a[:-1]) | (passage[1:] != passage[:-1])])], minlength=size)
+                    part, key, held = [], [], 0
         counts[0] = total
         kept = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int32)), pa.array(counts[kept])], ["term", "n"])
@@ -146,9 +156,14 @@ def frequencies(texts: DataFrame, items: Items, p: Params) -> tuple[np.ndarray,
     return out, total
 
 
+def summed(columns: np.ndarray, index: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each row of ``columns`` the sums of its values at ``index`` in the segments from ``starts`` on: one row at a time, which stays in the cache."""
+    return np.stack([np.add.reduceat(c.take(index), starts) for c in columns])
+
+
 def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarray, p: Params) -> np.ndarray:
     """A'A g for the matrix A of all passages, each of length one: every task adds up its own rows."""
-    weighted, columns = (g * weight[:, None]).astype(np.float32), g.shape[1]
+    weighted, columns = np.ascontiguousarray((g * weight[:, None]).T.astype(np.float32)), g.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(g.shape)
@@ -167,13 +182,12 @@ def gram_product(texts: DataFrame, items: Items, weight: np.ndarray, g: np.ndarr
                 for at in range(0, size, 1 << 18):
                     a, passage = np.concatenate(part)[at:at + (1 << 18)], np.concatenate(key)[at:at + (1 << 18)]
                     starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-                    rows = np.add.reduceat(weighted[a], starts)
-                    rows /= np.add.reduceat(weight[a] ** 2, starts).astype(np.float32)[:, None]
+                    rows = summed(weighted, a, starts) / np.add.reduceat(weight[a] ** 2, starts).astype(np.float32)
                     owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(a))))
                     order = np.argsort(a.astype(np.uint16) if len(weight) < 1 << 16 else a, kind="stable")  # 16 bits sort by radix
                     sorted_a = a[order]
                     first = np.flatnonzero(np.concatenate([[True], sorted_a[1:] != sorted_a[:-1]]))
-                    out[sorted_a[first]] += np.add.reduceat(rows[owner[order]], first) * weight[sorted_a[first]].astype(np.float32)[:, None]
+                    out[sorted_a[first]] += (summed(rows, owner[order], first) * weight[sorted_a[first]].astype(np.float32)).T
         kept = np.flatnonzero(out.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int32)), *(pa.array(out[kept, c]) for c in range(columns))], ["term", *(f"c{c}" for c in range(columns))])
 
@@ -273,6 +287,7 @@ class Grams:
 def searcher(items: Items, space: np.ndarray, p: Params):
     """A function from texts' terms to their matches: item -> (share, cosine, answer) of the best window."""
     space = space / max(float(np.linalg.norm(space, axis=1).max()), 1e-30)  # bounds below are relative to the longest word
+    dimensions = np.ascontiguousarray(space.T)
     vectors = np.stack([space[w].sum(0) for w in items.words])
     norms = np.linalg.norm(vectors, axis=1)
     length = np.array([len(w) for w in items.words])
@@ -311,23 +326,31 @@ def searcher(items: Items, space: np.ndarray, p: Params):
     def confirm(a: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray, cosine: np.ndarray | None, texts: list[int], found: list[dict]) -> None:
         order = np.argsort(item, kind="stable")  # neighbours read the same masks
         item, start, stop = item[order], start[order], stop[order]
-        width = int((stop - start).max())
-        part = np.lib.stride_tricks.sliding_window_view(np.pad(a, (0, width)), width)[start]
-        part[np.arange(width) >= (stop - start)[:, None]] = 0
-        share = np.zeros(len(item))
+        size, share, kept = stop - start, np.zeros(len(item)), [np.flatnonzero(length[item] > 64)]
         for some in np.unique(item // together):
             small = np.flatnonzero((item // together == some) & (length[item] <= 64))
             if not len(small):
                 continue
             # Places of the item whose word is there at all bound the subsequence from above.
-            masks = masks_of(int(some))
-            flat, base = masks.ravel(), (item[small] - some * together) * columns
-            there = np.zeros(len(small), np.uint64)
-            for column in np.ascontiguousarray(part[small].T):
-                there |= flat[base + column]
-            small = small[np.bitwise_count(there) >= p.partial * length[item[small]]]
+            flat, base = masks_of(int(some)).ravel(), (item[small] - some * together) * columns
+            at, many, there = start[small], size[small], np.zeros(len(small), np.uint64)
+            shortest = int(many.min())
+            for k in range(int(many.max())):
+                terms = a.take(at + k, mode="clip")
+                there |= flat[base + (terms if k < shortest else terms * (many > k))]
+            kept.append(small[np.bitwise_count(there) >= p.partial * length[item[small]]])
+        kept = np.sort(np.concatenate(kept))
+        if not len(kept):
+            return
+        # The words of what is left, 0 behind each end.
+        item, start, size, order, share = item[kept], start[kept], size[kept], order[kept], share[kept]
+        width = int(size.max())
+        part = a.take(start[:, None] + np.arange(width), mode="clip")
+        part[np.arange(width) >= size[:, None]] = 0
+        for some in np.unique(item // together):
+            small = np.flatnonzero((item // together == some) & (length[item] <= 64))
             if len(small):
-                share[small] = common_subsequence(masks, item[small] - some * together, part[small]) / length[item[small]]
+                share[small] = common_subsequence(masks_of(int(some)), item[small] - some * together, part[small]) / length[item[small]]
         for k in np.flatnonzero(length[item] > 64):
             share[k] = long_subsequence(items.words[item[k]], part[k]) / length[item[k]]
         for k in np.flatnonzero(share >= p.partial):
@@ -382,7 +405,7 @@ def searcher(items: Items, space: np.ndarray, p: Params):
         runs = np.flatnonzero(np.concatenate([[True], step_of[1:] != step_of[:-1]])) if len(held) else held
         total = np.zeros((int(steps.sum()), space.shape[1]), np.float32)
         if len(held):
-            total[step_of[runs]] = np.add.reduceat(space[a[held]], runs)
+            total[step_of[runs]] = summed(dimensions, a[held], runs).T
         count = np.bincount(step_of, minlength=len(total))
         for level, w in enumerate(p.windows):
             own = next((g for size, g in groups if size == w), None)
