@@ -22,6 +22,10 @@ BLANK_RUN = f"[{WS}]+"
 NGRAM_TOKEN = r"[\p{L}\p{N}_]{2,}"
 # Lexicon tokens: letters/digits with inner apostrophes kept (don't).
 LEXICON_TOKEN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
+# Emoticons stand between blanks, are short, begin with a sign and have no two letters or digits side by side.
+BLANKS = r"[ \t\n\r\f\x0B]+"
+EMOTICON = r"^[^\p{L}\p{N}](?:[\p{L}\p{N}]?[^\p{L}\p{N}])*[\p{L}\p{N}]?$"
+EMOTICON_LENGTH = 8
 
 
 def _c(c) -> Column:
@@ -61,6 +65,14 @@ def lexicon_tokens(c) -> Column:
     return F.regexp_extract_all(F.lower(_c(c)), F.lit(LEXICON_TOKEN), 0)
 
 
+def rule_tokens(c) -> Column:
+    """Words as they are written, and emoticons, in the order of the text."""
+    def of(chunk: Column) -> Column:
+        sign = (F.length(chunk) <= EMOTICON_LENGTH) & chunk.rlike(EMOTICON)
+        return F.when(sign, F.array(chunk)).otherwise(F.regexp_extract_all(chunk, F.lit(LEXICON_TOKEN), 0))
+    return F.flatten(F.transform(F.split(_c(c), BLANKS, -1), of))
+
+
 def ngrams(tokens, n: int) -> Column:
     """All contiguous n-grams of an array column, joined by one blank."""
     toks = _c(tokens)

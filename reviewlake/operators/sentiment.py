@@ -102,7 +102,10 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
                          key: str = "review_id", out: str = "sentiment") -> DataFrame:
     """Compound score with the rule-based modifiers.
 
-    For every lexicon hit at position p the three preceding tokens are
+    Tokens are words and emoticons.  Entries of several words are found by
+    all their tokens (``phrase_hits``) and stand for them: what an entry
+    covers neither counts by itself nor changes anything.  For every hit at
+    position p, a phrase's first token, the three preceding tokens are
     inspected: a negation multiplies by -0.74; a booster adds its weight
     toward the valence's sign, scaled 1, 0.95, 0.9 by distance; an
     all-capitals hit in mixed-case text adds 0.733 toward its sign.  Hits
@@ -121,17 +124,42 @@ def with_sentiment_rules(reviews: DataFrame, lexicon: DataFrame, modifiers: Data
     return _row_by_row(reviews, key, lambda rows, keys: _rules(rows, lexicon, modifiers, keys, out))
 
 
+def phrase_hits(toks: DataFrame, phrases: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pos, words, valence, caps): where the tokens of a text are those of an entry of several words, one after another.
+
+    Every word of an entry meets the tokens equal to it; a place is a hit
+    if all words of the entry, each at its own distance, point to it.  Only
+    tokens that some entry has are grouped.  Of entries that begin at one
+    place the longest counts.
+    """
+    words = F.split("word", " +")
+    parts = phrases.select(F.col("word").alias("entry"), "valence", F.size(words).alias("words"), F.posexplode(words).alias("i", "part"))
+    parts = bounded_broadcast(parts, "phrases")
+    met = toks.join(parts, toks.token == parts.part).groupBy(*keys, (F.col("pos") - F.col("i")).alias("pos"), "entry", "words", "valence").agg(
+        F.size(F.collect_set("i")).alias("there"), F.bool_and("caps").alias("caps"))
+    best = met.filter(F.col("there") == F.col("words")).groupBy(*keys, "pos").agg(F.max(F.struct("words", "valence", "caps")).alias("b"))
+    return best.select(*keys, "pos", "b.words", "b.valence", "b.caps")
+
+
 def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: list[str], out: str) -> DataFrame:
-    toks = text.explode_items(reviews, F.regexp_extract_all("content", F.lit(text.LEXICON_TOKEN), 0), "raw",
-                              keep=keys, with_pos=True)
-    toks = toks.withColumn("token", F.lower("raw"))
-    lex = bounded_broadcast(unique_words(lexicon), "lexicon")
+    toks = text.explode_items(reviews, text.rule_tokens("content"), "raw", keep=keys, with_pos=True)
+    toks = toks.withColumn("token", F.lower("raw")).withColumn("caps", (F.col("raw") == F.upper("raw")) & (F.col("raw") != F.lower("raw")))
+    entries = unique_words(lexicon)
+    several = F.col("word").contains(" ")
+    lex = bounded_broadcast(entries.filter(~several), "lexicon")
     mods = bounded_broadcast(_unique_modifiers(modifiers), "modifiers")
+    tag = ["pos", "caps", "token", "valence", "kind", "weight"]
     tagged = (toks.join(lex, toks.token == lex.word, "left")
                   .join(mods, toks.token == mods.mword, "left")
                   .filter(F.col("valence").isNotNull() | F.col("kind").isNotNull() | (F.col("token") == "but"))
-                  .groupBy(*keys).agg(F.collect_set(F.struct("pos", "raw", "token", "valence", "kind", "weight")).alias("tags"))
-                  .select(*keys, F.inline("tags")))  # equal rows give each place once
+                  .select(*keys, *tag))
+    if not entries.filter(several).isEmpty():
+        found = phrase_hits(toks, entries.filter(several), keys)
+        inside = found.select(*keys, F.explode(F.sequence("pos", F.col("pos") + F.col("words") - 1)).alias("pos")).distinct()
+        tagged = tagged.join(inside, [*keys, "pos"], "left_anti").select(*keys, *tag).unionByName(
+            found.select(*keys, "pos", "caps", F.lit("").alias("token"), "valence", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("double").alias("weight")))
+    tagged = (tagged.groupBy(*keys).agg(F.collect_set(F.struct(*tag)).alias("tags"))
+                    .select(*keys, F.inline("tags")))  # equal rows give each place once
     w = Window.partitionBy(*keys).orderBy("pos")
     per_review = Window.partitionBy(*keys)
     cols = {"but_pos": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(per_review)}
@@ -156,8 +184,7 @@ def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: l
     but_pos = F.col("but_pos")
     contrast = (F.when(but_pos.isNull(), 1.0).when(F.col("pos") < but_pos, ref.BUT_BEFORE)
                  .when(F.col("pos") > but_pos, ref.BUT_AFTER).otherwise(1.0))
-    raw = F.col("raw")
-    caps = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), sign * ref.CAPS_INCR).otherwise(0.0)
+    caps = F.when(F.col("caps"), sign * ref.CAPS_INCR).otherwise(0.0)
     # The capitals bonus is summed apart: it applies only when the whole
     # text is not in capitals, which is known on the review row.
     sums = lagged.groupBy(*keys).agg(

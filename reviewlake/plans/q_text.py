@@ -135,26 +135,39 @@ def _top_ngrams_k(I):
 
 def _rules_sql():
     mods = O._values(ref.modifier_rows(), ["word", "kind", "weight"])
-    return W(["reviews", "lexicon"], f"""
+    return W(["reviews"], f"""
 , mods AS ({mods})
-, tk AS (SELECT review_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS raw
-         FROM (SELECT review_id, regexp_extract_all(content, {O.sq(text.LEXICON_TOKEN)}) AS toks FROM reviews))
-, tg AS (SELECT tk.review_id, tk.pos, tk.raw, lower(tk.raw) AS token, l.valence, m.kind, m.weight
-         FROM tk LEFT JOIN lexicon l ON l.word = lower(tk.raw) LEFT JOIN mods m ON m.word = lower(tk.raw)
-         WHERE l.valence IS NOT NULL OR m.kind IS NOT NULL OR lower(tk.raw) = 'but')
+, ck AS (SELECT review_id, regexp_split_to_array(content, {O.sq(text.BLANKS)}) AS chunks FROM reviews)
+, tl AS (SELECT review_id, flatten(list_transform(chunks, lambda c:
+    CASE WHEN length(c) <= {text.EMOTICON_LENGTH} AND regexp_matches(c, {O.sq(text.EMOTICON)}) THEN [c] ELSE regexp_extract_all(c, {O.sq(text.LEXICON_TOKEN)}) END)) AS toks FROM ck)
+, tk AS (SELECT review_id, pos, raw, raw = upper(raw) AND raw <> lower(raw) AS caps
+         FROM (SELECT review_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS raw FROM tl))
+, rlex AS ({O._values(ref.SEED_LEXICON + ref.SEED_PHRASES + ref.SEED_EMOTICONS, ["word", "valence"])})
+, parts AS (SELECT word AS entry, valence, len(ws) AS words, unnest(range(len(ws))) AS i, unnest(ws) AS part
+            FROM (SELECT word, valence, string_split(word, ' ') AS ws FROM rlex WHERE contains(word, ' ')))
+, ph AS (SELECT review_id, pos, words, valence, caps FROM (
+           SELECT review_id, tk.pos - parts.i AS pos, entry, words, valence, bool_and(caps) AS caps
+           FROM tk JOIN parts ON parts.part = lower(tk.raw) GROUP BY ALL HAVING count(*) = words)
+         QUALIFY row_number() OVER (PARTITION BY review_id, pos ORDER BY words DESC) = 1)
+, cov AS (SELECT DISTINCT review_id, unnest(range(pos, pos + words)) AS pos FROM ph)
+, tg AS (SELECT tk.review_id, tk.pos, tk.caps, lower(tk.raw) AS token, l.valence, m.kind, m.weight
+         FROM tk LEFT JOIN rlex l ON l.word = lower(tk.raw) LEFT JOIN mods m ON m.word = lower(tk.raw)
+         WHERE (l.valence IS NOT NULL OR m.kind IS NOT NULL OR lower(tk.raw) = 'but')
+           AND NOT EXISTS (SELECT 1 FROM cov WHERE cov.review_id = tk.review_id AND cov.pos = tk.pos)
+         UNION ALL SELECT review_id, pos, caps, '', valence, NULL, NULL FROM ph)
 , bp AS (SELECT review_id, min(pos) AS but_pos FROM tg WHERE token = 'but' GROUP BY review_id)
 , caps AS (SELECT review_id, (content = upper(content) AND content <> lower(content)) AS all_caps FROM reviews)
 , hit AS (
-  SELECT h.review_id, h.pos, h.raw, h.valence,
+  SELECT h.review_id, h.pos, h.caps, h.valence,
     coalesce(sum(CASE WHEN b.kind = 'booster' THEN b.weight *
         CASE h.pos - b.pos WHEN 1 THEN 1.0 WHEN 2 THEN 0.95 ELSE 0.9 END END), 0.0) AS boost,
     count(*) FILTER (WHERE b.kind = 'negation') AS n_neg
   FROM tg h LEFT JOIN tg b ON b.review_id = h.review_id AND b.pos BETWEEN h.pos - 3 AND h.pos - 1
-  WHERE h.valence IS NOT NULL GROUP BY h.review_id, h.pos, h.raw, h.valence)
+  WHERE h.valence IS NOT NULL GROUP BY h.review_id, h.pos, h.caps, h.valence)
 , sc AS (
   SELECT hit.review_id, sum(
     ((hit.valence + sign(hit.valence) * hit.boost)
-      + CASE WHEN hit.raw = upper(hit.raw) AND hit.raw <> lower(hit.raw) AND NOT c.all_caps
+      + CASE WHEN hit.caps AND NOT c.all_caps
              THEN sign(hit.valence) * {ref.CAPS_INCR} ELSE 0.0 END)
     * pow({ref.NEGATION_SCALAR}, hit.n_neg)
     * CASE WHEN bp.but_pos IS NULL THEN 1.0 WHEN hit.pos < bp.but_pos THEN {ref.BUT_BEFORE}
@@ -174,6 +187,6 @@ FROM (SELECT review_id, content, CASE WHEN s > 0 THEN s + e WHEN s < 0 THEN s -
 
 @register("sentiment_score_rules", _rules_sql())
 def _sentiment_score_rules(I):
-    """Level-2 scorer (negation, boosters, contrast, capitals, punctuation)."""
-    return SE.with_sentiment_rules(I.reviews.select("review_id", "content"), I.lexicon,
+    """Level-2 scorer (phrases, emoticons, negation, boosters, contrast, capitals, punctuation)."""
+    return SE.with_sentiment_rules(I.reviews.select("review_id", "content"), ref.rule_lexicon(I.spark),
                                    ref.modifiers(I.spark)).select("review_id", "sentiment")

@@ -40,6 +40,13 @@ SEED_LEXICON = [
     ("weak", -1.6), ("wonderful", 2.7), ("worse", -2.1), ("worst", -3.0), ("worthless", -2.3), ("wow", 2.6),
 ]
 
+# Entries of several words and emoticons, for the rule-based scorer; valences of our own judgement.
+SEED_PHRASES = [
+    ("easy to use", 2.2), ("free version", 0.8), ("not bad", 1.2), ("waste of time", -2.3), ("worth it", 1.9), ("no problem", 1.3),
+    ("does not work", -2.2), ("useful and easy to use", 2.6), ("really useful", 2.2), ("slow", -1.2), ("bad update", -2.4),
+]
+SEED_EMOTICONS = [(":)", 2.0), (":-)", 1.8), (":(", -1.9), (":-(", -1.7), (":d", 2.3), (";)", 1.4), ("<3", 2.2), (":/", -1.2), (":'(", -2.1)]
+
 # Extra stop words the word-frequency analysis adds to the base list
 # (fixed values, in the order the analysis lists them).
 CUSTOM_STOPWORDS = [
@@ -87,6 +94,11 @@ def seed_lexicon(spark: SparkSession) -> DataFrame:
     return _per_session(spark, "lexicon", lambda: spark.createDataFrame(SEED_LEXICON, schemas.LEXICON))
 
 
+def rule_lexicon(spark: SparkSession) -> DataFrame:
+    """The seed lexicon with its phrases and emoticons."""
+    return _per_session(spark, "rule-lexicon", lambda: spark.createDataFrame(SEED_LEXICON + SEED_PHRASES + SEED_EMOTICONS, schemas.LEXICON))
+
+
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated lexicon file: word, mean valence, [std, ratings...]; of a word's several valences the greatest."""
     raw = spark.read.option("sep", "\t").option("quote", "\u0000").csv(path)

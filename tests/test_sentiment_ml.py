@@ -1,6 +1,7 @@
 """Sentiment scoring against a brute-force computation, rule checks, k-means."""
 
 import math
+import re
 
 import regex
 import pytest
@@ -11,6 +12,7 @@ from reviewlake.operators import clusters as C, sentiment as SE
 from reviewlake.sources import fixtures, reference_data as ref
 from tests.conftest import SF_SMALL
 
+EMOTICON = regex.compile(r"[^\p{L}\p{N}](?:[\p{L}\p{N}]?[^\p{L}\p{N}])*[\p{L}\p{N}]?")
 TOKEN = regex.compile(r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*")
 
 
@@ -147,19 +149,30 @@ def test_monthly_corr_single_review_month_is_null(spark):
 def _rules_brute_force(text, lex, negations, boosters):
     if text is None:
         return None
-    toks = [(i, m.group(0)) for i, m in enumerate(TOKEN.finditer(text))]
-    low = {i: t.lower() for i, t in toks}
+    raws = []
+    for chunk in re.split(r"[ \t\n\r\f\x0b]+", text):
+        raws += [chunk] if len(chunk) <= 8 and EMOTICON.fullmatch(chunk) else TOKEN.findall(chunk)
+    toks, low = list(enumerate(raws)), {i: t.lower() for i, t in enumerate(raws)}
+    entries, phrases, inside = {k: v for k, v in lex.items() if " " not in k}, {}, set()
+    for p, _ in toks:
+        here = [e for e in lex if " " in e and e.split() == [low.get(p + i) for i in range(len(e.split()))]]
+        if here:
+            phrases[p] = max(here, key=lambda e: len(e.split()))
+    for p, e in phrases.items():
+        inside |= set(range(p, p + len(e.split())))
+    low = {i: "" if i in inside else t for i, t in low.items()}
     but = next((i for i, _ in toks if low[i] == "but"), None)
     all_caps = text == text.upper() and text != text.lower()
     s = 0.0
     for p, raw in toks:
-        v = lex.get(low[p])
+        v = lex[phrases[p]] if p in phrases else entries.get(low[p])
         if v is None:
             continue
+        words = raws[p:p + len(phrases[p].split())] if p in phrases else [raw]
         sign = (v > 0) - (v < 0)
         boost = sum(boosters.get(low.get(p - d), 0.0) * sc for d, sc in ((1, 1.0), (2, 0.95), (3, 0.9)))
         v = v + sign * boost
-        if raw == raw.upper() and raw != raw.lower() and not all_caps:
+        if all(r == r.upper() and r != r.lower() for r in words) and not all_caps:
             v += sign * ref.CAPS_INCR
         for q in range(p - 3, p):
             if low.get(q) in negations:
@@ -174,6 +187,25 @@ def _rules_brute_force(text, lex, negations, boosters):
     return s / math.sqrt(s * s + ref.COMPOUND_ALPHA)
 
 
+@pytest.mark.parametrize("key", [True, False])
+def test_phrases_and_emoticons_match_brute_force(spark, key):
+    import random
+    rng = random.Random(4)
+    vocab = ["good", "BAD", "not", "very", "but", "easy", "to", "use", "Easy", "TO", "USE", "waste", "of", "time", "no", "problem", "worth", "it", "the", "app", "and", "useful",
+             "really", "free", "version", ":)", ":-(", ":D", "<3", ":)!", "-", "!!", "(good)", "\"a", "x:)", ":))", ":'(", "8)", "slow"]
+    texts = [None, "", "  ", ":)", "not bad", "NOT BAD :D", "very useful and easy to use", "easy to", "not not bad but no problem", "=" * 9, "\u00a0:) :)"]
+    texts += ["".join(rng.choice([" ", "  ", "\n", "\t"]) + rng.choice(vocab) for _ in range(rng.randint(1, 25))) for _ in range(300)]
+    rows = [(f"r{k}" if key else None, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + rows[:40], "review_id string, content string").repartition(4)
+    got = sorted(((r.content or "", r.sentiment) for r in SE.with_sentiment_rules(df, ref.rule_lexicon(spark), ref.modifiers(spark)).collect()), key=str)
+    lex = dict(ref.SEED_LEXICON + ref.SEED_PHRASES + ref.SEED_EMOTICONS)
+    boosters = {w: s * ref.BOOSTER_INCR for w, s in ref.SEED_BOOSTERS}
+    want = sorted(((t or "", _rules_brute_force(t, lex, set(ref.SEED_NEGATIONS), boosters)) for t in texts + texts[:40]), key=str)
+    assert len(got) == len(want)
+    for (a, x), (b, y) in zip(sorted(got, key=lambda r: (r[0], r[1] is None)), sorted(want, key=lambda r: (r[0], r[1] is None))):
+        assert a == b and (x is None) == (y is None) and (x is None or abs(x - y) <= 0.00005 + 1e-9), (a, x, y)
+
+
 def test_level2_matches_brute_force(spark):
     reviews = fixtures.reviews(spark, SF_SMALL).select("review_id", "content")
     got = {r.review_id: r.sentiment for r in SE.with_sentiment_rules(
