@@ -30,6 +30,7 @@ CELLS = 1 << 20          # substrings probed at once
 SEEN_BITS = 20
 CACHE_WORDS = 300_000    # words whose segmentation a task remembers
 TEXT_CHARS = 1 << 21     # texts segmented together
+LONG_WORD = 1 << 14      # characters of a longer word are segmented a stretch at a time
 
 
 @dataclass(frozen=True)
@@ -95,8 +96,8 @@ def load(path: str = MODEL) -> Vocabulary:
                       tuple(byte_of[b] for b in range(256)), longest, "".join(c for c in map(chr, range(32)) if c not in held), powers, seen)
 
 
-def best_segmentation(words: list[str], v: Vocabulary) -> list[bytes]:
-    """Ids (little-endian int32) of each of some words of one length; ties take the longer last piece."""
+def lattice(words: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of some words of one length the best last piece before it: its length and id, -1 for an unknown character."""
     n, count = len(words[0]), len(words)
     codes = matrix(words)
     prefix = prefix_hashes(codes)
@@ -131,6 +132,47 @@ def best_segmentation(words: list[str], v: Vocabulary) -> list[bytes]:
             best[:, j] = paths[rows, choice]
             back[:, j] = reach - choice
             piece[:, j] = found[rows, j - 1 - first, top - reach + choice]
+    return back, piece
+
+
+def long_segmentation(word: str, v: Vocabulary) -> bytes:
+    """The same for one long word, in bounded memory.
+
+    The best paths to the last places of a stretch, as many as a piece is
+    long, have a place in common further back: every longer path goes
+    through it, so the pieces before it are final and the next stretch
+    starts there.
+    """
+    out, at, size = [], 0, LONG_WORD
+    while at < len(word):
+        part = word[at:at + size]
+        back, piece = (x[0] for x in lattice([part], v))
+        common = len(part)
+        if at + size < len(word):
+            live = set(range(max(0, len(part) - v.longest + 1), len(part) + 1))
+            while len(live) > 1:
+                last = max(live)
+                live.remove(last)
+                live.add(last - int(back[last]))
+            common = live.pop()
+            if not common:
+                size *= 2
+                continue
+        ids, end = [], common
+        while end:
+            own = int(piece[end])
+            ids += [own] if own >= 0 else [v.byte_ids[b] for b in reversed(part[end - 1].encode())]
+            end -= int(back[end])
+        out.append(np.array(ids[::-1], "<i4").tobytes())
+        at, size = at + common, LONG_WORD
+    return b"".join(out)
+
+
+def best_segmentation(words: list[str], v: Vocabulary) -> list[bytes]:
+    """Ids (little-endian int32) of each of some words of one length; ties take the longer last piece."""
+    back, piece = lattice(words, v)
+    n, count = len(words[0]), len(words)
+    rows = np.arange(count)
     chain, at = [], np.full(count, n)
     while (at > 0).any():
         chain.append((np.where(at > 0, piece[rows, at], -2), at))
@@ -176,6 +218,9 @@ class Encoder:
         for w in words - self.known.keys():
             by_length.setdefault(len(w), []).append(w)
         for n, same in by_length.items():
+            if n > LONG_WORD:
+                self.known.update((w, long_segmentation(w, self.v)) for w in same)
+                continue
             step = max(1, CELLS // (n * min(n, self.v.longest)))
             for k in range(0, len(same), step):
                 self.known.update(zip(same[k:k + step], best_segmentation(same[k:k + step], self.v)))
