@@ -87,7 +87,8 @@ def ftrl(rows: list[np.ndarray], y: np.ndarray, p: Params) -> tuple[np.ndarray,
 def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.ndarray, np.ndarray, float]:
     """(sorted feature indices, weights, bias) from documents and their (doc_id, y) labels.
 
-    With no labelled row at all the model is empty and every score 0.5.
+    With no labelled row at all nothing is known to be toxic: every score is
+    0 but for rounding, and nothing is rejected.
     """
     shards = -(-min(labels.select("doc_id").distinct().count(), p.max_docs) // p.shard_docs)
     sample = labelled_sample(docs, labels, p.max_docs).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, shards))))
@@ -111,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.
     for r in parts:
         weights[np.frombuffer(r["i"], "<i4")] += np.frombuffer(r["w"], "<f8") * (r["docs"] / total)
     kept = np.flatnonzero(weights[:-1])
-    return kept, weights[kept], float(weights[-1])
+    return kept, weights[kept], float(weights[-1]) if parts else -np.inf
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], p: Params = Params(),
