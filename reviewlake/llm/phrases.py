@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import Scratch, bounded_batches, map_texts
 
-BLOCK = 1 << 19       # words looked at together
+BLOCK = 1 << 17       # words looked at together
 PART = 1 << 19        # bytes whose words are hashed together
 HELD = 1 << 21        # bytes of texts whose windows are made together
 STREAMED = 1 << 15    # words of the last stretches that are enough to stream
@@ -160,6 +160,8 @@ def pieces(texts: DataFrame, p: Params) -> DataFrame:
                 place = start[first] - np.concatenate([[0], ends])[own]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(own)), pa.array(place << 8 | (last - first)), signed(gram[anchor[first]]), *part],
                                                  ["t", "at", "bucket", "part", "part2"])
+            del hashes
+            pa.default_memory_pool().release_unused()
 
     return texts.select("text").mapInArrow(run, "t binary, at long, bucket long, part long, part2 long")
 
