@@ -343,6 +343,21 @@ def test_viterbi_equals_trying_all_segmentations():
             assert by_id[ids].sum() == slow(word)
 
 
+def test_long_words_are_segmented_in_stretches(monkeypatch):
+    v = spm.load()
+    score = np.full(len(v.pieces), v.scores.min() - spm.UNKNOWN_PENALTY)
+    score[v.ids] = v.scores
+    rng = random.Random(6)
+    words = ["".join(rng.choice(s) for _ in range(n)) for s, n in (("abcdeinrst", 3000), ("a", 2500), ("xéß日😀", 1500), ("=-", 2000), ("theandofing", 5000))]
+    whole = [np.frombuffer(b, "<i4") for w in words for b in spm.best_segmentation([w], v)]
+    for size in (16, 40, 700):
+        monkeypatch.setattr(spm, "LONG_WORD", size)
+        for w, ids in zip(words, whole):
+            made = np.frombuffer(spm.long_segmentation(w, v), "<i4")
+            assert b"".join(v.pieces[i] for i in made) == b"".join(v.pieces[i] for i in ids) == w.encode()
+            assert abs(score[made].sum() - score[ids].sum()) < 1e-6 * len(w)
+
+
 def test_round_trip_of_any_text(spark, messy):
     df, rows = messy
     assert all(r["decoded_equal"] for r in spm.round_trip(df).collect())
