@@ -31,7 +31,7 @@ from reviewlake.llm.common import Scratch, bounded_batches
 @dataclass(frozen=True)
 class Params:
     top: int = 20
-    list_size: int = 256         # vectors for each posting list, before replication
+    list_size: int = 64          # vectors for each posting list, before replication
     max_sample: int = 100_000    # bound of the sample that places the centroids and fits the ratios
     max_asked: int = 512         # of the sample's vectors that are its queries
     max_lists: int = 16_384
