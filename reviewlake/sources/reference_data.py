@@ -128,6 +128,12 @@ def base_stopwords(language: str = "english") -> list[str]:
     return list(StopWordsRemover.loadDefaultStopWords(language))
 
 
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """A stop list of one's own, a word in each line, in lower case; blank lines are none."""
+    word = F.lower(F.trim("value"))
+    return spark.read.text(path).select(word.alias("word")).filter(F.col("word") != "").distinct()
+
+
 def stopword_list(spark: SparkSession | None = None, custom: bool = True) -> list[str]:
     words = base_stopwords()
     if custom:
