@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewlake.functions import text
 from reviewlake.sources import reference_data as ref
 from reviewlake.plans.broadcast import bounded_broadcast
+from reviewlake.plans.materialize import materialize
 
 
 def unique_words(lexicon: DataFrame) -> DataFrame:
@@ -134,11 +135,11 @@ def phrase_hits(toks: DataFrame, phrases: DataFrame, keys: list[str]) -> DataFra
     """
     words = F.split("word", " +")
     parts = phrases.select(F.col("word").alias("entry"), "valence", F.size(words).alias("words"), F.posexplode(words).alias("i", "part"))
-    parts = bounded_broadcast(parts, "phrases")
-    met = toks.join(parts, toks.token == parts.part).groupBy(*keys, (F.col("pos") - F.col("i")).alias("pos"), "entry", "words", "valence").agg(
+    parts = bounded_broadcast(parts.withColumnRenamed("valence", "v"), "phrases")
+    met = toks.join(parts, toks.token == parts.part).groupBy(*keys, (F.col("pos") - F.col("i")).alias("pos"), "entry", "words", "v").agg(
         F.size(F.collect_set("i")).alias("there"), F.bool_and("caps").alias("caps"))
-    best = met.filter(F.col("there") == F.col("words")).groupBy(*keys, "pos").agg(F.max(F.struct("words", "valence", "caps")).alias("b"))
-    return best.select(*keys, "pos", "b.words", "b.valence", "b.caps")
+    best = met.filter(F.col("there") == F.col("words")).groupBy(*keys, "pos").agg(F.max(F.struct("words", "v", "caps")).alias("b"))
+    return best.select(*keys, "pos", "b.words", F.col("b.v").alias("valence"), "b.caps")
 
 
 def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: list[str], out: str) -> DataFrame:
@@ -148,18 +149,25 @@ def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: l
     several = F.col("word").contains(" ")
     lex = bounded_broadcast(entries.filter(~several), "lexicon")
     mods = bounded_broadcast(_unique_modifiers(modifiers), "modifiers")
+    phrases = entries.filter(several)
+    with_phrases = not phrases.isEmpty()
     tag = ["pos", "caps", "token", "valence", "kind", "weight"]
-    tagged = (toks.join(lex, toks.token == lex.word, "left")
-                  .join(mods, toks.token == mods.mword, "left")
-                  .filter(F.col("valence").isNotNull() | F.col("kind").isNotNull() | (F.col("token") == "but"))
-                  .select(*keys, *tag))
-    if not entries.filter(several).isEmpty():
-        found = phrase_hits(toks, entries.filter(several), keys)
+    single = F.col("valence").isNotNull() | F.col("kind").isNotNull() | (F.col("token") == "but")
+    tagged = toks.join(lex, toks.token == lex.word, "left").join(mods, toks.token == mods.mword, "left")
+    if with_phrases:
+        parts = bounded_broadcast(phrases.select(F.explode(F.split("word", " +")).alias("part")).distinct().withColumn("in_phrase", F.lit(True)), "parts")
+        tagged = tagged.join(parts, tagged.token == parts.part, "left").filter(single | F.col("in_phrase"))
+    else:
+        tagged = tagged.filter(single)
+    # Equal rows give each place once.
+    tagged = tagged.groupBy(*keys).agg(F.collect_set(F.struct(*tag)).alias("tags")).select(*keys, F.inline("tags"))
+    if with_phrases:
+        # The tokens that matter, some of all, are read for the phrases and for what is left beside them.
+        tagged = materialize(tagged, "tagged-tokens")
+        found = materialize(phrase_hits(tagged, phrases, keys), "phrases")
         inside = found.select(*keys, F.explode(F.sequence("pos", F.col("pos") + F.col("words") - 1)).alias("pos")).distinct()
-        tagged = tagged.join(inside, [*keys, "pos"], "left_anti").select(*keys, *tag).unionByName(
+        tagged = tagged.filter(single).join(inside, [*keys, "pos"], "left_anti").select(*keys, *tag).unionByName(
             found.select(*keys, "pos", "caps", F.lit("").alias("token"), "valence", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("double").alias("weight")))
-    tagged = (tagged.groupBy(*keys).agg(F.collect_set(F.struct(*tag)).alias("tags"))
-                    .select(*keys, F.inline("tags")))  # equal rows give each place once
     w = Window.partitionBy(*keys).orderBy("pos")
     per_review = Window.partitionBy(*keys)
     cols = {"but_pos": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(per_review)}

@@ -42,13 +42,15 @@ def active_users(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
                    .select("user_name"))
 
 
-def with_activity(reviews: DataFrame, min_reviews: int = 2) -> DataFrame:
+def with_activity(reviews: DataFrame, min_reviews: int = 2, counted: DataFrame | None = None) -> DataFrame:
     """Adds is_active_user.  The active-user set is a partially aggregated
     count (a hot user costs one row per input partition), joined back on
     user_name.  It grows with the data, so no broadcast is forced: AQE
     broadcasts it when the measured stage is under the adaptive threshold,
-    otherwise the sort-merge join runs with skew-partition splitting."""
-    act = active_users(reviews, min_reviews).select(F.col("user_name").alias("_user"), F.lit(True).alias("_active"))
+    otherwise the sort-merge join runs with skew-partition splitting.
+    ``counted`` are the same rows before other columns were added: only
+    their names are read for the count."""
+    act = active_users(reviews if counted is None else counted, min_reviews).select(F.col("user_name").alias("_user"), F.lit(True).alias("_active"))
     # Rows without a name are never active and would all meet in one partition: they get keys that no user has.
     nobody = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*reviews.columns), F.lit(4096)).cast("string"))
     keyed = reviews.withColumn("_user_key", F.coalesce("user_name", nobody))
@@ -64,7 +66,7 @@ def enrich_reviews(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame
     Text features are added last, so the joins move the text only once."""
     cols = reviews.columns
     scored = with_sentiment(reviews, lexicon) if modifiers is None else with_sentiment_rules(reviews, lexicon, modifiers)
-    e = with_text_features(with_activity(scored))
+    e = with_text_features(with_activity(scored, counted=reviews))
     extra = []
     if version_sort_key:
         e, extra = e.withColumn("version_key", version_key("app_version")), ["version_key"]
