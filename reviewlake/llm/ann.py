@@ -5,10 +5,11 @@ sample is halved again and again into balanced cells; a cell's mean is the
 centroid of a posting list.  Every vector goes to its nearest list, and a
 boundary vector to further lists that are nearly as near.  A query finds its
 nearest centroids in an in-memory neighbour graph and probes all lists whose
-distance is within a ratio of the best one.  Both ratios are fitted on the
-sample: the boundary to a mean number of lists for a vector, the query's
-ratio to the recall of the sample's own neighbours.  Scores are exact inner
-products of the original vectors in double precision.
+distance is within a ratio of the best one.  Both ratios are fitted: the
+boundary to a mean number of lists for a vector of the sample, the query's
+ratio to the recall of the true neighbours, among all vectors, of a few of
+the sample.  Scores are exact inner products of the original vectors in
+double precision.
 
 Lists that lie together form a group; a group's vectors and the queries that
 probe one of its lists meet in blocks of bounded size on both sides.
@@ -33,11 +34,11 @@ class Params:
     top: int = 20
     list_size: int = 64          # vectors for each posting list, before replication
     max_sample: int = 100_000    # bound of the sample that places the centroids and fits the ratios
-    max_asked: int = 512         # of the sample's vectors that are its queries
+    max_asked: int = 256         # of the sample's vectors whose true neighbours fit the ratio
     max_lists: int = 16_384
     replicas: int = 8            # lists that a boundary vector may join
     mean_replicas: float = 2.5   # lists that a vector joins on the average
-    recall: float = 0.96         # of the sample's neighbours, by which the query's ratio is fitted
+    recall: float = 0.94         # of those neighbours, by which the query's ratio is fitted
     ratio: float | None = None   # a query probes all lists within this ratio of its nearest centroid's distance; None: fitted
     degree: int = 16             # of the centroid graph
     beam: int = 96               # centroids kept by the graph search; a query with more within the ratio meets all centroids
@@ -151,34 +152,52 @@ def joined(graph: CentroidGraph, v: np.ndarray, boundary: float, p: Params) -> t
     return row, ids[row, col]
 
 
-def fitted(graph: CentroidGraph, x: np.ndarray, norm: float, p: Params) -> tuple[float, float]:
-    """The boundary and the query's ratio, from the sample ``x`` of vectors.
+def fitted(graph: CentroidGraph, x: np.ndarray, norm: float, p: Params, asked: np.ndarray, near: list[np.ndarray]) -> tuple[float, float]:
+    """The boundary and the query's ratio, from a sample ``x`` of vectors, some queries and their true neighbours.
 
-    The boundary lets a sample's vector join ``mean_replicas`` lists on the
-    average.  Some of the sample are queries: a neighbour is found by the
-    ratio of its nearest list to the query's nearest one, and ``recall`` of
-    the neighbours within the sample are found by the fitted ratio.  The
-    neighbours among all vectors are no farther, so they need no more.
+    The boundary lets one of these vectors join ``mean_replicas`` lists on
+    the average.  A neighbour is found by the ratio of its nearest list to the
+    query's nearest one; the fitted ratio finds ``recall`` of them.
     """
-    up = lifted(x, norm)
-    some = up[:p.max_asked * 8]
-    ratios = np.sort((lambda d: d / np.maximum(d[:, :1], 1e-12))(graph.search(some, min(p.beam, 4 * p.replicas))[1])[:, :p.replicas].ravel())
+    # Most neighbours did not place the centroids; vectors that did lie nearer to them than others.
+    some = lifted(np.concatenate(near) if any(map(len, near)) else x[spaced(len(x), 8 * p.max_asked)], norm)
+    d = graph.search(some, min(p.beam, 4 * p.replicas))[1]
+    ratios = np.sort((d / np.maximum(d[:, :1], 1e-12))[:, :p.replicas].ravel())
     boundary = float(ratios[min(len(ratios), max(1, int(p.mean_replicas * len(some)))) - 1])
-    row, lists = zip(*(joined(graph, up[k:k + 1024], boundary, p) for k in range(0, len(up), 1024)))
-    row, lists = np.concatenate([r + k * 1024 for k, r in enumerate(row)]), np.concatenate(lists)
-    starts = np.searchsorted(row, np.arange(len(x) + 1))
-    asked = x[np.linspace(0, len(x) - 1, min(len(x), p.max_asked)).astype(int)]
     need = []
-    for q in asked:
-        score = x @ q
-        near = np.argpartition(-score, min(p.top, len(x) - 1))[:p.top + 1]
-        near = near[np.argsort(-score[near], kind="stable")][1:]  # without the query itself
-        d = graph.distances(np.append(q, 0.0)[None])[0]
-        if len(near):
-            need.append([d[lists[starts[k]:starts[k + 1]]].min() / max(d.min(), 1e-12) for k in near])
+    for q, v in zip(asked, near):
+        if len(v):
+            row, lists = joined(graph, lifted(v, norm), boundary, p)
+            far = graph.distances(np.append(q, 0.0)[None])[0]
+            order = np.argsort(row, kind="stable")
+            need.append(np.minimum.reduceat(far[lists[order]], np.searchsorted(row[order], np.arange(len(v)))) / max(far.min(), 1e-12))
     return boundary, float(np.quantile(np.concatenate(need), p.recall)) if need else 1.0
 
 
+def spaced(n: int, count: int) -> np.ndarray:
+    """At most ``count`` places among n, evenly spaced."""
+    return np.unique(np.linspace(0, n - 1, min(n, count)).astype(int))
+
+
+def true_neighbours(distinct: DataFrame, asked: np.ndarray, p: Params) -> list[np.ndarray]:
+    """The nearest vectors of a few queries among all: a task keeps the best of its batches for every query."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, score, one, v = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros((0, asked.shape[1]))
+        for batch in batches:
+            if batch.num_rows:
+                here, ids = stacked(batch.column("v")), smallest(batch.column("ids"))
+                new, at, more = best_rows(asked, here, ids, p.top + 1)
+                row, score, one, v = np.r_[row, new], np.r_[score, more], np.r_[one, ids[at]], np.r_[v, here[at]]
+                kept = first_rows(row, score, one, p.top + 1)
+                row, score, one, v = row[kept], score[kept], one[kept], v[kept]
+        yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(score), pa.array(one), pa.array(list(v), pa.list_(pa.float64()))], ["q", "score", "one", "v"])
+
+    order = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "one"))
+    best = distinct.select("v", "ids").mapInArrow(run, "q int, score double, one long, v array<double>").withColumn("k", order).where(F.col("k") <= p.top + 1).select("q", "v").toArrow()
+    q, v = best.column("q").to_numpy(), stacked(best.column("v").combine_chunks())
+    return [v[(q == k) & (v != asked[k]).any(1)][:p.top] for k in range(len(asked))]
+
+
 def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, boundary: float, p: Params) -> DataFrame:
     """(list, v, ids) for each list that a vector joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +270,8 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     x = stacked(sample.toArrow().column("v").combine_chunks())  # at most max_sample vectors
     x = x[np.lexsort(x.T)]
     graph = CentroidGraph(balanced_centroids(lifted(x, norm), count), p.degree)
-    boundary, ratio = fitted(graph, x, norm, p)
+    some = x[spaced(len(x), p.max_asked)]
+    boundary, ratio = fitted(graph, x, norm, p, some, true_neighbours(distinct, some, p))
     posted = scratch.store(lists_of(distinct, graph, norm, boundary, p), "posted")
     askers = distinct.join(asked.select("vid").distinct(), "vid").select("v", "vid")
     found = scratch.store(merge(met(posted, scratch.store(probed(askers, graph, ratio if p.ratio is None else p.ratio, p), "probes"), p), p.top), "found")

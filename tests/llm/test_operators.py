@@ -500,7 +500,7 @@ def test_neighbours_with_ties_and_unusable_vectors(spark):
     rows += [(1000, None), (1020, [0.0] * 8), (1040, [float("nan")] + [1.0] * 7), (1060, [float("inf")] + [1.0] * 7), (1080, [None] + [1.0] * 7), (None, [1.0] * 8)]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, v string, score int")
     got = defaultdict(list)
-    for r in ann.nearest(df, df["vec_id"] % 20 == 0).collect():
+    for r in ann.nearest(df, df["vec_id"] % 20 == 0, ann.Params(ratio=100.0)).collect():
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     want = slow_neighbours(rows)
     assert set(got) == set(want)
@@ -548,7 +548,8 @@ def test_recall_and_share_of_probed_lists(spark, spread, list_size):
     p = ann.Params(list_size=list_size)
     assert recall_of(spark, x, p) >= 0.9
     graph = ann.CentroidGraph(ann.balanced_centroids(ann.lifted(x, 1.0), len(x) // list_size), p.degree)
-    boundary, ratio = ann.fitted(graph, x, 1.0, p)
+    some = x[ann.spaced(len(x), p.max_asked)]
+    boundary, ratio = ann.fitted(graph, x, 1.0, p, some, [x[np.argsort(-(x @ q))[1:21]] for q in some])
     assert len(ann.joined(graph, ann.lifted(x, 1.0), boundary, p)[0]) < 3 * len(x)
     lists = ann.within(graph, np.c_[x[::20], np.zeros(len(x[::20]))], ratio, p.beam)[1]
     assert len(lists) < 0.2 * len(graph.c) * len(x[::20])
