@@ -12,7 +12,10 @@ the sample.  Scores are exact inner products of the original vectors in
 double precision.
 
 Lists that lie together form a group; a group's vectors and the queries that
-probe one of its lists meet in blocks of bounded size on both sides.
+probe one of its lists meet in blocks of bounded size on both sides.  Before
+that every query probes one common list, a bounded sample of all vectors:
+what it finds there takes part, and its last place bounds what the groups
+send on.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ class Params:
     mean_replicas: float = 2.5   # lists that a vector joins on the average
     recall: float = 0.94         # of those neighbours, by which the query's ratio is fitted
     ratio: float | None = None   # a query probes all lists within this ratio of its nearest centroid's distance; None: fitted
+    common_share: int = 16       # one vector in so many, and
+    max_common: int = 16_384     # at most so many in all, form a list that every query probes first
     degree: int = 16             # of the centroid graph
     beam: int = 96               # centroids kept by the graph search; a query with more within the ratio meets all centroids
     together: int = 32           # lists of a group
@@ -211,8 +216,22 @@ def lists_of(rows: DataFrame, graph: CentroidGraph, norm: float, boundary: float
     return rows.select("v", "ids").mapInArrow(run, "list int, v array<double>, ids array<long>")
 
 
+def common_best(rows: DataFrame, v: np.ndarray, ids: pa.Array, p: Params) -> DataFrame:
+    """(vid, score, ids): the nearest vectors of each query in the common list, which is broadcast."""
+    one = smallest(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                row, at, score = best_rows(stacked(part.column("v")), v, one, p.top + 1)
+                yield pa.RecordBatch.from_arrays([part.column("vid").take(pa.array(row)), pa.array(score), ids.take(pa.array(at))], ["vid", "score", "ids"])
+
+    return rows.select("v", "vid").mapInArrow(run, "vid long, score double, ids array<long>")
+
+
 def probed(rows: DataFrame, graph: CentroidGraph, ratio: float | None, p: Params) -> DataFrame:
-    """(group, lists, v, vid) for each group with lists that a query probes: those within the ratio, or all (None)."""
+    """(group, lists, v, vid, least) for each group with lists that a query probes: those within the ratio, or all (None)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
@@ -228,9 +247,10 @@ def probed(rows: DataFrame, graph: CentroidGraph, ratio: float | None, p: Params
                 new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (group[1:] != group[:-1])]))
                 held = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)).astype(np.int32)), pa.array(lists.astype(np.int32)))
                 taken = part.take(pa.array(row[new]))
-                yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), held, taken.column("v"), taken.column("vid")], ["group", "lists", "v", "vid"])
+                yield pa.RecordBatch.from_arrays([pa.array(group[new].astype(np.int32)), held, taken.column("v"), taken.column("vid"), taken.column("least")],
+                                                 ["group", "lists", "v", "vid", "least"])
 
-    return rows.select("v", "vid").mapInArrow(run, "group int, lists array<int>, v array<double>, vid long")
+    return rows.select("v", "vid", "least").mapInArrow(run, "group int, lists array<int>, v array<double>, vid long, least double")
 
 
 def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -274,9 +294,15 @@ def nearest(vectors: DataFrame, queries: Column, p: Params = Params(), key: str
     boundary, ratio = fitted(graph, x, norm, p, some, true_neighbours(distinct, some, p))
     posted = scratch.store(lists_of(distinct, graph, norm, boundary, p), "posted")
     askers = distinct.join(asked.select("vid").distinct(), "vid").select("v", "vid")
-    found = scratch.store(merge(met(posted, scratch.store(probed(askers, graph, ratio if p.ratio is None else p.ratio, p), "probes"), p), p.top), "found")
+    # The last place in the common list is a bound: of other lists only what reaches it is sent on.
+    some = distinct.orderBy(F.xxhash64("v", F.lit(1)), "vid").limit(max(1, min(p.max_common, n // p.common_share))).select("v", "ids").toArrow()
+    first = scratch.store(common_best(askers, stacked(some.column("v").combine_chunks()), some.column("ids").combine_chunks(), p), "first")
+    bound = first.groupBy("vid").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    askers = scratch.store(askers.join(bound, "vid").select("v", "vid", F.when(F.col("n") > p.top, F.col("least")).otherwise(float("-inf")).alias("least")), "askers")
+    probes = scratch.store(probed(askers, graph, ratio if p.ratio is None else p.ratio, p), "probes")
+    found = scratch.store(merge(met(posted, probes, p).union(first), p.top), "found")
     got = found.groupBy("vid").agg(F.sum(F.size("ids")).alias("got"))
-    few = askers.join(got, "vid", "left").where(F.coalesce("got", F.lit(0)) < min(facts["ids"], p.top + 1)).select("v", "vid")
+    few = askers.join(got, "vid", "left").where(F.coalesce("got", F.lit(0)) < min(facts["ids"], p.top + 1)).select("v", "vid", "least")
     few = scratch.store(few, "few")
     if not few.isEmpty():
         more = merge(met(posted, scratch.store(probed(few, graph, None, p), "all"), p), p.top)
@@ -300,7 +326,7 @@ def met(posted: DataFrame, probes: DataFrame, p: Params) -> DataFrame:
     left = posted.withColumn("group", group).join(plan, "group").withColumn("block", F.pmod(F.xxhash64("ids"), "blocks").cast("int"))
     left = left.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("asked") - 1))).select("group", "block", "turn", "list", "v", "ids")
     right = probes.join(plan, "group").withColumn("turn", F.pmod(F.xxhash64("vid"), "asked").cast("int"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("group", "block", "turn", "lists", "v", "vid")
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("group", "block", "turn", "lists", "v", "vid", "least")
     keys = ("group", "block", "turn")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: best_in_block(a, b, p.top), "vid long, score double, ids array<long>")
 
@@ -360,6 +386,8 @@ def best_in_block(a: pa.Table, b: pa.Table, top: int) -> pa.Table:
     if not row:
         return schema.empty_table()
     row, at, score = np.concatenate(row), np.concatenate(at), np.concatenate(score)
+    near = score >= b.column("least").to_numpy()[row]
+    row, at, score = row[near], at[near], score[near]
     kept = first_rows(row, score, one[at], top + 1)
     return pa.table([b.column("vid").take(pa.array(row[kept])), pa.array(score[kept]), ids.take(pa.array(at[kept]))], schema=schema)
 
