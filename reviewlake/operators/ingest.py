@@ -95,19 +95,19 @@ def dedupe_batch(batch: DataFrame) -> DataFrame:
     app_version, score ascending as a stable tie-break; nulls last); null ids
     are quarantined.
 
-    Written as ``min_by`` over an ordering struct, which combines map-side:
-    many copies of one id cost one partial row per input partition, where a
-    window over review_id would sort all copies in one task.
+    Written as ``min`` of an ordering struct that holds every column once,
+    which combines map-side: many copies of one id cost one partial row per
+    input partition, where a window over review_id would sort all copies in
+    one task.
     """
     cols = schemas.REVIEW_COLUMNS
     latest_first = F.expr("timestampdiff(MICROSECOND, created_at, TIMESTAMP_NTZ'9999-12-31 23:59:59')")
     order = F.struct(
         F.col("created_at").isNull(), latest_first,
         F.col("content").isNull(), F.col("content"), F.col("user_name").isNull(), F.col("user_name"),
-        F.col("app_version").isNull(), F.col("app_version"), F.col("score").isNull(), F.col("score"))
-    best = (batch.filter(F.col("review_id").isNotNull())
-                 .groupBy("review_id").agg(F.min_by(F.struct(*cols), order).alias("r")))
-    return best.select(*[F.col(f"r.{c}").alias(c) for c in cols])
+        F.col("app_version").isNull(), F.col("app_version"), F.col("score").isNull(), F.col("score"), F.col("created_at"))
+    best = batch.filter(F.col("review_id").isNotNull()).groupBy("review_id").agg(F.min(order).alias("r"))
+    return best.select(*[F.col(c) if c == "review_id" else F.col(f"r.{c}").alias(c) for c in cols])
 
 
 def merge_reviews(target: DataFrame, batch: DataFrame, update=UPDATE_COLUMNS) -> DataFrame:

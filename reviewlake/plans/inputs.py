@@ -26,7 +26,7 @@ class Inputs:
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
-        return self._stored("raw_reviews", fixtures.raw_reviews)
+        return fixtures.raw_reviews(self.spark, self.sf_dir, self.reviews)
 
     @cached_property
     def runs(self) -> DataFrame:
@@ -63,8 +63,8 @@ class Inputs:
 
     @cached_property
     def merge_target(self) -> DataFrame:
-        return self._stored("merge_target", fixtures.merge_target, bucket_by="review_id")
+        return fixtures.merge_target(self.spark, self.sf_dir, self.reviews)
 
     @cached_property
     def merge_batch(self) -> DataFrame:
-        return self._stored("merge_batch", fixtures.merge_batch)
+        return fixtures.merge_batch(self.spark, self.sf_dir, self.reviews)

@@ -219,8 +219,8 @@ def _incremental_ingest(I):
     streaming job; the final table equals the batch merge."""
     from reviewlake.streaming.incremental import incremental_ingest
     landing, table, ckpt = _fresh(I, "landing"), _fresh(I, "reviews"), _fresh(I, "ingest-ckpt")
-    G.reviews_to_pages(I.merge_target).write.text(f"{landing}/part-1")
+    G.reviews_to_pages(I.merge_target).write.option("compression", "gzip").text(f"{landing}/part-1")
     incremental_ingest(I.spark, f"{landing}/*", table, ckpt)
-    G.reviews_to_pages(I.merge_batch).write.text(f"{landing}/part-2")
+    G.reviews_to_pages(I.merge_batch).write.option("compression", "gzip").text(f"{landing}/part-2")
     incremental_ingest(I.spark, f"{landing}/*", table, ckpt)
     return readers.scan_reviews(I.spark, table).select(*schemas.REVIEW_COLUMNS)

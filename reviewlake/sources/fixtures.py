@@ -38,53 +38,47 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate")
     o = o.withColumn("o_orderdate", F.when((day >= gap_lo) & (day < gap_hi), day + F.expr("INTERVAL 30 DAY")).otherwise(day))
 
+    # Only what an order has is shuffled to the documents; the columns of a review are derived beside its slice.
     k = F.col("o_orderkey")
-    prio = F.substring("o_orderpriority", 1, 1)
-    phrase_idx = ((F.when(k % 4 == 0, 3).otherwise(0)
-                   + F.when(prio.isin("1", "2"), 0).otherwise(3)) % 6
-                  + (k % 3).cast("int"))
-    phrase = F.when(phrase_idx == 0, PHRASES[0])
-    for i in range(1, 5):
-        phrase = phrase.when(phrase_idx == i, PHRASES[i])
-    phrase = phrase.otherwise(PHRASES[5])
-
-    r = o.select(
-        k.alias("k"),
-        F.col("o_orderdate").alias("ots"),
-        F.concat(F.lit("r"), F.when(k < 10_000_000, F.lpad(k.cast("string"), 8, "0")).otherwise(k.cast("string"))).alias("review_id"),
-        F.when(k % 97 == 0, None)
-         .when(k % 3 == 0, F.concat(F.lit("user_"), F.col("o_custkey").cast("string")))
-         .otherwise(F.concat(F.lit("guest_"), k.cast("string"))).alias("user_name"),
-        F.when(k % 101 == 0, None).otherwise(6 - prio.cast("int")).alias("score"),
-        F.when(k % 103 == 0, None).otherwise(
-            F.expr("timestampadd(SECOND, CAST((o_orderkey * 7919) % 86400 AS INT), o_orderdate)")
-        ).alias("created_at"),
-        phrase.alias("phrase"),
-        ((k % 89 != 0) & (k % 9 != 0)).cast("int").alias("has_text"),
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("chars"))
+    r = o.select(k.alias("k"), F.col("o_custkey").alias("cust"), F.col("o_orderdate").alias("ots"),
+                 F.substring("o_orderpriority", 1, 1).alias("prio"), ((k % 89 != 0) & (k % 9 != 0)).cast("int").alias("has_text"))
     # The reviews of one document that have a text take its slices in key order.
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     r = r.withColumn("doc_key", F.col("k") % docs.agg(F.max("doc_id") + 1).scalar())
     mates = Window.partitionBy("doc_key")
     r = (r.withColumn("slices", F.sum("has_text").over(mates))
           .withColumn("slice", F.sum("has_text").over(mates.orderBy("k")) - 1))
     j = r.join(docs, r.doc_key == docs.doc_id)
 
-    kk = F.col("k")
-    begin = F.expr("(length(text) * slice) div slices")
-    end = F.expr("(length(text) * (slice + 1)) div slices")
+    kk, prio = F.col("k"), F.col("prio")
+    phrase_idx = ((F.when(kk % 4 == 0, 3).otherwise(0)
+                   + F.when(prio.isin("1", "2"), 0).otherwise(3)) % 6
+                  + (kk % 3).cast("int"))
+    phrase = F.when(phrase_idx == 0, PHRASES[0])
+    for i in range(1, 5):
+        phrase = phrase.when(phrase_idx == i, PHRASES[i])
+    phrase = phrase.otherwise(PHRASES[5])
+    begin = F.expr("(chars * slice) div slices")
+    end = F.expr("(chars * (slice + 1)) div slices")
     content = (F.when(kk % 89 == 0, None)
                 .when(kk % 9 == 0, F.lit("   "))
-                .otherwise(F.concat(F.col("phrase"), F.lit(" "),
+                .otherwise(F.concat(phrase, F.lit(" "),
                                     F.substring("text", (begin + 1).cast("int"), (end - begin).cast("int")))))
     version = (F.when(kk % 14 == 0, None)
                 .when(kk % 211 == 0, F.lit("beta"))
                 .otherwise(F.concat(F.when(kk % 5 == 0, F.lit("v1.")).otherwise(F.lit("1.")),
                                     F.year("ots").cast("string"), F.lit("."),
                                     F.month("ots").cast("string"))))
-    return j.select("review_id", "user_name", content.alias("content"),
-                    F.col("score").cast("int").alias("score"), "created_at",
-                    version.alias("app_version"))
+    return j.select(
+        F.concat(F.lit("r"), F.when(kk < 10_000_000, F.lpad(kk.cast("string"), 8, "0")).otherwise(kk.cast("string"))).alias("review_id"),
+        F.when(kk % 97 == 0, None)
+         .when(kk % 3 == 0, F.concat(F.lit("user_"), F.col("cust").cast("string")))
+         .otherwise(F.concat(F.lit("guest_"), kk.cast("string"))).alias("user_name"),
+        content.alias("content"),
+        F.when(kk % 101 == 0, None).otherwise(6 - prio.cast("int")).cast("int").alias("score"),
+        F.when(kk % 103 == 0, None).otherwise(
+            F.expr("timestampadd(SECOND, CAST((k * 7919) % 86400 AS INT), ots)")).alias("created_at"),
+        version.alias("app_version"))
 
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,15 +129,16 @@ def _review_no(df: DataFrame):
     return F.substring("review_id", 2, 100).cast("bigint")
 
 
-def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = reviews(spark, sf_dir)
+def merge_target(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
+    """Like the next two a selection of the reviews, stored ones if given: the texts are cut and written once for all."""
+    r = reviews(spark, sf_dir) if r is None else r
     return r.filter(_review_no(r) % 10 != 0)
 
 
-def merge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def merge_batch(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
     """Half matches the target (ids % 10 = 5), half is new (ids % 10 = 0);
     every sixth row is dated after all rows of the target."""
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir) if r is None else r
     k = _review_no(r)
     return r.filter(k % 5 == 0).select(
         "review_id", F.lit("renamed").alias("user_name"),
@@ -153,10 +148,10 @@ def merge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "app_version")
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reviews(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
     """String-typed store rows with some unparsable values and fractional
     seconds, for the lenient typing step."""
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir) if r is None else r
     k = _review_no(r)
     fmt = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
     return r.select(
@@ -184,7 +179,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
     import uuid
 
     from reviewlake.session import checkpoint_dir
-    from reviewlake.sources.sinks import save_bucketed_table
+    from reviewlake.sources.sinks import COMPRESSION, save_bucketed_table
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     ref = _STORED.get(key)
     if ref is None:
@@ -195,7 +190,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str |
             save_bucketed_table(build(spark, sf_dir), ref[1], path, bucket_by)
         else:
             ref = ("path", path)
-            build(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            build(spark, sf_dir).write.mode("errorifexists").option("compression", COMPRESSION).parquet(path)
         _STORED[key] = ref
     kind, where = ref
     return spark.table(where) if kind == "table" else spark.read.parquet(where)

@@ -65,7 +65,7 @@ def decide(spark: SparkSession, rows: DataFrame | None, base: str, stream: str |
         # At most as many numbers as the table has buckets.
         touched = [r["b"] for r in rows.filter("review_id IS NOT NULL").select(sinks.bucket_of(count).alias("b")).distinct().collect()]
         image = merge_reviews(current(spark, base, touched), rows).withColumn(sinks.BUCKET, sinks.bucket_of(count))
-        image.write.mode("overwrite").parquet(_at(base, PENDING, "image"))
+        image.write.mode("overwrite").option("compression", sinks.COMPRESSION).parquet(_at(base, PENDING, "image"))
     note = spark.createDataFrame([(stream, batch, n, bad, count)], NOTE)
     note.coalesce(1).write.mode("overwrite").parquet(_at(base, PENDING, "note"))
 
