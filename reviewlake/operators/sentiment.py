@@ -5,9 +5,11 @@ joined to the lexicon, the valences summed per review and normalised to
 the compound score s / sqrt(s^2 + 15), rounded to 4 decimals.  Null text
 gives null; text without a lexicon hit gives 0.0.
 
-Plan shape: scan -> explode -> broadcast hash join (lexicon, size checked)
--> partial sum per review (map side) -> exchange of the sums on review_id
--> join back to the reviews.  Nothing leaves the JVM.
+Plan shape: a lexicon of up to ``LISTED`` words is a set inside each row's
+expression, without a join or exchange.  A longer one: scan -> explode ->
+broadcast hash join (lexicon, size checked) -> partial sum per review (map
+side) -> exchange of the sums on review_id -> join back to the reviews.
+Nothing leaves the JVM.
 
 Level 2 adds the rule-based modifiers (negation, boosters, "but",
 capitals, ! and ?) from token positions with ``lag`` windows over the
@@ -24,6 +26,10 @@ from reviewlake.plans.broadcast import bounded_broadcast
 from reviewlake.plans.materialize import materialize
 
 
+# A lexicon of at most so many words is looked up inside each row, so that no text moves; a longer one is joined.
+LISTED = 2_000
+
+
 def unique_words(lexicon: DataFrame) -> DataFrame:
     # One row per word, or the join would multiply valences: of a word listed
     # more than once the greatest valence counts.
@@ -74,6 +80,29 @@ def valence_sums(reviews: DataFrame, lexicon: DataFrame, key: str | list[str] =
     return sums.select(*keys, (F.expr("s div n") / F.lit(10_000.0)).alias("valence_sum"))
 
 
+def _listed(words) -> str:
+    """The words as SQL literals, for a set that is looked up inside each row."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
+def listed_units(lexicon: DataFrame) -> dict[str, int] | None:
+    """Valence in 1/10 000 of each word, of a lexicon of at most ``LISTED`` words; None if it is longer."""
+    units = F.round(F.col("valence").cast("decimal(12,4)") * 10_000).cast("bigint").alias("units")
+    rows = unique_words(lexicon.filter("word <> ''")).select("word", units).limit(LISTED + 1).collect()
+    return None if len(rows) > LISTED else {r["word"]: r["units"] for r in rows if r["units"] is not None}
+
+
+def valence_of_row(units: dict[str, int]) -> Column:
+    """The valence sum of the row's own text: its tokens that the lexicon lists, one set of words for each value."""
+    by_value: dict[int, list[str]] = {}
+    for word, value in sorted(units.items()):
+        by_value.setdefault(value, []).append(word)
+    if not units:
+        return F.lit(0.0)
+    case = " ".join(f"WHEN t IN ({_listed(words)}) THEN {value}L" for value, words in by_value.items())
+    return F.expr(f"aggregate(filter(_tokens, t -> t IN ({_listed(units)})), 0L, (a, t) -> a + CASE {case} END) / 10000.0D")
+
+
 def compound(s: Column, alpha: float = ref.COMPOUND_ALPHA) -> Column:
     return F.round(s / F.sqrt(s * s + F.lit(alpha)), 4)
 
@@ -81,6 +110,11 @@ def compound(s: Column, alpha: float = ref.COMPOUND_ALPHA) -> Column:
 def with_sentiment(reviews: DataFrame, lexicon: DataFrame, key: str = "review_id",
                    out: str = "sentiment") -> DataFrame:
     """Adds the level-1 compound score of each row's own text; ids may repeat or be null."""
+    units = listed_units(lexicon)
+    if units is not None:
+        # One step each: the compound reads the sum three times.
+        rows = reviews.withColumn("_tokens", text.lexicon_tokens("content")).withColumn("_sum", valence_of_row(units))
+        return rows.withColumn(out, F.when(F.col("content").isNull(), None).otherwise(compound(F.col("_sum")))).drop("_tokens", "_sum")
     s = F.coalesce(F.col("valence_sum"), F.lit(0.0))
 
     def score(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -142,8 +176,22 @@ def phrase_hits(toks: DataFrame, phrases: DataFrame, keys: list[str]) -> DataFra
     return best.select(*keys, "pos", "b.words", F.col("b.v").alias("valence"), "b.caps")
 
 
+def _rule_words(lexicon: DataFrame, modifiers: DataFrame) -> list[str] | None:
+    """All words that matter to the rules, single or in an entry of several; None if they are more than ``LISTED``."""
+    words = lexicon.select(F.explode(F.split("word", " +")).alias("word")).union(modifiers.select("word")).where("word IS NOT NULL").distinct()
+    rows = words.limit(LISTED + 1).collect()
+    return None if len(rows) > LISTED else sorted({r["word"] for r in rows} | {"but"})
+
+
 def _rules(reviews: DataFrame, lexicon: DataFrame, modifiers: DataFrame, keys: list[str], out: str) -> DataFrame:
-    toks = text.explode_items(reviews, text.rule_tokens("content"), "raw", keep=keys, with_pos=True)
+    listed = _rule_words(lexicon, modifiers)
+    if listed is None:
+        toks = text.explode_items(reviews, text.rule_tokens("content"), "raw", keep=keys, with_pos=True)
+    else:
+        # Tokens that no table has leave inside the row.
+        found = F.expr(f"filter(transform(_tokens, (t, i) -> struct(i AS pos, t AS raw)), x -> lower(x.raw) IN ({_listed(listed)}))")
+        rows = reviews.withColumn("_tokens", text.rule_tokens("content"))
+        toks = text.explode_items(rows, found, "_it", keep=keys).select(*keys, "_it.pos", "_it.raw")
     toks = toks.withColumn("token", F.lower("raw")).withColumn("caps", (F.col("raw") == F.upper("raw")) & (F.col("raw") != F.lower("raw")))
     entries = unique_words(lexicon)
     several = F.col("word").contains(" ")
