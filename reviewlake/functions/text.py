@@ -75,12 +75,11 @@ def rule_tokens(c) -> Column:
 
 def ngrams(tokens, n: int) -> Column:
     """All contiguous n-grams of an array column, joined by one blank."""
-    toks = _c(tokens)
-    count = F.array_size(toks) - F.lit(n - 1)
-    return F.when(count > 0, F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.array_join(F.slice(toks, i, n), " "),
-    )).otherwise(F.array().cast("array<string>"))
+    toks = grams = _c(tokens)
+    for i in range(1, n):
+        # Longer by the token that follows; beyond the last one there is none.
+        grams = F.zip_with(grams, F.slice(toks, i + 1, F.greatest(F.array_size(toks) - i, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.slice(grams, 1, F.greatest(F.array_size(toks) - (n - 1), F.lit(0)))
 
 
 def explode_items(df, array_col: Column, name: str, keep=(), with_pos: bool = False):

@@ -16,6 +16,10 @@ from reviewlake.operators.heavy import frequent
 from reviewlake.operators.quality import band_column
 from reviewlake.operators.sentiment import compound, unique_words
 from reviewlake.plans.broadcast import bounded_broadcast
+from reviewlake.plans.materialize import materialize
+
+
+LISTED = 2_000  # candidates that are looked up inside a row
 
 
 def _band_words(features: DataFrame, min_len: int, high: int, low: int) -> DataFrame:
@@ -54,18 +58,13 @@ def top_words(freq: DataFrame, k: int = 200, by: str = "band") -> DataFrame:
 
 
 def frequent_words(features: DataFrame, stopwords: DataFrame, k: int = 200, min_len: int = 3, high: int = 4, low: int = 2) -> DataFrame:
-    """(band, word, count) of words that hold the top ``k`` of each band, for ``top_words`` and what builds on it.
+    """(band, word, count): the top ``k`` of each band, for ``top_words`` and what builds on it.
 
-    The counts are exact; other words may be among them or not.  Unlike
-    ``word_freq_filtered`` it shuffles no count of every word.
+    One pass over the texts: words are counted map-side, so a task sends
+    each different word once, and the few rows left are stored for the
+    several readers.
     """
-    words = stopword_anti(_band_words(features, min_len, high, low), stopwords)
-
-    def count(some: DataFrame | None) -> DataFrame:
-        rows = words if some is None else words.join(some, ["band", "word"], "left_semi")
-        return rows.groupBy("band", "word").agg(F.count(F.lit(1)).alias("count"))
-
-    return frequent(words, "band", "word", k, count)
+    return materialize(top_words(word_freq_filtered(features, stopwords, min_len, high, low), k).drop("rank"), "frequent-words")
 
 
 def word_freq_comparison(freq: DataFrame, k: int = 20) -> DataFrame:
@@ -130,6 +129,9 @@ def ngram_counts(reviews: DataFrame, stopwords: list[str], n_range=(2, 3), high:
     # distinct gram tagged (0, 1) for document frequency -> one explode,
     # one partial+final aggregation.
     tag = lambda o, d: (lambda g: F.struct(g.alias("ngram"), F.lit(o).alias("o"), F.lit(d).alias("d")))
+    if some is not None and len(names := some.select("ngram").distinct().limit(LISTED + 1).collect()) <= LISTED:
+        # Grams of no candidate leave inside the row; the join below tells the bands apart.
+        rows = rows.withColumn("grams", F.filter("grams", lambda g: g.isin([r["ngram"] for r in names])))
     items = F.concat(F.transform("grams", tag(1, 0)), F.transform(F.array_distinct("grams"), tag(0, 1)))
     it = text.explode_items(rows, items, "it", keep=["band"]).select("band", "it.ngram", "it.o", "it.d")
     if some is not None:
