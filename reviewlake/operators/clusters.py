@@ -126,10 +126,12 @@ def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
     points = points.select("user_name", *FEATURES, *grid)
     k = min(k, n)
     centres = _seeds(points, k, seed, restarts)
+    # Users at one place always move together: the passes read each place once, with the number of its users.
+    places = materialize(points.groupBy(*_GRID).agg(F.count(F.lit(1)).alias("users")), "user-places")
     moving = dict(centres)
     for _ in range(max_iter):
-        sums = _against(points, moving).groupBy("r", F.pmod("near", F.lit(k)).alias("j")).agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(z).alias(z) for z in _GRID]).collect()
+        sums = _against(places, moving).groupBy("r", F.pmod("near", F.lit(k)).alias("j")).agg(
+            F.sum("users").alias("n"), *[F.sum(F.col(z) * F.col("users")).alias(z) for z in _GRID]).collect()
         moved = {r: list(cs) for r, cs in moving.items()}
         for row in sums:
             moved[row["r"]][row["j"]] = tuple(row[z] // row["n"] for z in _GRID)
@@ -137,7 +139,8 @@ def user_clusters(features: DataFrame, k: int = 4, seed: int = 42, restarts: int
         centres |= moving
         if not moving:
             break
-    costs = _against(points, centres).groupBy("r").agg(F.sum(((F.col("near") - F.pmod("near", F.lit(k))) / k).cast("decimal(38,0)")).alias("cost")).collect()
+    far = ((F.col("near") - F.pmod("near", F.lit(k))) / k).cast("decimal(38,0)")
+    costs = _against(places, centres).groupBy("r").agg(F.sum((far * F.col("users")).cast("decimal(38,0)")).alias("cost")).collect()
     best = min(costs, key=lambda row: (row["cost"], row["r"]))["r"]
     order = sorted(range(k), key=lambda j: (centres[best][j][1], centres[best][j][3], centres[best][j][0], j))
     label = F.element_at(F.array(*[F.lit(order.index(j)) for j in range(k)]), (F.pmod("near", F.lit(k)) + 1).cast("int"))
