@@ -1,18 +1,19 @@
 """Line deduplication: repeated runs of lines through a suffix array over line ids.
 
-The corpus is a sequence of line ids (hashes of the lines that have a word),
-cut at the ends of documents.  Distributed prefix doubling ranks its
-suffixes by their first 1, 2, 4, ... lines; only suffixes that share a rank
-go on, since a line that occurs once ends every repeat.  Suffixes of equal
-rank form an interval of the suffix array whose common prefix has at least
-that many lines.  A repeat counts from ``min_words`` words on: the shortest
-run of that size at each position is given by two overlapping ranks, its
-interval holds all copies, and neighbouring runs join to the maximal ones.
-All copies but the first go.
+The corpus is a sequence of line ids, documents in their order, cut at their
+ends and at every line that occurs once.  Distributed prefix doubling sorts
+its suffixes by their first 1, 2, 4, ... lines; a suffix's rank is how many
+come before its group, and only groups of several go on.  The stored ranks
+of all doublings give the longest common prefix of each suffix and the one
+before it in the array.  A repeat counts from ``min_words`` words on: the
+suffixes between two places where the common prefix is too short for that
+are an interval, which holds all copies of a run; its smallest common prefix
+is how far all copies go on together.  All copies but the first go.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ from reviewlake.llm.common import Scratch, bounded_batches, map_texts, ranked, u
 
 WORD = "[^\\x09-\\x0D\\x20]+"
 DOC = ["none", "doc", "th"]  # a document: its id (null last) and the hash of its text
+BLOCK = 16  # bits of a place inside a block: running sums and maxima go through blocks, then over their totals
 
 
 @dataclass(frozen=True)
@@ -57,8 +59,35 @@ def repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return lines.join(shared, ["h1", "h2"]).groupBy(*DOC).agg(F.sort_array(F.collect_set(F.struct("j", "h", "words"))).alias("lines"))
 
 
+def refined(kinds: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``kinds(r, r2, n)``, one row for each pair, with ``rank``: ``r`` and the sum of ``n`` over the smaller r2 of this r."""
+    kinds = scratch.store(kinds.withColumn("block", F.shiftright("r2", BLOCK)), name)
+    # A very frequent r has many r2: only a block of them goes through one task, then a row for each block.
+    behind = Window.partitionBy("r").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = kinds.groupBy("r", "block").agg(F.sum("n").alias("all")).select("r", "block", (F.sum("all").over(behind) - F.col("all")).alias("before"))
+    within = Window.partitionBy("r", "block").orderBy("r2").rowsBetween(Window.unboundedPreceding, 0)
+    return kinds.withColumn("within", F.sum("n").over(within) - F.col("n")).join(blocks, ["r", "block"]).select(
+        "r", "r2", "n", (F.col("r") + F.col("before") + F.col("within")).alias("rank"))
+
+
+def placed_documents(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(none, doc, th, base): the place of a document's first line when the documents stand in their order."""
+    order, _ = ranked(found.select(*DOC, (F.element_at("lines", -1)["j"] + 1).cast("long").alias("n")), DOC, scratch)
+    order = scratch.store(order, "order")
+    base = refined(order.select(F.lit(0).cast("long").alias("r"), F.col("rank").alias("r2"), "n"), scratch, "lengths")
+    placed = scratch.store(order.join(base.select(F.col("r2").alias("rank"), F.col("rank").alias("base")), "rank").select(*DOC, "base"), "documents")
+    for name in ("placed", "order", "lengths"):
+        scratch.drop(name)
+    return placed
+
+
 def suffixes(found: DataFrame, p: Params) -> DataFrame:
-    """(none, doc, th, j, r, len): line ids as first ranks, and the lines of the shortest run of enough words, else 0."""
+    """(base, pos, h, rest, need) of every repeated line of ``found(base, lines)``.
+
+    ``rest`` is how many repeated lines follow each other from here on in
+    this document, this one included; ``need`` is how many of them have
+    enough words, 0 if all have not.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lines = b.column("lines")
@@ -66,62 +95,135 @@ def suffixes(found: DataFrame, p: Params) -> DataFrame:
             at = at - at[0]
             j, words = (flat.field(c).to_numpy().astype(np.int64) for c in ("j", "words"))
             owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            base = b.column("base").to_numpy()[owner]
             total = np.concatenate([[0], np.cumsum(words)])
             # A stretch of neighbouring lines ends before a line that is not repeated or of another document.
             ends = np.flatnonzero(np.concatenate([(j[1:] != j[:-1] + 1) | (owner[1:] != owner[:-1]), [True] * bool(len(j))])) + 1
             stretch_end = ends[np.searchsorted(ends, np.arange(len(j)), "right")] if len(j) else ends
             stop = np.searchsorted(total, total[:-1] + p.min_words)  # the run ends before this line
-            size = np.where(stop <= stretch_end, stop - np.arange(len(j)), 0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(owner)) for c in DOC), pa.array(j), flat.field("h"), pa.array(size)], [*DOC, "j", "r", "len"])
+            need = np.where(stop <= stretch_end, stop - np.arange(len(j)), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(base), pa.array(base + j), flat.field("h"), pa.array(stretch_end - np.arange(len(j))), pa.array(need)],
+                                             ["base", "pos", "h", "rest", "need"])
 
-    kind = found.schema["doc"].dataType.simpleString()
-    return found.mapInArrow(run, f"none boolean, doc {kind}, th long, j long, r long, len long")
+    return found.mapInArrow(run, "base long, pos long, h long, rest long, need long")
 
 
-def later_copies(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> DataFrame:
-    """(none, doc, th, j, len): shortest repeated runs that an equal one precedes, by doc_id, text hash and line."""
-    bounded_batches(docs.sparkSession)
-    state = scratch.store(suffixes(repeated_lines(docs, scratch), p), "ranks1")
-    runs, size = None, 1
+def suffix_array(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """(sa, pos, rest) of ``lines(pos, h, rest)``, and for each doubling (pos, r) of the suffixes that share a rank.
+
+    A suffix goes to the end of its stretch; one that another goes on from
+    comes before it, and equal ones stand by their place.
+    """
+    pairs, size, levels = lines.select("pos", "rest", F.lit(0).cast("long").alias("r"), F.col("h").alias("r2")), 1, {}
     while True:
-        # Runs of size .. 2*size-1 lines: the ranks of their first and of their last ``size`` lines.
-        own = state.where(F.col("len").between(size, 2 * size - 1))
-        tail = state.select(*DOC, (F.col("j") + size).alias("end"), F.col("r").alias("b"))
-        made = own.withColumn("end", F.col("j") + F.col("len")).join(tail, [*DOC, "end"]) if size > 1 else own.withColumn("b", F.col("r"))
-        made = made.select(*DOC, "j", "len", F.col("r").alias("a"), "b")
-        runs = made if runs is None else runs.union(made)
-        if state.where(F.col("len") >= 2 * size).isEmpty():
+        pairs = scratch.store(pairs, f"pairs{size}")
+        # Stored before they are joined, so that AQE can split a pair that very many suffixes share.
+        kinds = scratch.store(refined(pairs.groupBy("r", "r2").agg(F.count("*").alias("n")), scratch, f"kinds{size}"), "new")
+        levels[size] = scratch.store(pairs.join(kinds, ["r", "r2"]).select("pos", "rest", F.col("rank").alias("r"), "n"), f"ranks{size}")
+        for name in (f"pairs{size}", f"kinds{size}", "new"):
+            scratch.drop(name)
+        goes_on = levels[size].where((F.col("n") > 1) & (F.col("rest") >= size))
+        latest = levels[size]
+        for s, level in levels.items():
+            if s < size:
+                latest = latest.union(level.where((F.col("n") == 1) | (F.col("rest") < s)))
+        if goes_on.isEmpty():
             break
-        behind = Window.partitionBy(*DOC).orderBy("j").rangeBetween(size, size)
-        pairs = scratch.store(state.withColumn("r2", F.first("r").over(behind)).where("r2 IS NOT NULL"), f"pairs{size}")
-        kinds = pairs.groupBy("r", "r2").agg(F.count("*").alias("n")).where("n > 1").select("r", "r2")
-        ranks, _ = ranked(kinds, ["r", "r2"], scratch)
-        state = scratch.store(pairs.join(ranks, ["r", "r2"]).select(*DOC, "j", F.col("rank").alias("r"), "len"), f"ranks{2 * size}")
-        scratch.drop(f"pairs{size}")
+        after = latest.select((F.col("pos") - size).alias("pos"), F.col("r").alias("r2"))
+        ended = goes_on.where(F.col("rest") == size).select("pos", "rest", "r", F.lit(-1).cast("long").alias("r2"))
+        pairs = goes_on.where(F.col("rest") > size).join(after, "pos").select("pos", "rest", "r", "r2").union(ended)
         size *= 2
-    runs = scratch.store(runs, "runs")
-    while size:
-        scratch.drop(f"ranks{size}")
-        size //= 2
-    place = F.struct(*DOC, "j")
-    first = scratch.store(runs.groupBy("len", "a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
-    return runs.join(first, ["len", "a", "b"]).where(place != F.col("first")).select(*DOC, "j", "len")
+    equal = latest.where("n > 1")
+    places = refined(equal.select("r", F.col("pos").alias("r2"), F.lit(1).cast("long").alias("n")), scratch, "equal")
+    array = latest.where("n = 1").select(F.col("r").alias("sa"), "pos", "rest").union(
+        equal.select("pos", "rest").join(places.select(F.col("r2").alias("pos"), F.col("rank").alias("sa")), "pos").select("sa", "pos", "rest"))
+    array = scratch.store(array, "array")
+    scratch.drop("equal")
+    return array, {s: level.where("n > 1").select("pos", "r") for s, level in levels.items()}
+
+
+def common_prefixes(array: DataFrame, levels: dict[int, DataFrame], scratch: Scratch) -> DataFrame:
+    """(sa, pos, lcp): the lines that a suffix has in common with the one before it in the array.
+
+    From the longest doubling down, two places with the same rank have that
+    many lines in common and go on behind them.
+    """
+    before = array.select((F.col("sa") + 1).alias("sa"), F.col("pos").alias("pos0"), F.col("rest").alias("rest0"))
+    pairs = scratch.store(array.join(before, "sa", "left").withColumn("lcp", F.lit(0).cast("long")), "common0")
+    for k, size in enumerate(sorted(levels, reverse=True), 1):
+        on = F.col("lcp") < F.least("rest", "rest0")  # neither suffix is at its end
+        a, b = (levels[size].select(F.col("pos").alias(at), F.col("r").alias(r)) for at, r in (("at", "a"), ("at0", "b")))
+        pairs = pairs.withColumn("at", F.when(on, F.col("pos") + F.col("lcp"))).withColumn("at0", F.when(on, F.col("pos0") + F.col("lcp")))
+        more = F.when(F.col("a") == F.col("b"), F.least(F.lit(size).cast("long"), F.col("rest") - F.col("lcp"))).otherwise(F.lit(0))
+        pairs = pairs.join(a, "at", "left").join(b, "at0", "left").select("sa", "pos", "rest", "pos0", "rest0", (F.col("lcp") + more).alias("lcp"))
+        pairs = scratch.store(pairs, f"common{k}")
+        scratch.drop(f"common{k - 1}")
+    return pairs.select("sa", "pos", "lcp")
+
+
+def intervals(common: DataFrame, lines: DataFrame, p: Params) -> DataFrame:
+    """(sa, pos, lcp, base, need, start): where the stretch of the array with common prefixes of ``need`` lines or more begins.
+
+    A line has a word at least, so ``need`` goes to ``min_words``.  The last
+    place with a shorter common prefix is found in blocks of the array, and
+    before a block from the last places of the blocks (a row for each).
+    """
+    depths = range(1, p.min_words + 1)
+
+    def last(t: int) -> Column:
+        return F.max(F.when(F.col("lcp") < t, F.col("sa")))
+
+    block = F.shiftright("sa", BLOCK)
+    inside = Window.partitionBy("block").orderBy("sa").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = common.groupBy(block.alias("block")).agg(*(last(t).alias(f"t{t}") for t in depths)).select(
+        "block", F.array(*(F.max(f"t{t}").over(earlier) for t in depths)).alias("carried"))
+    wanted = common.join(lines.select("pos", "base", "need"), "pos").withColumn("block", block)
+    wanted = wanted.withColumn("own", F.array(*(last(t).over(inside) for t in depths))).where("need > 0").join(carried, "block")
+    return wanted.select("sa", "pos", "lcp", "base", "need", F.coalesce(F.get("own", F.col("need").cast("int") - 1), F.get("carried", F.col("need").cast("int") - 1)).alias("start"))
+
+
+def later_copies(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """(base, j, len, lcp) of repeated runs that an equal one precedes, by doc_id, text hash and line; and the documents by ``base``.
+
+    ``len`` lines have enough words; ``lcp`` lines are common to all copies.
+    """
+    bounded_batches(docs.sparkSession)
+    found = scratch.store(repeated_lines(docs, scratch), "found")
+    placed = placed_documents(found, scratch)
+    lines = scratch.store(suffixes(found.join(placed, DOC).select("base", "lines"), p), "lines")
+    scratch.drop("found")
+    array, levels = suffix_array(lines, scratch)
+    common = common_prefixes(array, levels, scratch)
+    for name in ("array", *(f"ranks{size}" for size in levels)):
+        scratch.drop(name)
+    runs = scratch.store(intervals(common, lines, p), "runs")
+    scratch.keep_only("runs", "documents")
+    first = runs.groupBy("start", "need").agg(F.min("pos").alias("first"), F.count("*").alias("n"), F.min(F.when(F.col("sa") > F.col("start"), F.col("lcp"))).alias("common"))
+    first = scratch.store(first.where("n > 1").drop("n"), "first")
+    return runs.join(first, ["start", "need"]).where("pos <> first").select("base", (F.col("pos") - F.col("base")).alias("j"), F.col("need").alias("len"), F.col("common").alias("lcp")), placed
 
 
 def maximal_runs(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(none, doc, th, runs): start and end line of the maximal runs that go, numbered without blank lines."""
-    found = later_copies(docs, Scratch(docs.sparkSession, "lines"), p).groupBy(*DOC).agg(
-        F.sort_array(F.collect_set(F.struct("j", "len"))).alias("found"))
+    """(none, doc, th, runs): start and end line of the maximal runs that go, numbered without blank lines.
+
+    A run goes on as far as all its copies do, up to the last line at which
+    enough words end; runs that touch are one.
+    """
+    found, placed = later_copies(docs, Scratch(docs.sparkSession, "lines"), p)
+    found = found.groupBy("base").agg(F.sort_array(F.collect_list(F.struct("j", "len", "lcp"))).alias("found")).join(placed, "base").select(*DOC, "found")
 
     def joined(rows):
         out = []
         for row in rows:
             merged: list[list[int]] = []
+            ends = [r["j"] + r["len"] for r in row]
             for r in row:
+                stop = ends[bisect_right(ends, r["j"] + r["lcp"]) - 1]
                 if merged and r["j"] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], r["j"] + r["len"])
+                    merged[-1][1] = max(merged[-1][1], stop)
                 else:
-                    merged.append([r["j"], r["j"] + r["len"]])
+                    merged.append([r["j"], stop])
             out.append([{"start": a, "stop": b} for a, b in merged])
         return [pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))]
 

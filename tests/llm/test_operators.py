@@ -197,6 +197,72 @@ def test_long_runs_of_short_lines_need_several_doublings(spark):
     assert [(r["doc"], [tuple(x) for x in r["runs"]]) for r in linededup.maximal_runs(docs).collect()] == [(2, [(1, 26)])]
 
 
+def drawn_lines(seed):
+    """Documents of few different lines, copies, stretches of copies and one line over and over."""
+    rng = random.Random(seed)
+    kinds = [" ".join(f"k{k}x{i}" for i in range(rng.choice([1, 1, 2, 4, 9]))) for k in range(12)]
+    passage = [rng.choice(kinds) for _ in range(45)]
+    docs = [[rng.choice(kinds) for _ in range(rng.randint(0, 12))] for _ in range(20)]
+    for k in range(30):
+        a = rng.randrange(45)
+        docs.append([f"own {k}", *passage[a:rng.randint(a, 45)], rng.choice(kinds)])
+    docs += [["k0x0"] * 21, ["a b", *["k0x0"] * 13, "c d"], *[passage] * 4, *[docs[30]] * 3]
+    rng.shuffle(docs)
+    return docs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_suffix_array_and_common_prefixes_equal_brute_force(spark, seed):
+    docs = drawn_lines(seed)
+    df = spark.createDataFrame([(k, "\n".join(x)) for k, x in enumerate(docs)], "doc_id long, text string").repartition(3)
+    scratch = linededup.Scratch(spark, "test")
+    linededup.bounded_batches(spark)
+    found = scratch.store(linededup.repeated_lines(df, scratch), "found")
+    placed = linededup.placed_documents(found, scratch)
+    lines = scratch.store(linededup.suffixes(found.join(placed, linededup.DOC).select("base", "lines"), linededup.Params()), "lines")
+    array, levels = linededup.suffix_array(lines, scratch)
+    got = {r["sa"]: (r["pos"], r["lcp"]) for r in linededup.common_prefixes(array, levels, scratch).collect()}
+    assert len(levels) == 7  # the passage has 45 lines
+    ids = {r["pos"]: r["h"] for r in lines.collect()}
+    times = Counter(x for d in docs for x in d)
+    base = {r["doc"]: r["base"] for r in placed.collect()}
+    assert [base[k] for k in sorted(base)] == sorted(base.values()) and len(set(base.values())) == len(base)
+    want = []
+    for k, d in enumerate(docs):
+        for j, x in enumerate(d):
+            if times[x] > 1:
+                stop = next((e for e in range(j, len(d)) if times[d[e]] < 2), len(d))
+                want.append(([ids[base[k] + i] for i in range(j, stop)], base[k] + j))
+    want.sort()
+    assert [got[k][0] for k in range(len(want))] == [pos for _, pos in want] and len(got) == len(want)
+    prefixes = [0] + [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for (a, _), (b, _) in itertools.pairwise(want)]
+    assert [got[k][1] for k in range(len(want))] == prefixes and max(prefixes) == 45
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_runs_of_drawn_lines_equal_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(linededup, "BLOCK", 3)  # sums, maxima and intervals pass from block to block
+    docs = drawn_lines(seed)
+    rows = [(k, "\n".join(x)) for k, x in enumerate(docs)]
+    runs, held = slow_lines(rows)
+    gone = defaultdict(set)
+    for places in runs.values():
+        for key, j, k in sorted(places)[1:]:
+            gone[key[1]] |= set(range(j, k + 1))
+    got = {r["doc"]: [tuple(x) for x in r["runs"]] for r in linededup.maximal_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: {j for a, b in x for j in range(a, b)} for d, x in got.items()} == gone
+    assert all(a[1] < b[0] for x in got.values() for a, b in itertools.pairwise(x))
+
+
+def test_a_run_goes_on_as_far_as_the_common_prefix_of_its_copies(spark):
+    eight, more = " ".join("abcdefgh"), " ".join("ijklmnop")
+    rows = [(1, f"{eight}\ntail\n{more}"), (2, f"{eight}\ntail\n{more}\nx"), (3, f"y\n{eight}\ntail\nz"), (4, f"tail\nx\n{more}")]
+    scratch = linededup.Scratch(spark, "test")
+    found, placed = linededup.later_copies(spark.createDataFrame(rows, "doc_id long, text string"), scratch)
+    got = sorted((r["doc"], r["j"], r["len"], r["lcp"]) for r in found.join(placed, "base").collect())
+    assert got == [(2, 0, 1, 2), (2, 1, 2, 2), (2, 2, 1, 1), (3, 1, 1, 2), (4, 2, 1, 1)]
+
+
 # Decontamination
 
 def test_benchmark_passages_are_found_copied_and_reworded(spark):
